@@ -2,16 +2,15 @@
 
 ``row_number()`` over an unpartitioned window pulls every row into one task.
 Here the rows are range-partitioned on the order keys, numbered inside each
-partition, and shifted by the row count of all earlier partitions. The
-offsets table has one row per partition (a bound we choose), so it is safe
-to broadcast.
+partition, and shifted by the row count of all earlier partitions. There is one count per
+partition (a bound we choose), so the offsets travel as a literal array.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,12 +28,20 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "idx",
     # Reliable checkpoint in the shared folder: both passes below see the same
     # partitioning, and a lost executor does not force a re-sort.
     tagged = tagged.checkpoint(eager=True)
-    per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select("_pid", "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_m0")).cast("bigint"))
-            .drop("_pid", "_mid", "_m0", "_off"))
+    # One count per partition: at most n small rows, so they may come to the
+    # driver and go back as a literal array of offsets.
+    counts = dict(tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, run = [], 0
+    for pid in range(max(counts, default=-1) + 1):
+        offsets.append(run)
+        run += counts.get(pid, 0)
+    if not offsets:
+        return tagged.withColumn(name, F.lit(None).cast("bigint")).drop("_pid", "_mid")
+    table = F.array(*[F.lit(o).cast("bigint") for o in offsets])
+    # monotonically_increasing_id = (partition id << 33) + row number in it.
+    in_part = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
+    return (tagged.withColumn(name, (F.element_at(table, F.col("_pid") + 1) + in_part).cast("bigint"))
+            .drop("_pid", "_mid"))
 
 
 def with_batch_numbers(df: DataFrame, order: Sequence[str], batch_size: int,

@@ -25,8 +25,20 @@ REGISTRY_SCHEMA = T.StructType([
 ])
 
 
+def path_exists(path: str) -> bool:
+    """Whether a table folder exists (checked through the object-store client)."""
+    from pyarrow import fs as pafs
+
+    from blobferry.sources.objectstore import open_fs
+
+    fs, base = open_fs(path)
+    return fs.get_file_info(base).type != pafs.FileType.NotFound
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """Read a Parquet table, or None if it does not exist yet."""
+    if not path_exists(path):
+        return None
     try:
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return reader.parquet(path)
