@@ -152,7 +152,12 @@ def run_incremental(spark: SparkSession, source: DataFrame, ctx: str, strategy:
     status = sink(transform(batch) if transform else batch, rep.run_id)
     written = L.append_status(status, ledgers.status, rep.run_id, rep.run_no)
     totals = status_totals(written).first().asDict()
-    hw = inc.high_water_frame(batch, keys)
+    # The mark only moves forward: retried rows sit below it, so the new high
+    # water is the greater of the old mark and the fresh rows' maximum.
+    hw = inc.high_water_frame(inc.past_mark(source, keys, mark), keys)
+    if last_no > 0:
+        old = L.bookmark_row(spark, ledgers.bookmarks, ctx, last_no).select("high_water")
+        hw = hw.unionByName(old).agg(F.max("high_water").alias("high_water"))
     L.commit_bookmark(spark, ledgers.bookmarks, ctx, rep.run_no, strategy, hw,
                       totals["n_rows"], totals["n_ok"] + totals["n_skipped"], totals["n_failed"])
     rep.counts = totals

@@ -93,6 +93,11 @@ def last_bookmark(spark: SparkSession, path: str, ctx: str) -> tuple[int, tuple
     return int(last["run_no"]), (None if hw is None else tuple(hw))
 
 
+def bookmark_row(spark: SparkSession, path: str, ctx: str, run_no: int) -> DataFrame:
+    """The bookmark row of one run of a context."""
+    return spark.read.parquet(path).where((F.col("ctx") == ctx) & (F.col("run_no") == run_no))
+
+
 def commit_bookmark(spark: SparkSession, path: str, ctx: str, run_no: int, strategy: str,
                     high_water: DataFrame, n_rows: int, n_ok: int, n_failed: int) -> None:
     """Append the run's bookmark row. Call only after the sink succeeded.
