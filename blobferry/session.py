@@ -24,6 +24,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Bodies ride in Arrow batches to Python tasks: bound a batch by bytes
     # as well as rows so a task never holds thousands of large bodies.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",

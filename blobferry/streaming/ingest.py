@@ -43,13 +43,26 @@ def ingest_new_objects(spark: SparkSession, root: str, sink_path: str, checkpoin
         F.col("length").alias("size"),
         K.body_sha1("content").alias("sha1"),
         F.col("modificationTime").alias("mtime"))
-    q = (rows.writeStream.format("parquet").option("path", sink_path)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
-    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
-    if finished is False:
-        q.stop()
-        raise TimeoutError("ingestion did not finish in time")
+    # Each micro-batch re-reads the status of its files; with the default
+    # (10000) Spark starts one task per file for that. One task per core of
+    # the cluster is enough; the setting is put back when the run ends.
+    conf_key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(conf_key, None)
+    if before in (None, "10000"):
+        spark.conf.set(conf_key, str(max(spark.sparkContext.defaultParallelism, 1)))
+    try:
+        q = (rows.writeStream.format("parquet").option("path", sink_path)
+             .option("checkpointLocation", checkpoint).outputMode("append")
+             .trigger(availableNow=True).start())
+        finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+        if finished is False:
+            q.stop()
+            raise TimeoutError("ingestion did not finish in time")
+    finally:
+        if before is None:
+            spark.conf.unset(conf_key)
+        else:
+            spark.conf.set(conf_key, before)
     progress = [p for p in q.recentProgress]
     return {"batches": len(progress),
             "rows": int(sum(p.get("numInputRows", 0) for p in progress))}
