@@ -91,21 +91,19 @@ def file_listing(spark, sf):
 
 
 def pending_blobs(spark, sf):
-    reg = roles.registry(spark, sf)
-    return R.pending(reg).select("guid", "filename", K.byte_length("document").alias("size"),
-                                 K.body_sha1("document").alias("sha1"))
+    reg = roles.registry(spark, sf, facts=True)
+    return reg.where(K.is_pending("uploaded_to_s3")).select("guid", "filename", "size", "sha1")
 
 
 def blobs_by_id(spark, sf):
-    reg = roles.registry(spark, sf)
+    reg = roles.registry(spark, sf, facts=True)
     ids = roles.table(spark, sf, "labels").where(F.col("toxic") == 1).select(F.col("doc_id").alias("id"))
-    return lookup(reg, ids).select("id", "guid", "filename", K.byte_length("document").alias("size"),
-                                   K.body_sha1("document").alias("sha1"))
+    return lookup(reg, ids).select("id", "guid", "filename", "size", "sha1")
 
 
 def new_objects(spark, sf):
-    reg = roles.registry(spark, sf)
-    listing = reg.select(F.col("filename").alias("key"), K.byte_length("document").alias("size"))
+    reg = roles.registry(spark, sf, facts=True)
+    listing = reg.select(F.col("filename").alias("key"), "size")
     return sync.new_objects(listing, roles.loaded_keys(spark, sf))
 
 
@@ -123,8 +121,8 @@ def orphan_delete(spark, sf):
 
 
 def size_skip_plan(spark, sf):
-    reg = roles.registry(spark, sf)
-    src = reg.select(F.col("filename").alias("key"), K.byte_length("document").alias("size"))
+    reg = roles.registry(spark, sf, facts=True)
+    src = reg.select(F.col("filename").alias("key"), "size")
     plan = sync.size_plan(src, roles.target_listing(spark, sf))
     return plan.select("key", "size", "target_size", "action")
 

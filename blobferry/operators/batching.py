@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blobferry.session import materialize
+
 
 def global_index(df: DataFrame, order: Sequence[str], name: str = "idx",
                  num_partitions: int | None = None) -> DataFrame:
@@ -25,9 +27,9 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "idx",
               .sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
-    # Reliable checkpoint in the shared folder: both passes below see the same
-    # partitioning, and a lost executor does not force a re-sort.
-    tagged = tagged.checkpoint(eager=True)
+    # Written once to the shared folder: both passes below see the same
+    # numbering, and a lost executor does not force a re-sort.
+    tagged = materialize(tagged, "index")
     # One count per partition: at most n small rows, so they may come to the
     # driver and go back as a literal array of offsets.
     counts = dict(tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())

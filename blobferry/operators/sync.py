@@ -123,5 +123,19 @@ def mass_delete_guard(n_existing: int, n_orphans: int, n_listed: int, max_share:
                            f"(share above {max_share}); pass allow_mass_delete=True to force")
 
 
+# Largest key-side frame we broadcast: a counted, materialized bound.
+BROADCAST_MAX_ROWS = 500_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
+    """``broadcast(df)`` if it holds at most ``max_rows`` rows, else ``df``.
+
+    Counts the rows (cheap when ``df`` is materialized or small), so the
+    broadcast side has a proven size, not an estimate.
+    """
+    n = df.count()
+    return (F.broadcast(df) if n <= max_rows else df), n
+
+
 def size_of(col: str | Column) -> Column:
     return K.byte_length(col)

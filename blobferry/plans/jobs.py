@@ -23,6 +23,7 @@ from blobferry.functions import keys as K
 from blobferry.operators import incremental as inc
 from blobferry.operators import sync
 from blobferry.operators.batching import global_index
+from blobferry.session import materialize
 from blobferry.sinks import ledgers as L
 from blobferry.sinks.export import export_bodies
 from blobferry.sinks.json_sink import write_json
@@ -188,27 +189,48 @@ def blob_sink(target_root: str, target_listing: DataFrame | None = None,
               key_of: Callable[[DataFrame], Column] | None = None, body: str = "BINDER_DOC",
               id_col: str = "ID", policy_col: str = "POLICY_ID",
               order: tuple[str, ...] = ("MODIFIED", "ID"), fail: Column | None = None,
-              compare_sha1: bool = False) -> Sink:
-    """Sink writing one object per target key: the latest row per key wins
-    (decided on keys only, bodies joined back by id), and objects already in
-    the target with equal size (or sha1) are skipped."""
+              compare_sha1: bool = False, size_col: str | None = None) -> Sink:
+    """Sink writing one object per target key.
+
+    The plan is made on keys and sizes only: the latest row per target key
+    wins, and a target object of equal size (or sha1) means skip. That small
+    plan is written once to the shared folder; bodies are then attached to the rows to write by
+    a semi-join that is broadcast when the plan's row count is under a bound
+    (so the bodies are never shuffled), else shuffled on the id. Skipped rows
+    never touch their bodies again. ``size_col`` names a stored size to use
+    instead of measuring the body.
+    """
 
     def _sink(batch: DataFrame, run_id: str) -> DataFrame:
         tkey = key_of(batch) if key_of else K.template_key(policy_col)
-        slim = batch.select(tkey.alias("key"), *[F.col(c) for c in dict.fromkeys(order + (id_col,))])
-        winners = sync.latest_per_key(slim, "key", list(order), payload=[])
-        win_ids = winners.select("key", F.col(id_col).alias("_wid"))
-        rows = batch.join(win_ids, batch[id_col] == win_ids["_wid"], "inner").drop("_wid")
-        rows = rows.withColumn("size", K.byte_length(body))
-        skip = F.lit(False)
+        size = F.col(size_col).cast("bigint") if size_col else K.byte_length(body)
+        slim_cols = [tkey.alias("key"), *[F.col(c) for c in dict.fromkeys(order + (id_col,))],
+                     F.col(policy_col).cast("string").alias("_policy"), size.alias("size")]
+        if compare_sha1:
+            slim_cols.append(K.body_sha1(body).alias("sha1"))
+        slim = batch.select(*slim_cols)
+        payload = [id_col, "_policy", "size"] + (["sha1"] if compare_sha1 else [])
+        payload = [c for c in payload if c not in order]
+        plan = sync.latest_per_key(slim, "key", list(order), payload=payload)
         if target_listing is not None:
-            if compare_sha1:
-                rows = rows.withColumn("sha1", K.body_sha1(body))
-            planned = sync.size_plan(rows, target_listing, key="key", size="size",
-                                     compare_sha1="sha1" if compare_sha1 else None)
-            rows, skip = planned, F.col("action") == F.lit(sync.SKIP)
-        return export_bodies(rows, target_root, key="key", body=body, src_id=id_col,
-                             policy_id=policy_col, skip=skip, fail=fail)
+            plan = sync.size_plan(plan, target_listing, key="key", size="size",
+                                  compare_sha1="sha1" if compare_sha1 else None)
+        else:
+            plan = plan.withColumn("action", F.lit(sync.NEW))
+        plan = materialize(plan.select("key", F.col(id_col).alias("_wid"), "_policy", "size", "action"),
+                           "export-plan")
+
+        skipped = plan.where(F.col("action") == sync.SKIP).select(
+            "key", F.col("_wid").cast("bigint").alias("src_id"), F.lit(None).cast("string").alias("guid"),
+            F.col("_policy").alias("policy_id"), "size", F.lit(None).cast("string").alias("sha1"),
+            F.lit(True).alias("ok"), F.lit(True).alias("skipped"),
+            F.lit(None).cast("string").alias("error"), F.lit(0.0).alias("elapsed_s"))
+        to_write, _ = sync.checked_broadcast(
+            plan.where(F.col("action") != sync.SKIP).select("key", "_wid"))
+        rows = batch.join(to_write, batch[id_col] == to_write["_wid"], "inner").drop("_wid")
+        written = export_bodies(rows, target_root, key="key", body=body, src_id=id_col,
+                                policy_id=policy_col, fail=fail)
+        return written.unionByName(skipped)
 
     return _sink
 

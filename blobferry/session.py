@@ -94,3 +94,13 @@ def ensure_dir(path: str) -> None:
     if "://" in path and not path.startswith("file:"):
         return
     os.makedirs(to_local(path), exist_ok=True)
+
+
+def materialize(df, purpose: str = "stage"):
+    """Write ``df`` once as a Parquet table below the shared folder and read it
+    back: lineage is cut, a lost executor costs no recomputation, and (unlike
+    an RDD checkpoint) the plan runs only once."""
+    spark = df.sparkSession
+    path = scratch_path(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
