@@ -242,7 +242,8 @@ def mark_uploaded(spark, sf):
     led = L.Ledgers(scratch_path(spark, "mark"))
     jobs.export_pending(spark, reg, scratch_path(spark, "mark-objects"), led,
                         fail=F.col("lang") == "de")
-    view = R.current_view(reg.drop("lang"), ok_ledger=L.ok_guids(spark, led.status))
+    view = R.current_view(roles.registry(spark, sf, with_body=False),
+                          ok_ledger=L.ok_guids(spark, led.status))
     return view.select("id", "uploaded_to_s3")
 
 

@@ -89,16 +89,27 @@ def export_keys(filename: Column, target_prefix: str = "", strip: str | None = N
     return K.join_key(target_prefix, name) if target_prefix else name
 
 
-def export_pending(spark: SparkSession, registry_view: DataFrame, target_root: str,
+def export_pending(spark: SparkSession, registry: DataFrame, target_root: str,
                    ledgers: L.Ledgers, target_prefix: str = "", strip: str | None = None,
-                   fail: Column | None = None, run_no: int = 1) -> RunReport:
+                   fail: Column | None = None, run_no: int = 1,
+                   ok_ledger: DataFrame | None = None,
+                   tombstones: DataFrame | None = None) -> RunReport:
     """Write every pending row's body, then record the run in the status ledger.
 
-    The registry is not rewritten: :func:`registry.current_view` reads the
+    Which rows are pending is decided on keys only (the flag, earlier
+    successes in ``ok_ledger``, tombstoned names); that set is written once
+    and the bodies are attached by a counted broadcast semi-join, so a
+    large registry's bodies are not shuffled for a small pending set. The
+    registry is not rewritten: :func:`registry.current_view` reads the
     ledger to mark rows uploaded.
     """
     rep = RunReport(run_id=uuid.uuid4().hex, run_no=run_no)
-    pend = registry_view.where(K.is_pending("uploaded_to_s3"))
+    keys = registry.select("guid", "filename", "uploaded_to_s3")
+    view = R.current_view(keys, ok_ledger=ok_ledger, tombstones=tombstones)
+    pending = materialize(view.where(K.is_pending("uploaded_to_s3")).select("guid").distinct(),
+                          "pending")
+    right, _ = sync.checked_broadcast(pending)
+    pend = registry.join(right, "guid", "left_semi")
     status = export_bodies(pend, target_root,
                            key=export_keys(F.col("filename"), target_prefix, strip),
                            body="document", src_id="id", guid="guid", fail=fail)
@@ -243,10 +254,12 @@ def sync_registry(spark: SparkSession, registry_view: DataFrame, listing: DataFr
     """Tombstone registry keys whose object is gone.
 
     A listing that failed raises before this point; an empty listing or a
-    large orphan share is refused unless ``allow_mass_delete``.
+    large orphan share is refused unless ``allow_mass_delete``. The orphan
+    set is computed once and staged; the guard reads its count.
     """
     rep = RunReport(run_id=uuid.uuid4().hex)
-    orphan = sync.orphans(registry_view.select(F.col("filename").alias("key")), listing)
+    orphan = materialize(sync.orphans(registry_view.select(F.col("filename").alias("key")), listing),
+                         "orphans")
     n_existing = sync.distinct_keys(registry_view, "filename").count()
     n_listed = listing.limit(1).count()
     n_orphans = orphan.count()

@@ -76,33 +76,36 @@ except ImportError:  # pragma: no cover
 
 
 class _Part(InputPartition):  # type: ignore[misc]
-    def __init__(self, folder: str | None, files: list[str]):
+    def __init__(self, folder: str, recursive: bool):
         self.folder = folder
-        self.files = files
+        self.recursive = recursive
 
 
 class _ListingReader(DataSourceReader):  # type: ignore[misc]
-    FILES_PER_TASK = 2000
+    """Each task walks one folder. The driver only learns folder names (down
+    to ``depth`` levels), never object names, so a listing of any size
+    passes nothing whole through the driver."""
 
     def __init__(self, options):
         self.root = options["path"]
+        self.depth = int(options.get("depth", "1"))
 
     def partitions(self):
         from pyarrow import fs as pafs
 
         fs, base = open_fs(self.root)
-        info = fs.get_file_info(base)
-        if info.type == pafs.FileType.NotFound:
+        if fs.get_file_info(base).type == pafs.FileType.NotFound:
             raise FileNotFoundError(f"listing root not found: {self.root}")
-        parts, loose = [], []
-        for entry in fs.get_file_info(pafs.FileSelector(base, recursive=False)):
-            if entry.type == pafs.FileType.Directory:
-                parts.append(_Part(entry.path, []))
-            elif entry.type == pafs.FileType.File:
-                loose.append(entry.path)
-        for i in range(0, len(loose), self.FILES_PER_TASK):
-            parts.append(_Part(None, loose[i:i + self.FILES_PER_TASK]))
-        return parts or [_Part(None, [])]
+        parts, frontier = [], [base]
+        for _ in range(self.depth):
+            nxt = []
+            for folder in frontier:
+                parts.append(_Part(folder, recursive=False))  # its own loose objects
+                sel = pafs.FileSelector(folder, recursive=False)
+                nxt += [e.path for e in fs.get_file_info(sel) if e.type == pafs.FileType.Directory]
+            frontier = nxt
+        parts += [_Part(folder, recursive=True) for folder in frontier]
+        return parts
 
     def read(self, partition):
         import datetime as dt
@@ -110,12 +113,9 @@ class _ListingReader(DataSourceReader):  # type: ignore[misc]
         from pyarrow import fs as pafs
 
         fs, base = open_fs(self.root)
-        if partition.folder is not None:
-            infos = fs.get_file_info(pafs.FileSelector(partition.folder, recursive=True))
-        else:
-            infos = fs.get_file_info(partition.files) if partition.files else []
         cut = len(base) + 1
-        for e in infos:
+        sel = pafs.FileSelector(partition.folder, recursive=partition.recursive)
+        for e in fs.get_file_info(sel):
             if e.type != pafs.FileType.File:
                 continue
             mtime = e.mtime
@@ -143,10 +143,14 @@ def register_sources(spark: SparkSession) -> None:
 
 
 def list_all_objects(spark: SparkSession, root: str, suffix: str | None = None,
-                     prefix: str | None = None, case_sensitive: bool = True) -> DataFrame:
-    """Complete listing (hidden and empty objects included), walked in parallel."""
+                     prefix: str | None = None, case_sensitive: bool = True,
+                     depth: int = 1) -> DataFrame:
+    """Complete listing (hidden and empty objects included), walked in parallel:
+    one task per folder ``depth`` levels down. A flat store with a huge number
+    of keys in one folder is better served by an inventory table, which any
+    job accepts as its ``listing`` frame."""
     register_sources(spark)
-    df = spark.read.format("blobferry_listing").load(root)
+    df = spark.read.format("blobferry_listing").option("depth", str(depth)).load(root)
     if suffix:
         df = df.where(K.has_suffix("key", suffix, case_sensitive))
     if prefix:

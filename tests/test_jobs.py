@@ -117,3 +117,7 @@ def test_export_pending_marks_through_ledger(spark, tmp_root):
     assert os.path.exists(f"{tmp_root}/out/docs/c.pdf") and os.path.exists(f"{tmp_root}/out/docs/a.pdf")
     view = R.current_view(reg, ok_ledger=L.ok_guids(spark, led.status))
     assert all(r.uploaded_to_s3 for r in view.collect())
+    # A second run finds nothing pending once the ledger is read.
+    rep2 = jobs.export_pending(spark, reg, f"{tmp_root}/out", led, target_prefix="docs", strip="pre/",
+                               ok_ledger=L.ok_guids(spark, led.status), run_no=2)
+    assert rep2.counts["n_rows"] == 0
