@@ -101,6 +101,15 @@ def blobs_by_id(spark, sf):
     return lookup(reg, ids).select("id", "guid", "filename", "size", "sha1")
 
 
+def save_by_id(spark, sf):
+    # Every labelled toxic document saved to a folder under its nested name.
+    reg = roles.registry(spark, sf).withColumn("filename", F.concat_ws("/", F.lit("by_id"), "filename"))
+    ids = roles.table(spark, sf, "labels").where(F.col("toxic") == 1).select(F.col("doc_id").alias("id"))
+    out = scratch_path(spark, "saved")
+    jobs.save_documents(spark, reg, ids, out, L.Ledgers(f"{out}-state"))
+    return read_objects(spark, out).select("key", "size", K.body_sha1("content").alias("sha1"))
+
+
 def new_objects(spark, sf):
     reg = roles.registry(spark, sf, facts=True)
     listing = reg.select(F.col("filename").alias("key"), "size")
@@ -331,6 +340,7 @@ QUERIES: dict[str, Query] = {
     "file_listing": file_listing,
     "pending_blobs": pending_blobs,
     "blobs_by_id": blobs_by_id,
+    "save_by_id": save_by_id,
     "new_objects": new_objects,
     "orphan_keys": orphan_keys,
     "orphan_delete": orphan_delete,

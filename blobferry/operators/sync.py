@@ -43,6 +43,14 @@ def orphans(existing: DataFrame, listing: DataFrame, key: str = "key",
     return left.join(right, "key", "left_anti")
 
 
+def accumulate(listings: Sequence[DataFrame], as_set: bool = False) -> DataFrame:
+    """Union of listing pages or shards by column name; ``as_set`` drops repeats."""
+    out = listings[0]
+    for more in listings[1:]:
+        out = out.unionByName(more)
+    return out.distinct() if as_set else out
+
+
 def pick(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is in ``keys`` (semi-join; ``IN`` list)."""
     on = [on] if isinstance(on, str) else list(on)

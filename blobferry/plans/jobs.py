@@ -119,6 +119,21 @@ def export_pending(spark: SparkSession, registry: DataFrame, target_root: str,
     return rep
 
 
+def save_documents(spark: SparkSession, registry: DataFrame, ids: DataFrame, out_dir: str,
+                   ledgers: L.Ledgers, run_no: int = 1) -> RunReport:
+    """Write the documents of many ids into ``out_dir`` under their filename
+    (nested names make folders; absolute or ``..`` names are refused per row)."""
+    rep = RunReport(run_id=uuid.uuid4().hex, run_no=run_no)
+    from blobferry.sources.blobs import lookup
+
+    rows = lookup(registry, ids)
+    status = export_bodies(rows, out_dir, key="filename", body="document", src_id="id", guid="guid")
+    written = L.append_status(status, ledgers.status, rep.run_id, run_no)
+    rep.counts = status_totals(written).first().asDict()
+    rep.committed = True
+    return rep
+
+
 # ------------------------------------------------------------- incremental
 
 Sink = Callable[[DataFrame, str], DataFrame]

@@ -121,3 +121,27 @@ def test_export_pending_marks_through_ledger(spark, tmp_root):
     rep2 = jobs.export_pending(spark, reg, f"{tmp_root}/out", led, target_prefix="docs", strip="pre/",
                                ok_ledger=L.ok_guids(spark, led.status), run_no=2)
     assert rep2.counts["n_rows"] == 0
+
+
+def test_compaction_writes_the_view_elsewhere(spark, tmp_root):
+    reg_path = f"{tmp_root}/registry"
+    rows = spark.createDataFrame([("g1", "a.pdf", b"x"), ("g2", "b.pdf", b"y")],
+                                 "guid string, filename string, document binary")
+    R.append(spark, reg_path, rows)
+    led = L.Ledgers(f"{tmp_root}/state")
+    L.append_tombstones(spark.createDataFrame([("b.pdf",)], "key string"), led.tombstones, "r1")
+    view = R.current_view(spark.read.parquet(reg_path), tombstones=L.read_tombstones(spark, led.tombstones))
+    new_path = R.compact(view, f"{tmp_root}/registry-v2")
+    assert [r.filename for r in spark.read.parquet(new_path).collect()] == ["a.pdf"]
+    assert spark.read.parquet(reg_path).count() == 2  # the old table is untouched
+    with pytest.raises(Exception):
+        R.compact(view, new_path)  # never over an existing table
+
+
+def test_accumulate_pages(spark):
+    from blobferry.operators.sync import accumulate
+
+    p1 = spark.createDataFrame([("a",), ("b",)], "key string")
+    p2 = spark.createDataFrame([("b",), ("c",)], "key string")
+    assert accumulate([p1, p2]).count() == 4
+    assert accumulate([p1, p2], as_set=True).count() == 3
