@@ -69,6 +69,18 @@ def ok_guids(spark: SparkSession, path: str) -> DataFrame | None:
     return None if led is None else led.where(F.col("ok") & F.col("guid").isNotNull()).select("guid")
 
 
+def target_state(spark: SparkSession, path: str) -> DataFrame | None:
+    """What the target holds according to our own writes: key, size, sha1 of
+    the last successful write per key. Lets an export skip by content hash
+    without reading target objects back."""
+    led = read_table(spark, path)
+    if led is None:
+        return None
+    wrote = led.where(F.col("ok") & ~F.col("skipped"))
+    return sync.latest_per_key(wrote, "key", ["run_no"], payload=["size", "sha1"]).select(
+        "key", "size", "sha1")
+
+
 def append_tombstones(keys: DataFrame, path: str, run_id: str) -> None:
     append(keys.select(F.lit(run_id).alias("run_id"), F.col("key")), path)
 

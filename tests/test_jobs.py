@@ -145,3 +145,33 @@ def test_accumulate_pages(spark):
     p2 = spark.createDataFrame([("b",), ("c",)], "key string")
     assert accumulate([p1, p2]).count() == 4
     assert accumulate([p1, p2], as_set=True).count() == 3
+
+
+def test_same_size_new_content_is_exported_with_sha1_compare(spark, tmp_root):
+    base = dt.datetime(2024, 1, 1)
+    schema = "ID bigint, POLICY_ID bigint, COMPANY string, BROKER string, MODIFIED timestamp_ntz, BINDER_DOC binary"
+    v1 = spark.createDataFrame([(1, 1, "c", "b", base, b"AAAA"), (2, 2, "c", "b", base, b"BBBB")], schema)
+    led = L.Ledgers(f"{tmp_root}/state")
+    out = f"{tmp_root}/out"
+    jobs.run_incremental(spark, v1, "c", "modified_id", led, jobs.blob_sink(out))
+    later = base + dt.timedelta(days=1)
+    v2 = spark.createDataFrame([(3, 1, "c", "b", later, b"AAAA"), (4, 2, "c", "b", later, b"CCCC")], schema)
+    state = L.target_state(spark, led.status)
+    rep = jobs.run_incremental(spark, v2, "c", "modified_id", led,
+                               jobs.blob_sink(out, target_listing=state, compare_sha1=True))
+    assert rep.counts["n_skipped"] == 1 and rep.counts["n_ok"] == 1
+    assert open(f"{out}/binder_2.pdf", "rb").read() == b"CCCC"
+    # Size alone would have skipped both.
+    size_only = jobs.blob_sink(out, target_listing=L.target_state(spark, led.status))
+    st = size_only(v2, "probe")
+    assert st.where("skipped").count() == 2
+
+
+def test_failing_listing_deletes_nothing(spark, tmp_root):
+    from blobferry.sources.listing import list_all_objects
+
+    reg = spark.createDataFrame([(1, "a")], "id bigint, filename string")
+    led = L.Ledgers(f"{tmp_root}/state")
+    with pytest.raises(Exception):
+        jobs.sync_registry(spark, reg, list_all_objects(spark, f"{tmp_root}/missing"), led)
+    assert L.read_tombstones(spark, led.tombstones) is None
