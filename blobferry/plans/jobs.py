@@ -185,10 +185,10 @@ def run_incremental(spark: SparkSession, source: DataFrame, ctx: str, strategy:
     if last_no > 0:
         old = L.bookmark_row(spark, ledgers.bookmarks, ctx, last_no).select("high_water")
         hw = hw.unionByName(old).agg(F.max("high_water").alias("high_water"))
-    L.commit_bookmark(spark, ledgers.bookmarks, ctx, rep.run_no, strategy, hw,
-                      totals["n_rows"], totals["n_ok"] + totals["n_skipped"], totals["n_failed"])
+    rep.high_water = L.commit_bookmark(spark, ledgers.bookmarks, ctx, rep.run_no, strategy, hw,
+                                       totals["n_rows"], totals["n_ok"] + totals["n_skipped"],
+                                       totals["n_failed"])
     rep.counts = totals
-    rep.high_water = L.last_bookmark(spark, ledgers.bookmarks, ctx)[1]
     rep.committed = True
     return rep
 

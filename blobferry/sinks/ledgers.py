@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blobferry.operators import sync
 from blobferry.sources.registry import read_table
@@ -111,15 +112,21 @@ def bookmark_row(spark: SparkSession, path: str, ctx: str, run_no: int) -> DataF
 
 
 def commit_bookmark(spark: SparkSession, path: str, ctx: str, run_no: int, strategy: str,
-                    high_water: DataFrame, n_rows: int, n_ok: int, n_failed: int) -> None:
-    """Append the run's bookmark row. Call only after the sink succeeded.
+                    high_water: DataFrame, n_rows: int, n_ok: int, n_failed: int) -> tuple | None:
+    """Append the run's bookmark row and return the mark. Call only after the
+    sink succeeded.
 
-    ``high_water`` is the one-row frame of :func:`high_water_frame`, so the
-    mark keeps the key columns' exact types.
+    ``high_water`` is the one-row frame of :func:`high_water_frame`; its single
+    value is brought to the driver once and written back with the frame's own
+    type, so the mark keeps the key columns' exact types.
     """
-    row = high_water.select(
-        F.lit(ctx).alias("ctx"), F.lit(run_no).cast("bigint").alias("run_no"),
-        F.lit(strategy).alias("strategy"), F.col("high_water"),
-        F.lit(n_rows).cast("bigint").alias("n_rows"), F.lit(n_ok).cast("bigint").alias("n_ok"),
-        F.lit(n_failed).cast("bigint").alias("n_failed"))
+    hw_field = high_water.schema["high_water"]
+    hw = high_water.first()["high_water"]
+    schema = T.StructType([
+        T.StructField("ctx", T.StringType()), T.StructField("run_no", T.LongType()),
+        T.StructField("strategy", T.StringType()), hw_field,
+        T.StructField("n_rows", T.LongType()), T.StructField("n_ok", T.LongType()),
+        T.StructField("n_failed", T.LongType())])
+    row = spark.createDataFrame([(ctx, run_no, strategy, hw, n_rows, n_ok, n_failed)], schema)
     append(row.coalesce(1), path)
+    return None if hw is None else tuple(hw)
