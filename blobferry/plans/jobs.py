@@ -142,9 +142,13 @@ status rows (key, src_id, ..., ok, skipped, error) - or raises."""
 
 
 def next_batch(spark: SparkSession, source: DataFrame, keys: list[str], mark,
-               ledgers: L.Ledgers | None = None, id_col: str = "ID") -> DataFrame:
-    """Rows past the mark, plus rows whose latest export failed (retries)."""
+               ledgers: L.Ledgers | None = None, id_col: str = "ID",
+               until=None) -> DataFrame:
+    """Rows past the mark (and at most ``until``, if given), plus rows whose
+    latest export failed (retries)."""
     fresh = inc.past_mark(source, keys, mark)
+    if until is not None:
+        fresh = inc.up_to(fresh, keys, until)
     if ledgers is None or mark is None:
         return fresh
     failed = L.failed_keys(spark, ledgers.status)
@@ -161,33 +165,36 @@ def run_incremental(spark: SparkSession, source: DataFrame, ctx: str, strategy:
                     ledgers: L.Ledgers, sink: Sink, retry: bool = True,
                     id_col: str = "ID",
                     transform: Callable[[DataFrame], DataFrame] | None = None) -> RunReport:
-    """One bookmarked run: read mark -> batch -> [transform] -> sink -> status
-    -> commit mark.
-
-    The bookmark is committed only after the sink's status rows are written;
-    failed rows stay retryable through the status ledger. ``transform`` is the
-    caller's processing hook (DataFrame in, DataFrame out, keeping the id).
+    """One bookmarked run: read mark -> fix the new mark -> batch ->
+    [transform] -> sink -> status -> commit mark.
+
+    The new high water is fixed first, from a keys-only aggregate of the rows
+    past the mark; the sink then takes exactly the range (mark, new mark],
+    bounded by literals that reach the scan, plus retries. A row that arrives
+    during the run is left for the next one instead of being marked done
+    without export. The bookmark is committed only after the sink's status
+    rows are written; failed rows stay retryable through the status ledger.
+    ``transform`` is the caller's processing hook (DataFrame in, DataFrame
+    out, keeping the id).
     """
     keys = inc.strategy_keys(strategy)
     last_no, mark = L.last_bookmark(spark, ledgers.bookmarks, ctx)
-    rep = RunReport(run_id=uuid.uuid4().hex, run_no=last_no + 1)
-    batch = next_batch(spark, source, keys, mark, ledgers if retry else None, id_col)
-    if batch.isEmpty():
+    rep = RunReport(run_id=uuid.uuid4().hex, run_no=last_no + 1, high_water=mark)
+    hw_frame = inc.high_water_frame(inc.past_mark(source, keys, mark), keys)
+    hw_type = hw_frame.schema["high_water"]
+    fresh_hw = hw_frame.first()["high_water"]
+    new_mark = mark if fresh_hw is None else tuple(fresh_hw)
+    batch = next_batch(spark, source, keys, mark, ledgers if retry else None, id_col,
+                       until=new_mark)
+    if fresh_hw is None and (mark is None or batch.isEmpty()):
         rep.counts = {"n_rows": 0, "n_ok": 0, "n_skipped": 0, "n_failed": 0, "bytes_written": 0}
-        rep.high_water = mark
         return rep
     status = sink(transform(batch) if transform else batch, rep.run_id)
     written = L.append_status(status, ledgers.status, rep.run_id, rep.run_no)
     totals = status_totals(written).first().asDict()
-    # The mark only moves forward: retried rows sit below it, so the new high
-    # water is the greater of the old mark and the fresh rows' maximum.
-    hw = inc.high_water_frame(inc.past_mark(source, keys, mark), keys)
-    if last_no > 0:
-        old = L.bookmark_row(spark, ledgers.bookmarks, ctx, last_no).select("high_water")
-        hw = hw.unionByName(old).agg(F.max("high_water").alias("high_water"))
-    rep.high_water = L.commit_bookmark(spark, ledgers.bookmarks, ctx, rep.run_no, strategy, hw,
-                                       totals["n_rows"], totals["n_ok"] + totals["n_skipped"],
-                                       totals["n_failed"])
+    rep.high_water = L.commit_bookmark(spark, ledgers.bookmarks, ctx, rep.run_no, strategy,
+                                       new_mark, hw_type, totals["n_rows"],
+                                       totals["n_ok"] + totals["n_skipped"], totals["n_failed"])
     rep.counts = totals
     rep.committed = True
     return rep

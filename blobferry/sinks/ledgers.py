@@ -106,27 +106,24 @@ def last_bookmark(spark: SparkSession, path: str, ctx: str) -> tuple[int, tuple
     return int(last["run_no"]), (None if hw is None else tuple(hw))
 
 
-def bookmark_row(spark: SparkSession, path: str, ctx: str, run_no: int) -> DataFrame:
-    """The bookmark row of one run of a context."""
-    return spark.read.parquet(path).where((F.col("ctx") == ctx) & (F.col("run_no") == run_no))
-
-
 def commit_bookmark(spark: SparkSession, path: str, ctx: str, run_no: int, strategy: str,
-                    high_water: DataFrame, n_rows: int, n_ok: int, n_failed: int) -> tuple | None:
+                    high_water: tuple | None, high_water_field: T.StructField,
+                    n_rows: int, n_ok: int, n_failed: int) -> tuple | None:
     """Append the run's bookmark row and return the mark. Call only after the
-    sink succeeded.
-
-    ``high_water`` is the one-row frame of :func:`high_water_frame`; its single
-    value is brought to the driver once and written back with the frame's own
-    type, so the mark keeps the key columns' exact types.
-    """
-    hw_field = high_water.schema["high_water"]
-    hw = high_water.first()["high_water"]
-    schema = T.StructType([
-        T.StructField("ctx", T.StringType()), T.StructField("run_no", T.LongType()),
-        T.StructField("strategy", T.StringType()), hw_field,
-        T.StructField("n_rows", T.LongType()), T.StructField("n_ok", T.LongType()),
-        T.StructField("n_failed", T.LongType())])
-    row = spark.createDataFrame([(ctx, run_no, strategy, hw, n_rows, n_ok, n_failed)], schema)
+    sink succeeded. The mark is written with the key columns' own struct type
+    (``high_water_field``), built from typed literals on the JVM side."""
+    from blobferry.operators.incremental import typed_lit
+
+    st = high_water_field.dataType
+    if high_water is None:
+        hw = F.lit(None).cast(st)
+    else:
+        hw = F.struct(*[typed_lit(v, f.dataType.simpleString()).alias(f.name)
+                        for f, v in zip(st.fields, high_water)]).cast(st)
+    row = spark.range(1).select(
+        F.lit(ctx).alias("ctx"), F.lit(run_no).cast("bigint").alias("run_no"),
+        F.lit(strategy).alias("strategy"), hw.alias("high_water"),
+        F.lit(n_rows).cast("bigint").alias("n_rows"), F.lit(n_ok).cast("bigint").alias("n_ok"),
+        F.lit(n_failed).cast("bigint").alias("n_failed"))
     append(row.coalesce(1), path)
-    return None if hw is None else tuple(hw)
+    return high_water
