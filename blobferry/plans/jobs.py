@@ -56,6 +56,10 @@ def status_totals(status: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ load new
 
+# Bytes of bodies one read task should fetch.
+BODY_BYTES_PER_TASK = 128 << 20
+
+
 def load_new(spark: SparkSession, root: str, registry_path: str, suffix: str | None = ".pdf",
              prefix: str | None = None, listing: DataFrame | None = None) -> RunReport:
     """Load objects under ``root`` whose key is not in the registry yet."""
@@ -65,9 +69,13 @@ def load_new(spark: SparkSession, root: str, registry_path: str, suffix: str | N
     new = sync.new_objects(listed.select("key", "size"), R.existing_keys(reg))
     # Ids on keys only (cheap), then bodies are read once, on the executors.
     start = reg.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
-    keyed = global_index(new.where(F.col("size") > 0).select("key"), ["key"], name="_idx")
+    keyed = global_index(new.where(F.col("size") > 0).select("key", "size"), ["key"], name="_idx")
     keyed = keyed.withColumn("id", (F.col("_idx") + F.lit(int(start) + 1)).cast("bigint")).drop("_idx")
-    bodies = read_bodies(keyed, root)
+    # The key table is small and would be read in a few splits; spread it so
+    # each read task gets about BODY_BYTES_PER_TASK of bodies (keys-only shuffle).
+    total = keyed.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("b")).first()["b"]
+    n_tasks = max(spark.sparkContext.defaultParallelism, -(-int(total) // BODY_BYTES_PER_TASK))
+    bodies = read_bodies(keyed.drop("size").repartition(n_tasks), root)
     rows = (bodies.where(F.col("ok") & K.non_empty_body("content"))
             .select("id", K.derived_guid("key").alias("guid"), F.col("key").alias("filename"),
                     F.col("content").alias("document"), F.lit(False).alias("uploaded_to_s3")))
@@ -75,7 +83,8 @@ def load_new(spark: SparkSession, root: str, registry_path: str, suffix: str | N
     after = spark.read.parquet(registry_path)
     n_new = keyed.count()
     inserted = after.count() - reg.count()
-    rep.counts = {"new": n_new, "inserted": inserted, "failed": n_new - inserted}
+    rep.counts = {"existing": R.existing_keys(reg).count(), "new": n_new, "inserted": inserted,
+                  "failed": n_new - inserted}
     rep.committed = True
     return rep
 

@@ -52,7 +52,9 @@ def create_if_absent(spark: SparkSession, path: str) -> DataFrame:
     """The registry at ``path``; an empty one with the fixed schema if absent."""
     df = read_table(spark, path)
     if df is None:
-        spark.createDataFrame([], REGISTRY_SCHEMA).write.mode("append").parquet(path)
+        empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                        for f in REGISTRY_SCHEMA.fields])
+        empty.write.mode("append").parquet(path)
         df = spark.read.parquet(path)
     return df
 
