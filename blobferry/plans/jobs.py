@@ -61,10 +61,17 @@ BODY_BYTES_PER_TASK = 128 << 20
 
 
 def load_new(spark: SparkSession, root: str, registry_path: str, suffix: str | None = ".pdf",
-             prefix: str | None = None, listing: DataFrame | None = None) -> RunReport:
-    """Load objects under ``root`` whose key is not in the registry yet."""
+             prefix: str | None = None, listing: DataFrame | None = None,
+             ledgers: L.Ledgers | None = None) -> RunReport:
+    """Load objects under ``root`` whose key is not in the registry yet.
+
+    Keys whose body could not be read are not inserted; with ``ledgers``
+    their errors go to the status ledger (only those few keys are read
+    again to get the error text, so no body is read twice on success).
+    """
     rep = RunReport(run_id=uuid.uuid4().hex)
     reg = R.create_if_absent(spark, registry_path)
+    n_before, n_existing = reg.count(), R.existing_keys(reg).count()
     listed = listing if listing is not None else list_objects(spark, root, suffix, prefix)
     new = sync.new_objects(listed.select("key", "size"), R.existing_keys(reg))
     # Ids on keys only (cheap), then bodies are read once, on the executors.
@@ -80,11 +87,21 @@ def load_new(spark: SparkSession, root: str, registry_path: str, suffix: str | N
             .select("id", K.derived_guid("key").alias("guid"), F.col("key").alias("filename"),
                     F.col("content").alias("document"), F.lit(False).alias("uploaded_to_s3")))
     rows.write.mode("append").parquet(registry_path)
-    after = spark.read.parquet(registry_path)
     n_new = keyed.count()
-    inserted = after.count() - reg.count()
-    rep.counts = {"existing": R.existing_keys(reg).count(), "new": n_new, "inserted": inserted,
+    inserted = spark.read.parquet(registry_path).count() - n_before
+    rep.counts = {"existing": n_existing, "new": n_new, "inserted": inserted,
                   "failed": n_new - inserted}
+    if ledgers is not None and n_new > inserted:
+        loaded = spark.read.parquet(registry_path).select(F.col("filename").alias("key"))
+        missing = sync.drop_keys(keyed.select("key", "id"), loaded, "key")
+        errors = read_bodies(missing, root).select(
+            "key", F.col("id").alias("src_id"), F.lit(None).cast("string").alias("guid"),
+            F.lit(None).cast("string").alias("policy_id"), "size",
+            F.lit(None).cast("string").alias("sha1"), F.lit(False).alias("ok"),
+            F.lit(False).alias("skipped"),
+            F.coalesce(F.col("error"), F.lit("empty body")).alias("error"),
+            F.lit(0.0).alias("elapsed_s"))
+        L.append_status(errors, ledgers.status, rep.run_id, 1)
     rep.committed = True
     return rep
 

@@ -175,3 +175,16 @@ def test_failing_listing_deletes_nothing(spark, tmp_root):
     with pytest.raises(Exception):
         jobs.sync_registry(spark, reg, list_all_objects(spark, f"{tmp_root}/missing"), led)
     assert L.read_tombstones(spark, led.tombstones) is None
+
+
+def test_load_new_records_unreadable_objects(spark, tmp_root):
+    root = f"{tmp_root}/objs"
+    os.makedirs(root)
+    open(f"{root}/a.pdf", "wb").write(b"A")
+    open(f"{root}/b.pdf", "wb").write(b"B")
+    listing = spark.createDataFrame([("a.pdf", 1), ("b.pdf", 1), ("gone.pdf", 5)], "key string, size bigint")
+    led = L.Ledgers(f"{tmp_root}/state")
+    rep = jobs.load_new(spark, root, f"{tmp_root}/registry", listing=listing, ledgers=led)
+    assert rep.counts["inserted"] == 2 and rep.counts["failed"] == 1
+    errs = spark.read.parquet(led.status).collect()
+    assert [(r.key, r.ok) for r in errs] == [("gone.pdf", False)] and errs[0].error
