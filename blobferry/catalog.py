@@ -151,6 +151,17 @@ def incr_composite(spark, sf):
     return inc.past_mark(src, inc.strategy_keys("modified_id"), ORDERS_MARK)
 
 
+def incr_composite_keys(spark, sf):
+    # The five-key composite bookmark in its given order (ID first): a run over
+    # the rows seen up to TS_MARK, then the rows the next run would take.
+    src = roles.source_from_events(spark, sf, with_body=False)
+    led = L.Ledgers(scratch_path(spark, "composite"))
+    jobs.run_incremental(spark, _events_before(src, TS_MARK), "composite", "composite", led,
+                         jobs.json_sink(scratch_path(spark, "composite-json")))
+    _, mark = L.last_bookmark(spark, led.bookmarks, "composite")
+    return jobs.next_batch(spark, src, inc.strategy_keys("composite"), mark, led)
+
+
 def bookmark_runs(spark, sf):
     src = roles.source_from_events(spark, sf, with_body=False)
     led = L.Ledgers(scratch_path(spark, "bookmarks"))
@@ -184,6 +195,11 @@ def record_hash(spark, sf):
     return src.select("ID", K.record_hash(list(roles.SOURCE_COLUMNS)).alias("RECORD_HASH"))
 
 
+def safe_record_hash(spark, sf):
+    src = roles.source_from_events(spark, sf, with_body=False)
+    return src.select("ID", K.safe_record_hash(list(roles.SOURCE_COLUMNS)).alias("SAFE_HASH"))
+
+
 def key_text(spark, sf):
     src = roles.source_from_events(spark, sf, with_body=False)
     return K.with_key_text(src, list(roles.SOURCE_COLUMNS)).select("ID", "CALCULATED_HASH")
@@ -348,9 +364,11 @@ QUERIES: dict[str, Query] = {
     "incr_timestamp": incr_timestamp,
     "incr_id": incr_id,
     "incr_composite": incr_composite,
+    "incr_composite_keys": incr_composite_keys,
     "bookmark_runs": bookmark_runs,
     "retry_failures": retry_failures,
     "record_hash": record_hash,
+    "safe_record_hash": safe_record_hash,
     "key_text": key_text,
     "apply_mapping": apply_mapping,
     "json_full": json_full,

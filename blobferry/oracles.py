@@ -9,6 +9,15 @@ def _guid(expr: str) -> str:
             "substr({h},17,4) || '-' || substr({h},21,12))").format(h=h)
 
 
+EVENT_KEYS = ("event_id", "user_id", "event_type", "props", "ts")
+
+
+def _escaped(col: str) -> str:
+    """Value text with backslash and '|' escaped, NULL as the two characters \\N."""
+    text = f"CAST({col} AS VARCHAR)"
+    return rf"coalesce(replace(replace({text}, '\', '\\'), '|', '\|'), '\N')"
+
+
 DOC_KEY = "('doc_' || CAST(d.doc_id AS VARCHAR) || '.txt')"
 NESTED_KEY = "(d.source || '/doc_' || CAST(d.doc_id AS VARCHAR) || '.txt')"
 UPLOADED = "EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1)"
@@ -62,6 +71,9 @@ ORACLES: dict[str, str] = {
                o_orderpriority AS BROKER, o_orderdate AS MODIFIED FROM orders
         WHERE o_orderdate > TIMESTAMP '1998-01-01 00:00:00'
            OR (o_orderdate = TIMESTAMP '1998-01-01 00:00:00' AND o_orderkey > 7000)""",
+    "incr_composite_keys": f"""
+        SELECT {SRC} FROM events
+        WHERE event_id > (SELECT max(event_id) FROM events WHERE ts <= TIMESTAMP '2024-01-15 00:00:00')""",
     "bookmark_runs": """
         WITH r AS (
             SELECT CASE WHEN ts <= TIMESTAMP '2024-01-10 00:00:00' THEN 1
@@ -81,6 +93,10 @@ ORACLES: dict[str, str] = {
             coalesce(CAST(user_id AS VARCHAR), '') || coalesce(event_type, '') ||
             coalesce(props, '') || coalesce(CAST(ts AS VARCHAR), '')) AS RECORD_HASH
         FROM events""",
+    "safe_record_hash": f"""
+        SELECT event_id AS ID, sha1(concat_ws('|', {", ".join(_escaped(c) for c in EVENT_KEYS)}))
+               AS SAFE_HASH
+        FROM events""",
     "key_text": """
         SELECT event_id AS ID, concat_ws('|', CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR),
             event_type, props, CAST(ts AS VARCHAR)) AS CALCULATED_HASH FROM events""",
