@@ -31,7 +31,7 @@ from blobferry.plans import jobs
 from blobferry.session import get_session, state_root
 from blobferry.sinks import ledgers as L
 from blobferry.sources import registry as R
-from blobferry.sources.listing import list_all_objects, list_objects
+from blobferry.sources.listing import list_all_objects
 
 
 def _source(spark, a):
@@ -138,7 +138,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session(a.master)
 
     if a.cmd == "count":
-        n = list_objects(spark, a.root, a.suffix, a.prefix).count()
+        n = list_all_objects(spark, a.root, a.suffix, a.prefix).count()
         out = {"root": a.root, "n": n}
     elif a.cmd == "load-new":
         out = jobs.load_new(spark, a.root, a.registry, a.suffix, a.prefix,
@@ -164,7 +164,7 @@ def main(argv: list[str] | None = None) -> int:
         if a.compare_sha1:
             listing = L.target_state(spark, led.status)
         else:
-            listing = list_objects(spark, a.target) if R.path_exists(a.target) else None
+            listing = list_all_objects(spark, a.target) if R.path_exists(a.target) else None
         sink = jobs.blob_sink(a.target, target_listing=listing, key_of=key_of, body=a.body,
                               compare_sha1=a.compare_sha1)
         out = jobs.run_incremental(spark, _source(spark, a), a.ctx, a.strategy, led, sink)

@@ -286,7 +286,7 @@ def run_report(spark, sf):
     # Run 2: the same job from scratch against the real listing of the target;
     # every object is there with equal size, so nothing is written again.
     second = L.Ledgers(scratch_path(spark, "report-2"))
-    listing = list_objects(spark, target, suffix=".pdf")
+    listing = list_all_objects(spark, target, suffix=".pdf")
     jobs.run_incremental(spark, src, "export", "modified_id", second,
                          jobs.blob_sink(target, target_listing=listing))
     status = (spark.read.parquet(first.status).withColumn("run", F.lit(1).cast("bigint"))

@@ -29,7 +29,7 @@ from blobferry.sinks.export import export_bodies
 from blobferry.sinks.json_sink import write_json
 from blobferry.sources import registry as R
 from blobferry.sources.blobs import read_bodies
-from blobferry.sources.listing import list_objects
+from blobferry.sources.listing import list_all_objects
 
 
 @dataclass
@@ -72,7 +72,9 @@ def load_new(spark: SparkSession, root: str, registry_path: str, suffix: str | N
     rep = RunReport(run_id=uuid.uuid4().hex)
     reg = R.create_if_absent(spark, registry_path)
     n_before, n_existing = reg.count(), R.existing_keys(reg).count()
-    listed = listing if listing is not None else list_objects(spark, root, suffix, prefix)
+    # The distributed listing: object names never pass through the driver
+    # (Spark's file index would keep every file status there).
+    listed = listing if listing is not None else list_all_objects(spark, root, suffix, prefix)
     new = sync.new_objects(listed.select("key", "size"), R.existing_keys(reg))
     # Ids on keys only (cheap), then bodies are read once, on the executors.
     start = reg.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]

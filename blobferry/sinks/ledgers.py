@@ -64,6 +64,19 @@ def failed_keys(spark: SparkSession, path: str) -> DataFrame | None:
     return None if last is None else last.where(~F.col("ok")).select("key", "src_id", "policy_id")
 
 
+def compact_status(spark: SparkSession, path: str, new_path: str) -> str:
+    """Write the latest status row per key to a new ledger path. Later runs
+    point at it, so the retry scan stays proportional to the live keys, not
+    to the number of runs."""
+    last = last_status(spark, path)
+    if last is None:
+        raise FileNotFoundError(path)
+    cols = ["run_id", "run_no", "key", "src_id", "guid", "policy_id", "size", "sha1", "ok",
+            "skipped", "error"]
+    last.select(*cols, F.lit(0.0).alias("elapsed_s")).write.mode("errorifexists").parquet(new_path)
+    return new_path
+
+
 def ok_guids(spark: SparkSession, path: str) -> DataFrame | None:
     """guids with a successful (or skipped-as-equal) export in any run."""
     led = read_table(spark, path)

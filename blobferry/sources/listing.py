@@ -1,12 +1,12 @@
 """Object listings: (key, size, mtime) frames.
 
+* :func:`list_all_objects` is a Python data source that walks each folder in
+  its own task and sees every object (hidden, zero-length). Object names go
+  straight into task output, never through the driver. The jobs use it.
 * :func:`list_objects` uses Spark's ``binaryFile`` source with ``content``
-  pruned, so no body is opened; the file index lists in parallel on the
-  cluster when there are many folders. It hides names starting with ``_`` or
-  ``.`` and is fine for loads.
-* :func:`list_all_objects` is a Python data source that walks each top-level
-  folder in its own task and sees every object (hidden, zero-length). Use it
-  wherever a missing key means a delete.
+  pruned, so no body is opened. Spark's file index keeps every file status
+  on the driver and hides names starting with ``_`` or ``.``: convenient for
+  small roots, not for a store of millions of objects.
 """
 
 from __future__ import annotations

@@ -82,9 +82,13 @@ def append(spark: SparkSession, path: str, rows: DataFrame, check: bool = True)
     if "id" not in rows.columns:
         from blobferry.operators.batching import global_index
 
+        # Number the keys only, then attach the ids by guid: the bodies are
+        # not range-shuffled, and the id table is broadcast when small.
         start = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
-        rows = global_index(rows, ["filename", "guid"], name="_idx").withColumn(
-            "id", (F.col("_idx") + F.lit(start + 1)).cast("bigint")).drop("_idx")
+        ids = global_index(rows.select("guid", "filename"), ["filename", "guid"], name="_idx")
+        ids = ids.select("guid", (F.col("_idx") + F.lit(start + 1)).cast("bigint").alias("id"))
+        right, _ = sync.checked_broadcast(ids)
+        rows = rows.join(right, "guid")
     if "uploaded_to_s3" not in rows.columns:
         rows = rows.withColumn("uploaded_to_s3", F.lit(False))
     rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in REGISTRY_SCHEMA.fields])

@@ -188,3 +188,17 @@ def test_load_new_records_unreadable_objects(spark, tmp_root):
     assert rep.counts["inserted"] == 2 and rep.counts["failed"] == 1
     errs = spark.read.parquet(led.status).collect()
     assert [(r.key, r.ok) for r in errs] == [("gone.pdf", False)] and errs[0].error
+
+
+def test_status_compaction_keeps_latest_per_key(spark, tmp_root):
+    src = _source(spark)
+    led = L.Ledgers(f"{tmp_root}/state")
+    sink = jobs.blob_sink(f"{tmp_root}/out", key_of=lambda b: K.template_key("ID", "r_", ".bin"),
+                          fail=F.col("ID") == 3)
+    jobs.run_incremental(spark, src, "c", "modified_id", led, sink)
+    ok_sink = jobs.blob_sink(f"{tmp_root}/out", key_of=lambda b: K.template_key("ID", "r_", ".bin"))
+    jobs.run_incremental(spark, src, "c", "modified_id", led, ok_sink)
+    assert spark.read.parquet(led.status).count() == 41
+    new = L.compact_status(spark, led.status, f"{tmp_root}/status-v2")
+    rows = spark.read.parquet(new)
+    assert rows.count() == 40 and rows.where("not ok").count() == 0
