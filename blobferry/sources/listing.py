@@ -82,28 +82,33 @@ class _Part(InputPartition):  # type: ignore[misc]
 
 
 class _ListingReader(DataSourceReader):  # type: ignore[misc]
-    """Each task walks one folder. The driver only learns folder names (down
-    to ``depth`` levels), never object names, so a listing of any size
-    passes nothing whole through the driver."""
+    """Each task walks one folder. The driver only learns folder names,
+    never object names, so a listing of any size passes nothing whole
+    through the driver."""
 
     def __init__(self, options):
         self.root = options["path"]
-        self.depth = int(options.get("depth", "1"))
+        self.max_depth = int(options.get("maxDepth", "4"))
+        self.min_partitions = int(options.get("minPartitions", "1"))
 
     def partitions(self):
+        """Walk folders breadth-first until there are enough of them to keep
+        the cluster busy (or ``maxDepth`` is reached). Each folder on the way
+        lists its own loose objects; the last level's folders are walked
+        recursively. Only folder names are held here."""
         from pyarrow import fs as pafs
 
         fs, base = open_fs(self.root)
         if fs.get_file_info(base).type == pafs.FileType.NotFound:
             raise FileNotFoundError(f"listing root not found: {self.root}")
-        parts, frontier = [], [base]
-        for _ in range(self.depth):
+        parts, frontier, depth = [], [base], 0
+        while frontier and depth < self.max_depth and len(parts) + len(frontier) < self.min_partitions:
             nxt = []
             for folder in frontier:
                 parts.append(_Part(folder, recursive=False))  # its own loose objects
                 sel = pafs.FileSelector(folder, recursive=False)
                 nxt += [e.path for e in fs.get_file_info(sel) if e.type == pafs.FileType.Directory]
-            frontier = nxt
+            frontier, depth = nxt, depth + 1
         parts += [_Part(folder, recursive=True) for folder in frontier]
         return parts
 
@@ -144,13 +149,17 @@ def register_sources(spark: SparkSession) -> None:
 
 def list_all_objects(spark: SparkSession, root: str, suffix: str | None = None,
                      prefix: str | None = None, case_sensitive: bool = True,
-                     depth: int = 1) -> DataFrame:
+                     min_partitions: int | None = None, max_depth: int = 4) -> DataFrame:
     """Complete listing (hidden and empty objects included), walked in parallel:
-    one task per folder ``depth`` levels down. A flat store with a huge number
-    of keys in one folder is better served by an inventory table, which any
-    job accepts as its ``listing`` frame."""
+    folders are opened level by level until there are ``min_partitions`` of
+    them (default: three per core), and each becomes one task. A single
+    folder holding a large share of all keys is still listed by one task (a
+    store lists one prefix page by page); for such flat stores pass an
+    inventory table as the job's ``listing`` frame instead."""
     register_sources(spark)
-    df = spark.read.format("blobferry_listing").option("depth", str(depth)).load(root)
+    n = min_partitions or 3 * spark.sparkContext.defaultParallelism
+    df = (spark.read.format("blobferry_listing").option("minPartitions", str(n))
+          .option("maxDepth", str(max_depth)).load(root))
     if suffix:
         df = df.where(K.has_suffix("key", suffix, case_sensitive))
     if prefix:
