@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from blobferry.functions import keys as K
 from blobferry.operators.incremental import strategy_keys
 from blobferry.plans import jobs
-from blobferry.session import get_session, state_root
+from blobferry.session import get_session, ship_to_executors, state_root
 from blobferry.sinks import ledgers as L
 from blobferry.sources import registry as R
 from blobferry.sources.listing import list_all_objects
@@ -136,6 +136,8 @@ def main(argv: list[str] | None = None) -> int:
 
     a = p.parse_args(argv)
     spark = get_session(a.master)
+    if not spark.sparkContext.master.startswith("local"):
+        ship_to_executors(spark)
 
     if a.cmd == "count":
         n = list_all_objects(spark, a.root, a.suffix, a.prefix).count()

@@ -104,3 +104,29 @@ def materialize(df, purpose: str = "stage"):
     path = scratch_path(spark, purpose)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def ship_to_executors(spark: SparkSession) -> str:
+    """Zip this package into the shared folder and add it to every executor's
+    Python path (what ``--py-files`` does). Executor-side code - body reads
+    and writes in ``mapInPandas``, the listing data source - imports it."""
+    import io
+    import zipfile
+
+    from blobferry.sources.objectstore import open_fs
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    target = scratch_path(spark, "pyfiles") + "/blobferry.zip"
+    fs, path = open_fs(target)
+    fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with fs.open_output_stream(path) as out:
+        out.write(buf.getvalue())
+    spark.sparkContext.addPyFile(target)
+    return target

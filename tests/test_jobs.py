@@ -202,3 +202,39 @@ def test_status_compaction_keeps_latest_per_key(spark, tmp_root):
     new = L.compact_status(spark, led.status, f"{tmp_root}/status-v2")
     rows = spark.read.parquet(new)
     assert rows.count() == 40 and rows.where("not ok").count() == 0
+
+
+def test_export_pending_bodies_do_not_cross_a_shuffle(spark, tmp_root):
+    """The pending set is small and counted, so it is broadcast: the registry
+    (with its bodies) is scanned and filtered in place."""
+    from pyspark.sql import functions as F
+
+    from blobferry.operators import sync
+    from blobferry.session import materialize
+    from conftest import plan_text
+
+    reg_path = f"{tmp_root}/registry"
+    rows = spark.range(0, 300).select(
+        F.concat(F.lit("g"), F.col("id").cast("string")).alias("guid"),
+        F.concat(F.lit("f"), F.col("id").cast("string"), F.lit(".pdf")).alias("filename"),
+        F.col("id").cast("string").cast("binary").alias("document"))
+    R.append(spark, reg_path, rows)
+    reg = spark.read.parquet(reg_path)
+    pending = materialize(reg.where("id % 2 = 0").select("guid"), "test-pending")
+    right, n = sync.checked_broadcast(pending)
+    plan = plan_text(reg.join(right, "guid", "left_semi"))
+    assert n == 150 and "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    big, n_big = sync.checked_broadcast(pending, max_rows=10)
+    assert n_big == 150 and big is pending  # above the bound: no broadcast hint
+
+
+def test_ship_to_executors_writes_zip_in_shared_folder(spark):
+    import zipfile
+
+    from blobferry.session import ship_to_executors, state_root
+    from blobferry.session import to_local
+
+    path = ship_to_executors(spark)
+    assert path.startswith(state_root(spark))
+    names = zipfile.ZipFile(to_local(path)).namelist()
+    assert "blobferry/plans/jobs.py" in names and "blobferry/sources/listing.py" in names

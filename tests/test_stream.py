@@ -23,3 +23,16 @@ def test_available_now_takes_only_new_objects(spark, tmp_root):
     ingest_new_objects(spark, src, sink, ckpt, suffix=".pdf")
     got = sorted((r.filename, bytes(r.document)) for r in read_ingested(spark, sink).collect())
     assert got == [("2.pdf", b"two"), ("a/1.pdf", b"one"), ("b/3.pdf", b"three")]
+
+
+def test_rewritten_object_is_not_taken_again(spark, tmp_root):
+    """Like a key-only comparison: a new body under a known name is not new."""
+    import time
+
+    src, sink, ckpt = f"{tmp_root}/src", f"{tmp_root}/sink", f"{tmp_root}/ckpt"
+    _put(src, "a.pdf", b"v1")
+    ingest_new_objects(spark, src, sink, ckpt, suffix=".pdf")
+    time.sleep(1.1)
+    _put(src, "a.pdf", b"version two")
+    ingest_new_objects(spark, src, sink, ckpt, suffix=".pdf")
+    assert [bytes(r.document) for r in read_ingested(spark, sink).collect()] == [b"v1"]

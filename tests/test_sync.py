@@ -73,3 +73,16 @@ def test_mass_delete_guard():
         sync.mass_delete_guard(10, 6, 4, 0.5, False)
     sync.mass_delete_guard(10, 6, 4, 0.5, True)
     sync.mass_delete_guard(10, 2, 8, 0.5, False)
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.sampled_from("abcdefg"), max_size=12), st.lists(st.sampled_from("abcdefg"), max_size=12))
+def test_new_and_orphans_match_python_sets(spark, listed, existing):
+    L = spark.createDataFrame([(k,) for k in listed], "key string")
+    E = spark.createDataFrame([(k,) for k in existing], "key string")
+    assert sorted(r.key for r in sync.new_objects(L, E).collect()) == sorted(k for k in listed if k not in set(existing))
+    assert sorted(r.key for r in sync.orphans(E, L).collect()) == sorted(set(existing) - set(listed))
