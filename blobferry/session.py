@@ -89,13 +89,6 @@ def to_local(path: str) -> str:
     return path
 
 
-def ensure_dir(path: str) -> None:
-    """Create a local folder (no-op for remote URIs, which have no folders)."""
-    if "://" in path and not path.startswith("file:"):
-        return
-    os.makedirs(to_local(path), exist_ok=True)
-
-
 def materialize(df, purpose: str = "stage"):
     """Write ``df`` once as a Parquet table below the shared folder and read it
     back: lineage is cut, a lost executor costs no recomputation, and (unlike

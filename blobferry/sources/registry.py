@@ -98,12 +98,6 @@ def append(spark: SparkSession, path: str, rows: DataFrame, check: bool = True)
     return spark.read.parquet(path).count() - existing.count()
 
 
-def rows_from_bodies(bodies: DataFrame, key: str = "key", body: str = "content") -> DataFrame:
-    """Registry rows from loaded bodies: non-empty only, repeatable guid."""
-    return (bodies.where(K.non_empty_body(body))
-            .select(K.derived_guid(key).alias("guid"), F.col(key).alias("filename"),
-                    F.col(body).alias("document")))
-
 
 def pending(registry: DataFrame) -> DataFrame:
     """Rows not yet exported: guid, filename, document."""

@@ -1,7 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
-
 from blobferry.operators.batching import batch_report, global_index, with_batch_numbers
 
 

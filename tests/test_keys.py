@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from blobferry.functions import keys as K
 
@@ -74,3 +73,8 @@ def test_derived_guid_is_repeatable(spark):
     g = one(df, K.derived_guid("k"))
     assert g[0] == g[1] != g[2]
     assert [len(p) for p in g[0].split("-")] == [8, 4, 4, 4, 12]
+
+
+def test_random_guid_differs_per_row(spark):
+    g = [r[0] for r in spark.range(50).select(K.random_guid()).collect()]
+    assert len(set(g)) == 50 and all(len(x) == 36 for x in g)

@@ -97,3 +97,10 @@ def test_complete_listing_splits_folders_without_overlap(spark, tmp_root):
     for min_parts, depth in [(1, 4), (50, 2), (50, 10)]:
         got = list_all_objects(spark, tmp_root, min_partitions=min_parts, max_depth=depth).collect()
         assert sorted((r.key, r.size) for r in got) == sorted(expect.items())
+
+
+def test_names_with_spaces_keep_their_text(spark, tmp_root):
+    _write(tmp_root, "dir one/a b.pdf", b"x")
+    assert [r.key for r in list_objects(spark, tmp_root, suffix=".pdf").collect()] == ["dir one/a b.pdf"]
+    assert [r.key for r in list_all_objects(spark, tmp_root, suffix=".pdf").collect()] == ["dir one/a b.pdf"]
+    assert [r.key for r in read_objects(spark, tmp_root).collect()] == ["dir one/a b.pdf"]
