@@ -182,10 +182,16 @@ def next_batch(spark: SparkSession, source: DataFrame, keys: list[str], mark,
     failed = L.failed_keys(spark, ledgers.status)
     if failed is None:
         return fresh
+    # The failed ids are staged and counted: a small set is broadcast, so the
+    # source rows (with their bodies) are filtered in place, not shuffled.
+    ids = materialize(failed.select(F.col("src_id").alias(id_col)).where(F.col(id_col).isNotNull())
+                      .distinct(), "retry-ids")
+    right, n_failed = sync.checked_broadcast(ids)
+    if n_failed == 0:
+        return fresh
     # Failed rows are at or below the mark (they were in an earlier run), so
     # the two parts are disjoint and a plain union keeps each row once.
-    retry = sync.pick(source, failed.select(F.col("src_id").alias(id_col)), id_col)
-    retry = inc.up_to(retry, keys, mark)
+    retry = inc.up_to(source.join(right, id_col, "left_semi"), keys, mark)
     return fresh.unionByName(retry)
 
 

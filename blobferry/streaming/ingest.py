@@ -26,15 +26,21 @@ BINARY_FILE_SCHEMA = T.StructType([
 
 def ingest_new_objects(spark: SparkSession, root: str, sink_path: str, checkpoint: str,
                        suffix: str | None = None, max_files_per_trigger: int | None = None,
-                       timeout_s: float | None = None) -> dict:
+                       timeout_s: float | None = None, max_file_age: str | None = None) -> dict:
     """Run one availableNow pass: new objects below ``root`` -> registry-shaped
-    rows (guid, filename, document, size, sha1) appended to ``sink_path``."""
+    rows (guid, filename, document, size, sha1) appended to ``sink_path``.
+
+    ``max_file_age`` (e.g. ``"7d"``) lets the source forget files older than
+    that, so its seen-file log stays bounded on a store that only grows.
+    """
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("recursiveFileLookup", "true"))
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_file_age:
+        reader = reader.option("maxFileAge", max_file_age)
     stream = reader.load(root).where(F.col("length") > 0)
     rows = stream.select(
         K.derived_guid(key_from_path("path", root)).alias("guid"),
