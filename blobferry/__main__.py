@@ -81,13 +81,13 @@ def main(argv: list[str] | None = None) -> int:
 
     c = sub.add_parser("count", help="count matching objects")
     c.add_argument("--root", required=True)
-    c.add_argument("--suffix", default=".pdf")
+    c.add_argument("--suffix", default=K.OBJECT_SUFFIX)
     c.add_argument("--prefix")
 
     ln = sub.add_parser("load-new", help="objects -> registry, new keys only")
     ln.add_argument("--root", required=True)
     ln.add_argument("--registry", required=True)
-    ln.add_argument("--suffix", default=".pdf")
+    ln.add_argument("--suffix", default=K.OBJECT_SUFFIX)
     ln.add_argument("--prefix")
     ln.add_argument("--state")
 
@@ -101,10 +101,10 @@ def main(argv: list[str] | None = None) -> int:
     ei = sub.add_parser("export-incremental", help="source rows past the bookmark -> objects")
     src_args(ei)
     ei.add_argument("--target", required=True)
-    ei.add_argument("--name-prefix", default="binder_")
-    ei.add_argument("--name-suffix", default=".pdf")
+    ei.add_argument("--name-prefix", default=K.OBJECT_NAME_PREFIX)
+    ei.add_argument("--name-suffix", default=K.OBJECT_NAME_SUFFIX)
     ei.add_argument("--target-prefix", default="")
-    ei.add_argument("--body", default="BINDER_DOC")
+    ei.add_argument("--body", default=K.BODY_COLUMN)
     ei.add_argument("--compare-sha1", action="store_true")
 
     ej = sub.add_parser("export-json", help="source rows past the bookmark -> JSON")
@@ -115,7 +115,7 @@ def main(argv: list[str] | None = None) -> int:
     sy = sub.add_parser("sync", help="tombstone registry rows whose object is gone")
     sy.add_argument("--registry", required=True)
     sy.add_argument("--root", required=True)
-    sy.add_argument("--suffix", default=".pdf")
+    sy.add_argument("--suffix", default=K.OBJECT_SUFFIX)
     sy.add_argument("--prefix")
     sy.add_argument("--allow-mass-delete", action="store_true")
     sy.add_argument("--max-share", type=float, default=0.5)
@@ -131,7 +131,7 @@ def main(argv: list[str] | None = None) -> int:
     ig.add_argument("--root", required=True)
     ig.add_argument("--sink", required=True)
     ig.add_argument("--checkpoint", required=True)
-    ig.add_argument("--suffix", default=".pdf")
+    ig.add_argument("--suffix", default=K.OBJECT_SUFFIX)
     ig.add_argument("--max-files-per-trigger", type=int)
 
     a = p.parse_args(argv)

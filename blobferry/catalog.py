@@ -92,7 +92,7 @@ def file_listing(spark, sf):
 
 def pending_blobs(spark, sf):
     reg = roles.registry(spark, sf, facts=True)
-    return reg.where(K.is_pending("uploaded_to_s3")).select("guid", "filename", "size", "sha1")
+    return reg.where(K.is_pending(K.FLAG_COLUMN)).select("guid", "filename", "size", "sha1")
 
 
 def blobs_by_id(spark, sf):
@@ -244,7 +244,7 @@ def ordered_first_n(spark, sf):
 def key_derivation(spark, sf):
     pages = roles.table(spark, sf, "pages")
     bucket, prefix = K.split_uri("url")
-    name = K.template_key("page_id", "binder_", ".pdf")
+    name = K.template_key("page_id")
     return pages.select(
         "page_id", bucket.alias("bucket"), prefix.alias("prefix"),
         K.join_key(prefix, name).alias("object_key"),
@@ -259,7 +259,7 @@ def registry_append(spark, sf):
     R.append(spark, path, rows)
     reg = spark.read.parquet(path)
     return reg.select("id", "guid", "filename", K.byte_length("document").alias("size"),
-                      K.body_sha1("document").alias("sha1"), "uploaded_to_s3")
+                      K.body_sha1("document").alias("sha1"), K.FLAG_COLUMN)
 
 
 def mark_uploaded(spark, sf):
@@ -269,7 +269,7 @@ def mark_uploaded(spark, sf):
                         fail=F.col("lang") == "de")
     view = R.current_view(roles.registry(spark, sf, with_body=False),
                           ok_ledger=L.ok_guids(spark, led.status))
-    return view.select("id", "uploaded_to_s3")
+    return view.select("id", K.FLAG_COLUMN)
 
 
 def latest_per_key(spark, sf):

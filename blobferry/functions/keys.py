@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
+# Names that stored rows and objects already carry.
+OBJECT_SUFFIX = ".pdf"  # suffix of the objects that are listed and loaded
+OBJECT_NAME_PREFIX = "binder_"  # exported object name: binder_{policy id}.pdf
+OBJECT_NAME_SUFFIX = ".pdf"
+FLAG_COLUMN = "uploaded_to_s3"  # registry column marking exported rows
+BODY_COLUMN = "BINDER_DOC"  # source column holding the document body
+
 
 def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -39,7 +46,7 @@ def non_empty_body(body: ColumnOrName) -> Column:
     return b.isNotNull() & (F.octet_length(b) > 0)
 
 
-def is_pending(flag: ColumnOrName = "uploaded_to_s3") -> Column:
+def is_pending(flag: ColumnOrName = FLAG_COLUMN) -> Column:
     """Row not yet exported: the flag is false or null."""
     return ~F.coalesce(_c(flag), F.lit(False))
 
@@ -63,7 +70,8 @@ def strip_text(name: ColumnOrName, text: str, leading_only: bool = False) -> Col
     return F.replace(n, F.lit(text), F.lit(""))
 
 
-def template_key(value: ColumnOrName, prefix: str = "binder_", suffix: str = ".pdf") -> Column:
+def template_key(value: ColumnOrName, prefix: str = OBJECT_NAME_PREFIX,
+                 suffix: str = OBJECT_NAME_SUFFIX) -> Column:
     """Object name from a template ``{prefix}{value}{suffix}``."""
     return F.concat(F.lit(prefix), _c(value).cast("string"), F.lit(suffix))
 
@@ -140,7 +148,8 @@ def safe_record_hash(cols: Sequence[ColumnOrName]) -> Column:
 
 def apply_mapping(df: DataFrame, mapping: Iterable[tuple[str, str, str, str]]) -> DataFrame:
     """Select, cast and rename by a ``(source, source_type, target, target_type)``
-    list; columns not listed are dropped. The source type is checked."""
+    list; columns not listed are dropped. Source names match case-insensitively;
+    each value is read as the source type, then cast to the target type."""
     mapping = list(mapping)
     have = {f.name.lower(): f for f in df.schema.fields}
     cols = []

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blobferry.functions import keys as K
+
 
 def _keys(df: DataFrame, key: str, as_name: str = "key") -> DataFrame:
     return df.select(F.col(key).alias(as_name))
@@ -106,7 +108,7 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str]
 
 
 def with_flag_from(registry: DataFrame, ok_keys: DataFrame, key: str = "guid",
-                   flag: str = "uploaded_to_s3") -> DataFrame:
+                   flag: str = K.FLAG_COLUMN) -> DataFrame:
     """Registry with ``flag`` set where ``key`` is in ``ok_keys`` (keyed update
     expressed as a join, since files take no UPDATE)."""
     marks = ok_keys.select(key).distinct().withColumn("_ok", F.lit(True))

@@ -60,7 +60,8 @@ def status_totals(status: DataFrame) -> DataFrame:
 BODY_BYTES_PER_TASK = 128 << 20
 
 
-def load_new(spark: SparkSession, root: str, registry_path: str, suffix: str | None = ".pdf",
+def load_new(spark: SparkSession, root: str, registry_path: str,
+             suffix: str | None = K.OBJECT_SUFFIX,
              prefix: str | None = None, listing: DataFrame | None = None,
              ledgers: L.Ledgers | None = None) -> RunReport:
     """Load objects under ``root`` whose key is not in the registry yet.
@@ -87,7 +88,7 @@ def load_new(spark: SparkSession, root: str, registry_path: str, suffix: str | N
     bodies = read_bodies(keyed.drop("size").repartition(n_tasks), root)
     rows = (bodies.where(F.col("ok") & K.non_empty_body("content"))
             .select("id", K.derived_guid("key").alias("guid"), F.col("key").alias("filename"),
-                    F.col("content").alias("document"), F.lit(False).alias("uploaded_to_s3")))
+                    F.col("content").alias("document"), F.lit(False).alias(K.FLAG_COLUMN)))
     rows.write.mode("append").parquet(registry_path)
     n_new = keyed.count()
     inserted = spark.read.parquet(registry_path).count() - n_before
@@ -132,9 +133,9 @@ def export_pending(spark: SparkSession, registry: DataFrame, target_root: str,
     ledger to mark rows uploaded.
     """
     rep = RunReport(run_id=uuid.uuid4().hex, run_no=run_no)
-    keys = registry.select("guid", "filename", "uploaded_to_s3")
+    keys = registry.select("guid", "filename", K.FLAG_COLUMN)
     view = R.current_view(keys, ok_ledger=ok_ledger, tombstones=tombstones)
-    pending = materialize(view.where(K.is_pending("uploaded_to_s3")).select("guid").distinct(),
+    pending = materialize(view.where(K.is_pending(K.FLAG_COLUMN)).select("guid").distinct(),
                           "pending")
     right, _ = sync.checked_broadcast(pending)
     pend = registry.join(right, "guid", "left_semi")
@@ -253,7 +254,7 @@ def json_sink(path: str, columns: list[str] | None = None, id_col: str = "ID",
 
 
 def blob_sink(target_root: str, target_listing: DataFrame | None = None,
-              key_of: Callable[[DataFrame], Column] | None = None, body: str = "BINDER_DOC",
+              key_of: Callable[[DataFrame], Column] | None = None, body: str = K.BODY_COLUMN,
               id_col: str = "ID", policy_col: str = "POLICY_ID",
               order: tuple[str, ...] = ("MODIFIED", "ID"), fail: Column | None = None,
               compare_sha1: bool = False, size_col: str | None = None) -> Sink:

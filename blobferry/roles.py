@@ -50,7 +50,7 @@ def registry(spark: SparkSession, sf_dir: str, with_body: bool = True,
             doc_key("doc_id").alias("filename")]
     if with_body:
         cols.append(F.col("text").cast("binary").alias("document"))
-    cols.append(F.coalesce(F.col("_up"), F.lit(False)).alias("uploaded_to_s3"))
+    cols.append(F.coalesce(F.col("_up"), F.lit(False)).alias(K.FLAG_COLUMN))
     cols.extend(F.col(c) for c in extra)
     if facts:
         cols.extend([F.col("size"), F.col("sha1")])
@@ -82,6 +82,7 @@ def live_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(doc_key("page_id").alias("key"))
 
 
+# The source table's key columns, in their given order.
 SOURCE_COLUMNS = ("ID", "POLICY_ID", "COMPANY", "BROKER", "MODIFIED")
 
 
@@ -92,7 +93,7 @@ def source_from_events(spark: SparkSession, sf_dir: str, with_body: bool = True)
             F.col("event_type").alias("COMPANY"), F.col("props").alias("BROKER"),
             F.col("ts").alias("MODIFIED")]
     if with_body:
-        cols.append(F.col("props").cast("binary").alias("BINDER_DOC"))
+        cols.append(F.col("props").cast("binary").alias(K.BODY_COLUMN))
     return ev.select(*cols)
 
 

@@ -16,12 +16,13 @@ from pyspark.sql.utils import AnalysisException
 from blobferry.functions import keys as K
 from blobferry.operators import sync
 
+# The registry's columns, as existing tables hold them.
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("id", T.LongType(), False),
     T.StructField("guid", T.StringType(), False),
     T.StructField("filename", T.StringType(), False),
     T.StructField("document", T.BinaryType(), False),
-    T.StructField("uploaded_to_s3", T.BooleanType(), True),
+    T.StructField(K.FLAG_COLUMN, T.BooleanType(), True),
 ])
 
 
@@ -89,8 +90,8 @@ def append(spark: SparkSession, path: str, rows: DataFrame, check: bool = True)
         ids = ids.select("guid", (F.col("_idx") + F.lit(start + 1)).cast("bigint").alias("id"))
         right, _ = sync.checked_broadcast(ids)
         rows = rows.join(right, "guid")
-    if "uploaded_to_s3" not in rows.columns:
-        rows = rows.withColumn("uploaded_to_s3", F.lit(False))
+    if K.FLAG_COLUMN not in rows.columns:
+        rows = rows.withColumn(K.FLAG_COLUMN, F.lit(False))
     rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in REGISTRY_SCHEMA.fields])
     if check:
         check_rows(rows, existing)
@@ -101,7 +102,7 @@ def append(spark: SparkSession, path: str, rows: DataFrame, check: bool = True)
 
 def pending(registry: DataFrame) -> DataFrame:
     """Rows not yet exported: guid, filename, document."""
-    return registry.where(K.is_pending("uploaded_to_s3")).select("guid", "filename", "document")
+    return registry.where(K.is_pending(K.FLAG_COLUMN)).select("guid", "filename", "document")
 
 
 def existing_keys(registry: DataFrame) -> DataFrame:
