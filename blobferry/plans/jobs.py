@@ -227,6 +227,9 @@ def run_incremental(spark: SparkSession, source: DataFrame, ctx: str, strategy:
     status = sink(transform(batch) if transform else batch, rep.run_id)
     written = L.append_status(status, ledgers.status, rep.run_id, rep.run_no)
     totals = status_totals(written).first().asDict()
+    # Rows with a null key can never pass a mark: count them so they are seen
+    # (an IS NULL filter, pushed to the scan or the database).
+    totals["null_key_rows"] = inc.null_key_rows(source.select(*keys), keys).count()
     rep.high_water = L.commit_bookmark(spark, ledgers.bookmarks, ctx, rep.run_no, strategy,
                                        new_mark, hw_type, totals["n_rows"],
                                        totals["n_ok"] + totals["n_skipped"], totals["n_failed"])

@@ -238,3 +238,13 @@ def test_ship_to_executors_writes_zip_in_shared_folder(spark):
     assert path.startswith(state_root(spark))
     names = zipfile.ZipFile(to_local(path)).namelist()
     assert "blobferry/plans/jobs.py" in names and "blobferry/sources/listing.py" in names
+
+
+def test_null_keys_are_reported_not_exported(spark, tmp_root):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(1, 1, "c", "b", base, b"x"), (2, 2, "c", "b", None, b"y"), (None, 3, "c", "b", base, b"z")]
+    src = spark.createDataFrame(rows, "ID bigint, POLICY_ID bigint, COMPANY string, BROKER string, "
+                                      "MODIFIED timestamp_ntz, BINDER_DOC binary")
+    led = L.Ledgers(f"{tmp_root}/state")
+    rep = jobs.run_incremental(spark, src, "c", "modified_id", led, jobs.blob_sink(f"{tmp_root}/out"))
+    assert rep.counts["n_rows"] == 1 and rep.counts["null_key_rows"] == 2
