@@ -34,7 +34,9 @@ def _write_one(fs, base: str, key: str, body: bytes, local: bool) -> None:
     parent = target.rsplit("/", 1)[0]
     if local:
         fs.create_dir(parent, recursive=True)
-        tmp = f"{target}.part-{uuid.uuid4().hex}"
+        # A hidden temporary name: if the executor is lost mid-write, the
+        # leftover is skipped by listings and never mistaken for an object.
+        tmp = f"{parent}/.{target.rsplit('/', 1)[1]}.{uuid.uuid4().hex}.part"
         with fs.open_output_stream(tmp) as out:
             out.write(body)
         fs.move(tmp, target)  # rename: readers never see half a body
