@@ -69,8 +69,12 @@ def check_rows(new: DataFrame, existing: DataFrame | None) -> None:
     g = new.select("guid")
     if not g.groupBy("guid").count().where(F.col("count") > 1).isEmpty():
         raise ValueError("registry append: duplicate guid in the new rows")
-    if existing is not None and not g.join(existing.select("guid"), "guid", "left_semi").isEmpty():
-        raise ValueError("registry append: guid already in the registry")
+    if existing is not None:
+        # The new guids are usually few: counted and broadcast, the registry's
+        # guid column is then scanned in place instead of shuffled.
+        right, _ = sync.checked_broadcast(g)
+        if not existing.select("guid").join(right, "guid", "left_semi").isEmpty():
+            raise ValueError("registry append: guid already in the registry")
 
 
 def append(spark: SparkSession, path: str, rows: DataFrame, check: bool = True) -> int:
