@@ -43,17 +43,15 @@ def _src_cols(df: DataFrame) -> DataFrame:
     return df.select(*roles.SOURCE_COLUMNS)
 
 
-def _export_documents(spark: SparkSession, sf: str, purpose: str,
-                      where=None) -> tuple[str, DataFrame]:
-    """Write document bodies as objects ``{source}/doc_{id}.txt``; status rows."""
+def _export_documents(spark: SparkSession, sf: str, purpose: str) -> str:
+    """Write every document body as the object ``{source}/doc_{id}.txt``
+    (status rows to a ledger beside it); returns the root folder."""
     root = scratch_path(spark, purpose)
     docs = roles.table(spark, sf, "documents")
-    if where is not None:
-        docs = docs.where(where)
     status = export_bodies(docs, root, key=F.concat_ws("/", "source", roles.doc_key("doc_id")),
                            body="text", src_id="doc_id")
     L.append_status(status, f"{root}-ledger/status", purpose, 1)
-    return root, status
+    return root
 
 
 # ------------------------------------------------------------------ queries
@@ -73,20 +71,20 @@ def distinct_keys(spark, sf):
 
 
 def blob_roundtrip(spark, sf):
-    root, _ = _export_documents(spark, sf, "roundtrip")
+    root = _export_documents(spark, sf, "roundtrip")
     objs = read_objects(spark, root, suffix=".txt")
     return objs.select("key", "size", K.body_sha1("content").alias("sha1"))
 
 
 def complete_listing(spark, sf):
-    root, _ = _export_documents(spark, sf, "listing")
+    root = _export_documents(spark, sf, "listing")
     return list_all_objects(spark, root, suffix=".txt").select("key", "size")
 
 
 def file_listing(spark, sf):
     # The key prefix is the operator under test: a text prefix, not a folder,
     # so "src1" takes src1/ and src10/ to src19/. The whole tree is listed.
-    root, _ = _export_documents(spark, sf, "filelisting")
+    root = _export_documents(spark, sf, "filelisting")
     return list_objects(spark, root, suffix=".txt", prefix="src1").select("key", "size")
 
 
@@ -329,7 +327,7 @@ def stream_ingest(spark, sf):
 
 
 def load_new_objects(spark, sf):
-    root, _ = _export_documents(spark, sf, "load-src")
+    root = _export_documents(spark, sf, "load-src")
     reg_path = scratch_path(spark, "load-registry")
     docs = roles.table(spark, sf, "documents")
     labelled = roles.table(spark, sf, "labels").select("doc_id")
