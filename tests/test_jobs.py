@@ -248,3 +248,16 @@ def test_null_keys_are_reported_not_exported(spark, tmp_root):
     led = L.Ledgers(f"{tmp_root}/state")
     rep = jobs.run_incremental(spark, src, "c", "modified_id", led, jobs.blob_sink(f"{tmp_root}/out"))
     assert rep.counts["n_rows"] == 1 and rep.counts["null_key_rows"] == 2
+
+
+def test_blob_sink_bodies_do_not_cross_a_shuffle(spark, tmp_root):
+    from conftest import plan_text
+
+    src_path = f"{tmp_root}/src"
+    _source(spark, n=200).write.parquet(src_path)
+    src = spark.read.parquet(src_path)
+    status = jobs.blob_sink(f"{tmp_root}/out")(src, "probe")
+    plan = plan_text(status)
+    assert "BroadcastHashJoin" in plan and "MapInPandas" in plan
+    assert "hashpartitioning" not in plan  # keys were shuffled and staged before; bodies never
+    assert status.where("ok").count() == 5
