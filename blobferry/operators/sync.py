@@ -71,14 +71,18 @@ def size_plan(src: DataFrame, target: DataFrame, key: str = "key", size: str = "
     """Decide per source row: ``skip`` (target has equal size), ``upload_new``
     (no target), ``upload_changed`` (size differs).
 
-    ``target`` is an object listing (unique keys, as object stores have).
+    ``target`` is an object listing; a key listed twice counts once.
     With ``compare_sha1`` naming a sha1 column present on both sides, equal
     size is not enough: content must hash equal too.
     """
-    tcols = [F.col(key), F.col(target_size).alias("target_size")]
+    facts = [F.col(target_size).alias("target_size")]
     if compare_sha1:
-        tcols.append(F.col(compare_sha1).alias("target_sha1"))
-    t = target.select(*tcols)
+        facts.append(F.col(compare_sha1).alias("target_sha1"))
+    # One row per key even if listings overlap (a deterministic pick); the
+    # aggregate is hash-partitioned on the key, which the join then reuses.
+    t = (target.groupBy(key).agg(F.max(F.struct(*facts)).alias("_t"))
+         .select(key, *[F.col(f"_t.{c}") for c in (["target_size", "target_sha1"] if compare_sha1
+                                                  else ["target_size"])]))
     j = src.join(t, key, "left")
     same = F.col(size) == F.col("target_size")
     if compare_sha1:

@@ -41,6 +41,12 @@ def test_size_plan_and_sha1_option(spark):
     assert by_hash["b"] == "upload_changed" and by_hash["a"] == "skip"
 
 
+def test_size_plan_overlapping_listing_counts_once(spark):
+    src = spark.createDataFrame([("a", 3)], "key string, size bigint")
+    tgt = spark.createDataFrame([("a", 3), ("a", 3)], "key string, size bigint")
+    assert rows(sync.size_plan(src, tgt), "key", "action") == [("a", "skip")]
+
+
 def test_latest_per_key_ties_nulls_and_hot_key(spark):
     data = [("p1", 5, 1, "old"), ("p1", 5, 2, "new"), ("p2", None, 9, "null-ts"), ("p2", 1, 3, "real")]
     data += [("hot", i % 7, i, f"v{i}") for i in range(3000)]
