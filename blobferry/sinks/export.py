@@ -94,14 +94,19 @@ def export_bodies(df: DataFrame, root: str, key: str | Column = "key",
         from concurrent.futures import ThreadPoolExecutor
 
         fs, base = open_fs(root)
-        with ThreadPoolExecutor(max_workers=max(1, io_threads)) as pool:
+        pool = ThreadPoolExecutor(max_workers=io_threads) if io_threads > 1 else None
+        run = pool.map if pool else map  # one thread: a plain loop, no futures
+        try:
             for pdf in batches:
-                res = list(pool.map(lambda r: _one(fs, base, *r),
-                                    zip(pdf["key"], pdf["_body"], pdf["_skip"], pdf["_fail"])))
+                res = list(run(lambda r: _one(fs, base, *r),
+                               zip(pdf["key"], pdf["_body"], pdf["_skip"], pdf["_fail"])))
                 yield pd.DataFrame({
                     "key": pdf["key"], "src_id": pdf["src_id"], "guid": pdf["guid"],
                     "policy_id": pdf["policy_id"], "size": pdf["size"], "sha1": pdf["sha1"],
                     "ok": [r[0] for r in res], "skipped": [r[1] for r in res],
                     "error": [r[2] for r in res], "elapsed_s": [r[3] for r in res]})
+        finally:
+            if pool:
+                pool.shutdown()
 
     return plan.mapInPandas(_export, STATUS_SCHEMA)

@@ -58,11 +58,13 @@ def read_bodies(keys: DataFrame, root: str, key: str = "key",
         from concurrent.futures import ThreadPoolExecutor
 
         fs, base = open_fs(root)
-        with ThreadPoolExecutor(max_workers=max(1, io_threads)) as pool:
+        pool = ThreadPoolExecutor(max_workers=io_threads) if io_threads > 1 else None
+        run = pool.map if pool else map  # one thread: a plain loop, no futures
+        try:
             for pdf in batches:
                 pdf = pdf.reset_index(drop=True)
                 start, acc = 0, 0
-                rows = list(pool.map(lambda k: _fetch(fs, base, k, max_bytes), pdf[key]))
+                rows = list(run(lambda k: _fetch(fs, base, k, max_bytes), pdf[key]))
                 for i, (body, _) in enumerate(rows):
                     acc += 0 if body is None else len(body)
                     last = i == len(rows) - 1
@@ -76,6 +78,9 @@ def read_bodies(keys: DataFrame, root: str, key: str = "key",
                         out["error"] = [e for _, e in part]
                         yield out
                         start, acc = i + 1, 0
+        finally:
+            if pool:
+                pool.shutdown()
 
     return keys.mapInPandas(_read, out_schema)
 
