@@ -56,8 +56,20 @@ def status_totals(status: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ load new
 
-# Bytes of bodies one read task should fetch.
+# Bytes of bodies one read task should fetch, and objects one write task
+# should put: with small bodies an input split holds very many objects, and
+# the per-object latency, not the bytes, sets the task's length.
 BODY_BYTES_PER_TASK = 128 << 20
+OBJECTS_PER_TASK = 2000
+
+
+def spread_tasks(spark: SparkSession, n_objects: int, n_bytes: int | None = None) -> int | None:
+    """Number of write tasks for ``n_objects`` (and ``n_bytes``), or None when
+    the work fits the cluster's cores as it is partitioned."""
+    n = -(-n_objects // OBJECTS_PER_TASK)
+    if n_bytes:
+        n = max(n, -(-n_bytes // BODY_BYTES_PER_TASK))
+    return n if n > spark.sparkContext.defaultParallelism else None
 
 
 def load_new(spark: SparkSession, root: str, registry_path: str,
@@ -137,8 +149,11 @@ def export_pending(spark: SparkSession, registry: DataFrame, target_root: str,
     view = R.current_view(keys, ok_ledger=ok_ledger, tombstones=tombstones)
     pending = materialize(view.where(K.is_pending(K.FLAG_COLUMN)).select("guid").distinct(),
                           "pending")
-    right, _ = sync.checked_broadcast(pending)
+    right, n_pending = sync.checked_broadcast(pending)
     pend = registry.join(right, "guid", "left_semi")
+    spread = spread_tasks(spark, n_pending)
+    if spread:
+        pend = pend.repartition(spread)  # round-robin: even objects per task
     status = export_bodies(pend, target_root,
                            key=export_keys(F.col("filename"), target_prefix, strip),
                            body="document", src_id="id", guid="guid", fail=fail)
@@ -267,7 +282,9 @@ def blob_sink(target_root: str, target_listing: DataFrame | None = None,
     wins, and a target object of equal size (or sha1) means skip. That small
     plan is written once to the shared folder; bodies are then attached to the rows to write by
     a semi-join that is broadcast when the plan's row count is under a bound
-    (so the bodies are never shuffled), else shuffled on the id. Skipped rows
+    (so the bodies are not shuffled for it), else shuffled on the id. When
+    there are many objects per core, the rows to write are spread round-robin
+    so no task puts more than about ``OBJECTS_PER_TASK`` objects. Skipped rows
     never touch their bodies again. ``size_col`` names a stored size to use
     instead of measuring the body.
     """
@@ -296,9 +313,13 @@ def blob_sink(target_root: str, target_listing: DataFrame | None = None,
             F.col("_policy").alias("policy_id"), "size", F.lit(None).cast("string").alias("sha1"),
             F.lit(True).alias("ok"), F.lit(True).alias("skipped"),
             F.lit(None).cast("string").alias("error"), F.lit(0.0).alias("elapsed_s"))
-        to_write, _ = sync.checked_broadcast(
-            plan.where(F.col("action") != sync.SKIP).select("key", "_wid"))
+        writes = plan.where(F.col("action") != sync.SKIP)
+        n_bytes = writes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+        to_write, n_write = sync.checked_broadcast(writes.select("key", "_wid"))
         rows = batch.join(to_write, batch[id_col] == to_write["_wid"], "inner").drop("_wid")
+        spread = spread_tasks(batch.sparkSession, n_write, n_bytes)
+        if spread:
+            rows = rows.repartition(spread)  # round-robin: even objects per task
         written = export_bodies(rows, target_root, key="key", body=body, src_id=id_col,
                                 policy_id=policy_col, fail=fail)
         return written.unionByName(skipped)
