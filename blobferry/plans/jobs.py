@@ -94,15 +94,16 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     keyed = global_index(new.where(F.col("size") > 0).select("key", "size"), ["key"], name="_idx")
     keyed = keyed.withColumn("id", (F.col("_idx") + F.lit(int(start) + 1)).cast("bigint")).drop("_idx")
     # The key table is small and would be read in a few splits; spread it so
-    # each read task gets about BODY_BYTES_PER_TASK of bodies (keys-only shuffle).
-    total = keyed.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("b")).first()["b"]
-    n_tasks = max(spark.sparkContext.defaultParallelism, -(-int(total) // BODY_BYTES_PER_TASK))
+    # each read task gets about BODY_BYTES_PER_TASK of bodies or
+    # OBJECTS_PER_TASK objects, whichever needs more tasks (keys-only shuffle).
+    n_keys, total = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    n_tasks = spread_tasks(spark, int(n_keys), int(total)) or spark.sparkContext.defaultParallelism
     bodies = read_bodies(keyed.drop("size").repartition(n_tasks), root)
     rows = (bodies.where(F.col("ok") & K.non_empty_body("content"))
             .select("id", K.derived_guid("key").alias("guid"), F.col("key").alias("filename"),
                     F.col("content").alias("document"), F.lit(False).alias(K.FLAG_COLUMN)))
     rows.write.mode("append").parquet(registry_path)
-    n_new = keyed.count()
+    n_new = int(n_keys)
     inserted = spark.read.parquet(registry_path).count() - n_before
     rep.counts = {"existing": n_existing, "new": n_new, "inserted": inserted,
                   "failed": n_new - inserted}
@@ -168,9 +169,12 @@ def save_documents(spark: SparkSession, registry: DataFrame, ids: DataFrame, out
     """Write the documents of many ids into ``out_dir`` under their filename
     (nested names make folders; absolute or ``..`` names are refused per row)."""
     rep = RunReport(run_id=uuid.uuid4().hex, run_no=run_no)
-    from blobferry.sources.blobs import lookup
-
-    rows = lookup(registry, ids)
+    wanted, n_ids = sync.checked_broadcast(
+        materialize(ids.select("id").where(F.col("id").isNotNull()).distinct(), "save-ids"))
+    rows = registry.join(wanted, "id", "left_semi")
+    spread = spread_tasks(spark, n_ids)
+    if spread:
+        rows = rows.repartition(spread)  # round-robin: even objects per task
     status = export_bodies(rows, out_dir, key="filename", body="document", src_id="id", guid="guid")
     written = L.append_status(status, ledgers.status, rep.run_id, run_no)
     rep.counts = status_totals(written).first().asDict()
