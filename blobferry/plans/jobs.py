@@ -89,6 +89,9 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     # (Spark's file index would keep every file status there).
     listed = listing if listing is not None else list_all_objects(spark, root, suffix, prefix)
     new = sync.new_objects(listed.select("key", "size"), R.existing_keys(reg))
+    # One row per key even if a supplied listing repeats one: the guid derives
+    # from the key and must stay unique.
+    new = new.groupBy("key").agg(F.max("size").alias("size"))
     # Ids on keys only (cheap), then bodies are read once, on the executors.
     start = reg.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
     keyed = global_index(new.where(F.col("size") > 0).select("key", "size"), ["key"], name="_idx")

@@ -182,7 +182,8 @@ def test_load_new_records_unreadable_objects(spark, tmp_root):
     os.makedirs(root)
     open(f"{root}/a.pdf", "wb").write(b"A")
     open(f"{root}/b.pdf", "wb").write(b"B")
-    listing = spark.createDataFrame([("a.pdf", 1), ("b.pdf", 1), ("gone.pdf", 5)], "key string, size bigint")
+    listing = spark.createDataFrame([("a.pdf", 1), ("b.pdf", 1), ("b.pdf", 1), ("gone.pdf", 5)],
+                                    "key string, size bigint")  # b.pdf listed twice
     led = L.Ledgers(f"{tmp_root}/state")
     rep = jobs.load_new(spark, root, f"{tmp_root}/registry", listing=listing, ledgers=led)
     assert rep.counts["inserted"] == 2 and rep.counts["failed"] == 1
