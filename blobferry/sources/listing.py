@@ -113,20 +113,16 @@ class _ListingReader(DataSourceReader):  # type: ignore[misc]
         return parts
 
     def read(self, partition):
-        import datetime as dt
-
         from pyarrow import fs as pafs
 
         fs, base = open_fs(self.root)
         cut = len(base) + 1
         sel = pafs.FileSelector(partition.folder, recursive=partition.recursive)
         for e in fs.get_file_info(sel):
-            if e.type != pafs.FileType.File:
-                continue
-            mtime = e.mtime
-            if mtime is not None and mtime.tzinfo is not None:
-                mtime = mtime.astimezone(dt.timezone.utc).replace(tzinfo=None)
-            yield (e.path[cut:], e.size, mtime)
+            if e.type == pafs.FileType.File:
+                # mtime is zone-aware (UTC), so it means the same instant in
+                # any worker's time zone.
+                yield (e.path[cut:], e.size, e.mtime)
 
 
 class ObjectListingSource(DataSource):  # type: ignore[misc]

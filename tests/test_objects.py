@@ -123,3 +123,10 @@ def test_export_then_load_keeps_every_sha1(spark, bodies):
     loaded = {r.key: r.sha1 for r in read_objects(spark, root).selectExpr("key", "sha1(content) AS sha1").collect()}
     want = {k: hashlib.sha1(b).hexdigest() for k, b in rows if b}  # empty bodies are not loaded
     assert loaded == want
+
+
+def test_both_listings_agree_on_mtime(spark, tmp_root):
+    _write(tmp_root, "a.pdf", b"1")
+    a = list_objects(spark, tmp_root).collect()[0].mtime
+    b = list_all_objects(spark, tmp_root).collect()[0].mtime
+    assert abs((a - b).total_seconds()) < 0.01
