@@ -48,3 +48,18 @@ def test_cli_incremental(spark, tmp_root, capsys):
     rep = _run(capsys, "export-json", "--source", src, "--out", f"{tmp_root}/json", "--ctx", "j",
                "--strategy", "composite", "--key-text", "--state", f"{tmp_root}/jstate")
     assert rep["counts"]["n_rows"] == 9
+
+
+def test_cli_save_and_ingest(spark, tmp_root, capsys):
+    objs = f"{tmp_root}/objs"
+    os.makedirs(objs)
+    for i in range(3):
+        open(f"{objs}/f{i}.pdf", "wb").write(b"x" * (i + 1))
+    reg = f"{tmp_root}/registry"
+    _run(capsys, "load-new", "--root", objs, "--registry", reg, "--state", f"{tmp_root}/s1")
+    spark.createDataFrame([(1,), (3,), (99,)], "id bigint").write.parquet(f"{tmp_root}/ids")
+    rep = _run(capsys, "save", "--registry", reg, "--ids-table", f"{tmp_root}/ids", "--out", f"{tmp_root}/saved",
+               "--state", f"{tmp_root}/s2")
+    assert rep["counts"]["n_ok"] == 2 and sorted(os.listdir(f"{tmp_root}/saved")) == ["f0.pdf", "f2.pdf"]
+    rep = _run(capsys, "ingest", "--root", objs, "--sink", f"{tmp_root}/sink", "--checkpoint", f"{tmp_root}/ck")
+    assert rep["rows"] == 3
