@@ -26,7 +26,7 @@ from blobferry.sinks.json_sink import read_json, write_json
 from blobferry.sources import registry as R
 from blobferry.sources.blobs import lookup
 from blobferry.sources.listing import list_all_objects, list_objects, read_objects
-from blobferry.streaming.ingest import ingest_new_objects, read_ingested
+from blobferry.streaming.ingest import ingest_new_objects, read_ingested, stream_into_registry
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -326,6 +326,28 @@ def stream_ingest(spark, sf):
     return read_ingested(spark, sink).select(F.col("filename").alias("key"), "size", "sha1")
 
 
+def stream_registry(spark, sf):
+    # The new-keys loader as a stream: two arrivals of documents, a run after
+    # each, straight into a registry that already holds the labelled ones.
+    root = scratch_path(spark, "stream-reg-src")
+    reg_path = scratch_path(spark, "stream-registry")
+    docs = roles.table(spark, sf, "documents")
+    key = F.concat_ws("/", "source", roles.doc_key("doc_id"))
+    labelled = roles.table(spark, sf, "labels").select("doc_id")
+    start = (docs.join(labelled, "doc_id", "left_semi")
+             .select(F.col("doc_id").alias("id"), K.derived_guid(key).alias("guid"),
+                     key.alias("filename"), F.col("text").cast("binary").alias("document")))
+    R.append(spark, reg_path, start)
+    ckpt = scratch_path(spark, "stream-reg-ckpt")
+    for wave in (F.col("lang") == "en", ~(F.col("lang") == "en") | F.col("lang").isNull()):
+        st = export_bodies(docs.where(wave), root, key=key, body="text", src_id="doc_id")
+        L.append_status(st, f"{root}-ledger/status", "stream", 1)
+        stream_into_registry(spark, root, reg_path, ckpt, suffix=".txt", max_files_per_trigger=5000)
+    reg = spark.read.parquet(reg_path)
+    return reg.select(F.col("filename").alias("key"), K.byte_length("document").alias("size"),
+                      K.body_sha1("document").alias("sha1"))
+
+
 def load_new_objects(spark, sf):
     root = _export_documents(spark, sf, "load-src")
     reg_path = scratch_path(spark, "load-registry")
@@ -381,6 +403,7 @@ QUERIES: dict[str, Query] = {
     "transform_hook": transform_hook,
     "stream_ingest": stream_ingest,
     "load_new_objects": load_new_objects,
+    "stream_registry": stream_registry,
 }
 
 

@@ -148,6 +148,8 @@ ORACLES: dict[str, str] = {
             event_type, props, CAST(ts AS VARCHAR)) AS CALCULATED_HASH FROM events""",
     "stream_ingest": f"""
         SELECT {NESTED_KEY} AS key, {BODY_FACTS} FROM documents d WHERE strlen(d.text) > 0""",
+    "stream_registry": f"""
+        SELECT {NESTED_KEY} AS key, {BODY_FACTS} FROM documents d WHERE strlen(d.text) > 0""",
     "load_new_objects": f"""
         SELECT {NESTED_KEY} AS key, {BODY_FACTS} FROM documents d
         WHERE NOT {LABELLED} AND strlen(d.text) > 0""",

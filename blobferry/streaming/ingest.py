@@ -74,6 +74,50 @@ def ingest_new_objects(spark: SparkSession, root: str, sink_path: str, checkpoin
             "rows": int(sum(p.get("numInputRows", 0) for p in progress))}
 
 
+def stream_into_registry(spark: SparkSession, root: str, registry_path: str, checkpoint: str,
+                         suffix: str | None = None, max_files_per_trigger: int | None = None,
+                         ledgers=None, timeout_s: float | None = None) -> dict:
+    """Run one availableNow pass that loads new objects straight into the
+    registry: each micro-batch is a listing (key, size; no body is read by
+    the stream) handed to :func:`blobferry.plans.jobs.load_new`, which reads
+    bodies only for keys the registry does not hold. That anti-join makes a
+    re-run of a micro-batch after a failure harmless."""
+    from blobferry.plans import jobs
+
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("recursiveFileLookup", "true"))
+    if suffix:
+        reader = reader.option("pathGlobFilter", f"*{suffix}")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    listing = reader.load(root).select(key_from_path("path", root).alias("key"),
+                                       F.col("length").alias("size"))
+    reports = []
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        rep = jobs.load_new(batch.sparkSession, root, registry_path, listing=batch, ledgers=ledgers)
+        reports.append(rep.counts)
+
+    conf_key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(conf_key, None)
+    if before in (None, "10000"):
+        spark.conf.set(conf_key, str(max(spark.sparkContext.defaultParallelism, 1)))
+    try:
+        q = (listing.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+        finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+        if finished is False:
+            q.stop()
+            raise TimeoutError("ingestion did not finish in time")
+    finally:
+        if before is None:
+            spark.conf.unset(conf_key)
+        else:
+            spark.conf.set(conf_key, before)
+    return {"batches": len(reports), "inserted": sum(r["inserted"] for r in reports),
+            "failed": sum(r["failed"] for r in reports)}
+
+
 def read_ingested(spark: SparkSession, sink_path: str) -> DataFrame:
     """Rows the stream committed (the sink's metadata log hides partial files)."""
     return spark.read.parquet(sink_path)

@@ -36,3 +36,20 @@ def test_rewritten_object_is_not_taken_again(spark, tmp_root):
     _put(src, "a.pdf", b"version two")
     ingest_new_objects(spark, src, sink, ckpt, suffix=".pdf")
     assert [bytes(r.document) for r in read_ingested(spark, sink).collect()] == [b"v1"]
+
+
+def test_stream_into_registry_is_idempotent(spark, tmp_root):
+    from blobferry.streaming.ingest import stream_into_registry
+
+    src, reg = f"{tmp_root}/src", f"{tmp_root}/registry"
+    _put(src, "a.pdf", b"A")
+    _put(src, "d/b.pdf", b"BB")
+    r1 = stream_into_registry(spark, src, reg, f"{tmp_root}/ck1", suffix=".pdf")
+    assert r1["inserted"] == 2
+    # The same files again under a fresh checkpoint (as after losing it):
+    # the registry anti-join keeps every key once.
+    _put(src, "c.pdf", b"C")
+    r2 = stream_into_registry(spark, src, reg, f"{tmp_root}/ck2", suffix=".pdf")
+    assert r2["inserted"] == 1
+    rows = sorted((r.id, r.filename) for r in spark.read.parquet(reg).collect())
+    assert rows == [(1, "a.pdf"), (2, "d/b.pdf"), (3, "c.pdf")]
