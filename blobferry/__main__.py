@@ -7,7 +7,7 @@
     python -m blobferry export-json --source SRC --out O --ctx C --strategy S
     python -m blobferry sync --registry REG --root R [--allow-mass-delete]
     python -m blobferry save --registry REG --ids-table IDS --out O
-    python -m blobferry ingest --root R --sink S --checkpoint C
+    python -m blobferry ingest --root R (--sink S | --registry REG) --checkpoint C
 
 A source is a Parquet path, or ``jdbc`` with ``--jdbc-url``, ``--jdbc-table``
 and ``--jdbc-option key=value`` (user, password, driver, ...). Ledgers live in
@@ -127,9 +127,11 @@ def main(argv: list[str] | None = None) -> int:
     sv.add_argument("--out", required=True)
     sv.add_argument("--state")
 
-    ig = sub.add_parser("ingest", help="stream new objects into a table (availableNow)")
+    ig = sub.add_parser("ingest", help="stream new objects into a table or the registry (availableNow)")
     ig.add_argument("--root", required=True)
-    ig.add_argument("--sink", required=True)
+    dest = ig.add_mutually_exclusive_group(required=True)
+    dest.add_argument("--sink", help="Parquet table of ingested objects")
+    dest.add_argument("--registry", help="load new keys straight into this registry")
     ig.add_argument("--checkpoint", required=True)
     ig.add_argument("--suffix", default=K.OBJECT_SUFFIX)
     ig.add_argument("--max-files-per-trigger", type=int)
@@ -186,10 +188,14 @@ def main(argv: list[str] | None = None) -> int:
                                   spark.read.parquet(a.ids_table).select("id"), a.out,
                                   _ledgers(spark, a, "save"))
     else:
-        from blobferry.streaming.ingest import ingest_new_objects
+        from blobferry.streaming.ingest import ingest_new_objects, stream_into_registry
 
-        out = ingest_new_objects(spark, a.root, a.sink, a.checkpoint, a.suffix,
-                                 a.max_files_per_trigger)
+        if a.registry:
+            out = stream_into_registry(spark, a.root, a.registry, a.checkpoint, a.suffix,
+                                       a.max_files_per_trigger)
+        else:
+            out = ingest_new_objects(spark, a.root, a.sink, a.checkpoint, a.suffix,
+                                     a.max_files_per_trigger)
     print(_json(out))
     return 0
 

@@ -63,3 +63,11 @@ def test_cli_save_and_ingest(spark, tmp_root, capsys):
     assert rep["counts"]["n_ok"] == 2 and sorted(os.listdir(f"{tmp_root}/saved")) == ["f0.pdf", "f2.pdf"]
     rep = _run(capsys, "ingest", "--root", objs, "--sink", f"{tmp_root}/sink", "--checkpoint", f"{tmp_root}/ck")
     assert rep["rows"] == 3
+
+
+def test_cli_ingest_into_registry(spark, tmp_root, capsys):
+    objs = f"{tmp_root}/objs"
+    os.makedirs(objs)
+    open(f"{objs}/a.pdf", "wb").write(b"A")
+    rep = _run(capsys, "ingest", "--root", objs, "--registry", f"{tmp_root}/reg", "--checkpoint", f"{tmp_root}/ck")
+    assert rep["inserted"] == 1
