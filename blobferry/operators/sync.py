@@ -35,6 +35,18 @@ def new_objects(listing: DataFrame, existing: DataFrame, key: str = "key",
     return listing.join(right, key, "left_anti")
 
 
+def new_objects_by_probe(listing: DataFrame, existing: DataFrame, key: str = "key",
+                         existing_key: str = "key") -> DataFrame:
+    """:func:`new_objects` for a listing small enough to broadcast (a stream's
+    micro-batch, a small new arrival): the listing's keys are broadcast and the
+    existing keys are scanned once against them - no shuffle of the (large)
+    existing side. The caller proves the size bound (``checked_broadcast``)."""
+    probe = F.broadcast(listing.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull()).distinct())
+    present = (existing.select(F.col(existing_key).alias("_k"))
+               .join(probe, "_k", "left_semi").distinct())
+    return listing.join(F.broadcast(present), listing[key] == present["_k"], "left_anti")
+
+
 def orphans(existing: DataFrame, listing: DataFrame, key: str = "key",
             listing_key: str = "key") -> DataFrame:
     """Registry keys that no longer exist in the listing (a set)."""

@@ -84,11 +84,21 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     """
     rep = RunReport(run_id=uuid.uuid4().hex)
     reg = R.create_if_absent(spark, registry_path)
-    n_before, n_existing = reg.count(), R.existing_keys(reg).count()
+    n_before = reg.count()
     # The distributed listing: object names never pass through the driver
-    # (Spark's file index would keep every file status there).
-    listed = listing if listing is not None else list_all_objects(spark, root, suffix, prefix)
-    new = sync.new_objects(listed.select("key", "size"), R.existing_keys(reg))
+    # (Spark's file index would keep every file status there). Our own walk is
+    # staged once, so it is never repeated.
+    if listing is None:
+        listed = materialize(list_all_objects(spark, root, suffix, prefix).select("key", "size"),
+                             "listing")
+    else:
+        listed = listing.select("key", "size")
+    n_listed = listed.count()
+    if n_listed <= sync.BROADCAST_MAX_ROWS:
+        # Small listing: probe the registry with it, no shuffle of registry keys.
+        new = sync.new_objects_by_probe(listed, reg.select(F.col("filename").alias("key")))
+    else:
+        new = sync.new_objects(listed, R.existing_keys(reg))
     # One row per key even if a supplied listing repeats one: the guid derives
     # from the key and must stay unique.
     new = new.groupBy("key").agg(F.max("size").alias("size"))
@@ -108,8 +118,8 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     rows.write.mode("append").parquet(registry_path)
     n_new = int(n_keys)
     inserted = spark.read.parquet(registry_path).count() - n_before
-    rep.counts = {"existing": n_existing, "new": n_new, "inserted": inserted,
-                  "failed": n_new - inserted}
+    rep.counts = {"listed": n_listed, "existing_rows": n_before, "new": n_new,
+                  "inserted": inserted, "failed": n_new - inserted}
     if ledgers is not None and n_new > inserted:
         loaded = spark.read.parquet(registry_path).select(F.col("filename").alias("key"))
         missing = sync.drop_keys(keyed.select("key", "id"), loaded, "key")

@@ -90,5 +90,7 @@ from hypothesis import strategies as st
 def test_new_and_orphans_match_python_sets(spark, listed, existing):
     L = spark.createDataFrame([(k,) for k in listed], "key string")
     E = spark.createDataFrame([(k,) for k in existing], "key string")
-    assert sorted(r.key for r in sync.new_objects(L, E).collect()) == sorted(k for k in listed if k not in set(existing))
+    want = sorted(k for k in listed if k not in set(existing))
+    assert sorted(r.key for r in sync.new_objects(L, E).collect()) == want
+    assert sorted(r.key for r in sync.new_objects_by_probe(L, E).collect()) == want
     assert sorted(r.key for r in sync.orphans(E, L).collect()) == sorted(set(existing) - set(listed))
