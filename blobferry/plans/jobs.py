@@ -331,8 +331,11 @@ def blob_sink(target_root: str, target_listing: DataFrame | None = None,
             F.lit(True).alias("ok"), F.lit(True).alias("skipped"),
             F.lit(None).cast("string").alias("error"), F.lit(0.0).alias("elapsed_s"))
         writes = plan.where(F.col("action") != sync.SKIP)
-        n_bytes = writes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-        to_write, n_write = sync.checked_broadcast(writes.select("key", "_wid"))
+        n_write, n_bytes = writes.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+        # A counted bound (the plan is staged): broadcast only up to it.
+        to_write = writes.select("key", "_wid")
+        if n_write <= sync.BROADCAST_MAX_ROWS:
+            to_write = F.broadcast(to_write)
         rows = batch.join(to_write, batch[id_col] == to_write["_wid"], "inner").drop("_wid")
         spread = spread_tasks(batch.sparkSession, n_write, n_bytes)
         if spread:
