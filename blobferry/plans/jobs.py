@@ -84,7 +84,7 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     """
     rep = RunReport(run_id=uuid.uuid4().hex)
     reg = R.create_if_absent(spark, registry_path)
-    n_before = reg.count()
+    n_before, start = reg.agg(F.count(F.lit(1)), F.coalesce(F.max("id"), F.lit(0))).first()
     # The distributed listing: object names never pass through the driver
     # (Spark's file index would keep every file status there). Our own walk is
     # staged once, so it is never repeated.
@@ -103,7 +103,6 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     # from the key and must stay unique.
     new = new.groupBy("key").agg(F.max("size").alias("size"))
     # Ids on keys only (cheap), then bodies are read once, on the executors.
-    start = reg.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
     keyed = global_index(new.where(F.col("size") > 0).select("key", "size"), ["key"], name="_idx")
     keyed = keyed.withColumn("id", (F.col("_idx") + F.lit(int(start) + 1)).cast("bigint")).drop("_idx")
     # The key table is small and would be read in a few splits; spread it so
