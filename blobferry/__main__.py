@@ -168,7 +168,7 @@ def main(argv: list[str] | None = None) -> int:
         if a.compare_sha1:
             listing = L.target_state(spark, led.status)
         else:
-            listing = list_all_objects(spark, a.target) if R.path_exists(a.target) else None
+            listing = list_all_objects(spark, a.target) if R.path_exists(a.target) is not False else None
         sink = jobs.blob_sink(a.target, target_listing=listing, key_of=key_of, body=a.body,
                               compare_sha1=a.compare_sha1)
         out = jobs.run_incremental(spark, _source(spark, a), a.ctx, a.strategy, led, sink)

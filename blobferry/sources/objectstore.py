@@ -10,6 +10,10 @@ from __future__ import annotations
 import os
 
 
+# Hadoop scheme names and the pyarrow scheme for the same store.
+HADOOP_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def open_fs(root: str):
     """Return ``(filesystem, base_path)`` for a root path or URI."""
     from pyarrow import fs as pafs
@@ -17,7 +21,8 @@ def open_fs(root: str):
     if root.startswith("file:"):
         root = root[len("file://"):] if root.startswith("file://") else root[len("file:"):]
     if "://" in root:
-        fs, base = pafs.FileSystem.from_uri(root)
+        scheme, rest = root.split("://", 1)
+        fs, base = pafs.FileSystem.from_uri(f"{HADOOP_SCHEMES.get(scheme, scheme)}://{rest}")
         return fs, base.rstrip("/")
     return pafs.LocalFileSystem(), os.path.abspath(root).rstrip("/")
 

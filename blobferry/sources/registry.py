@@ -26,19 +26,23 @@ REGISTRY_SCHEMA = T.StructType([
 ])
 
 
-def path_exists(path: str) -> bool:
-    """Whether a table folder exists (checked through the object-store client)."""
+def path_exists(path: str) -> bool | None:
+    """Whether a table folder exists (checked through the object-store
+    client); None when that client does not know the path's scheme."""
     from pyarrow import fs as pafs
 
     from blobferry.sources.objectstore import open_fs
 
-    fs, base = open_fs(path)
+    try:
+        fs, base = open_fs(path)
+    except Exception:  # noqa: BLE001 - a scheme only Hadoop knows
+        return None
     return fs.get_file_info(base).type != pafs.FileType.NotFound
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """Read a Parquet table, or None if it does not exist yet."""
-    if not path_exists(path):
+    if path_exists(path) is False:
         return None
     try:
         reader = spark.read.schema(schema) if schema is not None else spark.read

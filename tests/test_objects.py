@@ -130,3 +130,11 @@ def test_both_listings_agree_on_mtime(spark, tmp_root):
     a = list_objects(spark, tmp_root).collect()[0].mtime
     b = list_all_objects(spark, tmp_root).collect()[0].mtime
     assert abs((a - b).total_seconds()) < 0.01
+
+
+def test_hadoop_scheme_names_map_to_pyarrow():
+    from blobferry.sources import objectstore
+    from blobferry.sources.registry import path_exists
+
+    assert objectstore.HADOOP_SCHEMES["s3a"] == "s3"
+    assert path_exists("nosuchscheme://bucket/x") is None  # unknown: left to Spark
