@@ -39,6 +39,11 @@ BATCH_SIZE = 100
 FIRST_N = 100
 
 
+def _events_before(src: DataFrame, cut: dt.datetime) -> DataFrame:
+    """Source rows modified at or before ``cut`` (the table as it stood then)."""
+    return src.where(F.col("MODIFIED") <= F.lit(cut.isoformat(" ")).cast("timestamp_ntz"))
+
+
 def _src_cols(df: DataFrame) -> DataFrame:
     return df.select(*roles.SOURCE_COLUMNS)
 
@@ -164,18 +169,14 @@ def bookmark_runs(spark, sf):
     src = roles.source_from_events(spark, sf, with_body=False)
     led = L.Ledgers(scratch_path(spark, "bookmarks"))
     out = scratch_path(spark, "bookmark-json")
-    for cut in RUN_CUTS:
-        visible = src if cut is None else src.where(F.col("MODIFIED") <= F.lit(cut.isoformat(" ")).cast("timestamp_ntz"))
+    for cut in RUN_CUTS:  # the source as it stood at each run
+        visible = src if cut is None else _events_before(src, cut)
         jobs.run_incremental(spark, visible, "events_json", "modified_id", led, jobs.json_sink(out))
     b = spark.read.parquet(led.bookmarks)
     return b.select("run_no", "n_rows", "n_failed", F.col("high_water.MODIFIED").alias("hw_modified"),
                     F.col("high_water.ID").alias("hw_id"))
 
 
-def _events_before(src: DataFrame, cut: dt.datetime) -> DataFrame:
-    return src.where(F.col("MODIFIED") <= F.lit(cut.isoformat(" ")).cast("timestamp_ntz"))
-
-
 def retry_failures(spark, sf):
     src = roles.source_from_events(spark, sf)
     led = L.Ledgers(scratch_path(spark, "retry"))
