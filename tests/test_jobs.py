@@ -262,3 +262,17 @@ def test_blob_sink_bodies_do_not_cross_a_shuffle(spark, tmp_root):
     assert "BroadcastHashJoin" in plan and "MapInPandas" in plan
     assert "hashpartitioning" not in plan  # keys were shuffled and staged before; bodies never
     assert status.where("ok").count() == 5
+
+
+def test_empty_inputs_do_no_work(spark, tmp_root):
+    empty_src = _source(spark).where("false")
+    led = L.Ledgers(f"{tmp_root}/state")
+    rep = jobs.run_incremental(spark, empty_src, "c", "modified_id", led, jobs.blob_sink(f"{tmp_root}/out"))
+    assert rep.counts["n_rows"] == 0 and not rep.committed
+    os.makedirs(f"{tmp_root}/objs")
+    rep = jobs.load_new(spark, f"{tmp_root}/objs", f"{tmp_root}/registry")
+    assert rep.counts["new"] == 0 and rep.counts["inserted"] == 0
+    reg = spark.read.parquet(f"{tmp_root}/registry")
+    assert reg.count() == 0 and reg.columns == ["id", "guid", "filename", "document", "uploaded_to_s3"]
+    rep = jobs.export_pending(spark, reg, f"{tmp_root}/out2", L.Ledgers(f"{tmp_root}/s2"))
+    assert rep.counts["n_rows"] == 0
