@@ -151,3 +151,18 @@ def test_json_round_trip_keeps_microseconds_and_partitions(spark, tmp_root):
     assert [d for d in sorted(os.listdir(f"{tmp_root}/j")) if d.startswith("COMPANY=")] == ["COMPANY=a", "COMPANY=b"]
     back = read_json(spark, f"{tmp_root}/j", df.schema)
     assert sorted(tuple(r) for r in back.select("ID", "COMPANY", "MODIFIED").collect()) == sorted(rows)
+
+
+def test_write_api_sink(spark, tmp_root):
+    import pytest
+
+    from blobferry.sinks.objects_format import register_sink
+
+    register_sink(spark)
+    df = spark.createDataFrame([("a/1.pdf", b"one"), ("2.pdf", b"two")], "key string, body binary")
+    df.write.format("blobferry_objects").mode("append").option("path", tmp_root).save()
+    assert open(f"{tmp_root}/a/1.pdf", "rb").read() == b"one"
+    assert {r.key for r in list_all_objects(spark, tmp_root).collect()} == {"a/1.pdf", "2.pdf"}
+    bad = spark.createDataFrame([("../x.pdf", b"x")], "key string, body binary")
+    with pytest.raises(Exception):
+        bad.write.format("blobferry_objects").mode("append").option("path", tmp_root).save()
