@@ -23,8 +23,6 @@ import datetime as dt
 import json
 import sys
 
-from pyspark.sql import functions as F
-
 from blobferry.functions import keys as K
 from blobferry.operators.incremental import strategy_keys
 from blobferry.plans import jobs
@@ -149,12 +147,8 @@ def main(argv: list[str] | None = None) -> int:
                             ledgers=_ledgers(spark, a, "load"))
     elif a.cmd == "export-pending":
         led = _ledgers(spark, a, "export-pending")
-        last_no = 0
-        prev = R.read_table(spark, led.status)
-        if prev is not None:
-            last_no = prev.agg(F.coalesce(F.max("run_no"), F.lit(0))).first()[0]
         out = jobs.export_pending(spark, spark.read.parquet(a.registry), a.target, led,
-                                  target_prefix=a.target_prefix, strip=a.strip, run_no=last_no + 1,
+                                  target_prefix=a.target_prefix, strip=a.strip,
                                   ok_ledger=L.ok_guids(spark, led.status),
                                   tombstones=L.read_tombstones(spark, led.tombstones))
     elif a.cmd == "export-incremental":

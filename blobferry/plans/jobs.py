@@ -145,7 +145,7 @@ def export_keys(filename: Column, target_prefix: str = "", strip: str | None = N
 
 def export_pending(spark: SparkSession, registry: DataFrame, target_root: str,
                    ledgers: L.Ledgers, target_prefix: str = "", strip: str | None = None,
-                   fail: Column | None = None, run_no: int = 1,
+                   fail: Column | None = None, run_no: int | None = None,
                    ok_ledger: DataFrame | None = None,
                    tombstones: DataFrame | None = None) -> RunReport:
     """Write every pending row's body, then record the run in the status ledger.
@@ -157,7 +157,7 @@ def export_pending(spark: SparkSession, registry: DataFrame, target_root: str,
     registry is not rewritten: :func:`registry.current_view` reads the
     ledger to mark rows uploaded.
     """
-    rep = RunReport(run_id=uuid.uuid4().hex, run_no=run_no)
+    rep = RunReport(run_id=uuid.uuid4().hex, run_no=run_no or L.next_run_no(spark, ledgers.status))
     keys = registry.select("guid", "filename", K.FLAG_COLUMN)
     view = R.current_view(keys, ok_ledger=ok_ledger, tombstones=tombstones)
     pending = materialize(view.where(K.is_pending(K.FLAG_COLUMN)).select("guid").distinct(),
@@ -170,17 +170,17 @@ def export_pending(spark: SparkSession, registry: DataFrame, target_root: str,
     status = export_bodies(pend, target_root,
                            key=export_keys(F.col("filename"), target_prefix, strip),
                            body="document", src_id="id", guid="guid", fail=fail)
-    written = L.append_status(status, ledgers.status, rep.run_id, run_no)
+    written = L.append_status(status, ledgers.status, rep.run_id, rep.run_no)
     rep.counts = status_totals(written).first().asDict()
     rep.committed = True
     return rep
 
 
 def save_documents(spark: SparkSession, registry: DataFrame, ids: DataFrame, out_dir: str,
-                   ledgers: L.Ledgers, run_no: int = 1) -> RunReport:
+                   ledgers: L.Ledgers, run_no: int | None = None) -> RunReport:
     """Write the documents of many ids into ``out_dir`` under their filename
     (nested names make folders; absolute or ``..`` names are refused per row)."""
-    rep = RunReport(run_id=uuid.uuid4().hex, run_no=run_no)
+    rep = RunReport(run_id=uuid.uuid4().hex, run_no=run_no or L.next_run_no(spark, ledgers.status))
     wanted, n_ids = sync.checked_broadcast(
         materialize(ids.select("id").where(F.col("id").isNotNull()).distinct(), "save-ids"))
     rows = registry.join(wanted, "id", "left_semi")
@@ -188,7 +188,7 @@ def save_documents(spark: SparkSession, registry: DataFrame, ids: DataFrame, out
     if spread:
         rows = rows.repartition(spread)  # round-robin: even objects per task
     status = export_bodies(rows, out_dir, key="filename", body="document", src_id="id", guid="guid")
-    written = L.append_status(status, ledgers.status, rep.run_id, run_no)
+    written = L.append_status(status, ledgers.status, rep.run_id, rep.run_no)
     rep.counts = status_totals(written).first().asDict()
     rep.committed = True
     return rep

@@ -48,6 +48,14 @@ def append_status(status: DataFrame, path: str, run_id: str, run_no: int) -> Dat
     return read_table(status.sparkSession, path).where(F.col("run_id") == run_id)
 
 
+def next_run_no(spark: SparkSession, path: str) -> int:
+    """One more than the highest run number in a status ledger (1 if empty)."""
+    led = read_table(spark, path)
+    if led is None:
+        return 1
+    return int(led.agg(F.coalesce(F.max("run_no"), F.lit(0))).first()[0]) + 1
+
+
 def last_status(spark: SparkSession, path: str) -> DataFrame | None:
     """Latest status row per key across runs (None if the ledger is empty)."""
     led = read_table(spark, path)

@@ -119,8 +119,8 @@ def test_export_pending_marks_through_ledger(spark, tmp_root):
     assert all(r.uploaded_to_s3 for r in view.collect())
     # A second run finds nothing pending once the ledger is read.
     rep2 = jobs.export_pending(spark, reg, f"{tmp_root}/out", led, target_prefix="docs", strip="pre/",
-                               ok_ledger=L.ok_guids(spark, led.status), run_no=2)
-    assert rep2.counts["n_rows"] == 0
+                               ok_ledger=L.ok_guids(spark, led.status))
+    assert rep2.counts["n_rows"] == 0 and rep2.run_no == 2  # numbered from the ledger
 
 
 def test_compaction_writes_the_view_elsewhere(spark, tmp_root):
