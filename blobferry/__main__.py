@@ -8,6 +8,7 @@
     python -m blobferry sync --registry REG --root R [--allow-mass-delete]
     python -m blobferry save --registry REG --ids-table IDS --out O
     python -m blobferry ingest --root R (--sink S | --registry REG) --checkpoint C
+    python -m blobferry status --state STATE [--ctx C]
 
 A source is a Parquet path, or ``jdbc`` with ``--jdbc-url``, ``--jdbc-table``
 and ``--jdbc-option key=value`` (user, password, driver, ...). Ledgers live in
@@ -23,6 +24,8 @@ import datetime as dt
 import json
 import sys
 
+from pyspark.sql import functions as F
+
 from blobferry.functions import keys as K
 from blobferry.operators.incremental import strategy_keys
 from blobferry.plans import jobs
@@ -134,6 +137,11 @@ def main(argv: list[str] | None = None) -> int:
     ig.add_argument("--suffix", default=K.OBJECT_SUFFIX)
     ig.add_argument("--max-files-per-trigger", type=int)
 
+    stt = sub.add_parser("status", help="per-run totals of a job's ledgers")
+    stt.add_argument("--state", required=True)
+    stt.add_argument("--ctx", help="bookmark context to report the mark of")
+    stt.add_argument("--last", type=int, default=20, help="number of latest runs to show")
+
     a = p.parse_args(argv)
     spark = get_session(a.master)
     if not spark.sparkContext.master.startswith("local"):
@@ -177,6 +185,20 @@ def main(argv: list[str] | None = None) -> int:
                               tombstones=L.read_tombstones(spark, led.tombstones))
         listing = list_all_objects(spark, a.root, a.suffix, a.prefix)
         out = jobs.sync_registry(spark, view, listing, led, a.allow_mass_delete, a.max_share)
+    elif a.cmd == "status":
+        led = L.Ledgers(a.state)
+        status = R.read_table(spark, led.status)
+        runs = []
+        if status is not None:
+            written = F.col("ok") & ~F.col("skipped")
+            per_run = status.groupBy("run_no").agg(
+                F.count(F.lit(1)).alias("n_rows"), F.count_if(written).alias("n_ok"),
+                F.count_if(F.col("skipped")).alias("n_skipped"), F.count_if(~F.col("ok")).alias("n_failed"))
+            # The latest runs only: a bounded number of small rows.
+            runs = [r.asDict() for r in per_run.orderBy(F.col("run_no").desc()).limit(a.last).collect()]
+        out = {"runs": runs}
+        if a.ctx:
+            out["last_run_no"], out["high_water"] = L.last_bookmark(spark, led.bookmarks, a.ctx)
     elif a.cmd == "save":
         out = jobs.save_documents(spark, spark.read.parquet(a.registry),
                                   spark.read.parquet(a.ids_table).select("id"), a.out,

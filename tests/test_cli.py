@@ -45,6 +45,9 @@ def test_cli_incremental(spark, tmp_root, capsys):
     assert _run(capsys, *args)["counts"]["n_ok"] == 3
     assert sorted(os.listdir(out)) == ["binder_0.pdf", "binder_1.pdf", "binder_2.pdf"]
     assert _run(capsys, *args)["counts"]["n_rows"] == 0
+    st = _run(capsys, "status", "--state", f"{tmp_root}/state", "--ctx", "c")
+    assert st["runs"] == [{"run_no": 1, "n_rows": 3, "n_ok": 3, "n_skipped": 0, "n_failed": 0}]
+    assert st["last_run_no"] == 1 and st["high_water"][1] == 8
     rep = _run(capsys, "export-json", "--source", src, "--out", f"{tmp_root}/json", "--ctx", "j",
                "--strategy", "composite", "--key-text", "--state", f"{tmp_root}/jstate")
     assert rep["counts"]["n_rows"] == 9

@@ -26,8 +26,10 @@ def test_no_local_checkpoint_rdd_or_row_udfs():
 
 
 def test_collects_are_the_bounded_ones():
-    # One count per partition, for the row numbering offsets.
-    assert [h.split(":")[0] for h in _hits(r"\.collect\(\)")] == ["operators/batching.py"]
+    # One count per partition, for the row numbering offsets; the command
+    # line's status report of the latest N runs (limit, then collect).
+    assert [h.split(":")[0] for h in _hits(r"\.collect\(\)")] == ["__main__.py", "operators/batching.py"]
+    assert ".limit(a.last).collect()" in open(os.path.join(PKG, "__main__.py")).read()
 
 
 def test_local_temp_folder_only_when_no_checkpoint_dir_is_set():
