@@ -36,14 +36,19 @@ def new_objects(listing: DataFrame, existing: DataFrame, key: str = "key",
 
 
 def new_objects_by_probe(listing: DataFrame, existing: DataFrame, key: str = "key",
-                         existing_key: str = "key") -> DataFrame:
+                         existing_key: str = "key", n_listing: int | None = None) -> DataFrame:
     """:func:`new_objects` for a listing small enough to broadcast (a stream's
     micro-batch, a small new arrival): the listing's keys are broadcast and the
     existing keys are scanned once against them - no shuffle of the (large)
-    existing side. The caller proves the size bound (``checked_broadcast``)."""
+    existing side. The listing is counted (unless ``n_listing`` is given);
+    above ``BROADCAST_MAX_ROWS`` this falls back to :func:`new_objects`."""
+    n = listing.count() if n_listing is None else n_listing
+    if n > BROADCAST_MAX_ROWS:
+        return new_objects(listing, existing, key, existing_key)
     probe = F.broadcast(listing.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull()).distinct())
     present = (existing.select(F.col(existing_key).alias("_k"))
                .join(probe, "_k", "left_semi").distinct())
+    # present holds at most the listing's keys: within the same bound.
     return listing.join(F.broadcast(present), listing[key] == present["_k"], "left_anti")
 
 

@@ -94,11 +94,10 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     else:
         listed = listing.select("key", "size")
     n_listed = listed.count()
-    if n_listed <= sync.BROADCAST_MAX_ROWS:
-        # Small listing: probe the registry with it, no shuffle of registry keys.
-        new = sync.new_objects_by_probe(listed, reg.select(F.col("filename").alias("key")))
-    else:
-        new = sync.new_objects(listed, R.existing_keys(reg))
+    # A small listing probes the registry (no shuffle of registry keys); a
+    # large one is anti-joined with the registry's distinct keys.
+    new = sync.new_objects_by_probe(listed, reg.select(F.col("filename").alias("key")),
+                                    n_listing=n_listed)
     # One row per key even if a supplied listing repeats one: the guid derives
     # from the key and must stay unique.
     new = new.groupBy("key").agg(F.max("size").alias("size"))

@@ -94,3 +94,11 @@ def test_new_and_orphans_match_python_sets(spark, listed, existing):
     assert sorted(r.key for r in sync.new_objects(L, E).collect()) == want
     assert sorted(r.key for r in sync.new_objects_by_probe(L, E).collect()) == want
     assert sorted(r.key for r in sync.orphans(E, L).collect()) == sorted(set(existing) - set(listed))
+
+
+def test_probe_falls_back_above_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(sync, "BROADCAST_MAX_ROWS", 2)
+    L = spark.createDataFrame([("a",), ("b",), ("c",)], "key string")
+    E = spark.createDataFrame([("b",)], "key string")
+    df = sync.new_objects_by_probe(L, E)
+    assert sorted(r.key for r in df.collect()) == ["a", "c"]
