@@ -54,6 +54,9 @@ def read_objects(spark: SparkSession, root: str, suffix: str | None = None,
 
     For loading whole folders. Zero-length bodies are dropped (pushed into the
     file source as a ``length`` filter, so those files are never opened).
+    Spark's file index keeps the file list on the driver; for a store of many
+    millions of objects use :func:`list_all_objects` with
+    :func:`blobferry.sources.blobs.read_bodies`, as ``load_new`` does.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if suffix:
