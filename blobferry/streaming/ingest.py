@@ -24,6 +24,13 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
+def _committed_rows(spark: SparkSession, sink_path: str) -> int:
+    from blobferry.sources.registry import read_table
+
+    df = read_table(spark, sink_path)
+    return 0 if df is None else df.count()
+
+
 def ingest_new_objects(spark: SparkSession, root: str, sink_path: str, checkpoint: str,
                        suffix: str | None = None, max_files_per_trigger: int | None = None,
                        timeout_s: float | None = None, max_file_age: str | None = None) -> dict:
@@ -49,6 +56,7 @@ def ingest_new_objects(spark: SparkSession, root: str, sink_path: str, checkpoin
         F.col("length").alias("size"),
         K.body_sha1("content").alias("sha1"),
         F.col("modificationTime").alias("mtime"))
+    rows_before = _committed_rows(spark, sink_path)
     # Each micro-batch re-reads the status of its files; with the default
     # (10000) Spark starts one task per file for that. One task per core of
     # the cluster is enough; the setting is put back when the run ends.
@@ -69,9 +77,10 @@ def ingest_new_objects(spark: SparkSession, root: str, sink_path: str, checkpoin
             spark.conf.unset(conf_key)
         else:
             spark.conf.set(conf_key, before)
-    progress = [p for p in q.recentProgress]
-    return {"batches": len(progress),
-            "rows": int(sum(p.get("numInputRows", 0) for p in progress))}
+    # Rows committed by this run, read from the sink's own log (the query's
+    # progress list keeps only its latest updates).
+    after = _committed_rows(spark, sink_path)
+    return {"batches": len(q.recentProgress), "rows": after - rows_before}
 
 
 def stream_into_registry(spark: SparkSession, root: str, registry_path: str, checkpoint: str,
