@@ -19,12 +19,17 @@ from blobferry.session import materialize
 def global_index(df: DataFrame, order: Sequence[str], name: str = "idx",
                  num_partitions: int | None = None) -> DataFrame:
     """0-based position of each row in ascending ``order`` (which must be a
-    total order: add a unique tie-break column if needed)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total order: add a unique tie-break column if needed).
+
+    Without ``num_partitions`` the range partitioning leaves the count to
+    AQE, which only merges neighbouring ranges (so order holds) and sizes
+    them by the data: a hundred keys do not become thousands of tasks and files.
+    """
     order = list(order)
-    tagged = (df.repartitionByRange(n, *[F.col(c) for c in order])
-              .sortWithinPartitions(*order)
+    cols = [F.col(c) for c in order]
+    ranged = (df.repartitionByRange(num_partitions, *cols) if num_partitions
+              else df.repartitionByRange(*cols))
+    tagged = (ranged.sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     # Written once to the shared folder: both passes below see the same

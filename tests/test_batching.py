@@ -21,3 +21,16 @@ def test_batches_of_n(spark):
 def test_empty_input(spark):
     df = spark.range(0, 0).withColumnRenamed("id", "k")
     assert batch_report(df, ["k"], 5).count() == 0
+
+
+def test_global_index_with_many_shuffle_partitions(spark):
+    """AQE may merge the range partitions; neighbours only, so order holds."""
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        keys = random.Random(11).sample(range(10**6), 3000)
+        df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(7)
+        got = {r.k: r.idx for r in global_index(df, ["k"]).collect()}
+        assert got == {k: i for i, k in enumerate(sorted(keys))}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
