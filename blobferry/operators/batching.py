@@ -3,7 +3,8 @@
 ``row_number()`` over an unpartitioned window pulls every row into one task.
 Here the rows are range-partitioned on the order keys, numbered inside each
 partition, and shifted by the row count of all earlier partitions. There is one count per
-partition (a bound we choose), so the offsets travel as a literal array.
+partition (at most ``spark.sql.shuffle.partitions``), so the offsets travel as a
+literal array.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "idx",
     # Written once to the shared folder: both passes below see the same
     # numbering, and a lost executor does not force a re-sort.
     tagged = materialize(tagged, "index")
-    # One count per partition: at most n small rows, so they may come to the
-    # driver and go back as a literal array of offsets.
+    # One count per partition: at most spark.sql.shuffle.partitions small rows,
+    # so they may come to the driver and go back as a literal array of offsets.
     counts = dict(tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
     offsets, run = [], 0
     for pid in range(max(counts, default=-1) + 1):
