@@ -9,6 +9,7 @@
     python -m blobferry save --registry REG --ids-table IDS --out O
     python -m blobferry ingest --root R (--sink S | --registry REG) --checkpoint C
     python -m blobferry status --state STATE [--ctx C]
+    python -m blobferry compact (--state S --new-state S2 | --registry REG --new-registry P [--sync-state S])
 
 A source is a Parquet path, or ``jdbc`` with ``--jdbc-url``, ``--jdbc-table``
 and ``--jdbc-option key=value`` (user, password, driver, ...). Ledgers live in
@@ -142,6 +143,15 @@ def main(argv: list[str] | None = None) -> int:
     stt.add_argument("--ctx", help="bookmark context to report the mark of")
     stt.add_argument("--last", type=int, default=20, help="number of latest runs to show")
 
+    cp = sub.add_parser("compact", help="rewrite a ledger or the registry view to a new path")
+    what = cp.add_mutually_exclusive_group(required=True)
+    what.add_argument("--state", help="job state to compact (status to latest per key)")
+    what.add_argument("--registry", help="registry whose current view is written out")
+    cp.add_argument("--new-state", help="new state folder for the next runs (with --state)")
+    cp.add_argument("--new-registry", help="new registry path (with --registry)")
+    cp.add_argument("--sync-state", help="state of the sync job whose tombstones apply")
+    cp.add_argument("--export-state", help="state of the export job whose successes mark rows")
+
     a = p.parse_args(argv)
     spark = get_session(a.master)
     if not spark.sparkContext.master.startswith("local"):
@@ -199,6 +209,24 @@ def main(argv: list[str] | None = None) -> int:
         out = {"runs": runs}
         if a.ctx:
             out["last_run_no"], out["high_water"] = L.last_bookmark(spark, led.bookmarks, a.ctx)
+    elif a.cmd == "compact":
+        if a.state:
+            if not a.new_state:
+                p.error("--state needs --new-state")
+            old, new = L.Ledgers(a.state), L.Ledgers(a.new_state)
+            L.compact_status(spark, old.status, new.status)
+            for path_old, path_new in ((old.bookmarks, new.bookmarks), (old.tombstones, new.tombstones)):
+                kept = R.read_table(spark, path_old)
+                if kept is not None:
+                    kept.write.mode("errorifexists").parquet(path_new)
+            out = {"state": a.new_state}
+        else:
+            if not a.new_registry:
+                p.error("--registry needs --new-registry")
+            tomb = L.read_tombstones(spark, L.Ledgers(a.sync_state).tombstones) if a.sync_state else None
+            oks = L.ok_guids(spark, L.Ledgers(a.export_state).status) if a.export_state else None
+            view = R.current_view(spark.read.parquet(a.registry), ok_ledger=oks, tombstones=tomb)
+            out = {"registry": R.compact(view, a.new_registry)}
     elif a.cmd == "save":
         out = jobs.save_documents(spark, spark.read.parquet(a.registry),
                                   spark.read.parquet(a.ids_table).select("id"), a.out,

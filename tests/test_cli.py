@@ -31,6 +31,13 @@ def test_cli_round_trip(spark, tmp_root, capsys):
     os.remove(f"{objs}/a.pdf")
     rep = _run(capsys, "sync", "--registry", reg, "--root", objs, "--state", state + "/sync")
     assert rep["counts"] == {"existing": 2, "orphans": 1}
+    # Compaction: the view (tombstones applied, exports marked) to a new path.
+    rep = _run(capsys, "compact", "--registry", reg, "--new-registry", f"{tmp_root}/registry-v2",
+               "--sync-state", state + "/sync", "--export-state", state + "/push")
+    rows = spark.read.parquet(rep["registry"]).collect()
+    assert [(r.filename, r.uploaded_to_s3) for r in rows] == [("d/b.pdf", True)]
+    rep = _run(capsys, "compact", "--state", state + "/push", "--new-state", f"{tmp_root}/push-v2")
+    assert spark.read.parquet(rep["state"] + "/status").count() == 2
 
 
 def test_cli_incremental(spark, tmp_root, capsys):
@@ -45,6 +52,9 @@ def test_cli_incremental(spark, tmp_root, capsys):
     assert _run(capsys, *args)["counts"]["n_ok"] == 3
     assert sorted(os.listdir(out)) == ["binder_0.pdf", "binder_1.pdf", "binder_2.pdf"]
     assert _run(capsys, *args)["counts"]["n_rows"] == 0
+    _run(capsys, "compact", "--state", f"{tmp_root}/state", "--new-state", f"{tmp_root}/state2")
+    again = args[:-1] + [f"{tmp_root}/state2"]
+    assert _run(capsys, *again)["counts"]["n_rows"] == 0  # the mark moved with the state
     st = _run(capsys, "status", "--state", f"{tmp_root}/state", "--ctx", "c")
     assert st["runs"] == [{"run_no": 1, "n_rows": 3, "n_ok": 3, "n_skipped": 0, "n_failed": 0}]
     assert st["last_run_no"] == 1 and st["high_water"][1] == 8
