@@ -102,3 +102,18 @@ def test_probe_falls_back_above_the_bound(spark, monkeypatch):
     E = spark.createDataFrame([("b",)], "key string")
     df = sync.new_objects_by_probe(L, E)
     assert sorted(r.key for r in df.collect()) == ["a", "c"]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b"]),
+                          st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 10**6)),
+                min_size=1, max_size=60, unique_by=lambda r: r[2]))
+def test_latest_per_key_matches_python(spark, rows):
+    df = spark.createDataFrame(rows, "key string, m bigint, id bigint")
+    got = {r.key: (r.m, r.id) for r in sync.latest_per_key(df, "key", ["m", "id"], []).collect()}
+    want = {}
+    for k, m, i in rows:  # nulls sort lowest, as in Spark's struct order
+        rank = (m is not None, m if m is not None else 0, i)
+        if k not in want or rank > want[k][0]:
+            want[k] = (rank, (m, i))
+    assert got == {k: v for k, (_, v) in want.items()}
