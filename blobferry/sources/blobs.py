@@ -25,6 +25,8 @@ BODY_FIELDS = [T.StructField("content", T.BinaryType()), T.StructField("size", T
 # disks get one thread).
 OUTPUT_BATCH_BYTES = 64 << 20
 IO_THREADS = 8
+# Largest body one row can hold (a Spark binary value, an Arrow batch slot).
+MAX_BODY_BYTES = (1 << 31) - 1
 
 
 def _fetch(fs, base: str, key, max_bytes: int | None):
@@ -43,12 +45,14 @@ def _fetch(fs, base: str, key, max_bytes: int | None):
 
 
 def read_bodies(keys: DataFrame, root: str, key: str = "key",
-                max_bytes: int | None = None, io_threads: int | None = None) -> DataFrame:
+                max_bytes: int | None = MAX_BODY_BYTES, io_threads: int | None = None) -> DataFrame:
     """Rows of ``keys`` (all columns kept) plus content, size, ok, error.
 
     Each task fetches its keys with ``io_threads`` requests in flight and
     yields output in pieces of at most ``OUTPUT_BATCH_BYTES`` of bodies, so a
-    batch of many keys never becomes one huge frame in memory.
+    batch of many keys never becomes one huge frame in memory. An object over
+    ``max_bytes`` (by default the most one row can hold) becomes an error row
+    instead of failing the task.
     """
     out_schema = T.StructType(list(keys.schema.fields) + BODY_FIELDS)
     local = "://" not in root or root.startswith("file:")

@@ -47,6 +47,8 @@ def test_read_bodies_keeps_failures_per_key(spark, tmp_root):
     assert got["x/a.pdf"].ok and bytes(got["x/a.pdf"].content) == b"AAA" and got["x/a.pdf"].n == 1
     assert not got["x/missing.pdf"].ok and got["x/missing.pdf"].error
     assert not got["../a.pdf"].ok
+    capped = {r.key: r for r in read_bodies(keys, tmp_root, max_bytes=2).collect()}
+    assert not capped["x/a.pdf"].ok and "above limit" in capped["x/a.pdf"].error
 
 
 def test_listings_hidden_empty_and_suffix(spark, tmp_root):
