@@ -51,6 +51,11 @@ def get_session(master: str | None = None, app_name: str = "blobferry",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one process (``local`` masters, not ``local-cluster``)."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a local one only if unset."""
     sc = spark.sparkContext
@@ -60,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         # Unset: a local run or a test. Make our own folder.
         configured = tempfile.mkdtemp(prefix="blobferry-ckpt-")
     sc.setCheckpointDir(configured)
@@ -123,3 +130,14 @@ def ship_to_executors(spark: SparkSession) -> str:
         out.write(buf.getvalue())
     spark.sparkContext.addPyFile(target)
     return target
+
+
+_SHIPPED: set = set()
+
+
+def ship_once(spark: SparkSession) -> None:
+    """Ship the package once per Spark application; local masters share the driver's path."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED and not is_local(spark):
+        ship_to_executors(spark)
+    _SHIPPED.add(app)
