@@ -26,7 +26,8 @@ BUCKETS = 1 << 18
 SHAPES = 8
 SAMPLE = 20_000
 STEPS = 300
-L2 = 0.02
+L2 = 0.1
+SIGNIFICANT, MIN_DOCS = 4.5, 5
 MAX_GROUPS = 200_000  # priors joined by broadcast up to this count, else shuffled
 _STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -61,38 +62,50 @@ class Classifier:
         return self.log_odds_of(features(text), target)
 
     def log_odds_of(self, f, target: str) -> float:
-        import numpy as np
-
         w, s, b = self.weights[target]
         ids, shape = f
-        return float(w[ids].sum() / math.sqrt(max(1, len(ids))) * 4 + shape @ s + b) if np.isfinite(b) else 0.0
+        return float(w[ids].sum() + shape @ s + b)
 
 
 def fit_logistic(rows: list, y) -> tuple:
-    """Weights by Adam on all ``rows`` at once, with an L2 penalty."""
+    """Weights by Adam on all ``rows`` at once, with an L2 penalty. Only words whose
+    share of documents differs between the classes beyond chance have a weight:
+    most words of a vocabulary are rare and would be learned by heart."""
     import numpy as np
 
     if len(rows) == 0 or y.min() == y.max():  # one class only: its smoothed rate for everyone
         p = (y.sum() + 0.5) / (len(rows) + 1)
         return np.zeros(BUCKETS, np.float32), np.zeros(SHAPES), math.log(p / (1 - p))
     n = np.array([len(i) for i, _ in rows])
-    ids = np.concatenate([i for i, _ in rows])
-    used, at = np.unique(ids, return_inverse=True)
-    doc = np.repeat(np.arange(len(rows)), n)
-    scale = np.repeat(4 / np.sqrt(np.maximum(1, n)), n)
+    ids, doc = np.concatenate([i for i, _ in rows]), np.repeat(np.arange(len(rows)), n)
+    n1, n0 = y.sum(), len(y) - y.sum()
+    in1 = np.bincount(ids, y[doc], BUCKETS)
+    df = np.bincount(ids, minlength=BUCKETS)
+    share = df / len(y)
+    gap = in1 / n1 - (df - in1) / n0
+    z = np.abs(gap) / np.sqrt(np.maximum(share * (1 - share) * (1 / n1 + 1 / n0), 1e-12))
+    used = np.flatnonzero((z >= SIGNIFICANT) & (df >= MIN_DOCS))
+    number = np.full(BUCKETS, -1)
+    number[used] = np.arange(len(used))
+    keep = number[ids] >= 0
+    at, doc = number[ids[keep]], doc[keep]
     shape = np.stack([s for _, s in rows])
+    mean, spread = shape.mean(axis=0), shape.std(axis=0) + 1e-6
+    shape = (shape - mean) / spread
     w = np.zeros(len(used) + SHAPES + 1)
+    w[-1] = math.log(n1 / n0)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
-        z = np.bincount(doc, w[at] * scale, len(rows)) + shape @ w[len(used):-1] + w[-1]
-        e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(rows)
-        g = np.r_[np.bincount(at, e[doc] * scale, len(used)), shape.T @ e, e.sum()]
+        f = np.bincount(doc, w[at], len(rows)) + shape @ w[len(used):-1] + w[-1]
+        e = (1 / (1 + np.exp(-np.clip(f, -30, 30))) - y) / len(rows)
+        g = np.r_[np.bincount(at, e[doc], len(used)), shape.T @ e, e.sum()]
         g[:-1] += L2 / len(rows) * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.05 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-9)
     word = np.zeros(BUCKETS, np.float32)
     word[used] = w[:len(used)]
-    return word, w[len(used):-1], float(w[-1])
+    s = w[len(used):-1] / spread
+    return word, s, float(w[-1] - mean @ s)
 
 
 def train(docs: DataFrame, labels: DataFrame, targets=("quality", "toxic"), id_col="doc_id", text_col="text",

@@ -95,11 +95,11 @@ ORACLES = {
         WITH w AS (
           SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS ws FROM documents),
+                   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
         bw AS (
           SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS ws FROM benchmark),
+                   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM benchmark),
         win AS (
           SELECT DISTINCT item_id, least(10, len(ws)) AS n, array_to_string(ws[i:i + 9], ' ') AS gram
           FROM (SELECT item_id, ws, unnest(range(1, greatest(1, len(ws) - 9) + 1)) AS i FROM bw WHERE len(ws) > 0)),
