@@ -26,6 +26,7 @@ MIN_REVISIT = 100
 ROLL_BYTES = 256 << 20   # a task starts a new archive beyond this size
 GAP_BYTES = 64 << 10     # ranges closer than this are read as one
 READ_BYTES = 8 << 20     # largest merged read, one record at least
+TASK_BYTES = 64 << 20    # archive bytes that one task reads, about
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
 INDEX = T.StructType([T.StructField(n, t) for n, t in (
@@ -161,8 +162,11 @@ def _read(batches):
 
 def read_archives(selected: DataFrame) -> DataFrame:
     """Records of the selected index rows (``archive, offset, length``): sorted by
-    range, so that each task reads a stretch of few archives in large merged reads."""
-    rows = selected.select("archive", "offset", "length").repartitionByRange("archive", "offset") \
+    range, so that each task reads a stretch of few archives in large merged reads.
+    Tasks are sized by the bytes they fetch, not by the size of their index rows."""
+    total = selected.agg(F.sum("length")).first()[0] or 0
+    rows = selected.select("archive", "offset", "length") \
+        .repartitionByRange(max(1, -(-total // TASK_BYTES)), "archive", "offset") \
         .sortWithinPartitions("archive", "offset")
     return rows.mapInArrow(_read, RECORDS)
 
