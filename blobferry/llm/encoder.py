@@ -1,11 +1,12 @@
 """Whole-text encoding with the ``tokenizers`` library inside Spark tasks.
 
-A byte-level BPE splits a text into pre-tokens before it merges bytes, and a
-space after a non-space always starts a new pre-token. So a text is cut at
-those spaces, each distinct piece is encoded once by the library, and the ids
-of a text are the ids of its pieces in order: the same ids as encoding the
-whole text (tested). Tokenizers with another pre-tokenizer, or with a
-normalizer, encode whole texts.
+A byte-level BPE splits a text into pre-tokens before it merges bytes. A space
+after a non-space always starts a new pre-token, a newline between non-spaces
+is one by itself, and so are marks after a letter or digit. So a text is cut
+there, each distinct piece is encoded once by the library, and the ids of a
+text are the ids of its pieces in order: the same ids as encoding the whole
+text (tested). Tokenizers with another pre-tokenizer, or with a normalizer,
+encode whole texts.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ import json
 import os
 import re
 
-CACHE_PIECES = 400_000  # distinct pieces held per Python worker; a full cache is emptied
+CACHE_PIECES = 700_000  # newest distinct pieces of each kind held per Python worker, and as many older ones
 _CUT = re.compile(r"(?<=\S)(?= )")
-_SPACE_PAIR = re.compile(r"\s ")
+_BLANKS = re.compile(r"\s[\n ]|\n\s")
+_MARKS = re.compile(r"(.*[^\W_])((?:[^\w\s']|_)+)", re.S)  # an apostrophe may start a contraction
 _ENCODERS: dict = {}
 
 
@@ -33,48 +35,73 @@ class Encoder:
                          and pre.get("use_regex", True) and not pre.get("add_prefix_space"))
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
         self.dtype = "<u2" if self.width == 2 else "<u4"
-        self.first: dict = {}
-        self.rest: dict = {}
+        self.new, self.old = {}, {}  # two generations of pieces; the older goes when the newer is full
 
-    def _fill(self, cache: dict, pieces: set, lead: str) -> None:
+    def ids(self, texts: list) -> list[bytes]:
         import numpy as np
 
-        new = [p for p in pieces if p not in cache]
-        if len(cache) + len(new) > CACHE_PIECES:
-            cache.clear()
-            new = list(pieces)
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for p, e in zip(part, self.tok.encode_batch_fast([lead + p for p in part],
-                                                             add_special_tokens=False)):
-                cache[p] = np.array(e.ids, self.dtype).tobytes()
+        return [np.array(e.ids, self.dtype).tobytes()
+                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list) -> list[bytes]:
         """Ids of each text as little-endian bytes of ``dtype``; null is an empty text."""
-        import numpy as np
-
         if not self.by_piece:
-            return [np.array(e.ids, self.dtype).tobytes() for e in
-                    self.tok.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+            return self.ids([t or "" for t in texts])
         out: list[bytes] = []
         for i in range(0, len(texts), 256):  # a long text is one entry, so a chunk stays near its texts' size
-            split, first, rest = [], set(), set()
+            flat: list = []
+            ends = []
             for t in texts[i:i + 256]:
-                t = t or ""
-                if "  " in t or "\n " in t or _SPACE_PAIR.search(t):
-                    cut = _CUT.split(t)
-                    p = [cut[0], *(c[1:] for c in cut[1:])]
-                else:
-                    p = t.split(" ")
-                split.append(p)
-                first.add(p[0])
-                rest.update(p[1:])
-            self._fill(self.first, first, "")
-            self._fill(self.rest, rest, " ")
-            f, r = self.first, self.rest
-            out += [f[p[0]] + b"".join([r[x] for x in p[1:]]) for p in split]
+                flat += pieces(t or "")
+                ends.append(len(flat))
+            if len(self.new) > CACHE_PIECES:
+                self.new, self.old = {}, self.new
+            found = list(map(self.new.get, flat))  # one look at most pieces
+            miss = [k for k, raw in enumerate(found) if raw is None]
+            if miss:
+                self._fill({flat[k] for k in miss})
+                for k in miss:
+                    found[k] = self.new[flat[k]]
+            out += [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
         return out
 
+    def _fill(self, miss: set) -> None:
+        new, old = self.new, self.old
+        parts = [(p, old.get(p)) for p in miss]
+        new.update((p, raw) for p, raw in parts if raw is not None)
+        parts = [(p, _MARKS.fullmatch(p)) for p, raw in parts if raw is None]
+        marked = [(p, *m.groups()) for p, m in parts if m]
+        whole = [p for p, m in parts if not m]
+        words = {w for _, w, _ in marked}.difference(new, whole)
+        new.update((w, old[w]) for w in words if w in old)
+        whole += words.difference(old)
+        for k in range(0, len(whole), 20_000):
+            part = whole[k:k + 20_000]
+            new.update(zip(part, self.ids([source(p) for p in part])))
+        marks = list({x for _, _, x in marked})
+        of = dict(zip(marks, self.ids(marks)))
+        for p, w, x in marked:
+            new[p] = new[w] + of[x]
+
+
+def pieces(t: str) -> list[str]:
+    """Pieces of a text. One that starts with NUL stands for what follows it, one that
+    starts with a newline for itself, any other for a space and itself."""
+    if "\0" in t:
+        return ["\0" + t]
+    if "  " in t or "\n\n" in t or "\n " in t or " \n" in t or t[-1:] == "\n" or t[:1] == "\n" \
+            or not (t.isascii() and "\t" not in t and "\r" not in t and "\v" not in t and "\f" not in t) \
+            and _BLANKS.search(t):
+        cut = _CUT.split(t)
+        return ["\0" + cut[0], *("\0" + c if c[1:2] in ("\n", "\0") else c[1:] for c in cut[1:])]
+    p = t.replace("\n", " \n").split(" ")
+    p[0] = "\0" + p[0]
+    return p
+
+
+def source(piece: str) -> str:
+    return piece[1:] if piece[:1] == "\0" else piece if piece[:1] == "\n" else " " + piece
+
 
 def encoder(spec: str) -> Encoder:
     """The worker's encoder for a tokenizer file's text; built once per worker."""

@@ -1,0 +1,152 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from blobferry.llm import language, quality, secrets
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def halves(corpus):
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    return corpus.where(h == 0), corpus.where(h == 1)
+
+
+@pytest.fixture(scope="module")
+def lang_model(halves):
+    return language.train(halves[0])
+
+
+def test_language_held_out_accuracy(halves, lang_model):
+    rows = language.identify(halves[1], lang_model).select("lang", "language", "accepted").collect()
+    assert sum(r["lang"] == r["language"] for r in rows) >= 0.98 * len(rows)
+    assert sum(r["accepted"] for r in rows) >= 0.98 * len(rows)  # clean documents stay
+
+
+def test_language_evidence_is_fused(spark, lang_model):
+    de = "der und die nicht mit ein zu auf für ist den des im sich eine dem"
+    rows = [(i, de, "de", "a.example.de") for i in range(40)] + [(100, "", None, "a.example.de"), (101, None, "de", None),
+            (102, "", None, "b.example.de"), (103, "", None, None), (104, "\x01\x02\x03\x04" * 50, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, declared string, host string") \
+        .withColumn("suffix", language.suffix_of(F.col("host")))
+    out = {r["doc_id"]: r for r in language.identify(df, lang_model, declared_col="declared", host_col="host",
+                                                     suffix_col="suffix").collect()}
+    assert out[0]["language"] == "de" and out[0]["posterior"] > 0.99
+    assert out[100]["language"] == "de"  # its host speaks German
+    assert out[101]["language"] == "de"  # it says so
+    assert out[102]["language"] == "de" and out[102]["posterior"] < out[100]["posterior"] + 1e-9  # its suffix, a weaker prior
+    assert out[104]["language"] is None and not out[104]["accepted"]  # noise
+
+
+def test_language_odd_rows(spark, odd, empty, lang_model):
+    out = language.identify(odd, lang_model, declared_col="lang", host_col="source")
+    assert out.columns == odd.columns + ["_language", "posterior", "accepted"]
+    assert out.count() == odd.count()
+    assert language.identify(empty, lang_model).count() == 0
+    none = language.train(empty)
+    assert none.langs == [] and not any(r["accepted"] for r in language.identify(odd, none).collect())
+
+
+def test_markup_and_address(spark):
+    rows = [('<!DOCTYPE html><html class="x" lang="de-AT">', "https://www.A.example.de:80/x?y"), ("<html lang=fr>", "nothing"),
+            ("<html>", None), (None, "ftp://h"), ("", "")]
+    df = spark.createDataFrame(rows, "html string, url string")
+    got = df.select(language.declared_in_markup(F.col("html")).alias("d"), language.host_of(F.col("url")).alias("h"),
+                    language.suffix_of(language.host_of(F.col("url"))).alias("s")).collect()
+    assert [tuple(r) for r in got] == [("de", "www.a.example.de", "de"), ("fr", None, None), (None, None, None),
+                                       (None, "h", None), (None, None, None)]
+
+
+def test_quality_held_out_accuracy(spark):
+    big = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(3))
+    model = quality.train(docs, labels.where(h > 0))
+    rows = quality.judge(docs, model, host_col="source").join(labels.where(h == 0), "doc_id") \
+        .select("quality", "toxic", "p_quality", "p_toxic").collect()
+    good = [(r["p_quality"] >= 0.5) == (r["quality"] == 1) for r in rows]
+    assert sum(good) >= 0.98 * len(good)
+    toxic = [r["p_toxic"] >= 0.5 for r in rows if r["toxic"]]
+    clean = [r["p_toxic"] < 0.5 for r in rows if not r["toxic"]]
+    assert sum(toxic) >= 0.75 * len(toxic) and sum(clean) >= 0.99 * len(clean)
+
+
+def test_quality_shrinks_sparse_groups(spark):
+    """A long-standing bad host pulls an unclear document down; a host of one document does not."""
+    model = quality.Classifier({t: (quality.np_zeros(), [0.0] * quality.SHAPES, 0.0) for t in ("quality", "toxic")})
+    bad, good = "badword", "goodword"
+    for w, x in ((bad, -6.0), (good, 6.0)):
+        ids, _ = quality.features(w)
+        model.weights["quality"][0][ids] = x
+    rows = [(i, bad, "bad.example", None) for i in range(50)] + [(i + 50, good, "good.example", "/a") for i in range(50)] \
+        + [(200, "plain", "bad.example", None), (201, "plain", "good.example", "/a"), (202, "plain", "new.example", "/b"),
+           (203, "plain", None, None), (204, None, "bad.example", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, host string, path string")
+    p = {r["doc_id"]: r["p_quality"] for r in quality.posterior(df, model, host_col="host", path_col="path").collect()}
+    assert p[200] < 0.2 < 0.4 < p[202] < 0.6 < 0.8 < p[201]
+    assert abs(p[203] - p[202]) < 0.1 and p[204] < 0.2
+
+
+def test_quality_odd_rows(spark, odd, empty):
+    labels = spark.createDataFrame([(1, 1, 0), (4, 0, None), (None, 1, 1), (8, None, None)], "doc_id long, quality int, toxic int")
+    model = quality.train(odd, labels)
+    out = quality.judge(odd, model, host_col="source", path_col="lang")
+    assert out.columns == odd.columns + ["p_quality", "p_toxic", "_kept"] and out.count() == odd.count()
+    assert quality.judge(empty, model).count() == 0
+    assert quality.judge(odd, quality.train(empty, labels.limit(0))).count() == odd.count()
+
+
+def test_secrets_are_found_and_plain_words_are_not(corpus):
+    rows = secrets.scan(corpus, path_col="source").collect()
+    tokens = [r for r in rows if len(r["candidate"]) == 40 and not r["candidate"].strip("0123456789abcdefABCDEF")]
+    assert tokens and all(r["is_secret"] for r in tokens)
+    words = [r for r in rows if r["candidate"].isalpha()]
+    assert words and not any(r["is_secret"] for r in words)
+
+
+def test_secrets_generalise_to_findings_without_their_name(spark, corpus):
+    """Trained on the seed labels, the forest also takes bare keys and drops named prose."""
+    text = 'see 9f8a77c01be2d3345a6b7c8d9e0f112233445566 and key = "thenthatwithfromthatandthe" here'
+    df = corpus.select("doc_id", "text", "source").unionAll(spark.createDataFrame(
+        [(10_000_000, text, "src")], "doc_id long, text string, source string"))
+    found = secrets.with_features(secrets.candidates(df, path_col="source"), secrets.word_counts(df))
+    own = found.where("doc_id = 10000000").orderBy("nth").collect()
+    assert [r["candidate"][:4] for r in own] == ["9f8a", "then"]
+    assert own[1]["f_assigned"] == 1 and own[1]["f_quoted"] == 1 and own[0]["f_hex"] == 1 and own[0]["before"] == "see "
+
+
+def test_secrets_odd_rows(spark, odd, empty):
+    out = secrets.scan(odd)
+    assert out.columns == ["doc_id", "nth", "candidate", "before", "score", "is_secret"] and out.count() == 0
+    assert secrets.scan(empty).count() == 0
+    rows = [(None, 'token = "abc123abc123abc123ab" x', None), (1, 'token = "abc123abc123abc123ab" x', None), (2, "A" * 100_000, "p/test"),
+            (1, 'token = "abc123abc123abc123ab" x', None), (3, "q1W2 " * 50_000 + "9" * 20, "x")]
+    df = spark.createDataFrame([(*r, 1.0) for r in rows], "doc_id long, text string, path string, score double")
+    got = secrets.scan(df, path_col="path").collect()
+    assert len(got) == 5 and sum(r["is_secret"] for r in got) >= 3
+    assert {len(r["candidate"]) for r in got if r["doc_id"] == 2} == {100_000}
+
+
+def test_secrets_without_both_classes_fall_back(spark):
+    df = spark.createDataFrame([(1, "onlyplainwordshereandnothingelse")], "doc_id long, text string")
+    r = secrets.scan(df).collect()
+    assert [(x["score"], x["is_secret"]) for x in r] == [(0.0, False)]
+
+
+def test_subpackage_uses_no_forbidden_means():
+    import blobferry.llm as pkg
+
+    folder = os.path.dirname(pkg.__file__)
+    for name in os.listdir(folder):
+        if name.endswith(".py"):
+            text = open(os.path.join(folder, name)).read()
+            assert "localCheckpoint" not in text and ".rdd" not in text and "crossJoin" not in text, name
+    native = open(os.path.join(folder, "secrets.py")).read()
+    assert "pandas" not in native.lower() and "mapIn" not in native and "udf" not in native and "arrow" not in native.lower()

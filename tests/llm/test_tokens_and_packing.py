@@ -1,0 +1,144 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from blobferry.llm import packing, queries, token_files
+from blobferry.llm.encoder import encoder, read_spec
+
+
+@pytest.fixture(scope="module")
+def tok():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(queries.tokenizer_path())
+    t.encode_special_tokens = True
+    return t
+
+
+def whole(tok, text, end):
+    return tok.encode(text or "", add_special_tokens=False).ids + [end]
+
+
+def test_piecewise_ids_equal_whole_text_ids(tok):
+    texts = ["", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "\n a", "x  y", "tab\t z", "é ü  ", "don't  stop\n\n now",
+             "<|endoftext|> in <|endoftext|>", "　 wide", "a  b", "end \n", " \n lead", "1 22  333", "a\r\n b"]
+    enc = encoder(read_spec(queries.tokenizer_path()))
+    for t, raw in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(raw, enc.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+@pytest.mark.parametrize("values", [[], [0], [0, 0, 0], [5, 5, 9], list(range(1000)), [0, 2 ** 40, 2 ** 40, 2 ** 62],
+                                    sorted(np.random.default_rng(1).integers(0, 10 ** 6, 3000).tolist())])
+def test_elias_fano_round_trip_and_select(values):
+    ef = token_files.EliasFano.load(token_files.EliasFano.build(values).dump())
+    assert ef.slice(0, len(values)).tolist() == values
+    for i in range(0, len(values), max(1, len(values) // 50)):
+        assert ef.get(i) == values[i]
+        assert ef.slice(i, i + 300).tolist() == values[i:i + 300]
+
+
+def test_elias_fano_is_near_minimal():
+    v = np.cumsum(np.random.default_rng(2).integers(1, 2000, 20_000))
+    bits = 8 * len(token_files.EliasFano.build(v).dump()) / len(v)
+    assert bits < 2 + np.log2(v[-1] / len(v)) + 0.5
+
+
+def check_tokens(rows, expected):
+    """Rows in order of start against (doc_id, ids) in the order of the files."""
+    rows = sorted(rows, key=lambda r: r["start"])
+    keys = [r["doc_id"] for r in rows]
+    assert keys == sorted(keys, key=lambda x: (x is not None, x or 0))
+    at = 0
+    for r in rows:
+        assert r["start"] == at
+        at += r["n_tokens"]
+        assert len(r["ids"]) == 4 * r["n_tokens"]
+    got = sorted((str(r["doc_id"]), bytes(r["ids"])) for r in rows)
+    assert got == sorted((str(i), np.array(ids, "<u4").tobytes()) for i, ids in expected)
+
+
+def test_token_files_round_trip(spark, docs, tok):
+    out = token_files.token_files(docs, queries.tokenizer_path(), end_id=2).collect()
+    check_tokens(out, [(r["doc_id"], whole(tok, r["text"], 2)) for r in docs.collect()])
+
+
+def test_token_files_odd_rows(odd, empty, tok):
+    out = token_files.token_files(odd, queries.tokenizer_path(), end_id=70_000).collect()  # an end id above 16 bits
+    check_tokens(out, [(r["doc_id"], whole(tok, r["text"], 70_000)) for r in odd.collect()])
+    assert token_files.token_files(empty, queries.tokenizer_path()).count() == 0
+
+
+def test_shard_random_access(docs, tok):
+    out_dir = token_files.scratch_path(docs.sparkSession, "tokens")
+    parts = token_files.write_tokens(docs, queries.tokenizer_path(), out_dir, 2).orderBy("part").collect()
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    shard = token_files.TokenShard(parts[-1]["path"])
+    for i in (0, shard.n_docs // 2, shard.n_docs - 1):
+        assert shard.doc(i).tolist() == whole(tok, text[shard.doc_ids(i, i + 1)[0]], 2)
+
+
+def check_pieces(rows, expected):
+    by_seq, by_doc = {}, {}
+    for r in rows:
+        by_seq.setdefault(r["sequence_id"], []).append(r)
+        by_doc.setdefault((str(r["doc_id"]), r["doc_tokens"]), []).append(r)
+        assert len(r["ids"]) == 4 * r["length"] > 0
+    for s in by_seq.values():
+        at = 0
+        for r in sorted(s, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= 1024 and (at == 1024 or at & (at - 1) == 0)  # full, or a power of two
+    want = {}
+    for i, ids in expected:
+        want.setdefault((str(i), len(ids)), []).append(ids)
+    assert set(want) == set(by_doc)
+    for k, texts in want.items():
+        assert sum(r["length"] for r in by_doc[k]) == sum(map(len, texts))
+        if len(texts) == 1:
+            raw = b"".join(bytes(r["ids"]) for r in sorted(by_doc[k], key=lambda r: r["start"]))
+            assert zlib.crc32(raw) == zlib.crc32(np.array(texts[0], "<u4").tobytes())
+
+
+def test_packing_covers_every_id_once(docs, tok):
+    out = packing.pack(docs, queries.tokenizer_path()).collect()
+    check_pieces(out, [(r["doc_id"], whole(tok, r["text"], 0)) for r in docs.collect()])
+
+
+def test_packing_odd_rows(odd, empty, tok):
+    out = packing.pack(odd, queries.tokenizer_path()).collect()
+    check_pieces(out, [(r["doc_id"], whole(tok, r["text"], 0)) for r in odd.collect()])
+    assert packing.pack(empty, queries.tokenizer_path()).count() == 0
+
+
+def test_packing_small_blocks_keep_whole_results(docs, tok, monkeypatch):
+    monkeypatch.setattr(packing, "KEY_ROWS", 7)
+    out = packing.pack(docs, queries.tokenizer_path(), window=1024).collect()
+    check_pieces(out, [(r["doc_id"], whole(tok, r["text"], 0)) for r in docs.collect()])
+
+
+def test_bm25_ranking_equals_brute_force():
+    rng = np.random.default_rng(3)
+    texts = [rng.zipf(1.5, int(n)).clip(0, 400).astype(np.uint16) for n in rng.integers(5, 200, 60)]
+    n, mean = len(texts), np.mean([len(t) for t in texts])
+    df = {}
+    for t in texts:
+        for x in set(t.tolist()):
+            df[x] = df.get(x, 0) + 1
+    index = packing.Block(texts, packing.idf_table(n, df), mean)
+
+    def score(q, d):
+        out = 0.0
+        for x in set(q.tolist()):
+            idf = np.log((n - df[x] + 0.5) / (df[x] + 0.5))
+            tf = np.count_nonzero(d == x)
+            if idf > 0:
+                out += idf * tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * len(d) / mean))
+        return out
+
+    for i in (0, 7, 31):
+        s = [score(texts[i], d) if j != i else 0 for j, d in enumerate(texts)]
+        got = index.ranked(i)
+        assert len(got) == sum(x > 0 for x in s)
+        assert np.allclose([s[j] for j in got], sorted((x for x in s if x > 0), reverse=True))
