@@ -1,5 +1,6 @@
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,7 +81,7 @@ def test_quality_held_out_accuracy(spark):
 
 def test_quality_shrinks_sparse_groups(spark):
     """A long-standing bad host pulls an unclear document down; a host of one document does not."""
-    model = quality.Classifier({t: (quality.np_zeros(), [0.0] * quality.SHAPES, 0.0) for t in ("quality", "toxic")})
+    model = quality.Classifier({t: (np.zeros(quality.BUCKETS), [0.0] * quality.SHAPES, 0.0) for t in ("quality", "toxic")})
     bad, good = "badword", "goodword"
     for w, x in ((bad, -6.0), (good, 6.0)):
         ids, _ = quality.features(w)
