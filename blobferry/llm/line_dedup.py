@@ -44,9 +44,12 @@ def shingles(line: str) -> set:
     return {line[i:i + SHINGLE] for i in range(len(line) - SHINGLE + 1)}
 
 
-def jaccard(a: set, b: set) -> float:
+def similar(a: set, b: set) -> bool:
+    """Exact Jaccard similarity of at least ``SIMILARITY``; sizes alone rule most pairs out."""
+    if min(len(a), len(b)) < SIMILARITY * max(len(a), len(b)):
+        return False
     both = len(a & b)
-    return both / (len(a) + len(b) - both)
+    return both / (len(a) + len(b) - both) >= SIMILARITY
 
 
 class Signer:
@@ -186,8 +189,11 @@ def _verify(batches):
     import pyarrow as pa
 
     for batch in batches:
-        same = [jaccard(shingles(x), shingles(y)) >= SIMILARITY
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        same, last, sets = [], None, set()
+        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            if y != last:  # the pairs of a line come together
+                last, sets = y, shingles(y)
+            same.append(similar(shingles(x), sets))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())],
                                          names=["a", "b", "same"])
 
@@ -220,7 +226,7 @@ def _compare(batches):
                     for k in (i, j):
                         if k not in sets:
                             sets[k] = shingles(line[k].as_py())
-                    if jaccard(sets[i], sets[j]) >= SIMILARITY:
+                    if similar(sets[i], sets[j]):
                         up[x] = y
                         found.append((lid[i], lid[j]))
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)],
