@@ -107,6 +107,13 @@ def train(rows: DataFrame, text_col: str = "text", label_col: str = "lang") -> M
     return Model(langs, table)
 
 
+def _softmax(logs):
+    import numpy as np
+
+    e = np.exp(logs - logs.max())
+    return e / e.sum()
+
+
 def declared_in_markup(html: Column) -> Column:
     """Primary subtag of the ``lang`` attribute of the ``html`` element, lower case; null without one."""
     tag = F.regexp_extract(F.substring(html, 1, 4096), r"""(?i)<html[^>]*\blang\s*=\s*["']?([a-zA-Z]+)""", 1)
@@ -142,28 +149,20 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col
         return docs.withColumns({lang_c: F.lit(None).cast("string"), post_c: F.lit(0.0), acc_c: F.lit(False)})
     bc = docs.sparkSession.sparkContext.broadcast(model)  # bounded: GRAMS x languages
 
-    @F.pandas_udf("array<double>")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([bc.value.score(t) for t in texts])
+    @F.pandas_udf("struct<ll: array<double>, own: array<double>>")
+    def score(texts: pd.Series) -> pd.DataFrame:
+        rows = [bc.value.score(t) for t in texts]
+        return pd.DataFrame({"ll": rows, "own": [_softmax(r[:-1]) if r.any() else r[:-1] for r in rows]})
 
-    ll = fresh_name(docs.columns, "ll")
-    pr, de = fresh_name(docs.columns, "host_sums"), fresh_name(docs.columns, "declared_odds")
+    ll = fresh_name(docs.columns, "scores")
+    pr = fresh_name(docs.columns, "host_sums")
     host, suffix = (F.col(c).cast("string") if c else F.lit(None).cast("string") for c in (host_col, suffix_col))
     scored = docs.withColumn(ll, score(F.col(text_col)))
 
-    def softmax(logs: Column) -> Column:
-        top = F.array_max(logs)
-        e = F.transform(logs, lambda x: F.exp(x - top))
-        total = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
-        return F.transform(e, lambda x: x / total)
-
     # text-only posteriors, summed per host: narrow rows, partial sums before the shuffle
-    told = F.exists(F.col(ll), lambda x: x != 0)
-    text_post = softmax(F.slice(F.col(ll), 1, k))
-    own = F.when(told, text_post).otherwise(F.array_repeat(F.lit(0.0), k))
     narrow = scored.select(host.alias("host"), suffix.alias("suffix"),
                            (F.col(declared_col) if declared_col else F.lit(None)).cast("string").alias("declared"),
-                           own.alias("p"))
+                           F.col(ll)["own"].alias("p"))
     sums = [F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(k)]
     arr = F.array(*[F.col(f"s{i}") for i in range(k)])
     by = materialize(narrow.groupBy("host", "suffix", "declared").agg(*sums)
@@ -172,13 +171,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col
     total = by.agg(*again).first()
     n_all = sum(x or 0.0 for x in total) or 1.0
     world = [((x or 0.0) + 1.0) / (n_all + k) for x in total]
-    glob = F.array(*[F.lit(x) for x in world])
-
-    def shrunk(sums_: Column, parent: Column, weight: float) -> Column:
-        n = F.aggregate(sums_, F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with(sums_, parent, lambda s, p: (F.greatest(s, F.lit(0.0)) + p * weight) / (n + weight))
-
-    zero = F.array_repeat(F.lit(0.0), k)
+    none = F.lit(None).cast("array<double>")
     hosts = by.groupBy("host", "suffix").agg(*again).select("host", "suffix", arr.alias("h"))
     suffixes = by.groupBy("suffix").agg(*again).select("suffix", arr.alias("x"))
     hosts = materialize(hosts.join(suffixes, hosts["suffix"].eqNullSafe(suffixes["suffix"]))
@@ -187,14 +180,9 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col
     hk = fresh_name(docs.columns, "host_key")
     key = lambda h, s: F.to_json(F.struct(h.alias("h"), s.alias("s")))
     priors = hosts.select(key(F.col("host"), F.col("suffix")).alias(hk),
-                          F.struct(F.when(F.col("host").isNotNull(), F.col("h")).otherwise(zero).alias("h"),
-                                   F.when(F.col("suffix").isNotNull(), F.col("x")).otherwise(zero).alias("x")).alias(pr),
-                          F.col("host").isNotNull().alias(hk + "_h"), F.col("suffix").isNotNull().alias(hk + "_s"))
+                          F.struct(F.when(F.col("host").isNotNull(), F.col("h")).otherwise(none).alias("h"),
+                                   F.when(F.col("suffix").isNotNull(), F.col("x")).otherwise(none).alias("x")).alias(pr))
     out = scored.withColumn(hk, key(host, suffix)).join(broadcast_if_small(priors, MAX_HOSTS), hk, "left")
-    minus = lambda a, take: F.when(take, F.zip_with(a, own, lambda x, y: x - y)).otherwise(a)
-    suffix_prior = shrunk(minus(F.col(pr)["x"], F.col(hk + "_s")), glob, SUFFIX_WEIGHT)
-    prior = shrunk(minus(F.col(pr)["h"], F.col(hk + "_h")), suffix_prior, HOST_WEIGHT)
-
     # P(declared | language) from all rows, smoothed; unknown declarations are one value
     d = F.when(F.col("declared").isin(langs), F.col("declared")).otherwise(F.lit(""))
     rows = by.where("declared is not null").groupBy(d.alias("d")).agg(*again).collect()  # languages + 1 rows at most
@@ -202,21 +190,32 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col
     per_lang = [sum(v[i] for v in seen.values()) for i in range(k)]
     odds = {x: [math.log((seen.get(x, [0.0] * k)[i] + 0.5) / (per_lang[i] + 0.5 * (k + 1))) for i in range(k)]
             for x in [*langs, ""]}
-    out = out.withColumn(de, zero)
-    if declared_col:
-        c = F.col(declared_col).cast("string")
-        e = F.array(*[F.lit(v) for v in odds[""]])
-        for x in langs:
-            e = F.when(c == x, F.array(*[F.lit(v) for v in odds[x]])).otherwise(e)
-        out = out.withColumn(de, F.when(c.isNotNull(), e).otherwise(zero))
-
-    logs = F.zip_with(F.zip_with(F.slice(F.col(ll), 1, k), prior, lambda a, p: a + F.log(p)), F.col(de), lambda a, x: a + x)
-    noise = F.when(told, F.element_at(F.col(ll), -1) + math.log(NONE_PRIOR)).otherwise(F.lit(-1e300))
-    ps = fresh_name(docs.columns, "posteriors")
-    out = out.withColumn(ps, softmax(F.concat(logs, F.array(noise))))
-    at = F.array_position(F.col(ps), F.array_max(ps))
-    names = F.array(*[F.lit(x) for x in langs], F.lit(None).cast("string"))
-    out = out.withColumn(lang_c, F.element_at(names, at.cast("int"))).withColumn(post_c, F.array_max(ps))
+
+    @F.pandas_udf("struct<language: string, posterior: double>")
+    def fuse(scores: pd.DataFrame, sums_: pd.DataFrame, declared: pd.Series) -> pd.DataFrame:
+        import numpy as np
+
+        rows = []
+        for lls, own, h, x, d in zip(scores["ll"], scores["own"], sums_["h"], sums_["x"], declared):
+            lls = np.asarray(lls, float)
+            prior = np.asarray(world)
+            for group, weight in ((x, SUFFIX_WEIGHT), (h, HOST_WEIGHT)):
+                if group is not None:  # without the row's own share
+                    rest = np.maximum(np.asarray(group, float) - own, 0)
+                    prior = (rest + prior * weight) / (rest.sum() + weight)
+            logs = lls[:-1] + np.log(prior)
+            if d is not None:
+                logs = logs + odds.get(d, odds[""])
+            noise = lls[-1] + math.log(NONE_PRIOR) if lls.any() else -1e300
+            p = _softmax(np.r_[logs, noise])
+            i = int(p.argmax())
+            rows.append((langs[i] if i < k else None, float(p[i])))
+        return pd.DataFrame(rows, columns=["language", "posterior"])
+
+    said = (F.col(declared_col) if declared_col else F.lit(None)).cast("string")
+    fused = fresh_name(docs.columns, "fused")
+    out = out.withColumn(fused, fuse(F.col(ll), F.col(pr), said)) \
+        .withColumn(lang_c, F.col(fused)["language"]).withColumn(post_c, F.col(fused)["posterior"])
     ok = F.col(lang_c).isNotNull() & (F.col(post_c) >= min_posterior)
     if languages is not None:
         ok = ok & F.col(lang_c).isin(languages)
