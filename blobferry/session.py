@@ -78,8 +78,12 @@ def _join(root: str, *parts: str) -> str:
 
 
 def state_root(spark: SparkSession) -> str:
-    """Shared folder for ledgers and tables of this engine."""
-    return _join(ensure_checkpoint_dir(spark), "blobferry")
+    """Shared folder for ledgers and tables of this engine: below the configured
+    folder itself, not the one that Spark makes there anew for each session."""
+    own = ensure_checkpoint_dir(spark).rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
+    return _join(configured or own.rpartition("/")[0], "blobferry")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:

@@ -42,8 +42,8 @@ def check_name(name) -> str | None:
     """Why a relative object name is unsafe below a root, or None if it is fine."""
     if name is None or name == "":
         return "empty name"
-    if name.startswith("/") or (len(name) > 1 and name[1] == ":"):
-        return "absolute name"
+    if name.startswith("/") or (name[0].isascii() and name[0].isalpha() and name[1:3] in (":/", ":\\")):
+        return "absolute name"  # the rule of functions.keys.is_safe_name; a colon alone is a legal key
     if ".." in name.split("/"):
         return "name climbs out of the root"
     return None

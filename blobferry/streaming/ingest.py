@@ -24,6 +24,10 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
+# By default Spark's file source passes over files a week older than the newest one it has seen.
+ANY_AGE = "36500d"
+
+
 def _committed_rows(spark: SparkSession, sink_path: str) -> int:
     from blobferry.sources.registry import read_table
 
@@ -33,21 +37,20 @@ def _committed_rows(spark: SparkSession, sink_path: str) -> int:
 
 def ingest_new_objects(spark: SparkSession, root: str, sink_path: str, checkpoint: str,
                        suffix: str | None = None, max_files_per_trigger: int | None = None,
-                       timeout_s: float | None = None, max_file_age: str | None = None) -> dict:
+                       timeout_s: float | None = None) -> dict:
     """Run one availableNow pass: new objects below ``root`` -> registry-shaped
     rows (guid, filename, document, size, sha1) appended to ``sink_path``.
 
-    ``max_file_age`` (e.g. ``"7d"``) lets the source forget files older than
-    that, so its seen-file log stays bounded on a store that only grows.
+    The source keeps its file index and its log of seen files on the driver;
+    for very large stores run ``load-new`` instead. No file is too old to be
+    taken.
     """
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("recursiveFileLookup", "true"))
+              .option("recursiveFileLookup", "true").option("maxFileAge", ANY_AGE))
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if max_file_age:
-        reader = reader.option("maxFileAge", max_file_age)
     stream = reader.load(root).where(F.col("length") > 0)
     rows = stream.select(
         K.derived_guid(key_from_path("path", root)).alias("guid"),
@@ -94,7 +97,7 @@ def stream_into_registry(spark: SparkSession, root: str, registry_path: str, che
     from blobferry.plans import jobs
 
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("recursiveFileLookup", "true"))
+              .option("recursiveFileLookup", "true").option("maxFileAge", ANY_AGE))
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
     if max_files_per_trigger:

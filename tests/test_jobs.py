@@ -276,3 +276,11 @@ def test_empty_inputs_do_no_work(spark, tmp_root):
     assert reg.count() == 0 and reg.columns == ["id", "guid", "filename", "document", "uploaded_to_s3"]
     rep = jobs.export_pending(spark, reg, f"{tmp_root}/out2", L.Ledgers(f"{tmp_root}/s2"))
     assert rep.counts["n_rows"] == 0
+
+
+def test_state_root_is_the_same_for_every_session(spark):
+    from blobferry.session import state_root
+
+    first = state_root(spark)
+    spark.sparkContext.setCheckpointDir(first.rpartition("/")[0])  # what another session does: a new folder below it
+    assert state_root(spark) == first

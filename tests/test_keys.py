@@ -78,3 +78,12 @@ def test_derived_guid_is_repeatable(spark):
 def test_random_guid_differs_per_row(spark):
     g = [r[0] for r in spark.range(50).select(K.random_guid()).collect()]
     assert len(set(g)) == 50 and all(len(x) == 36 for x in g)
+
+
+@pytest.mark.parametrize("name,ok", [("a:b.pdf", True), ("x/a:b.pdf", True), ("C:/x", False), ("C:\\x", False), ("/x", False),
+                                     ("é:/x", True), ("a/../b", False)])
+def test_one_name_rule_for_sql_and_python(spark, name, ok):
+    from blobferry.sources.objectstore import check_name
+
+    df = spark.createDataFrame([(name,)], "n string")
+    assert df.select(K.is_safe_name("n")).first()[0] == ok == (check_name(name) is None)

@@ -53,3 +53,20 @@ def test_stream_into_registry_is_idempotent(spark, tmp_root):
     assert r2["inserted"] == 1
     rows = sorted((r.id, r.filename) for r in spark.read.parquet(reg).collect())
     assert rows == [(1, "a.pdf"), (2, "d/b.pdf"), (3, "c.pdf")]
+
+
+def test_old_files_are_taken(spark, tmp_root):
+    """A file dated 30 days before the newest one seen is loaded by a later pass."""
+    import os
+    import time
+
+    from blobferry.streaming.ingest import ingest_new_objects
+
+    root = f"{tmp_root}/objs"
+    os.makedirs(root)
+    for name, age in (("new.pdf", 0), ("old.pdf", 30 * 86400)):
+        with open(f"{root}/{name}", "wb") as f:
+            f.write(b"x")
+        os.utime(f"{root}/{name}", (time.time() - age,) * 2)
+        rep = ingest_new_objects(spark, root, f"{tmp_root}/sink", f"{tmp_root}/ckpt")
+        assert rep["rows"] == 1
