@@ -6,8 +6,8 @@ import pytest
 import corpus_pipeline
 from blobferry.llm import decontaminate, line_dedup, queries, simhash
 from blobferry.session import materialize
-from test_duplicates import check_lines, reference_fingerprint
-from test_tokens_and_packing import check_pieces, whole
+from llm.test_duplicates import check_lines, reference_fingerprint
+from llm.test_tokens_and_packing import check_pieces, whole
 
 SF = "/root/testdata/sf0.001"
 STAGE = dict(corpus_pipeline.STAGES)
