@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from blobferry.llm.common import broadcast_if_small, fresh_name, materialize
 
 GRAMS = 1 << 16
-MIN_ROWS = 20        # labelled rows a language needs to get a model
+MIN_ROWS = 5         # labelled rows a language needs to get a model
 MAX_LANGUAGES = 400  # a larger label set is taken for an error and refused
 TEMPER = 1 / 3       # trigrams overlap: three of them share a letter
 SUFFIX_WEIGHT, HOST_WEIGHT = 50.0, 10.0  # rows the parent prior counts for
