@@ -52,6 +52,13 @@ def _ledgers(spark, a, name: str) -> L.Ledgers:
     return L.Ledgers(a.state or f"{state_root(spark)}/jobs/{name}")
 
 
+def _tombstones(spark, a):
+    """Deletes recorded by ``sync``: in ``--sync-state``, else the job's own
+    ``--state``, else where ``sync`` keeps them by default."""
+    state = a.sync_state or a.state or f"{state_root(spark)}/jobs/sync"
+    return L.read_tombstones(spark, L.Ledgers(state).tombstones)
+
+
 def _json(obj) -> str:
     def default(o):
         if isinstance(o, (dt.datetime, dt.date)):
@@ -92,6 +99,7 @@ def main(argv: list[str] | None = None) -> int:
     ln.add_argument("--suffix", default=K.OBJECT_SUFFIX)
     ln.add_argument("--prefix")
     ln.add_argument("--state")
+    ln.add_argument("--sync-state", help="state of the sync job whose tombstones apply")
 
     ep = sub.add_parser("export-pending", help="registry rows not yet exported -> objects")
     ep.add_argument("--registry", required=True)
@@ -99,6 +107,7 @@ def main(argv: list[str] | None = None) -> int:
     ep.add_argument("--target-prefix", default="")
     ep.add_argument("--strip")
     ep.add_argument("--state")
+    ep.add_argument("--sync-state", help="state of the sync job whose tombstones apply")
 
     ei = sub.add_parser("export-incremental", help="source rows past the bookmark -> objects")
     src_args(ei)
@@ -162,13 +171,13 @@ def main(argv: list[str] | None = None) -> int:
         out = {"root": a.root, "n": n}
     elif a.cmd == "load-new":
         out = jobs.load_new(spark, a.root, a.registry, a.suffix, a.prefix,
-                            ledgers=_ledgers(spark, a, "load"))
+                            ledgers=_ledgers(spark, a, "load"), tombstones=_tombstones(spark, a))
     elif a.cmd == "export-pending":
         led = _ledgers(spark, a, "export-pending")
         out = jobs.export_pending(spark, spark.read.parquet(a.registry), a.target, led,
                                   target_prefix=a.target_prefix, strip=a.strip,
                                   ok_ledger=L.ok_guids(spark, led.status),
-                                  tombstones=L.read_tombstones(spark, led.tombstones))
+                                  tombstones=_tombstones(spark, a))
     elif a.cmd == "export-incremental":
         led = _ledgers(spark, a, a.ctx)
         prefix = a.target_prefix
@@ -194,7 +203,8 @@ def main(argv: list[str] | None = None) -> int:
         view = R.current_view(spark.read.parquet(a.registry),
                               tombstones=L.read_tombstones(spark, led.tombstones))
         listing = list_all_objects(spark, a.root, a.suffix, a.prefix)
-        out = jobs.sync_registry(spark, view, listing, led, a.allow_mass_delete, a.max_share)
+        out = jobs.sync_registry(spark, view, listing, led, a.allow_mass_delete, a.max_share,
+                                 suffix=a.suffix, prefix=a.prefix)
     elif a.cmd == "status":
         led = L.Ledgers(a.state)
         status = R.read_table(spark, led.status)

@@ -75,9 +75,12 @@ def spread_tasks(spark: SparkSession, n_objects: int, n_bytes: int | None = None
 def load_new(spark: SparkSession, root: str, registry_path: str,
              suffix: str | None = K.OBJECT_SUFFIX,
              prefix: str | None = None, listing: DataFrame | None = None,
-             ledgers: L.Ledgers | None = None) -> RunReport:
+             ledgers: L.Ledgers | None = None,
+             tombstones: DataFrame | None = None) -> RunReport:
     """Load objects under ``root`` whose key is not in the registry yet.
 
+    A key whose rows are all tombstoned (``tombstones``) counts as absent: an
+    object that comes back is loaded again, as a new row with its own guid.
     Keys whose body could not be read are not inserted; with ``ledgers``
     their errors go to the status ledger (only those few keys are read
     again to get the error text, so no body is read twice on success).
@@ -85,6 +88,7 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     rep = RunReport(run_id=uuid.uuid4().hex)
     reg = R.create_if_absent(spark, registry_path)
     n_before, start = reg.agg(F.count(F.lit(1)), F.coalesce(F.max("id"), F.lit(0))).first()
+    live = R.current_view(reg.select("id", "filename"), tombstones=tombstones)
     # The distributed listing: object names never pass through the driver
     # (Spark's file index would keep every file status there). Our own walk is
     # staged once, so it is never repeated.
@@ -96,7 +100,7 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     n_listed = listed.count()
     # A small listing probes the registry (no shuffle of registry keys); a
     # large one is anti-joined with the registry's distinct keys.
-    new = sync.new_objects_by_probe(listed, reg.select(F.col("filename").alias("key")),
+    new = sync.new_objects_by_probe(listed, live.select(F.col("filename").alias("key")),
                                     n_listing=n_listed)
     # One row per key even if a supplied listing repeats one: the guid derives
     # from the key and must stay unique.
@@ -110,8 +114,17 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     n_keys, total = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     n_tasks = spread_tasks(spark, int(n_keys), int(total)) or spark.sparkContext.defaultParallelism
     bodies = read_bodies(keyed.drop("size").repartition(n_tasks), root)
+    # A key that comes back gets a guid of its own, from its name and row id.
+    name = F.col("key")
+    if tombstones is not None:
+        again = sync.distinct_keys(tombstones).withColumnRenamed("key", "_again")
+        again, _ = sync.checked_broadcast(materialize(
+            again.join(keyed.select(F.col("key").alias("_again")), "_again", "left_semi"), "re-added"))
+        bodies = bodies.join(again, F.col("key") == F.col("_again"), "left")
+        name = F.when(F.col("_again").isNull(), F.col("key")).otherwise(
+            F.concat_ws("#", "key", F.col("id").cast("string")))
     rows = (bodies.where(F.col("ok") & K.non_empty_body("content"))
-            .select("id", K.derived_guid("key").alias("guid"), F.col("key").alias("filename"),
+            .select("id", K.derived_guid(name).alias("guid"), F.col("key").alias("filename"),
                     F.col("content").alias("document"), F.lit(False).alias(K.FLAG_COLUMN)))
     rows.write.mode("append").parquet(registry_path)
     n_new = int(n_keys)
@@ -119,8 +132,8 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     rep.counts = {"listed": n_listed, "existing_rows": n_before, "new": n_new,
                   "inserted": inserted, "failed": n_new - inserted}
     if ledgers is not None and n_new > inserted:
-        loaded = spark.read.parquet(registry_path).select(F.col("filename").alias("key"))
-        missing = sync.drop_keys(keyed.select("key", "id"), loaded, "key")
+        loaded = spark.read.parquet(registry_path).where(F.col("id") > int(start)).select("id")
+        missing = sync.drop_keys(keyed.select("key", "id"), loaded, "id")
         errors = read_bodies(missing, root).select(
             "key", F.col("id").alias("src_id"), F.lit(None).cast("string").alias("guid"),
             F.lit(None).cast("string").alias("policy_id"), "size",
@@ -157,7 +170,7 @@ def export_pending(spark: SparkSession, registry: DataFrame, target_root: str,
     ledger to mark rows uploaded.
     """
     rep = RunReport(run_id=uuid.uuid4().hex, run_no=run_no or L.next_run_no(spark, ledgers.status))
-    keys = registry.select("guid", "filename", K.FLAG_COLUMN)
+    keys = registry.select("id", "guid", "filename", K.FLAG_COLUMN)
     view = R.current_view(keys, ok_ledger=ok_ledger, tombstones=tombstones)
     pending = materialize(view.where(K.is_pending(K.FLAG_COLUMN)).select("guid").distinct(),
                           "pending")
@@ -202,27 +215,33 @@ status rows (key, src_id, ..., ok, skipped, error) - or raises."""
 
 def next_batch(spark: SparkSession, source: DataFrame, keys: list[str], mark,
                ledgers: L.Ledgers | None = None, id_col: str = "ID",
-               until=None) -> DataFrame:
+               until=None, ctx: str | None = None, policy_col: str = "POLICY_ID") -> DataFrame:
     """Rows past the mark (and at most ``until``, if given), plus rows whose
-    latest export failed (retries)."""
+    latest export (in context ``ctx``, or any) failed: the retries."""
     fresh = inc.past_mark(source, keys, mark)
     if until is not None:
         fresh = inc.up_to(fresh, keys, until)
     if ledgers is None or mark is None:
         return fresh
-    failed = L.failed_keys(spark, ledgers.status)
+    failed = L.failed_keys(spark, ledgers.status, ctx)
     if failed is None:
         return fresh
     # The failed ids are staged and counted: a small set is broadcast, so the
     # source rows (with their bodies) are filtered in place, not shuffled.
-    ids = materialize(failed.select(F.col("src_id").alias(id_col)).where(F.col(id_col).isNotNull())
-                      .distinct(), "retry-ids")
+    # Matched with the policy too: where an id repeats, another policy's older
+    # row must not be written again over its newer object.
+    id_type = source.schema[id_col].dataType
+    ids = materialize(failed.select(F.col("src_id").cast(id_type).alias("_rid"),
+                                    F.col("policy_id").alias("_rpolicy")).distinct(), "retry-ids")
     right, n_failed = sync.checked_broadcast(ids)
     if n_failed == 0:
         return fresh
+    match = F.col(id_col).eqNullSafe(F.col("_rid"))
+    if policy_col in source.columns:
+        match = match & F.col(policy_col).cast("string").eqNullSafe(F.col("_rpolicy"))
     # Failed rows are at or below the mark (they were in an earlier run), so
     # the two parts are disjoint and a plain union keeps each row once.
-    retry = inc.up_to(source.join(right, id_col, "left_semi"), keys, mark)
+    retry = inc.up_to(source.join(right, match, "left_semi"), keys, mark)
     return fresh.unionByName(retry)
 
 
@@ -244,22 +263,22 @@ def run_incremental(spark: SparkSession, source: DataFrame, ctx: str, strategy:
     """
     keys = inc.strategy_keys(strategy)
     last_no, mark = L.last_bookmark(spark, ledgers.bookmarks, ctx)
-    rep = RunReport(run_id=uuid.uuid4().hex, run_no=last_no + 1, high_water=mark)
+    # A run that stopped between its status rows and its bookmark has used its
+    # number: the next one is above both ledgers, so later always sorts later.
+    run_no = max(last_no + 1, L.next_run_no(spark, ledgers.status))
+    rep = RunReport(run_id=uuid.uuid4().hex, run_no=run_no, high_water=mark)
     hw_frame = inc.high_water_frame(inc.past_mark(source, keys, mark), keys)
     hw_type = hw_frame.schema["high_water"]
     fresh_hw = hw_frame.first()["high_water"]
     new_mark = mark if fresh_hw is None else tuple(fresh_hw)
     batch = next_batch(spark, source, keys, mark, ledgers if retry else None, id_col,
-                       until=new_mark)
+                       until=new_mark, ctx=ctx)
     if fresh_hw is None and (mark is None or batch.isEmpty()):
         rep.counts = {"n_rows": 0, "n_ok": 0, "n_skipped": 0, "n_failed": 0, "bytes_written": 0}
         return rep
     status = sink(transform(batch) if transform else batch, rep.run_id)
-    written = L.append_status(status, ledgers.status, rep.run_id, rep.run_no)
+    written = L.append_status(status, ledgers.status, rep.run_id, rep.run_no, ctx)
     totals = status_totals(written).first().asDict()
-    # Rows with a null key can never pass a mark: count them so they are seen
-    # (an IS NULL filter, pushed to the scan or the database).
-    totals["null_key_rows"] = inc.null_key_rows(source.select(*keys), keys).count()
     rep.high_water = L.commit_bookmark(spark, ledgers.bookmarks, ctx, rep.run_no, strategy,
                                        new_mark, hw_type, totals["n_rows"],
                                        totals["n_ok"] + totals["n_skipped"], totals["n_failed"])
@@ -293,11 +312,14 @@ def blob_sink(target_root: str, target_listing: DataFrame | None = None,
               compare_sha1: bool = False, size_col: str | None = None) -> Sink:
     """Sink writing one object per target key.
 
-    The plan is made on keys and sizes only: the latest row per target key
-    wins, and a target object of equal size (or sha1) means skip. That small
-    plan is written once to the shared folder; bodies are then attached to the rows to write by
-    a semi-join that is broadcast when the plan's row count is under a bound
-    (so the bodies are not shuffled for it), else shuffled on the id. When
+    The plan is made on keys, sizes and hashes only: the latest row per target
+    key wins (ties: the greater size, then hash), and a target object of equal
+    size (or sha1) means skip. That small plan is written once to the shared
+    folder; bodies are then attached to the rows to write by target key and
+    order tuple, in a join that is broadcast when the plan's row count is under
+    a bound (so the bodies are not shuffled for it). Repeated equal rows give
+    one object and one status row. With ``size_col`` no body is hashed, so rows
+    that share key, order and id are refused in their status row. When
     there are many objects per core, the rows to write are spread round-robin
     so no task puts more than about ``OBJECTS_PER_TASK`` objects. Skipped rows
     never touch their bodies again. ``size_col`` names a stored size to use
@@ -307,40 +329,66 @@ def blob_sink(target_root: str, target_listing: DataFrame | None = None,
     def _sink(batch: DataFrame, run_id: str) -> DataFrame:
         tkey = key_of(batch) if key_of else K.template_key(policy_col)
         size = F.col(size_col).cast("bigint") if size_col else K.byte_length(body)
-        slim_cols = [tkey.alias("key"), *[F.col(c) for c in dict.fromkeys(order + (id_col,))],
-                     F.col(policy_col).cast("string").alias("_policy"), size.alias("size")]
-        if compare_sha1:
-            slim_cols.append(K.body_sha1(body).alias("sha1"))
-        slim = batch.select(*slim_cols)
-        payload = [id_col, "_policy", "size"] + (["sha1"] if compare_sha1 else [])
-        payload = [c for c in payload if c not in order]
-        plan = sync.latest_per_key(slim, "key", list(order), payload=payload)
+        # The body is scanned for its size anyway, so its hash comes along and
+        # tells apart rows that share key, order and id.
+        hashed = compare_sha1 or size_col is None
+        sha1 = K.body_sha1(body) if hashed else F.lit(None).cast("string")
+        place = list(dict.fromkeys(order + (id_col,)))
+        own = [f"_o{i}" for i in range(len(place))]
+        at_id = own[place.index(id_col)]
+        slim = batch.select(tkey.alias("key"), *[F.col(c).alias(o) for c, o in zip(place, own)],
+                            size.alias("size"), sha1.alias("sha1"),
+                            F.col(policy_col).cast("string").alias("_policy"))
+        facts = ["size", "sha1", "_policy"]
+        tied = slim.groupBy("key", *own).agg(F.max(F.struct(*facts)).alias("_f"),
+                                             F.count(F.lit(1)).alias("_n"))
+        tied = tied.select("key", *own, *[F.col(f"_f.{c}").alias(c) for c in facts], "_n")
+        plan = sync.latest_per_key(tied, "key", own, payload=[*facts, "_n"])
         if target_listing is not None:
             plan = sync.size_plan(plan, target_listing, key="key", size="size",
                                   compare_sha1="sha1" if compare_sha1 else None)
         else:
             plan = plan.withColumn("action", F.lit(sync.NEW))
-        plan = materialize(plan.select("key", F.col(id_col).alias("_wid"), "_policy", "size", "action"),
-                           "export-plan")
+        plan = materialize(plan.select("key", *own, *facts, "_n", "action"), "export-plan")
+
+        def settled(rows: DataFrame, ok: bool, error: str | None) -> DataFrame:
+            return rows.select(
+                "key", F.col(at_id).cast("bigint").alias("src_id"),
+                F.lit(None).cast("string").alias("guid"), F.col("_policy").alias("policy_id"), "size",
+                F.lit(None).cast("string").alias("sha1"), F.lit(ok).alias("ok"), F.lit(ok).alias("skipped"),
+                F.lit(error).cast("string").alias("error"), F.lit(0.0).alias("elapsed_s"))
 
-        skipped = plan.where(F.col("action") == sync.SKIP).select(
-            "key", F.col("_wid").cast("bigint").alias("src_id"), F.lit(None).cast("string").alias("guid"),
-            F.col("_policy").alias("policy_id"), "size", F.lit(None).cast("string").alias("sha1"),
-            F.lit(True).alias("ok"), F.lit(True).alias("skipped"),
-            F.lit(None).cast("string").alias("error"), F.lit(0.0).alias("elapsed_s"))
         writes = plan.where(F.col("action") != sync.SKIP)
-        n_write, n_bytes = writes.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+        done = settled(plan.where(F.col("action") == sync.SKIP), True, None)
+        if not hashed:
+            # Nothing tells such rows apart: refuse them instead of guessing.
+            unclear = writes.where(F.col("_n") > 1)
+            done = done.unionByName(settled(unclear, False, "several rows share key, order and id"))
+            writes = writes.where(F.col("_n") == 1)
+        n_write, n_bytes, n_tied = writes.agg(
+            F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0)), F.count_if(F.col("_n") > 1)).first()
         # A counted bound (the plan is staged): broadcast only up to it.
-        to_write = writes.select("key", "_wid")
+        to_write = writes.select(F.col("key").alias("_wkey"), *[F.col(o).alias(f"_w{o}") for o in own],
+                                 F.col("sha1").alias("_wsha1"), F.col("_n").alias("_wn"))
         if n_write <= sync.BROADCAST_MAX_ROWS:
             to_write = F.broadcast(to_write)
-        rows = batch.join(to_write, batch[id_col] == to_write["_wid"], "inner").drop("_wid")
+        # Attached by target key and the whole order tuple, null-safe: an id
+        # that repeats, or is null, still finds its own body only.
+        match = F.col("_key").eqNullSafe(F.col("_wkey"))
+        for c, o in zip(place, own):
+            match = match & F.col(c).eqNullSafe(F.col(f"_w{o}"))
+        if n_tied:
+            match = match & ((F.col("_wn") == 1) | K.body_sha1(body).eqNullSafe(F.col("_wsha1")))
+        rows = batch.withColumn("_key", tkey).join(to_write, match, "inner")
         spread = spread_tasks(batch.sparkSession, n_write, n_bytes)
         if spread:
             rows = rows.repartition(spread)  # round-robin: even objects per task
-        written = export_bodies(rows, target_root, key="key", body=body, src_id=id_col,
+        written = export_bodies(rows, target_root, key="_key", body=body, src_id=id_col,
                                 policy_id=policy_col, fail=fail)
-        return written.unionByName(skipped)
+        if n_tied:
+            # Repeated rows put the same bytes under one key: one status row.
+            written = sync.latest_per_key(written, "key", ["ok"]).select(*written.columns)
+        return written.unionByName(done)
 
     return _sink
 
@@ -349,16 +397,28 @@ def blob_sink(target_root: str, target_listing: DataFrame | None = None,
 
 def sync_registry(spark: SparkSession, registry_view: DataFrame, listing: DataFrame,
                   ledgers: L.Ledgers, allow_mass_delete: bool = False,
-                  max_share: float = 0.5) -> RunReport:
+                  max_share: float = 0.5, suffix: str | None = None,
+                  prefix: str | None = None) -> RunReport:
     """Tombstone registry keys whose object is gone.
 
-    A listing that failed raises before this point; an empty listing or a
-    large orphan share is refused unless ``allow_mass_delete``. The orphan
+    ``suffix`` and ``prefix`` limit both sides, listing and registry, so a
+    narrowed listing never deletes rows it did not look for. A listing that
+    failed raises before this point; an empty listing or a large orphan share
+    of the rows in scope is refused unless ``allow_mass_delete``. The orphan
     set is computed once and staged; the guard reads its count.
     """
     rep = RunReport(run_id=uuid.uuid4().hex)
-    orphan = materialize(sync.orphans(registry_view.select(F.col("filename").alias("key")), listing),
-                         "orphans")
+    for test, text in ((K.has_suffix, suffix), (K.has_prefix, prefix)):
+        if text:
+            registry_view = registry_view.where(test("filename", text))
+            listing = listing.where(test("key", text))
+    gone = sync.orphans(registry_view.select(F.col("filename").alias("key")), listing)
+    if "id" in registry_view.columns:
+        # The greatest row id of the key: rows added later under the same
+        # name have a greater one and stay visible.
+        last = registry_view.groupBy(F.col("filename").alias("key")).agg(F.max("id").alias("id"))
+        gone = last.join(gone, "key", "left_semi")
+    orphan = materialize(gone, "orphans")
     n_existing = sync.distinct_keys(registry_view, "filename").count()
     n_listed = listing.limit(1).count()
     n_orphans = orphan.count()

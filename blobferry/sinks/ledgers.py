@@ -40,46 +40,64 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def append_status(status: DataFrame, path: str, run_id: str, run_no: int) -> DataFrame:
+LEDGER_SCHEMA = ("run_id string, run_no bigint, ctx string, key string, src_id bigint, guid string, "
+                 "policy_id string, size bigint, sha1 string, ok boolean, skipped boolean, "
+                 "error string, elapsed_s double")
+TOMBSTONE_SCHEMA = "run_id string, key string, id bigint"
+
+
+def append_status(status: DataFrame, path: str, run_id: str, run_no: int,
+                  ctx: str | None = None) -> DataFrame:
     """Write a run's status rows once and return them read back (no re-run)."""
     rows = status.select(F.lit(run_id).alias("run_id"), F.lit(run_no).cast("bigint").alias("run_no"),
-                         *status.columns)
+                         F.lit(ctx).cast("string").alias("ctx"), *status.columns)
     append(rows, path)
-    return read_table(status.sparkSession, path).where(F.col("run_id") == run_id)
+    return read_status(status.sparkSession, path).where(F.col("run_id") == run_id)
+
+
+def read_status(spark: SparkSession, path: str) -> DataFrame | None:
+    """The status ledger; rows written before contexts were kept read as null."""
+    return read_table(spark, path, LEDGER_SCHEMA)
 
 
 def next_run_no(spark: SparkSession, path: str) -> int:
     """One more than the highest run number in a status ledger (1 if empty)."""
-    led = read_table(spark, path)
+    led = read_status(spark, path)
     if led is None:
         return 1
     return int(led.agg(F.coalesce(F.max("run_no"), F.lit(0))).first()[0]) + 1
 
 
 def last_status(spark: SparkSession, path: str) -> DataFrame | None:
-    """Latest status row per key across runs (None if the ledger is empty)."""
-    led = read_table(spark, path)
+    """Latest status row per context and key across runs (None if the ledger
+    is empty)."""
+    led = read_status(spark, path)
     if led is None:
         return None
-    return sync.latest_per_key(led, "key", ["run_no"],
+    return sync.latest_per_key(led, ["ctx", "key"], ["run_no"],
                                payload=["run_id", "src_id", "guid", "policy_id", "size", "sha1", "ok",
                                         "skipped", "error"])
 
 
-def failed_keys(spark: SparkSession, path: str) -> DataFrame | None:
-    """Keys whose latest export failed: to be retried."""
+def failed_keys(spark: SparkSession, path: str, ctx: str | None = None) -> DataFrame | None:
+    """Keys whose latest export failed, to be retried: those of one context
+    (and of rows kept without one), or of all."""
     last = last_status(spark, path)
-    return None if last is None else last.where(~F.col("ok")).select("key", "src_id", "policy_id")
+    if last is None:
+        return None
+    if ctx is not None:
+        last = last.where(F.col("ctx").isNull() | (F.col("ctx") == ctx))
+    return last.where(~F.col("ok")).select("key", "src_id", "policy_id")
 
 
 def compact_status(spark: SparkSession, path: str, new_path: str) -> str:
-    """Write the latest status row per key to a new ledger path. Later runs
+    """Write the latest status row per context and key to a new path. Later runs
     point at it, so the retry scan stays proportional to the live keys, not
     to the number of runs."""
     last = last_status(spark, path)
     if last is None:
         raise FileNotFoundError(path)
-    cols = ["run_id", "run_no", "key", "src_id", "guid", "policy_id", "size", "sha1", "ok",
+    cols = ["run_id", "run_no", "ctx", "key", "src_id", "guid", "policy_id", "size", "sha1", "ok",
             "skipped", "error"]
     last.select(*cols, F.lit(0.0).alias("elapsed_s")).write.mode("errorifexists").parquet(new_path)
     return new_path
@@ -104,11 +122,15 @@ def target_state(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def append_tombstones(keys: DataFrame, path: str, run_id: str) -> None:
-    append(keys.select(F.lit(run_id).alias("run_id"), F.col("key")), path)
+    """Names deleted by a run, each with the greatest row id it deletes (null,
+    where ``keys`` has no ``id``: every row of the name)."""
+    last = F.col("id").cast("bigint") if "id" in keys.columns else F.lit(None).cast("bigint")
+    append(keys.select(F.lit(run_id).alias("run_id"), F.col("key"), last.alias("id")), path)
 
 
 def read_tombstones(spark: SparkSession, path: str) -> DataFrame | None:
-    return read_table(spark, path)
+    # The schema is given: tombstones of older runs have no id and read as null.
+    return read_table(spark, path, TOMBSTONE_SCHEMA)
 
 
 # ----------------------------------------------------------------- bookmarks

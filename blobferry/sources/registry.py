@@ -40,7 +40,8 @@ def path_exists(path: str) -> bool | None:
     return fs.get_file_info(base).type != pafs.FileType.NotFound
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+def read_table(spark: SparkSession, path: str,
+               schema: T.StructType | str | None = None) -> DataFrame | None:
     """Read a Parquet table, or None if it does not exist yet."""
     if path_exists(path) is False:
         return None
@@ -120,10 +121,21 @@ def existing_keys(registry: DataFrame) -> DataFrame:
 
 def current_view(registry: DataFrame, ok_ledger: DataFrame | None = None,
                  tombstones: DataFrame | None = None) -> DataFrame:
-    """Registry as of the ledgers: tombstoned filenames removed, exports marked."""
+    """Registry as of the ledgers: tombstoned rows removed, exports marked.
+
+    A tombstone holds a name and the greatest row id it deletes; rows added
+    later under that name stay. Without an id (or a registry without ids) it
+    deletes every row of the name.
+    """
     view = registry
     if tombstones is not None:
-        view = sync.drop_keys(view, tombstones.select(F.col("key").alias("filename")), "filename")
+        versioned = "id" in tombstones.columns and "id" in registry.columns
+        upto = F.max(F.coalesce(F.col("id"), F.lit((1 << 63) - 1))) if versioned else F.count(F.lit(1))
+        dead = tombstones.groupBy(F.col("key").alias("_dead")).agg(upto.alias("_upto"))
+        match = F.col("filename") == F.col("_dead")
+        if versioned:
+            match = match & (F.col("id") <= F.col("_upto"))
+        view = view.join(dead, match, "left_anti")
     if ok_ledger is not None:
         view = sync.with_flag_from(view, ok_ledger, key="guid")
     return view

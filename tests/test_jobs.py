@@ -241,14 +241,87 @@ def test_ship_to_executors_writes_zip_in_shared_folder(spark):
     assert "blobferry/plans/jobs.py" in names and "blobferry/sources/listing.py" in names
 
 
-def test_null_keys_are_reported_not_exported(spark, tmp_root):
+SOURCE_SCHEMA = ("ID bigint, POLICY_ID bigint, COMPANY string, BROKER string, "
+                 "MODIFIED timestamp_ntz, BINDER_DOC binary")
+
+
+def _objects(root: str) -> dict[str, bytes]:
+    return {f: open(os.path.join(root, f), "rb").read() for f in os.listdir(root) if not f.startswith(".")}
+
+
+@pytest.mark.parametrize("strategy", ["id", "timestamp", "composite", "modified_id"])
+def test_rows_with_null_keys_are_exported_once(spark, tmp_root, strategy):
     base = dt.datetime(2024, 1, 1)
-    rows = [(1, 1, "c", "b", base, b"x"), (2, 2, "c", "b", None, b"y"), (None, 3, "c", "b", base, b"z")]
-    src = spark.createDataFrame(rows, "ID bigint, POLICY_ID bigint, COMPANY string, BROKER string, "
-                                      "MODIFIED timestamp_ntz, BINDER_DOC binary")
+    rows = [(1, 1, "c", "b", base, b"x"), (2, 2, None, "b", None, b"y"), (None, 3, "c", None, base, b"z")]
+    src = spark.createDataFrame(rows, SOURCE_SCHEMA)
+    led = L.Ledgers(f"{tmp_root}/state")
+    sink = jobs.blob_sink(f"{tmp_root}/out")
+    rep = jobs.run_incremental(spark, src, "c", strategy, led, sink)
+    assert (rep.counts["n_rows"], rep.counts["n_ok"]) == (3, 3)
+    assert _objects(f"{tmp_root}/out") == {"binder_1.pdf": b"x", "binder_2.pdf": b"y", "binder_3.pdf": b"z"}
+    again = jobs.run_incremental(spark, src, "c", strategy, led, sink)
+    assert again.counts["n_rows"] == 0
+
+
+def test_repeated_ids_keep_their_own_bodies(spark, tmp_root):
+    t = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    rows = [(5, 1, "c", "b", t[0], b"P1"), (5, 2, "c", "b", t[0], b"P2"),  # an id shared by two policies
+            (7, 3, "c", "b", t[0], b"old"), (7, 3, "c", "b", t[1], b"new"),  # two versions of a row
+            (None, 4, "c", "b", t[0], b"no id"), (8, 6, "c", "b", t[2], None),
+            (9, 5, "c", "b", t[0], b"twice"), (9, 5, "c", "b", t[0], b"twice"),  # a repeated row
+            (9, 7, "c", "b", t[0], b"a"), (9, 7, "c", "b", t[0], b"bb")]  # tied: the longer body
+    src = spark.createDataFrame(rows, SOURCE_SCHEMA)
     led = L.Ledgers(f"{tmp_root}/state")
     rep = jobs.run_incremental(spark, src, "c", "modified_id", led, jobs.blob_sink(f"{tmp_root}/out"))
-    assert rep.counts["n_rows"] == 1 and rep.counts["null_key_rows"] == 2
+    assert _objects(f"{tmp_root}/out") == {
+        "binder_1.pdf": b"P1", "binder_2.pdf": b"P2", "binder_3.pdf": b"new", "binder_4.pdf": b"no id",
+        "binder_5.pdf": b"twice", "binder_7.pdf": b"bb"}
+    assert (rep.counts["n_rows"], rep.counts["n_ok"], rep.counts["n_failed"]) == (7, 6, 1)
+    # With a stored size no body is hashed: tied rows are refused, others go.
+    sized = src.withColumn("n", F.length("BINDER_DOC").cast("bigint"))
+    status = jobs.blob_sink(f"{tmp_root}/out2", size_col="n")(sized, "r")
+    assert {r["key"] for r in L.append_status(status, f"{tmp_root}/st2", "r", 1).where("ok").collect()} == {
+        "binder_1.pdf", "binder_2.pdf", "binder_3.pdf", "binder_4.pdf"}
+
+
+def test_retry_of_a_shared_id_leaves_newer_objects(spark, tmp_root):
+    t = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    src = spark.createDataFrame([(5, 1, "bad", "b", t[0], b"P1"), (5, 2, "c", "b", t[0], b"old"),
+                                 (6, 2, "c", "b", t[1], b"new")], SOURCE_SCHEMA)
+    led = L.Ledgers(f"{tmp_root}/state")
+    bad = jobs.blob_sink(f"{tmp_root}/out", fail=F.col("COMPANY") == "bad")
+    jobs.run_incremental(spark, src, "a", "modified_id", led, bad)
+    # Another context under the same root succeeds; its state is its own.
+    jobs.run_incremental(spark, src, "b", "modified_id", led, jobs.blob_sink(f"{tmp_root}/other"))
+    rep = jobs.run_incremental(spark, src, "a", "modified_id", led, jobs.blob_sink(f"{tmp_root}/out"))
+    assert rep.counts["n_rows"] == 1 and rep.run_no == 3
+    assert _objects(f"{tmp_root}/out") == {"binder_1.pdf": b"P1", "binder_2.pdf": b"new"}
+
+
+def test_sync_scope_and_readded_objects(spark, tmp_root):
+    root, reg = f"{tmp_root}/objs", f"{tmp_root}/registry"
+    for name in ("a/1.pdf", "a/2.pdf", "a/3.pdf", "b/1.pdf"):
+        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+        open(f"{root}/{name}", "wb").write(name.encode())
+    jobs.load_new(spark, root, reg)
+    led = L.Ledgers(f"{tmp_root}/sync")
+
+    def view():
+        return R.current_view(spark.read.parquet(reg), tombstones=L.read_tombstones(spark, led.tombstones))
+
+    os.remove(f"{root}/a/1.pdf")
+    os.remove(f"{root}/b/1.pdf")
+    listing = jobs.list_all_objects(spark, root, ".pdf", "a/")
+    rep = jobs.sync_registry(spark, view(), listing, led, suffix=".pdf", prefix="a/")
+    assert rep.counts == {"existing": 3, "orphans": 1}  # b/1.pdf is out of scope
+    assert {r["filename"] for r in view().collect()} == {"a/2.pdf", "a/3.pdf", "b/1.pdf"}
+    open(f"{root}/a/1.pdf", "wb").write(b"back")
+    rep = jobs.load_new(spark, root, reg, tombstones=L.read_tombstones(spark, led.tombstones))
+    assert rep.counts["new"] == 1 and rep.counts["inserted"] == 1
+    back = view().where("filename = 'a/1.pdf'").collect()
+    assert [bytes(r["document"]) for r in back] == [b"back"]
+    guids = [r["guid"] for r in spark.read.parquet(reg).select("guid").collect()]
+    assert len(set(guids)) == len(guids) == 5
 
 
 def test_blob_sink_bodies_do_not_cross_a_shuffle(spark, tmp_root):
