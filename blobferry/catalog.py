@@ -368,7 +368,63 @@ def load_new_objects(spark, sf):
                         K.body_sha1("document").alias("sha1"))
 
 
+def incr_composite_nulls(spark, sf):
+    # Rows with a null key: two runs of the composite bookmark, read back.
+    src = roles.source_from_events(spark, sf, with_body=False)
+    src = src.withColumn("COMPANY", F.when(F.col("COMPANY") != "error", F.col("COMPANY")))
+    led = L.Ledgers(scratch_path(spark, "nulls"))
+    out = scratch_path(spark, "nulls-json")
+    for visible in (src.where(F.col("ID") <= ID_MARK), src):  # as it stood at each run
+        jobs.run_incremental(spark, visible, "nulls", "composite", led, jobs.json_sink(out))
+    return _src_cols(read_json(spark, out, src.schema))
+
+
+def export_repeated_ids(spark, sf):
+    # The id is the customer, so it repeats over policies and over versions.
+    o = roles.table(spark, sf, "orders")
+    src = o.select(F.col("o_custkey").alias("ID"),
+                   F.concat_ws("-", "o_custkey", "o_orderstatus").alias("POLICY_ID"),
+                   F.col("o_orderdate").alias("MODIFIED"),
+                   F.concat_ws(":", "o_orderkey", "o_orderpriority").cast("binary").alias(K.BODY_COLUMN))
+    led = L.Ledgers(scratch_path(spark, "repeated"))
+    out = scratch_path(spark, "repeated-objects")
+    jobs.run_incremental(spark, src, "repeated", "modified_id", led, jobs.blob_sink(out))
+    return read_objects(spark, out).select("key", "size", K.body_sha1("content").alias("sha1"))
+
+
+def sync_prefix(spark, sf):
+    reg = roles.registry(spark, sf, with_body=False)
+    led = L.Ledgers(scratch_path(spark, "sync-prefix"))
+    jobs.sync_registry(spark, reg, roles.live_keys(spark, sf), led, allow_mass_delete=True,
+                       prefix="doc_5")
+    view = R.current_view(reg, tombstones=L.read_tombstones(spark, led.tombstones))
+    return view.select("id", "filename")
+
+
+def readd_after_delete(spark, sf):
+    # Load all, delete the labelled ones, find their objects again and reload.
+    root = _export_documents(spark, sf, "readd-src")
+    reg_path = scratch_path(spark, "readd-registry")
+    led = L.Ledgers(scratch_path(spark, "readd"))
+    jobs.load_new(spark, root, reg_path, suffix=".txt")
+    listing = list_all_objects(spark, root, suffix=".txt")
+    labelled = roles.table(spark, sf, "documents").join(
+        roles.table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
+    gone = labelled.select(F.concat_ws("/", "source", roles.doc_key("doc_id")).alias("key"))
+    jobs.sync_registry(spark, spark.read.parquet(reg_path), sync.drop_keys(listing, gone, "key"), led,
+                       allow_mass_delete=True)
+    tomb = L.read_tombstones(spark, led.tombstones)
+    jobs.load_new(spark, root, reg_path, suffix=".txt", tombstones=tomb)
+    view = R.current_view(spark.read.parquet(reg_path), tombstones=tomb)
+    return view.select(F.col("filename").alias("key"), K.byte_length("document").alias("size"),
+                       K.body_sha1("document").alias("sha1"))
+
+
 QUERIES: dict[str, Query] = {
+    "incr_composite_nulls": incr_composite_nulls,
+    "export_repeated_ids": export_repeated_ids,
+    "sync_prefix": sync_prefix,
+    "readd_after_delete": readd_after_delete,
     "object_listing": object_listing,
     "listing_count": listing_count,
     "distinct_keys": distinct_keys,

@@ -27,6 +27,23 @@ SRC = ("event_id AS ID, user_id AS POLICY_ID, event_type AS COMPANY, props AS BR
 BODY_FACTS = "CAST(strlen(d.text) AS BIGINT) AS size, sha1(d.text) AS sha1"
 
 ORACLES: dict[str, str] = {
+    "incr_composite_nulls": """
+        SELECT event_id AS ID, user_id AS POLICY_ID,
+               CASE WHEN event_type <> 'error' THEN event_type END AS COMPANY,
+               props AS BROKER, ts AS MODIFIED FROM events""",
+    "export_repeated_ids": """
+        WITH s AS (SELECT 'binder_' || o_custkey || '-' || o_orderstatus || '.pdf' AS key, o_orderdate,
+                          o_orderkey || ':' || o_orderpriority AS body FROM orders)
+        SELECT key, CAST(strlen(body) AS BIGINT) AS size, sha1(body) AS sha1
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY key ORDER BY o_orderdate DESC, strlen(body) DESC, sha1(body) DESC) AS rn
+              FROM s) WHERE rn = 1""",
+    "sync_prefix": f"""
+        SELECT d.doc_id AS id, {DOC_KEY} AS filename FROM documents d
+        WHERE NOT starts_with({DOC_KEY}, 'doc_5')
+           OR EXISTS (SELECT 1 FROM pages p WHERE p.page_id = d.doc_id)""",
+    "readd_after_delete": f"""
+        SELECT {NESTED_KEY} AS key, {BODY_FACTS} FROM documents d WHERE strlen(d.text) > 0""",
     "object_listing": """
         SELECT url AS key, CAST(strlen(html) AS BIGINT) AS size FROM pages
         WHERE url LIKE 'https://%' AND url LIKE '%.html'""",

@@ -82,11 +82,13 @@ def last_status(spark: SparkSession, path: str) -> DataFrame | None:
 def failed_keys(spark: SparkSession, path: str, ctx: str | None = None) -> DataFrame | None:
     """Keys whose latest export failed, to be retried: those of one context
     (and of rows kept without one), or of all."""
-    last = last_status(spark, path)
-    if last is None:
+    led = read_status(spark, path)
+    if led is None:
         return None
     if ctx is not None:
-        last = last.where(F.col("ctx").isNull() | (F.col("ctx") == ctx))
+        led = led.where(F.col("ctx").isNull() | (F.col("ctx") == ctx))
+    last = sync.latest_per_key(led, ["key"] if ctx is not None else ["ctx", "key"], ["run_no"],
+                               payload=["src_id", "policy_id", "ok"])
     return last.where(~F.col("ok")).select("key", "src_id", "policy_id")
 
 
