@@ -5,8 +5,10 @@ after a non-space always starts a new pre-token, a newline between non-spaces
 is one by itself, and so are marks after a letter or digit. So a text is cut
 there, each distinct piece is encoded once by the library, and the ids of a
 text are the ids of its pieces in order: the same ids as encoding the whole
-text (tested). Tokenizers with another pre-tokenizer, or with a normalizer,
-encode whole texts.
+text (tested). A piece of letters alone is one pre-token, so it goes to the
+library's model without the pre-tokenizer. Tokenizers with another
+pre-tokenizer, with a normalizer or with ordinary added tokens encode whole
+texts.
 """
 
 from __future__ import annotations
@@ -14,14 +16,25 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 
 CACHE_PIECES = 700_000  # newest distinct pieces of each kind held per Python worker, and as many older ones
 _CUT = re.compile(r"(?<=\S)(?= )")
 _BLANKS = re.compile(r"\s[\n ]|\n\s")
 _MARKS = re.compile(r"(.*[^\W_])((?:[^\w\s']|_)+)", re.S)  # an apostrophe may start a contraction
+_LETTERS_TO = "\u0530"  # below it no letter is newer than the library's own tables
 _ENCODERS: dict = {}
 
 
+def byte_letters() -> dict:
+    """The character that a byte-level vocabulary has for each byte: printable ones stand for
+    themselves, the others are numbered from 256 on."""
+    same = {*range(ord("!"), ord("~") + 1), *range(ord("\xa1"), ord("\xac") + 1), *range(ord("\xae"), 256)}
+    other = (b for b in range(256) if b not in same)
+    return {b: chr(b) for b in same} | {b: chr(256 + k) for k, b in enumerate(other)}
+
+
 class Encoder:
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -32,16 +45,31 @@ class Encoder:
         conf = json.loads(spec)
         pre = conf.get("pre_tokenizer") or {}
         self.by_piece = (conf.get("normalizer") is None and pre.get("type") == "ByteLevel"
-                         and pre.get("use_regex", True) and not pre.get("add_prefix_space"))
+                         and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+                         and all(t.get("special") for t in conf.get("added_tokens") or []))
+        self.by_word = self.by_piece and conf["model"].get("type") == "BPE"
+        self.letters = byte_letters()
+        self.blank = self.letters[ord(" ")]
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
         self.dtype = "<u2" if self.width == 2 else "<u4"
+        self.code = "H" if self.width == 2 else "I"
         self.new, self.old = {}, {}  # two generations of pieces; the older goes when the newer is full
 
+    def pack(self, ids: list) -> bytes:
+        a = array(self.code, ids)
+        if sys.byteorder == "big":
+            a.byteswap()
+        return a.tobytes()
+
     def ids(self, texts: list) -> list[bytes]:
-        import numpy as np
+        return [self.pack(e.ids) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-        return [np.array(e.ids, self.dtype).tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def words(self, words: list) -> list[bytes]:
+        """Ids of texts that are one pre-token each: letters, at most one space before them."""
+        split, blank, letters = self.tok.model.tokenize, self.blank, self.letters
+        return [self.pack([t.id for t in split(
+            w.replace(" ", blank) if w.isascii() else w.encode().decode("latin-1").translate(letters))])
+            for w in words]
 
     def encode(self, texts: list) -> list[bytes]:
         """Ids of each text as little-endian bytes of ``dtype``; null is an empty text."""
@@ -75,6 +103,10 @@ class Encoder:
         words = {w for _, w, _ in marked}.difference(new, whole)
         new.update((w, old[w]) for w in words if w in old)
         whole += words.difference(old)
+        if self.by_word:
+            plain = [p for p in whole if is_word(p)]
+            new.update(zip(plain, self.words([source(p) for p in plain])))
+            whole = [p for p in whole if p not in new]
         for k in range(0, len(whole), 20_000):
             part = whole[k:k + 20_000]
             new.update(zip(part, self.ids([source(p) for p in part])))
@@ -103,6 +135,12 @@ def source(piece: str) -> str:
     return piece[1:] if piece[:1] == "\0" else piece if piece[:1] == "\n" else " " + piece
 
 
+def is_word(piece: str) -> bool:
+    """The piece is letters alone, of scripts that all versions of Unicode in use agree on."""
+    word = piece[1:] if piece[:1] == "\0" else piece
+    return word.isalpha() and (word.isascii() or max(word) < _LETTERS_TO)
+
+
 def encoder(spec: str) -> Encoder:
     """The worker's encoder for a tokenizer file's text; built once per worker."""
     key = hash(spec)

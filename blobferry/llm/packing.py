@@ -116,7 +116,7 @@ def weights(ids, idf, mean: float):
 
 
 class Block:
-    """Inverted index of a block of documents; ``ranked`` lists neighbours by falling score."""
+    """Inverted index of a block of documents; ``scores`` and ``ranked`` give the neighbours of one."""
 
     def __init__(self, docs: list, idf, mean: float):
         import numpy as np
@@ -128,24 +128,32 @@ class Block:
             t, x = weights(ids, idf, mean)
             self.terms.append(t)
             w.append(x)
-            doc.append(np.full(len(t), i, np.int32))
+            doc.append(np.full(len(t), i, np.intp))
         t = np.concatenate(self.terms) if docs else np.zeros(0, np.int64)
         order = np.argsort(t, kind="stable")
         t = t[order].astype(np.int64)
         self.doc, self.weight = np.concatenate(doc)[order], np.concatenate(w)[order]
         self.start = np.searchsorted(t, np.arange(len(idf) + 1))
 
+    def scores(self, i: int):
+        """Score of each document of the block as a neighbour of ``i``; 0 without a shared term, and for ``i``."""
+        import numpy as np
+
+        t = self.terms[i].astype(np.int64)
+        if not len(t):
+            return np.zeros(self.n)
+        runs = list(zip(self.start[t].tolist(), self.start[t + 1].tolist()))
+        score = np.bincount(np.concatenate([self.doc[a:b] for a, b in runs]),
+                            np.concatenate([self.weight[a:b] for a, b in runs]), self.n)
+        score[i] = 0
+        return score
+
     def ranked(self, i: int):
         """Other documents of the block that share a term with ``i``, best first, ties in block order."""
         import numpy as np
 
-        t = self.terms[i]
-        a, n = self.start[t], self.start[t.astype(np.int64) + 1] - self.start[t]
-        at = np.repeat(a - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum()) if len(t) else np.zeros(0, np.int64)
-        score = np.bincount(self.doc[at], self.weight[at], self.n)
-        score[i] = 0
-        order = np.argsort(-score, kind="stable")
-        return order[:np.count_nonzero(score)]
+        score = self.scores(i)
+        return np.argsort(-score, kind="stable")[:np.count_nonzero(score)]
 
 
 def pack_task(batches, dtype: str, idf, mean: float, window: int):
@@ -187,7 +195,7 @@ def pack_task(batches, dtype: str, idf, mean: float, window: int):
     def fill(block):
         keys, docs = zip(*block)
         index, used, nxt = Block(docs, idf, mean), np.zeros(len(docs), bool), 0
-        carry = seed = ranking = None
+        carry = seed = score = None
         while True:
             if carry is not None:  # whole windows of a cut document, then it seeds the last one
                 doc, ids, a, i = carry
@@ -195,14 +203,17 @@ def pack_task(batches, dtype: str, idf, mean: float, window: int):
                 if a < len(ids):
                     carry = (doc, ids, a, i)
                     continue
-                carry, seed, ranking = None, i, None
+                carry, seed, score = None, i, None
             if state["used"] == 0:
                 seed = None
             pick = None
             if seed is not None:
-                if ranking is None:
-                    ranking = iter(index.ranked(seed))
-                pick = next((int(j) for j in ranking if not used[j]), None)
+                if score is None:
+                    score = np.where(used, 0, index.scores(seed))
+                best = int(score.argmax())  # of ties the first in block order
+                if score[best] > 0:
+                    pick = best
+                    score[pick] = 0
             if pick is None:
                 while nxt < len(docs) and used[nxt]:
                     nxt += 1
@@ -210,7 +221,7 @@ def pack_task(batches, dtype: str, idf, mean: float, window: int):
                     break
                 pick = nxt
                 if seed is None:
-                    seed, ranking = pick, None
+                    seed, score = pick, None
             used[pick] = True
             a = add(keys[pick], docs[pick])
             if a < len(docs[pick]):
