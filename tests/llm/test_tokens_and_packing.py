@@ -28,6 +28,16 @@ def test_piecewise_ids_equal_whole_text_ids(tok):
         assert np.frombuffer(raw, enc.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_words_of_letters_equal_the_whole_tokenizer(tok):
+    """Letters of old and new scripts, digits and numerals that are no letters, marks and lone combining signs."""
+    words = ["plain", "Ünïcode", "ελληνικά", "ПРИВЕТ", "漢字", "\u1c89\ua7dax", "x²y", "Ⅷ", "e\u0301t", "ª", "µm",
+             "a_b", "12ab", "don't", "it's!!", "\u0530\u0531", "\u00adsoft", "end,$$$", "\U00010400", "नमस्ते"]
+    texts = [w for a in words for w in (a, " " + a, "\n" + a, f"x {a} {a}.\n{a}!")]
+    enc = encoder(read_spec(queries.tokenizer_path()))
+    for t, raw in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(raw, enc.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 @pytest.mark.parametrize("values", [[], [0], [0, 0, 0], [5, 5, 9], list(range(1000)), [0, 2 ** 40, 2 ** 40, 2 ** 62],
                                     sorted(np.random.default_rng(1).integers(0, 10 ** 6, 3000).tolist())])
 def test_elias_fano_round_trip_and_select(values):
