@@ -208,15 +208,16 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "status":
         led = L.Ledgers(a.state)
         status = R.read_table(spark, led.status)
-        runs = []
+        runs, n_runs = [], 0
         if status is not None:
             written = F.col("ok") & ~F.col("skipped")
             per_run = status.groupBy("run_no").agg(
                 F.count(F.lit(1)).alias("n_rows"), F.count_if(written).alias("n_ok"),
                 F.count_if(F.col("skipped")).alias("n_skipped"), F.count_if(~F.col("ok")).alias("n_failed"))
+            n_runs = per_run.count()
             # The latest runs only: a bounded number of small rows.
             runs = [r.asDict() for r in per_run.orderBy(F.col("run_no").desc()).limit(a.last).collect()]
-        out = {"runs": runs}
+        out = {"n_runs": n_runs, "runs": runs}
         if a.ctx:
             out["last_run_no"], out["high_water"] = L.last_bookmark(spark, led.bookmarks, a.ctx)
     elif a.cmd == "compact":

@@ -60,7 +60,8 @@ def export_bodies(df: DataFrame, root: str, key: str | Column = "key",
     c = K._c
     plan = df.select(
         c(key).cast("string").alias("key"),
-        (c(src_id).cast("bigint") if src_id is not None else F.lit(None).cast("bigint")).alias("src_id"),
+        # ids travel as text: a pandas column of integers with nulls is float and rounds above 2^53
+        (c(src_id).cast("bigint") if src_id is not None else F.lit(None)).cast("string").alias("src_id"),
         (c(guid).cast("string") if guid is not None else F.lit(None).cast("string")).alias("guid"),
         (c(policy_id).cast("string") if policy_id is not None
          else F.lit(None).cast("string")).alias("policy_id"),
@@ -109,4 +110,5 @@ def export_bodies(df: DataFrame, root: str, key: str | Column = "key",
             if pool:
                 pool.shutdown()
 
-    return plan.mapInPandas(_export, STATUS_SCHEMA)
+    return plan.mapInPandas(_export, STATUS_SCHEMA.replace("src_id bigint", "src_id string")) \
+        .withColumn("src_id", F.col("src_id").cast("bigint"))

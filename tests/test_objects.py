@@ -40,6 +40,15 @@ def test_export_is_idempotent(spark, tmp_root):
     assert sorted(os.listdir(tmp_root)) == ["k.pdf"]
 
 
+def test_export_keeps_large_ids_beside_null_ones(spark, tmp_root):
+    big = 2 ** 53 + 1  # not a double
+    df = spark.createDataFrame([("a.pdf", b"a", big), ("b.pdf", b"b", None), ("c.pdf", b"c", -big)],
+                               "key string, body binary, id long").coalesce(1)
+    st = export_bodies(df, tmp_root, src_id="id")
+    assert st.schema["src_id"].dataType.simpleString() == "bigint"
+    assert {r.key: r.src_id for r in st.collect()} == {"a.pdf": big, "b.pdf": None, "c.pdf": -big}
+
+
 def test_read_bodies_keeps_failures_per_key(spark, tmp_root):
     _write(tmp_root, "x/a.pdf", b"AAA")
     keys = spark.createDataFrame([("x/a.pdf", 1), ("x/missing.pdf", 2), ("../a.pdf", 3)], "key string, n int")
