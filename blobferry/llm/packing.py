@@ -5,9 +5,11 @@
    each token id occurs (at most one row per vocabulary entry, summed in the
    tasks first). Token ids are the terms of the index.
 3. Documents go to index shards by their heaviest term, the one with the most
-   BM25 weight, so likely neighbours meet. A term shared by many documents is
-   salted by a hash of the id, so that no shard key holds more than about
-   ``KEY_ROWS`` rows, whatever the input.
+   BM25 weight, so likely neighbours meet. Only a term that is the heaviest of
+   more than ``KEY_ROWS`` documents is salted, by content: by the second
+   heaviest term, then, for keys still too large, by the third, by the ids and
+   at last by the row. So no shard key holds more than about ``KEY_ROWS`` rows,
+   and near copies part only in a group of copies larger than that.
 4. Each task walks its shards in blocks of at most ``BLOCK_TOKENS`` ids and
    builds the inverted index of a block. Windows are filled greedily: the
    seed, then its unused neighbours by falling BM25 score, then the next
@@ -23,17 +25,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from blobferry.llm.common import binary_array, materialize
+from blobferry.llm.common import binary_array, broadcast_if_small, materialize
 from blobferry.llm.encoder import encoder, read_spec
 
 KEY_ROWS = 4096
 BLOCK_TOKENS = 2_000_000
 BLOCK_DOCS = 1024
+MAX_BROADCAST = 500_000  # large keys joined by broadcast up to this count, else shuffled
 K1, B = 1.2, 0.75
 
 IDS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("ids", T.BinaryType()),
                     T.StructField("n", T.LongType())])
-KEYED = T.StructType(IDS.fields + [T.StructField("term", T.IntegerType())])
+TOP = ["term", "second", "third"]
+KEYED = T.StructType(IDS.fields + [T.StructField(c, T.IntegerType()) for c in TOP])
 PIECES = T.StructType([T.StructField(n, t) for n, t in (
     ("doc_id", T.LongType()), ("start", T.LongType()), ("length", T.LongType()), ("doc_tokens", T.LongType()),
     ("sequence_id", T.LongType()), ("offset", T.LongType()), ("ids", T.BinaryType()))])
@@ -244,6 +248,25 @@ def pack_task(batches, dtype: str, idf, mean: float, window: int):
         yield flush(_powers_of_two(out, seq0 + state["seq"]))
 
 
+def with_salts(keyed: DataFrame) -> DataFrame:
+    """Adds ``salt`` to rows ``(doc_id, term, second, third, sig, row)``: 0 for
+    terms of at most ``KEY_ROWS`` rows. Each step splits only the keys that the
+    step before left too large; there are at most rows / ``KEY_ROWS`` of them."""
+    out, most = keyed.withColumn("salt", F.lit(0).cast("long")), KEY_ROWS
+    for by in (["second"], ["third"], ["sig"], ["doc_id", "row"]):
+        large = materialize(out.groupBy("term", "salt").agg(F.count(F.lit(1)).alias("rows"))
+                            .where(F.col("rows") > most), "large-keys")
+        if large.isEmpty():
+            break
+        large = broadcast_if_small(large, MAX_BROADCAST)
+        part = F.pmod(F.xxhash64(*by), F.ceil(F.col("rows") / KEY_ROWS))
+        out = out.join(large, ["term", "salt"], "left") \
+            .withColumn("salt", F.when(F.col("rows").isNull(), F.col("salt")).otherwise(F.xxhash64("salt", part))) \
+            .select(*keyed.columns, "salt")
+        most = 2 * KEY_ROWS  # a hash fills its keys unevenly
+    return out
+
+
 def _powers_of_two(pieces: list, seq: int) -> list:
     """Deal the pieces of an unfilled window out to sequences of 2^k ids each, the longest first."""
     total = sum(r[2] for r in pieces)
@@ -280,14 +303,18 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int =
 
         idf, mean = stats.value
         for batch in batches:
-            top = np.empty(batch.num_rows, np.int32)
+            top = np.full((len(TOP), batch.num_rows), -1, np.int32)
             for r, raw in enumerate(batch.column(1)):
                 t, w = weights(np.frombuffer(raw.as_buffer(), dtype), idf, mean)
-                top[r] = t[np.argmax(w)] if len(t) else -1
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(top)], names=KEYED.names)
-
-    salts = max(1, -(-n // KEY_ROWS))
-    keyed = table.mapInArrow(heaviest, KEYED).withColumn("salt", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(salts)))
-    shards = keyed.repartition("term", "salt").sortWithinPartitions("term", "salt", "doc_id", "ids")
+                for k in range(min(len(TOP), len(t))):
+                    i = int(w.argmax())  # of ties the smallest token id
+                    top[k, r] = t[i]
+                    w[i] = -1
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, top)], names=KEYED.names)
+
+    keyed = materialize(table.mapInArrow(heaviest, KEYED).withColumn("sig", F.xxhash64("ids"))
+                        .withColumn("row", F.monotonically_increasing_id()), "keyed")
+    shards = with_salts(keyed).repartition("term", "salt").sortWithinPartitions("term", "salt", "second", "third", "doc_id",
+                                                                               "ids")
     return shards.select("doc_id", "ids").mapInArrow(
         lambda batches: pack_task(batches, dtype, *stats.value, window), PIECES)

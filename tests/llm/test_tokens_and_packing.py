@@ -128,6 +128,43 @@ def test_packing_small_blocks_keep_whole_results(docs, tok, monkeypatch):
     check_pieces(out, [(r["doc_id"], whole(tok, r["text"], 0)) for r in docs.collect()])
 
 
+def test_near_copies_stay_neighbours_in_a_large_table(spark, monkeypatch):
+    """Rare heaviest terms are never scattered, whatever the number of documents."""
+    monkeypatch.setattr(packing, "KEY_ROWS", 7)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        text = lambda g: " ".join(f"{g * 7919 + k}" for k in range(20))
+        rows = [(4 * g + c, text(g) + f" {c}") for g in range(40) for c in range(4)]
+        task: dict = {}
+        for r in packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), queries.tokenizer_path()).collect():
+            task.setdefault(r["doc_id"] // 4, set()).add(r["sequence_id"] >> 40)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(task) == 40 and sum(len(x) == 1 for x in task.values()) >= 36  # a heaviest term may tie in another group
+
+
+def test_only_large_keys_are_salted_by_content(spark, monkeypatch):
+    monkeypatch.setattr(packing, "KEY_ROWS", 10)
+    rows = [(i, 1, i // 4, 0, i, i) for i in range(200)]             # a common term, second terms of 4 rows each
+    rows += [(1000 + i, 2, 5, 6, 7, 1000 + i) for i in range(100)]   # exact copies
+    rows += [(2000 + i, 3 + i // 10, i, i, i, 2000 + i) for i in range(100)]  # terms of KEY_ROWS rows
+    rows += [(None, 90, 5, 6, 7, 3000 + i) for i in range(100)]      # exact copies without an id
+    df = spark.createDataFrame(rows, "doc_id long, term int, second int, third int, sig long, row long")
+    got = packing.with_salts(df).collect()
+    assert len(got) == len(rows)
+    keys, pairs = {}, {}
+    for r in got:
+        keys[r["term"], r["salt"]] = keys.get((r["term"], r["salt"]), 0) + 1
+        pairs.setdefault((r["term"], r["second"]), set()).add(r["salt"])
+        assert r["salt"] == 0 or r["term"] in (1, 2, 90)
+    assert max(keys.values()) <= 30
+    assert sum(len(x) == 1 for (t, _), x in pairs.items() if t == 1) >= 40
+    assert sum(t == 2 for t, _ in keys) >= 5 and sum(t == 90 for t, _ in keys) >= 5
+
+
 def test_bm25_ranking_equals_brute_force():
     rng = np.random.default_rng(3)
     texts = [rng.zipf(1.5, int(n)).clip(0, 400).astype(np.uint16) for n in rng.integers(5, 200, 60)]
