@@ -120,6 +120,20 @@ def declared_in_markup(html: Column) -> Column:
     return F.when(tag != "", F.lower(tag))
 
 
+def text_of(html: Column) -> Column:
+    """Text of a page: no comments, scripts, styles and tags, character references resolved; null stays null."""
+    @F.pandas_udf("string")
+    def run(pages: pd.Series) -> pd.Series:
+        import html as markup
+        import re
+
+        hidden = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)")
+        tag = re.compile(r"<[!/?a-zA-Z][^<>]*>")
+        return pages.map(lambda p: None if p is None else markup.unescape(tag.sub(" ", hidden.sub(" ", p))))
+
+    return run(html)
+
+
 def host_of(url: Column) -> Column:
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)", 1))
     return F.when(host != "", host)

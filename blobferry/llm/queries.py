@@ -76,9 +76,21 @@ def op10_language(spark, sf_dir):
     return rows.select("doc_id", "lang", "language", "posterior", F.col("accepted").alias("kept"))
 
 
+def op10_language_pages(spark, sf_dir):
+    """Every page by its own text, markup language, host and address suffix, under the models of the documents."""
+    pages = table(spark, sf_dir, "pages")
+    url, html = F.col("url"), F.col("html")
+    rows = pages.select("page_id", language.text_of(html).alias("text"),
+                        language.declared_in_markup(html).alias("declared"), language.host_of(url).alias("host"),
+                        language.suffix_of(language.host_of(url)).alias("suffix"))
+    model = language.train(table(spark, sf_dir, "documents"))
+    out = language.identify(rows, model, declared_col="declared", host_col="host", suffix_col="suffix")
+    return out.select("page_id", "declared", "host", "suffix", "language", "posterior", F.col("accepted").alias("kept"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secrets, op2_lattice, op3_lines, op4_token_files, op5_packing, op6_simhash, op7_warc, op8_decontaminate,
-    op9_quality, op10_language)}
+    op9_quality, op10_language, op10_language_pages)}
 
 #: DuckDB SQL over the same tables. The others have none: they train models, hash
 #: with XXH64, run a tokenizer, or compare all pairs, and are tested by brute force.

@@ -65,6 +65,25 @@ def test_markup_and_address(spark):
                                        (None, "h", None), (None, None, None)]
 
 
+def test_pages_get_markup_and_suffix_evidence(spark, corpus):
+    """The registered query: every page has a row, its own declaration and suffix, and the language of its text."""
+    from blobferry.llm import queries
+
+    rows = queries.QUERIES["op10_language_pages"](spark, SF).collect()
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    assert sorted(r["page_id"] for r in rows) == sorted(pages)
+    for r in rows:
+        assert r["declared"] and f'lang="{r["declared"]}' in pages[r["page_id"]]["html"] and r["suffix"]
+    assert sum(r["language"] == r["declared"] for r in rows) >= 0.95 * len(rows)
+
+
+def test_text_of_pages(spark):
+    rows = [("<html><!-- no --><style>p{}</style><script>var t='</p>';</script><p>a &amp; b</p>1 < 2<br/>c",), (None,), ("",),
+            ("x<!-- open <p>y",)]
+    got = spark.createDataFrame(rows, "html string").select(language.text_of(F.col("html")).alias("t")).collect()
+    assert [r["t"] and r["t"].split() for r in got] == [["a", "&", "b", "1", "<", "2", "c"], None, "", ["x"]]
+
+
 def test_quality_held_out_accuracy(spark):
     big = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
