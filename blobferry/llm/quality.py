@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -39,12 +40,12 @@ def features(text):
     t = text or ""
     ws = t.split()
     n, m = max(1, len(t)), max(1, len(ws))
-    distinct = set(ws)
+    distinct = Counter(ws)
     bare = {w.strip(_STRIP) for w in {w.lower() for w in distinct}}
     bare.discard("")
     ids = np.unique(np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS for w in bare), np.int64, len(bare)))
     lines = t.split("\n")
-    letters = sum(map(str.isalpha, t)) if len(t) < 4096 else sum(len(w.strip(_STRIP)) for w in ws)
+    letters = sum(c * (len(w) if w.isalpha() else sum(map(str.isalpha, w))) for w, c in distinct.items())
     marks = sum(t.count(c) for c in "|%$#*&!{}<>")
     shape = [math.log1p(len(ws)) / 10, letters / n, marks / n * 5, len(distinct) / m,
              len(set(lines)) / max(1, len(lines)), t.count("|") / m * 5, sum(w.isupper() for w in distinct) / max(1, len(distinct)),

@@ -98,6 +98,14 @@ def test_quality_held_out_accuracy(spark):
     assert sum(toxic) >= 0.75 * len(toxic) and sum(clean) >= 0.99 * len(clean)
 
 
+@pytest.mark.parametrize("piece", ["12.5|37 ", "it's a-b2c (x) ", "été 漢字 4u\n", "plain words "])
+def test_letter_share_is_the_same_at_every_length(piece):
+    """The second shape feature: alphabetic characters per character."""
+    for n in (10, 4095, 4096, 50_000):
+        text = (piece * n)[:n]
+        assert quality.features(text)[1][1] == pytest.approx(sum(map(str.isalpha, text)) / n)
+
+
 def test_quality_shrinks_sparse_groups(spark):
     """A long-standing bad host pulls an unclear document down; a host of one document does not."""
     model = quality.Classifier({t: (np.zeros(quality.BUCKETS), [0.0] * quality.SHAPES, 0.0) for t in ("quality", "toxic")})
