@@ -10,15 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blobferry.llm import decontaminate, language, line_dedup, packing, queries, simhash
-from blobferry.llm.common import broadcast_if_small, materialize
+from blobferry.llm.common import broadcast_if_small, fresh_name, materialize
 
 
-def _keep(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``marks``; rows with a null id stay."""
-    ids = materialize(marks.select(F.col("doc_id")).where("doc_id is not null").distinct(), "kept-ids")
-    gone = docs.select("doc_id").where("doc_id is not null").distinct().join(ids, "doc_id", "left_anti")
-    return docs.join(broadcast_if_small(materialize(gone, "dropped-ids"), line_dedup.MAX_BROADCAST), "doc_id",
-                     "left_anti").select(docs.columns)
+def _with_key(docs: DataFrame) -> tuple:
+    """``docs`` written with a number of its own for each row, and that column's name: ids may be null or repeated."""
+    key = fresh_name(docs.columns, "row_key")
+    return materialize(docs.withColumn(key, F.monotonically_increasing_id()), "keyed-rows"), key
+
+
+def _without(keyed: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """Rows of ``keyed`` whose key is not in ``gone`` (column ``doc_id``, keys at most once), without the key."""
+    gone = materialize(gone.select(F.col("doc_id").alias(key)), "dropped-rows")
+    return keyed.join(broadcast_if_small(gone, line_dedup.MAX_BROADCAST), key, "left_anti").drop(key)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,15 +38,23 @@ def line_dedup_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
-    rows = simhash.near_duplicates(docs, shingle=3, max_bits=2)
-    return _keep(docs, rows.where("doc_id = component_id"))
+    """One row of each group of near duplicates: one with the smallest id (a null id only where all are null)."""
+    keyed, key = _with_key(docs)
+    rows = materialize(simhash.near_duplicates(keyed, shingle=3, max_bits=2, id_col=key), "groups")
+    ids = keyed.select(F.col(key).alias("doc_id"), F.col("doc_id").alias("id"))
+    many = materialize(rows.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id"),
+                       "large-groups")
+    shared = materialize(rows.join(broadcast_if_small(many, line_dedup.MAX_BROADCAST), "component_id", "left_semi")
+                         .select("doc_id", "component_id").join(ids, "doc_id"), "shared-groups")
+    first = shared.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "doc_id"))["doc_id"].alias("doc_id"))
+    return _without(keyed, key, shared.select("doc_id").join(first.select("doc_id"), "doc_id", "left_anti"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    rows = decontaminate.contamination(docs, queries.table(spark, sf_dir, "benchmark"), window=10)
-    return _keep(docs, rows.where("n_hit = 0"))
+    keyed, key = _with_key(docs)
+    rows = decontaminate.contamination(keyed, queries.table(spark, sf_dir, "benchmark"), window=10, id_col=key)
+    return _without(keyed, key, rows.where("n_hit > 0"))
 
 
 def packing_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -88,6 +88,21 @@ def test_stages_take_odd_rows_and_empty_tables(spark, docs, odd, empty):
                 assert [x.dataType for x in rows.schema] == [x.dataType for x in shape], name
 
 
+def test_decisions_take_effect_on_null_and_repeated_ids(spark, docs):
+    passage = next(r["text"] for r in queries.table(spark, SF, "benchmark").collect() if len(decontaminate.words(r["text"])) >= 10)
+    clean, other = ("".join(f"{w}{k} " for k in range(40)) for w in ("alpha", "omega"))
+    rows = [(None, passage), (None, clean), (1, clean), (1, passage), (2, other), (2, other), (None, other), (None, "x " + passage),
+            (3, None), (None, "zeta eta theta iota kappa"), (None, "zeta eta theta iota kappa")]
+    df = spark.createDataFrame([(i, t, None, None, 1) for i, t in rows], docs.schema)
+    pairs = lambda out: sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert pairs(STAGE["decontamination"](spark, df, SF)) == sorted((r for r in rows if passage not in (r[1] or "")), key=str)
+    kept = pairs(STAGE["simhash"](spark, df, SF))
+    assert [x for x in kept if x[1] == clean] == [(1, clean)]
+    assert [x for x in kept if x[1] == other] == [(2, other)]
+    assert [x for x in kept if x[1] == rows[-1][1]] == [(None, rows[-1][1])]
+    assert [x for x in kept if x[1] is None] == [(3, None)]
+
+
 def test_run_chains_all_stages(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     key = lambda df: collections.Counter((r["doc_id"], r["start"], r["length"]) for r in df.collect())
