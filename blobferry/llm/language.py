@@ -115,8 +115,10 @@ def _softmax(logs):
 
 
 def declared_in_markup(html: Column) -> Column:
-    """Primary subtag of the ``lang`` attribute of the ``html`` element, lower case; null without one."""
-    tag = F.regexp_extract(F.substring(html, 1, 4096), r"""(?i)<html[^>]*\blang\s*=\s*["']?([a-zA-Z]+)""", 1)
+    """Primary subtag of the ``lang`` attribute of the ``html`` element, lower case; null without one.
+    The element may be anywhere; comments and scripts are no markup."""
+    markup = F.regexp_replace(html, F.lit(r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)"), F.lit(""))
+    tag = F.regexp_extract(markup, r"""(?i)<html[^>]*\blang\s*=\s*["']?([a-zA-Z]+)""", 1)
     return F.when(tag != "", F.lower(tag))
 
 

@@ -77,6 +77,15 @@ def test_pages_get_markup_and_suffix_evidence(spark, corpus):
     assert sum(r["language"] == r["declared"] for r in rows) >= 0.95 * len(rows)
 
 
+def test_markup_after_a_long_preamble(spark):
+    html = '<html lang="de-AT"><p>x'
+    script = "<script>'<html lang=en>'" + ";" * 9000 + "</script>"
+    rows = [(" \n" * 50_000 + html,), ("<!--" + "c" * 100_000 + "<html lang=fr>-->" + html,), (script + html,),
+            ("<!-- <html lang=fr> -->",)]
+    got = spark.createDataFrame(rows, "html string").select(language.declared_in_markup(F.col("html")).alias("d")).collect()
+    assert [r["d"] for r in got] == ["de", "de", "de", None]
+
+
 def test_text_of_pages(spark):
     rows = [("<html><!-- no --><style>p{}</style><script>var t='</p>';</script><p>a &amp; b</p>1 < 2<br/>c",), (None,), ("",),
             ("x<!-- open <p>y",)]
