@@ -2,7 +2,9 @@
 removes the false ones. DataFrame functions and ``pyspark.ml`` only.
 
 A candidate is a maximal run of at least ``MIN_LENGTH`` characters that keys
-and tokens are made of. Its features: length, character classes and the
+and tokens are made of, or a value assigned to a name that holds one of
+``NAMES``: of any length and any marks, quoted on one line, or else up to a
+blank or the next such name. Features of a candidate: length, character classes and the
 transitions between them, how likely its letter pairs are in the corpus' own
 words, how much of it dictionary words cover, the words next to it, and the
 path of its document. The dictionary (words seen ``DICTIONARY_MIN`` times) and
@@ -25,6 +27,10 @@ CHARS = "A-Za-z0-9+/_=.-"
 CANDIDATE = f"(?<![{CHARS}])[{CHARS}]{{{MIN_LENGTH},}}+"
 #: Names that secrets are assigned to, and parts of paths where findings are mostly samples.
 NAMES = "token|secret|passw(?:or)?d|passphrase|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer"
+_NAME = rf"(?<![\w.-])(?=[\w.-]*?(?:{NAMES}))[\w.-]++[\"'`\])}}]*+\s*+[=:]"
+#: Name and sign; the value stays ahead, so that a name inside a value is found too. Loops are over single
+#: characters only, as the regex engine's stack grows with repeated groups.
+ASSIGNED = rf"""(?i){_NAME}[=:>]*+\s*+(?:(?:bearer|basic)\s++)?+(?=(\"[^\n]*?(?<!(?<!\\)\\)\"|'[^\n]*?(?<!(?<!\\)\\)'|`[^`\n]*+`|\S+?(?=\s|\z|{_NAME})))"""
 SAMPLE_PATHS = "test|example|sample|mock|fixture|doc"
 NEAR = 80
 DICTIONARY_MIN = 5
@@ -35,18 +41,38 @@ FEATURES = ["f_length", "f_digits", "f_upper", "f_lower", "f_marks", "f_switches
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
-    """Written table of findings ``(fid, doc_id, nth, candidate, before, after, path)``;
-    ``nth`` counts a document's candidates from 0, ``before`` and ``after`` are
-    the text next to it, up to the neighbouring candidate."""
+    """Written table of findings ``(fid, doc_id, nth, candidate, before, after, path, assigned)``;
+    ``nth`` counts a document's candidates from 0, runs first, then ``assigned``
+    values that are not a whole run anyway; ``before`` and ``after`` are the text
+    next to it, up to the neighbouring candidate of its kind."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        (F.col(path_col) if path_col else F.lit(None)).cast("string").alias("path"),
                        F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("found"),
-                       F.split(text, CANDIDATE, -1).alias("between")).where(F.size("found") > 0)
-    each = F.transform("found", lambda c, i: F.struct(
+                       F.split(text, CANDIDATE, -1).alias("between"),
+                       F.regexp_extract_all(text, F.lit(ASSIGNED), F.lit(0)).alias("names"),
+                       F.regexp_extract_all(text, F.lit(ASSIGNED), F.lit(1)).alias("values"),
+                       F.split(text, ASSIGNED, -1).alias("beside")).where("size(found) > 0 or size(names) > 0")
+    runs = F.transform("found", lambda c, i: F.struct(
         i.alias("nth"), c.alias("candidate"), F.right(F.col("between")[i], F.lit(NEAR)).alias("before"),
-        F.left(F.col("between")[i + 1], F.lit(NEAR)).alias("after")))
-    out = rows.select("doc_id", "path", F.explode(each).alias("x")).select("doc_id", "path", "x.*")
+        F.left(F.col("between")[i + 1], F.lit(NEAR)).alias("after"), F.lit(False).alias("assigned")))
+
+    def value(raw: Column, i: Column) -> Column:
+        quote = F.when(F.regexp_like(raw, F.lit("(?s)^([\"'`]).*\\1$")) & (F.length(raw) > 1), F.left(raw, F.lit(1))) \
+            .otherwise(F.lit(""))
+        n = F.length(quote)
+        return F.struct(
+            i.alias("nth"), F.substring(raw, n + 1, F.length(raw) - 2 * n).alias("candidate"),
+            F.right(F.concat(F.col("beside")[i], F.col("names")[i], quote), F.lit(NEAR)).alias("before"),
+            F.left(F.concat(quote, F.substring(F.col("beside")[i + 1], F.length(raw) + 1, F.lit(NEAR))), F.lit(NEAR)).alias("after"),
+            F.lit(True).alias("assigned"))
+
+    whole_run = lambda x: F.regexp_like(x["candidate"], F.lit(f"^[{CHARS}]{{{MIN_LENGTH},}}$")) \
+        & ~F.regexp_like(x["before"], F.lit(f"[{CHARS}]$")) & ~F.regexp_like(x["after"], F.lit(f"^[{CHARS}]"))
+    rows = rows.select("doc_id", "path", "found", runs.alias("runs"), F.filter(
+        F.transform("values", value), lambda x: (x["candidate"] != "") & ~whole_run(x)).alias("set"))
+    both = F.concat("runs", F.transform("set", lambda x, i: x.withField("nth", i + F.size("found"))))
+    out = rows.select("doc_id", "path", F.explode(both).alias("x")).select("doc_id", "path", "x.*")
     return materialize(out.withColumn("fid", F.monotonically_increasing_id()), "findings")
 
 
@@ -78,12 +104,12 @@ def with_features(findings: DataFrame, words: DataFrame) -> DataFrame:
     path = F.lower(F.coalesce("path", F.lit("")))
     f = findings.withColumns({
         "f_length": F.log(n.cast("double")), "f_digits": share("[0-9]"), "f_upper": share("[A-Z]"),
-        "f_lower": share("[a-z]"), "f_marks": share("[+/_=.-]"),
+        "f_lower": share("[a-z]"), "f_marks": share("[^0-9A-Za-z]"),
         "f_switches": share("(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[a-z])(?=[A-Z])"),
         "f_distinct": F.size(F.array_distinct(F.split(c, ""))) / F.least(n, F.lit(64)),
         "f_vowels": share("[aeiouAEIOU]"), "f_hex": share("[0-9a-fA-F]"),
-        "f_named": F.regexp_like(low, F.lit(f"(?:{NAMES})[^a-z0-9]*$")).cast("double"),
-        "f_assigned": F.regexp_like("before", F.lit("[=:]\\s*[\"'`]?$")).cast("double"),
+        "f_named": (F.col("assigned") | F.regexp_like(low, F.lit(f"(?:{NAMES})[^a-z0-9]*$"))).cast("double"),
+        "f_assigned": (F.col("assigned") | F.regexp_like("before", F.lit("[=:]\\s*[\"'`]?$"))).cast("double"),
         "f_quoted": F.regexp_like("after", F.lit("^[\"'`]")).cast("double"),
         "f_depth": F.size(F.split(path, "/")).cast("double"),
         "f_sample_path": F.regexp_like(path, F.lit(SAMPLE_PATHS)).cast("double")})
@@ -105,12 +131,14 @@ def with_features(findings: DataFrame, words: DataFrame) -> DataFrame:
 def seed_labels(findings: DataFrame) -> DataFrame:
     """Adds ``label``: 1 for quoted values assigned to a secret's name that mix
     letters and digits, 0 for plain words, numbers and host names with no such
-    name before them, null for the rest."""
+    name before them and for unquoted dictionary words after one, null for the rest."""
     secret = (F.col("f_named") == 1) & (F.col("f_assigned") == 1) & (F.col("f_quoted") == 1) \
         & (F.col("f_digits").between(0.1, 0.9))
     plain = (F.col("f_named") == 0) & ((F.col("f_digits") == 0) | (F.col("f_digits") == 1)
                                        | F.regexp_like("candidate", F.lit(r"^[a-z0-9.-]+\.(?:com|org|net)\.?$")))
-    return findings.withColumn("label", F.when(secret, 1.0).when(plain, 0.0))
+    prose = F.col("assigned") & (F.col("f_quoted") == 0) & F.regexp_like("candidate", F.lit("^[A-Za-z]+[.,;:]?$")) \
+        & (F.col("f_words") + F.col("f_marks") >= 1)
+    return findings.withColumn("label", F.when(secret, 1.0).when(plain | prose, 0.0))
 
 
 def train(labelled: DataFrame, sample: int = SAMPLE, seed: int = 1):

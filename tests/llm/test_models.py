@@ -159,6 +159,27 @@ def test_secrets_generalise_to_findings_without_their_name(spark, corpus):
     assert own[1]["f_assigned"] == 1 and own[1]["f_quoted"] == 1 and own[0]["f_hex"] == 1 and own[0]["before"] == "see "
 
 
+def test_values_assigned_to_names_are_candidates_of_any_form(spark, corpus):
+    texts = {
+        1: ('password = "S3cr!t#2024" next', ["S3cr!t#2024"]), 2: ("db_passwd: p@ss:w0rd! end", ["p@ss:w0rd!"]),
+        3: ("Server=h;Password=x!1;Pwd=y$2;", ["x!1;", "y$2;"]), 4: ("passphrase='correct horse battery staple'", ["correct horse battery staple"]),
+        5: (r'{"pwd": "a\"b#1", "n": 1}', [r'a\"b#1']), 6: ("Authorization: Bearer ab!c", ["ab!c"]),
+        7: ('token = "abc123abc123abc123ab" x', ["abc123abc123abc123ab"]), 8: ("auth: password = q", ["password", "q"]),
+        9: ('secret => `z` password="" passwd=', ["z"]), 10: ("my password here", []), 11: ("pwd:" + "!" * 50_000, ["!" * 50_000]),
+        12: ("token=" * 5000, ["token="] * 4999)}
+    df = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id long, text string")
+    got = {i: [] for i in texts}
+    for r in secrets.candidates(df).orderBy("doc_id", "nth").collect():
+        assert r["nth"] == len(got[r["doc_id"]])
+        got[r["doc_id"]].append(r["candidate"])
+    assert {i: x[-len(want):] if i in (3, 12) else x for (i, x), (_, want) in zip(got.items(), texts.values())} == \
+        {i: want for i, (_, want) in texts.items()}
+    more = spark.createDataFrame([(10_000_000 + i, t, "src") for i, (t, _) in texts.items()],
+                                 "doc_id long, text string, source string")
+    rows = secrets.scan(corpus.select("doc_id", "text", "source").unionAll(more), path_col="source").where("doc_id > 10000000").collect()
+    assert any(r["candidate"] == "S3cr!t#2024" and r["is_secret"] for r in rows)
+
+
 def test_secrets_odd_rows(spark, odd, empty):
     out = secrets.scan(odd)
     assert out.columns == ["doc_id", "nth", "candidate", "before", "score", "is_secret"] and out.count() == 0
