@@ -14,9 +14,11 @@ places where every word of the window lies within ``slop`` words of the rarest
 one, in any order.
 
 The benchmark is the stated query set. Its distinct words and windows go to
-the tasks, behind a check of their number; above ``MAX_WORDS`` the call fails
-and asks for the items in several calls. Documents are never moved: neither
-build nor query shuffles anything but word counts.
+the tasks in blocks of items of about ``BLOCK_BYTES`` of text, one pass over
+the corpus each; a block is all the driver holds. A benchmark of one block
+moves no document: neither build nor query shuffles anything but word counts.
+Of several, the spans and items of documents with hits are united by a
+grouped aggregate over a number that each row gets.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from blobferry.llm.common import fresh_name, materialize  # noqa: F401
 
 WINDOW = 10
 SEGMENT_WORDS = 2_000_000
-MAX_WORDS = 20_000_000
+BLOCK_BYTES = 16_000_000
 #: Bytes that separate words become blanks and A-Z become a-z; bytes of other letters stay.
 _FOLD = bytes(32 if b <= 0x2F or 0x3A <= b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F
               else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -75,14 +77,17 @@ class Queries:
         return np.argsort(c, axis=1, kind="stable")
 
 
-def queries(benchmark: DataFrame, n: int, id_col="item_id", text_col="text") -> Queries:
-    """Items with a null id or text, or without words, have no window."""
+def blocks(benchmark: DataFrame, n: int, id_col="item_id", text_col="text"):
+    """``(number of blocks, iterator of their Queries)``, at least one. Items with
+    a null id or text, or without words, have no window."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")) \
         .where("i is not null and t is not null")
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    if size > 8 * MAX_WORDS:
-        raise ValueError(f"the benchmark has {size} bytes; pass its items in several calls")
-    return Queries([(r["i"], r["t"]) for r in rows.distinct().collect()], n)
+    count = max(1, -(-size // BLOCK_BYTES))
+    if count > 1:
+        rows = materialize(rows.distinct().withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(count))), "items")
+    parts = (rows.where(F.col("b") == b) if count > 1 else rows.distinct() for b in range(count))
+    return count, (Queries([(r["i"], r["t"]) for r in part.select("i", "t").collect()], n) for part in parts)
 
 
 def build_index(docs: DataFrame, vocab: dict, id_col="doc_id", text_col="text") -> DataFrame:
@@ -269,5 +274,39 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     window. Items that repeat count once. An empty benchmark leaves every
     document without hits; an empty corpus gives no row. Other columns are not read.
     """
-    q = queries(benchmark, window)
-    return find(build_index(docs, q.vocab, id_col, text_col), q, slop)
+    count, several = blocks(benchmark, window)
+    if count == 1:
+        q = next(several)
+        return find(build_index(docs, q.vocab, id_col, text_col), q, slop)
+    rows = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+                       .withColumn("row", F.monotonically_increasing_id()), "numbered")
+    base, parts = None, None
+    for q in several:
+        found = materialize(find(build_index(rows, q.vocab, "row", "text"), q, slop).withColumnRenamed("doc_id", "row"), "hits")
+        base = found.select("row", "n_words") if base is None else base
+        some = found.where("n_hit > 0 or size(near_items) > 0").drop("n_words", "n_hit")
+        parts = some if parts is None else parts.unionAll(some)
+    return _united(rows.select("row", "doc_id").join(base, "row"), parts)
+
+
+def _united(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Hits of all blocks for each of ``rows`` (row, doc_id, n_words): spans merged, items once."""
+    every = lambda c: F.flatten(F.collect_list(c))
+    ids = lambda c: F.sort_array(F.array_distinct(every(c))).alias(c)
+    hits = parts.groupBy("row").agg(F.sort_array(every("spans")).alias("all"), ids("items"), ids("near_items"))
+    none, nothing = (F.lit([]).cast(t) for t in ("array<array<bigint>>", "array<bigint>"))
+
+    @F.udf("array<array<bigint>>")
+    def merged(spans):
+        out = []
+        for a, b in spans or []:
+            if out and a <= out[-1][1]:
+                out[-1][1] = max(out[-1][1], b)
+            else:
+                out.append([a, b])
+        return out
+
+    length = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return rows.join(hits, "row", "left").withColumn("spans", F.when(F.col("all").isNull(), none).otherwise(merged("all"))) \
+        .select("doc_id", "n_words", length.alias("n_hit"), F.coalesce("items", nothing).alias("items"), "spans",
+                F.coalesce("near_items", nothing).alias("near_items"))

@@ -105,6 +105,22 @@ def test_contamination_odd_rows(spark, odd, empty):
     assert {k[2] for k in rows_of(D.contamination(odd, bench.limit(0)))} == {0}
 
 
+def test_contamination_in_blocks_of_the_benchmark(spark, docs, odd, monkeypatch):
+    """A benchmark above the block size has the result of one block, rows with null and repeated ids included."""
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").unionAll(spark.createDataFrame(
+        [(1, "alpha beta gamma"), (9, "beta gamma delta alpha"), (8, "two blanks"), (7, "no id here")], "item_id long, text string"))
+    rows = docs.select("doc_id", "text").unionAll(odd.select("doc_id", "text"))
+    one = {(r["doc_id"], r["n_words"]): r for r in D.contamination(rows, bench, 3, slop=4).collect()}
+    size = sum(len((r["text"] or "").encode()) for r in bench.collect())
+    monkeypatch.setattr(D, "BLOCK_BYTES", size // 3, raising=False)
+    monkeypatch.setattr(D, "MAX_WORDS", size // 24, raising=False)
+    got = D.contamination(rows, bench, 3, slop=4).collect()
+    assert len(got) == rows.count()
+    assert all(r == one[r["doc_id"], r["n_words"]] for r in got) and any(len(r["items"]) > 1 for r in got)
+    want = brute([(r["doc_id"], r["text"]) for r in rows.collect()], [(r["item_id"], r["text"]) for r in bench.collect()], 3)
+    assert rows_of(D.contamination(rows, bench, 3)) == want
+
+
 def test_words_split_bytes_as_defined():
     assert D.words("A-b_c é ü 9x\x7fZ") == ["a".encode(), b"b", b"c", "é ü".encode(), b"9x", b"z"]
     assert D.words(None) == D.words("") == D.words(" .,") == []
