@@ -13,6 +13,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def broadcast_within(df: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
+    """Hint a broadcast when the values of ``df``, a written table, have at most ``max_bytes`` in all
+    (as text or bytes; 16 more for each row); otherwise leave the join to Spark."""
+    sizes = [F.octet_length(F.col(c) if t in ("string", "binary") else F.to_json(F.struct(c))) for c, t in df.dtypes]
+    total = sum((F.coalesce(x, F.lit(0)).cast("long") for x in sizes), F.lit(16).cast("long"))
+    return F.broadcast(df) if (df.agg(F.sum(total)).first()[0] or 0) <= max_bytes else df
+
+
 def fresh_name(columns, wanted: str) -> str:
     """A column name not yet in ``columns``: extra input columns may clash."""
     taken = {c.lower() for c in columns}

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from blobferry.llm import (decontaminate, language, lattice, line_dedup, packing, quality, secrets, simhash,
-                           token_files, warc)
+from blobferry.llm import (decontaminate, language, lattice, line_dedup, merkle, packing, quality, secrets,
+                           simhash, token_files, warc)
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -88,9 +88,25 @@ def op10_language_pages(spark, sf_dir):
     return out.select("page_id", "declared", "host", "suffix", "language", "posterior", F.col("accepted").alias("kept"))
 
 
+def _ascii_lower(text):
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def op11_of(docs):
+    """Manifest of ``docs`` and its check against a copy whose texts are lower-cased where 5 divides the id's CRC-32."""
+    rows = merkle.manifest(docs, claims={"text": _ascii_lower(F.col("text"))},
+                           changed=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
+                       "verified")
+
+
+def op11_manifest(spark, sf_dir):
+    return op11_of(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secrets, op2_lattice, op3_lines, op4_token_files, op5_packing, op6_simhash, op7_warc, op8_decontaminate,
-    op9_quality, op10_language, op10_language_pages)}
+    op9_quality, op10_language, op10_language_pages, op11_manifest)}
 
 #: DuckDB SQL over the same tables. The others have none: they train models, hash
 #: with XXH64, run a tokenizer, or compare all pairs, and are tested by brute force.
@@ -127,4 +143,57 @@ ORACLES = {
         SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op11_manifest": """
+        WITH RECURSIVE
+        crc AS (SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+                  lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t),
+        d AS (
+          SELECT *, coalesce('s' || source, 'n') AS tree,
+                 translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+                 coalesce(xor(list_reduce(list_concat([4294967295::BIGINT],
+                     list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                   lambda a, c: xor(t[(xor(a, c) & 255) + 1], a >> 8)), 4294967295) % 5 = 0, false) AS touched
+          FROM documents, crc),
+        f AS (
+          SELECT doc_id, source, tree,
+                 coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                 || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                 coalesce(strlen(text) || ':' || text, '-') AS held,
+                 coalesce(strlen(text) || ':' || CASE WHEN touched THEN lowered ELSE text END, '-') AS told
+          FROM d),
+        leaves AS (
+          SELECT doc_id, source, tree, sha256(head || held) AS leaf, sha256(head || told) AS claim,
+                 row_number() OVER () AS rid, count(*) OVER (PARTITION BY tree) AS n,
+                 row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, sha256(head || held)) - 1 AS i FROM f),
+        nodes AS (
+          SELECT tree, 0 AS lvl, i, n, leaf AS h FROM leaves
+          UNION ALL
+          SELECT tree, lvl + 1, i // 16, (any_value(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY i))
+          FROM nodes WHERE n > 1 GROUP BY tree, lvl, i // 16),
+        subroots AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS g, count(*) OVER () AS n
+                     FROM nodes WHERE n = 1),
+        tops AS (
+          SELECT 0 AS lvl, g AS i, n, subroot AS h FROM subroots
+          UNION ALL
+          SELECT lvl + 1, i // 16, (any_value(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY i))
+          FROM tops WHERE n > 1 GROUP BY lvl, i // 16),
+        runs AS (SELECT tree, lvl, i // 16 AS r, list(h ORDER BY i) AS hs FROM nodes WHERE n > 1 GROUP BY ALL),
+        top_runs AS (SELECT lvl, i // 16 AS r, list(h ORDER BY i) AS hs FROM tops WHERE n > 1 GROUP BY ALL),
+        up AS (
+          SELECT rid, tree, 0 AS lvl, i, '' AS proof, claim AS x FROM leaves
+          UNION ALL
+          SELECT rid, up.tree, up.lvl + 1, i // 16,
+                 proof || array_to_string(hs[1:i % 16], '') || array_to_string(hs[i % 16 + 2:], ''),
+                 sha256(array_to_string(hs[1:i % 16], '') || x || array_to_string(hs[i % 16 + 2:], ''))
+          FROM up JOIN runs ON runs.tree = up.tree AND runs.lvl = up.lvl AND runs.r = up.i // 16),
+        over_top AS (
+          SELECT rid, 0 AS lvl, g AS i, proof, x FROM up JOIN subroots USING (tree)
+          WHERE (tree, lvl) IN (SELECT (tree, lvl) FROM nodes WHERE n = 1)
+          UNION ALL
+          SELECT rid, over_top.lvl + 1, i // 16,
+                 proof || array_to_string(hs[1:i % 16], '') || array_to_string(hs[i % 16 + 2:], ''),
+                 sha256(array_to_string(hs[1:i % 16], '') || x || array_to_string(hs[i % 16 + 2:], ''))
+          FROM over_top JOIN top_runs ON top_runs.lvl = over_top.lvl AND top_runs.r = over_top.i // 16)
+        SELECT doc_id, leaf, subroot, t.h AS root, sha256(proof) AS proof_sha256, x AS folded_root, x = t.h AS verified
+        FROM over_top o JOIN leaves USING (rid) JOIN subroots USING (tree) JOIN tops t ON t.n = 1 AND t.lvl = o.lvl""",
 }
