@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from blobferry.llm import (decontaminate, language, lattice, line_dedup, merkle, packing, quality, secrets,
-                           simhash, token_files, warc)
+from blobferry.llm import (decontaminate, fill_middle, language, lattice, line_dedup, merkle, packing, quality,
+                           secrets, simhash, token_counts, token_files, warc)
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -104,9 +104,23 @@ def op11_manifest(spark, sf_dir):
     return op11_of(table(spark, sf_dir, "documents"))
 
 
+def op12_token_counts(spark, sf_dir):
+    """Counts under the public byte-level vocabulary."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, tokenizer_path(), limit=512)
+
+
+def op13_fill_middle(spark, sf_dir):
+    """Each document in its fill-in-the-middle form, and the text that the form gives back, as digests."""
+    rows = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restored("output", "form"), 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secrets, op2_lattice, op3_lines, op4_token_files, op5_packing, op6_simhash, op7_warc, op8_decontaminate,
-    op9_quality, op10_language, op10_language_pages, op11_manifest)}
+    op9_quality, op10_language, op10_language_pages, op11_manifest,
+    op12_token_counts, op13_fill_middle)}
 
 #: DuckDB SQL over the same tables. The others have none: they train models, hash
 #: with XXH64, run a tokenizer, or compare all pairs, and are tested by brute force.
@@ -196,4 +210,17 @@ ORACLES = {
           FROM over_top JOIN top_runs ON top_runs.lvl = over_top.lvl AND top_runs.r = over_top.i // 16)
         SELECT doc_id, leaf, subroot, t.h AS root, sha256(proof) AS proof_sha256, x AS folded_root, x = t.h AS verified
         FROM over_top o JOIN leaves USING (rid) JOIN subroots USING (tree) JOIN tops t ON t.n = 1 AND t.lvl = o.lvl""",
+    "op13_fill_middle": """
+        WITH h AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+                          sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+        k AS (SELECT *, ('0x' || x[1:8])::BIGINT % (n + 1) AS a, ('0x' || x[9:16])::BIGINT % (n + 1) AS b,
+                     t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                     OR ('0x' || x[17:24])::BIGINT % 100 >= 90 AS plain, ('0x' || x[25:32])::BIGINT % 100 < 20 AS spm FROM h),
+        c AS (SELECT *, least(a, b) AS p, greatest(a, b) - least(a, b) AS m FROM k),
+        o AS (SELECT *, substring(t, 1, p) AS pre, substring(t, p + 1, m) AS mid, substring(t, p + m + 1) AS suf FROM c)
+        SELECT doc_id, n::BIGINT AS n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+               CASE WHEN NOT plain THEN p END::BIGINT AS prefix_chars, CASE WHEN NOT plain THEN m END::BIGINT AS middle_chars,
+               sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || suf || '<P>' || pre || '<M>' || mid
+                           ELSE '<P>' || pre || '<S>' || suf || '<M>' || mid END) AS output_sha256,
+               sha256(t) AS restored_sha256 FROM o""",
 }
