@@ -191,7 +191,7 @@ def main(argv: list[str] | None = None) -> int:
         else:
             listing = list_all_objects(spark, a.target) if R.path_exists(a.target) is not False else None
         sink = jobs.blob_sink(a.target, target_listing=listing, key_of=key_of, body=a.body,
-                              compare_sha1=a.compare_sha1)
+                              compare_sha1=a.compare_sha1, written=L.target_state(spark, led.status))
         out = jobs.run_incremental(spark, _source(spark, a), a.ctx, a.strategy, led, sink)
     elif a.cmd == "export-json":
         led = _ledgers(spark, a, a.ctx)
@@ -226,7 +226,8 @@ def main(argv: list[str] | None = None) -> int:
                 p.error("--state needs --new-state")
             old, new = L.Ledgers(a.state), L.Ledgers(a.new_state)
             L.compact_status(spark, old.status, new.status)
-            for path_old, path_new in ((old.bookmarks, new.bookmarks), (old.tombstones, new.tombstones)):
+            for path_old, path_new in ((old.bookmarks, new.bookmarks), (old.tombstones, new.tombstones),
+                                       (old.taken, new.taken)):
                 kept = R.read_table(spark, path_old)
                 if kept is not None:
                     kept.write.mode("errorifexists").parquet(path_new)

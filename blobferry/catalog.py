@@ -379,6 +379,23 @@ def incr_composite_nulls(spark, sf):
     return _src_cols(read_json(spark, out, src.schema))
 
 
+def incr_late_nulls(spark, sf):
+    # Three runs of the timestamp bookmark. Every seventh row of the second and third
+    # arrival has no MODIFIED: it is behind the mark on arrival. Which run took each row?
+    src = roles.source_from_events(spark, sf, with_body=False)
+    led = L.Ledgers(scratch_path(spark, "late"))
+    out = scratch_path(spark, "late-json")
+    shown = F.when((F.col("MODIFIED") <= F.lit(RUN_CUTS[0].isoformat(sep=" ")).cast("timestamp_ntz"))
+                   | (F.col("ID") % 7 != 0), F.col("MODIFIED")).alias("MODIFIED")
+    for cut in RUN_CUTS:
+        visible = src if cut is None else _events_before(src, cut)
+        jobs.run_incremental(spark, visible.select("ID", "POLICY_ID", "COMPANY", "BROKER", shown), "late", "timestamp",
+                             led, jobs.json_sink(out))
+    runs = spark.read.parquet(led.status).select(F.col("src_id").alias("ID"), "run_no")
+    rows = read_json(spark, out, src.schema).groupBy("ID", "MODIFIED").agg(F.count(F.lit(1)).alias("n_times"))
+    return rows.join(runs, "ID")
+
+
 def export_repeated_ids(spark, sf):
     # The id is the customer, so it repeats over policies and over versions.
     o = roles.table(spark, sf, "orders")
@@ -421,6 +438,7 @@ def readd_after_delete(spark, sf):
 
 
 QUERIES: dict[str, Query] = {
+    "incr_late_nulls": incr_late_nulls,
     "incr_composite_nulls": incr_composite_nulls,
     "export_repeated_ids": export_repeated_ids,
     "sync_prefix": sync_prefix,

@@ -31,6 +31,12 @@ ORACLES: dict[str, str] = {
         SELECT event_id AS ID, user_id AS POLICY_ID,
                CASE WHEN event_type <> 'error' THEN event_type END AS COMPANY,
                props AS BROKER, ts AS MODIFIED FROM events""",
+    "incr_late_nulls": """
+        SELECT event_id AS ID, CAST(1 AS BIGINT) AS n_times,
+               CASE WHEN ts <= TIMESTAMP '2024-01-10 00:00:00' OR event_id % 7 <> 0 THEN ts END AS MODIFIED,
+               CAST(CASE WHEN ts <= TIMESTAMP '2024-01-10 00:00:00' THEN 1
+                         WHEN ts <= TIMESTAMP '2024-01-20 00:00:00' THEN 2 ELSE 3 END AS BIGINT) AS run_no
+        FROM events""",
     "export_repeated_ids": """
         WITH s AS (SELECT 'binder_' || o_custkey || '-' || o_orderstatus || '.pdf' AS key, o_orderdate,
                           o_orderkey || ':' || o_orderpriority AS body FROM orders)

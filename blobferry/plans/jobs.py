@@ -41,6 +41,7 @@ class RunReport:
     counts: dict = field(default_factory=dict)
     high_water: tuple | None = None
     committed: bool = False
+    n_late: int = 0  # rows taken without the mark's help: their leading key is null
 
 
 def status_totals(status: DataFrame) -> DataFrame:
@@ -213,15 +214,61 @@ Sink = Callable[[DataFrame, str], DataFrame]
 status rows (key, src_id, ..., ok, skipped, error) - or raises."""
 
 
+def late_rows(spark: SparkSession, source: DataFrame, keys: list[str], mark, ledgers: L.Ledgers, ctx: str,
+              id_col: str = "ID", policy_col: str = "POLICY_ID") -> DataFrame | None:
+    """Identities (``row``, staged) of source rows with a null leading key that no run of ``ctx`` has taken, or None.
+
+    The leading key's null filter reaches the scan, so a source without such rows costs one
+    look at its statistics. What earlier runs took comes from the context's own
+    record. A context that has a mark but no record is older than the record: there
+    rows with the id (and policy) of one of its status rows count as taken, and are recorded.
+    """
+    if not source.schema[keys[0]].nullable:
+        return None
+    rows = source.where(inc.no_place(keys))
+    names = [id_col] + [policy_col] * (policy_col in source.columns)
+    rows = rows.select(inc.row_identity(source, keys, id_col, policy_col).alias("row"),
+                       *[F.col(c).cast("string").alias(f"_l{i}") for i, c in enumerate(names)])
+    if rows.isEmpty():
+        return None
+    seen = L.taken_rows(spark, ledgers.taken, ctx)
+    if seen is not None:
+        rows = rows.join(seen, "row", "left_anti")
+    elif mark is not None:
+        status = L.read_status(spark, ledgers.status)
+        if status is not None:
+            old = status.where(F.col("ctx").isNull() | (F.col("ctx") == ctx)).select(
+                F.col("src_id").cast("string").alias("_s0"), F.col("policy_id").alias("_s1")).distinct()
+            match = F.col("_l0").eqNullSafe(F.col("_s0"))
+            if len(names) > 1:
+                match = match & F.col("_l1").eqNullSafe(F.col("_s1"))
+            rows = materialize(rows, "rows-without-place")
+            L.append_taken(rows.join(old, match, "left_semi").distinct(), ledgers.taken, ctx, 0)
+            rows = rows.join(old, match, "left_anti")
+    return materialize(rows.select("row").distinct(), "late-rows")
+
+
 def next_batch(spark: SparkSession, source: DataFrame, keys: list[str], mark,
                ledgers: L.Ledgers | None = None, id_col: str = "ID",
-               until=None, ctx: str | None = None, policy_col: str = "POLICY_ID") -> DataFrame:
+               until=None, ctx: str | None = None, policy_col: str = "POLICY_ID",
+               late: DataFrame | None = None) -> DataFrame:
     """Rows past the mark (and at most ``until``, if given), plus rows whose
-    latest export (in context ``ctx``, or any) failed: the retries."""
+    latest export (in context ``ctx``, or any) failed: the retries.
+
+    With ``late`` (the staged :func:`late_rows` of this run, possibly none of
+    them), rows with a null leading key are taken if they are in it, and only then.
+    """
     fresh = inc.past_mark(source, keys, mark)
     if until is not None:
         fresh = inc.up_to(fresh, keys, until)
-    if ledgers is None or mark is None:
+    n_late = 0
+    if late is not None:
+        right, n_late = sync.checked_broadcast(late.withColumnRenamed("row", "_row"))
+        identity = inc.row_identity(source, keys, id_col, policy_col)
+        fresh = fresh.where(~inc.no_place(keys))
+        if n_late:
+            fresh = fresh.unionByName(source.where(inc.no_place(keys)).join(right, identity == F.col("_row"), "left_semi"))
+    if ledgers is None or (mark is None and late is None):
         return fresh
     failed = L.failed_keys(spark, ledgers.status, ctx)
     if failed is None:
@@ -233,7 +280,7 @@ def next_batch(spark: SparkSession, source: DataFrame, keys: list[str], mark,
     id_type = source.schema[id_col].dataType
     ids = materialize(failed.select(F.col("src_id").cast(id_type).alias("_rid"),
                                     F.col("policy_id").alias("_rpolicy")).distinct(), "retry-ids")
-    right, n_failed = sync.checked_broadcast(ids)
+    failures, n_failed = sync.checked_broadcast(ids)
     if n_failed == 0:
         return fresh
     match = F.col(id_col).eqNullSafe(F.col("_rid"))
@@ -241,14 +288,18 @@ def next_batch(spark: SparkSession, source: DataFrame, keys: list[str], mark,
         match = match & F.col(policy_col).cast("string").eqNullSafe(F.col("_rpolicy"))
     # Failed rows are at or below the mark (they were in an earlier run), so
     # the two parts are disjoint and a plain union keeps each row once.
-    retry = inc.up_to(source.join(right, match, "left_semi"), keys, mark)
+    below = source.where(inc.no_place(keys)) if mark is None else inc.up_to(source, keys, mark)
+    retry = below.join(failures, match, "left_semi")
+    if n_late:
+        retry = retry.join(right, inc.no_place(keys) & (identity == F.col("_row")), "left_anti")
     return fresh.unionByName(retry)
 
 
 def run_incremental(spark: SparkSession, source: DataFrame, ctx: str, strategy: str,
                     ledgers: L.Ledgers, sink: Sink, retry: bool = True,
                     id_col: str = "ID",
-                    transform: Callable[[DataFrame], DataFrame] | None = None) -> RunReport:
+                    transform: Callable[[DataFrame], DataFrame] | None = None,
+                    policy_col: str = "POLICY_ID") -> RunReport:
     """One bookmarked run: read mark -> fix the new mark -> batch ->
     [transform] -> sink -> status -> commit mark.
 
@@ -258,6 +309,11 @@ def run_incremental(spark: SparkSession, source: DataFrame, ctx: str, strategy:
     during the run is left for the next one instead of being marked done
     without export. The bookmark is committed only after the sink's status
     rows are written; failed rows stay retryable through the status ledger.
+
+    Rows with a null leading key have no place behind or before a mark. Each run
+    stages those that its context's record does not hold (:func:`late_rows`), takes
+    exactly them, and adds them to the record before the bookmark: each is
+    exported once, whichever run it arrives in, and ``n_late`` counts them.
     ``transform`` is the caller's processing hook (DataFrame in, DataFrame
     out, keeping the id).
     """
@@ -267,18 +323,23 @@ def run_incremental(spark: SparkSession, source: DataFrame, ctx: str, strategy:
     # number: the next one is above both ledgers, so later always sorts later.
     run_no = max(last_no + 1, L.next_run_no(spark, ledgers.status))
     rep = RunReport(run_id=uuid.uuid4().hex, run_no=run_no, high_water=mark)
-    hw_frame = inc.high_water_frame(inc.past_mark(source, keys, mark), keys)
+    placed = inc.past_mark(source, keys, mark).where(~inc.no_place(keys))
+    hw_frame = inc.high_water_frame(placed, keys)
     hw_type = hw_frame.schema["high_water"]
     fresh_hw = hw_frame.first()["high_water"]
     new_mark = mark if fresh_hw is None else tuple(fresh_hw)
+    late = late_rows(spark, source, keys, mark, ledgers, ctx, id_col, policy_col)
+    rep.n_late = 0 if late is None else late.count()
     batch = next_batch(spark, source, keys, mark, ledgers if retry else None, id_col,
-                       until=new_mark, ctx=ctx)
-    if fresh_hw is None and (mark is None or batch.isEmpty()):
+                       until=new_mark, ctx=ctx, policy_col=policy_col, late=late)
+    if fresh_hw is None and not rep.n_late and ((mark is None and late is None) or batch.isEmpty()):
         rep.counts = {"n_rows": 0, "n_ok": 0, "n_skipped": 0, "n_failed": 0, "bytes_written": 0}
         return rep
     status = sink(transform(batch) if transform else batch, rep.run_id)
     written = L.append_status(status, ledgers.status, rep.run_id, rep.run_no, ctx)
     totals = status_totals(written).first().asDict()
+    if rep.n_late:
+        L.append_taken(late, ledgers.taken, ctx, rep.run_no)
     rep.high_water = L.commit_bookmark(spark, ledgers.bookmarks, ctx, rep.run_no, strategy,
                                        new_mark, hw_type, totals["n_rows"],
                                        totals["n_ok"] + totals["n_skipped"], totals["n_failed"])
@@ -309,9 +370,15 @@ def blob_sink(target_root: str, target_listing: DataFrame | None = None,
               key_of: Callable[[DataFrame], Column] | None = None, body: str = K.BODY_COLUMN,
               id_col: str = "ID", policy_col: str = "POLICY_ID",
               order: tuple[str, ...] = ("MODIFIED", "ID"), fail: Column | None = None,
-              compare_sha1: bool = False, size_col: str | None = None) -> Sink:
+              compare_sha1: bool = False, size_col: str | None = None,
+              written: DataFrame | None = None) -> Sink:
     """Sink writing one object per target key.
 
+    ``written`` (column ``key``: objects of earlier runs, see
+    :func:`ledgers.target_state`) keeps late rows from going back in time: a row
+    whose first ``order`` column is null is older than any other of its target
+    key, so it is skipped where the key was written before.
+
     The plan is made on keys, sizes and hashes only: the latest row per target
     key wins (ties: the greater size, then hash), and a target object of equal
     size (or sha1) means skip. That small plan is written once to the shared
@@ -349,6 +416,15 @@ def blob_sink(target_root: str, target_listing: DataFrame | None = None,
                                   compare_sha1="sha1" if compare_sha1 else None)
         else:
             plan = plan.withColumn("action", F.lit(sync.NEW))
+        if written is not None:
+            # Only the few null-ordered rows are looked up; the others pass.
+            late = materialize(plan.where(F.col(own[0]).isNull()).select("key"), "late-keys")
+            if not late.isEmpty():
+                old, _ = sync.checked_broadcast(materialize(
+                    written.select(F.col("key").alias("_old")).join(late, F.col("_old") == F.col("key"), "left_semi").distinct(),
+                    "late-targets"))
+                plan = plan.join(old, F.col("key") == F.col("_old"), "left").withColumn(
+                    "action", F.when(F.col("_old").isNotNull() & F.col(own[0]).isNull(), sync.SKIP).otherwise(F.col("action")))
         plan = materialize(plan.select("key", *own, *facts, "_n", "action"), "export-plan")
 
         def settled(rows: DataFrame, ok: bool, error: str | None) -> DataFrame:
@@ -383,12 +459,12 @@ def blob_sink(target_root: str, target_listing: DataFrame | None = None,
         spread = spread_tasks(batch.sparkSession, n_write, n_bytes)
         if spread:
             rows = rows.repartition(spread)  # round-robin: even objects per task
-        written = export_bodies(rows, target_root, key="_key", body=body, src_id=id_col,
+        put = export_bodies(rows, target_root, key="_key", body=body, src_id=id_col,
                                 policy_id=policy_col, fail=fail)
         if n_tied:
             # Repeated rows put the same bytes under one key: one status row.
-            written = sync.latest_per_key(written, "key", ["ok"]).select(*written.columns)
-        return written.unionByName(done)
+            put = sync.latest_per_key(put, "key", ["ok"]).select(*put.columns)
+        return put.unionByName(done)
 
     return _sink
 

@@ -35,6 +35,11 @@ class Ledgers:
     def bookmarks(self) -> str:
         return f"{self.root}/bookmarks"
 
+    @property
+    def taken(self) -> str:
+        """Rows without a place in the bookmark order that runs have taken."""
+        return f"{self.root}/taken"
+
 
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
@@ -135,6 +140,25 @@ def read_tombstones(spark: SparkSession, path: str) -> DataFrame | None:
     return read_table(spark, path, TOMBSTONE_SCHEMA)
 
 
+# --------------------------------------------------------------------- taken
+
+TAKEN_SCHEMA = "ctx string, run_no bigint, row string"
+
+
+def append_taken(rows: DataFrame, path: str, ctx: str, run_no: int) -> None:
+    """Record the rows (``row``: their identity) that a run of ``ctx`` took without the mark's help."""
+    append(rows.select(F.lit(ctx).alias("ctx"), F.lit(run_no).cast("bigint").alias("run_no"), "row"), path)
+
+
+def taken_rows(spark: SparkSession, path: str, ctx: str) -> DataFrame | None:
+    """Identities taken by earlier runs of ``ctx`` (None: this context has no record yet)."""
+    led = read_table(spark, path, TAKEN_SCHEMA)
+    if led is None:
+        return None
+    led = led.where(F.col("ctx") == ctx)
+    return None if led.isEmpty() else led.select("row").distinct()
+
+
 # ----------------------------------------------------------------- bookmarks
 
 def last_bookmark(spark: SparkSession, path: str, ctx: str) -> tuple[int, tuple | None]:
