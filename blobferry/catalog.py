@@ -72,7 +72,11 @@ def listing_count(spark, sf):
 
 
 def distinct_keys(spark, sf):
-    return sync.distinct_keys(roles.table(spark, sf, "documents"), "source")
+    # Two shards of a listing, accumulated as a set.
+    docs = roles.table(spark, sf, "documents")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    shards = [docs.where(english).select("source"), docs.where(~english).select("source")]
+    return sync.distinct_keys(sync.accumulate(shards), "source")
 
 
 def blob_roundtrip(spark, sf):
@@ -86,6 +90,12 @@ def complete_listing(spark, sf):
     return list_all_objects(spark, root, suffix=".txt").select("key", "size")
 
 
+def prefix_listing(spark, sf):
+    # A prefix that ends inside a folder's name: src1, src10, src11, ...
+    root = _export_documents(spark, sf, "prefix-src")
+    return list_all_objects(spark, root, prefix="src1").select("key", "size")
+
+
 def file_listing(spark, sf):
     # The key prefix is the operator under test: a text prefix, not a folder,
     # so "src1" takes src1/ and src10/ to src19/. The whole tree is listed.
@@ -448,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "distinct_keys": distinct_keys,
     "blob_roundtrip": blob_roundtrip,
     "complete_listing": complete_listing,
+    "prefix_listing": prefix_listing,
     "file_listing": file_listing,
     "pending_blobs": pending_blobs,
     "blobs_by_id": blobs_by_id,

@@ -59,6 +59,9 @@ ORACLES: dict[str, str] = {
         SELECT {NESTED_KEY} AS key, {BODY_FACTS} FROM documents d WHERE strlen(d.text) > 0""",
     "complete_listing": f"""
         SELECT {NESTED_KEY} AS key, CAST(strlen(d.text) AS BIGINT) AS size FROM documents d""",
+    "prefix_listing": f"""
+        SELECT {NESTED_KEY} AS key, CAST(strlen(d.text) AS BIGINT) AS size FROM documents d
+        WHERE starts_with({NESTED_KEY}, 'src1')""",
     "file_listing": f"""
         SELECT {NESTED_KEY} AS key, CAST(strlen(d.text) AS BIGINT) AS size FROM documents d
         WHERE strlen(d.text) > 0 AND {NESTED_KEY} LIKE 'src1%'""",

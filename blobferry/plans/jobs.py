@@ -91,11 +91,10 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     n_before, start = reg.agg(F.count(F.lit(1)), F.coalesce(F.max("id"), F.lit(0))).first()
     live = R.current_view(reg.select("id", "filename"), tombstones=tombstones)
     # The distributed listing: object names never pass through the driver
-    # (Spark's file index would keep every file status there). Our own walk is
-    # staged once, so it is never repeated.
+    # (Spark's file index would keep every file status there). It is staged
+    # as it is made, so the walk is never repeated.
     if listing is None:
-        listed = materialize(list_all_objects(spark, root, suffix, prefix).select("key", "size"),
-                             "listing")
+        listed = list_all_objects(spark, root, suffix, prefix).select("key", "size")
     else:
         listed = listing.select("key", "size")
     n_listed = listed.count()

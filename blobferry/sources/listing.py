@@ -1,8 +1,9 @@
 """Object listings: (key, size, mtime) frames.
 
-* :func:`list_all_objects` is a Python data source that walks each folder in
-  its own task and sees every object (hidden, zero-length). Object names go
-  straight into task output, never through the driver. The jobs use it.
+* :func:`list_all_objects` lists by pages in rounds of tasks and sees every object
+  (hidden, zero-length). The key prefix prunes what is opened, and object names go
+  straight into task output, never through the driver. The jobs use it. The data
+  source ``blobferry_listing`` walks folders lazily, as part of a plan.
 * :func:`list_objects` uses Spark's ``binaryFile`` source with ``content``
   pruned, so no body is opened. Spark's file index keeps every file status
   on the driver and hides names starting with ``_`` or ``.``: convenient for
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blobferry.functions import keys as K
-from blobferry.sources.objectstore import open_fs, qualified_root
+from blobferry.sources.objectstore import qualified_root
+from blobferry.sources.paging import FolderStore, in_prefix, list_paged
 
 LISTING_SCHEMA = "key string, size bigint, mtime timestamp"
 
@@ -85,47 +87,54 @@ class _Part(InputPartition):  # type: ignore[misc]
 
 
 class _ListingReader(DataSourceReader):  # type: ignore[misc]
-    """Each task walks one folder. The driver only learns folder names,
-    never object names, so a listing of any size passes nothing whole
-    through the driver."""
+    """Each task walks one folder. Folders outside a pushed key prefix are not
+    opened. The driver keeps folder names only."""
 
     def __init__(self, options):
         self.root = options["path"]
         self.max_depth = int(options.get("maxDepth", "4"))
         self.min_partitions = int(options.get("minPartitions", "1"))
+        self.prefix = ""
+
+    def pushFilters(self, filters):
+        """Takes one ``key LIKE 'prefix%'``; every filter is still applied by Spark."""
+        from pyspark.sql.datasource import StringStartsWith
+
+        for f in filters:
+            if isinstance(f, StringStartsWith) and f.attribute == ("key",) and not self.prefix:
+                self.prefix = f.value
+            yield f
 
     def partitions(self):
-        """Walk folders breadth-first until there are enough of them to keep
+        """Open folders level by level until there are enough of them to keep
         the cluster busy (or ``maxDepth`` is reached). Each folder on the way
-        lists its own loose objects; the last level's folders are walked
-        recursively. Only folder names are held here."""
-        from pyarrow import fs as pafs
-
-        fs, base = open_fs(self.root)
-        if fs.get_file_info(base).type == pafs.FileType.NotFound:
+        lists its own loose objects; the last level's folders are walked whole."""
+        store = FolderStore(self.root)
+        if not store.exists():
             raise FileNotFoundError(f"listing root not found: {self.root}")
-        parts, frontier, depth = [], [base], 0
+        parts, frontier, depth = [], [self.prefix.rpartition("/")[0]], 0
         while frontier and depth < self.max_depth and len(parts) + len(frontier) < self.min_partitions:
             nxt = []
             for folder in frontier:
                 parts.append(_Part(folder, recursive=False))  # its own loose objects
-                sel = pafs.FileSelector(folder, recursive=False)
-                nxt += [e.path for e in fs.get_file_info(sel) if e.type == pafs.FileType.Directory]
+                nxt += [e[0] for e in store.entries(folder) if e[3] and in_prefix(e[0], self.prefix)]
             frontier, depth = nxt, depth + 1
         parts += [_Part(folder, recursive=True) for folder in frontier]
         return parts
 
     def read(self, partition):
-        from pyarrow import fs as pafs
+        import datetime as dt
 
-        fs, base = open_fs(self.root)
-        cut = len(base) + 1
-        sel = pafs.FileSelector(partition.folder, recursive=partition.recursive)
-        for e in fs.get_file_info(sel):
-            if e.type == pafs.FileType.File:
-                # mtime is zone-aware (UTC), so it means the same instant in
-                # any worker's time zone.
-                yield (e.path[cut:], e.size, e.mtime)
+        store, todo = FolderStore(self.root), [partition.folder]
+        zero = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+        while todo:
+            for key, size, mtime, is_folder in store.entries(todo.pop()):
+                if is_folder:
+                    if partition.recursive and in_prefix(key, self.prefix):
+                        todo.append(key)
+                elif key.startswith(self.prefix):
+                    # zone-aware (UTC), so it means the same instant in any worker's time zone
+                    yield (key, size, zero + dt.timedelta(microseconds=mtime))
 
 
 class ObjectListingSource(DataSource):  # type: ignore[misc]
@@ -143,24 +152,20 @@ class ObjectListingSource(DataSource):  # type: ignore[misc]
 
 
 def register_sources(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(ObjectListingSource)
 
 
 def list_all_objects(spark: SparkSession, root: str, suffix: str | None = None,
                      prefix: str | None = None, case_sensitive: bool = True,
-                     min_partitions: int | None = None, max_depth: int = 4) -> DataFrame:
-    """Complete listing (hidden and empty objects included), walked in parallel:
-    folders are opened level by level until there are ``min_partitions`` of
-    them (default: three per core), and each becomes one task. A single
-    folder holding a large share of all keys is still listed by one task (a
-    store lists one prefix page by page); for such flat stores pass an
-    inventory table as the job's ``listing`` frame instead."""
-    register_sources(spark)
-    n = min_partitions or 3 * spark.sparkContext.defaultParallelism
-    df = (spark.read.format("blobferry_listing").option("minPartitions", str(n))
-          .option("maxDepth", str(max_depth)).load(root))
+                     min_partitions: int | None = None, pages_per_task: int | None = None,
+                     store=None) -> DataFrame:
+    """Complete listing (hidden and empty objects included), by pages on the
+    executors (:func:`blobferry.sources.paging.list_paged`): the prefix prunes the folders
+    that are opened, or goes to the store, and large folders of a store with sorted
+    keys are split over the tasks. Listed once, when called; ``min_partitions``
+    is the number of tasks of a round (default: three per core)."""
+    df = list_paged(spark, root, prefix or "", store, pages_per_task, min_partitions)
     if suffix:
         df = df.where(K.has_suffix("key", suffix, case_sensitive))
-    if prefix:
-        df = df.where(K.has_prefix("key", prefix))
     return df
