@@ -30,6 +30,33 @@ def fresh_name(columns, wanted: str) -> str:
     return name
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system. Python workers are reused, and what Arrow and the
+    C library keep of one stage's peak would stay beside all later stages."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(fn):
+    """``fn``, a function of an iterator, whose task ends with :func:`release_memory`."""
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
 def group_runs(keys):
     """Start and end of each run of equal rows in a 2-D integer array sorted by rows."""
     import numpy as np

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from blobferry.llm.common import fresh_name, materialize  # noqa: F401
+from blobferry.llm.common import fresh_name, materialize, tidy  # noqa: F401
 
 WINDOW = 10
 SEGMENT_WORDS = 2_000_000
@@ -130,7 +130,7 @@ def build_index(docs: DataFrame, vocab: dict, id_col="doc_id", text_col="text")
             yield segment()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return materialize(rows.mapInArrow(run, SEGMENT), "postings")
+    return materialize(rows.mapInArrow(tidy(run), SEGMENT), "postings")
 
 
 def word_counts(index: DataFrame, n_vocab: int):
@@ -149,7 +149,7 @@ def word_counts(index: DataFrame, n_vocab: int):
         yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(out[w])], names=["w", "n"])
 
     counts = np.zeros(n_vocab, np.int64)
-    rows = index.select("word", "first").mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    rows = index.select("word", "first").mapInArrow(tidy(run), "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
     for r in rows.collect():
         counts[r["w"]] = r["n"]
     return counts
@@ -262,7 +262,7 @@ def find(index: DataFrame, q: Queries, slop: int | None = None) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), ll,
                                                                 pa.list_(ll), ll))], names=HITS.names)
 
-    return index.mapInArrow(run, HITS)
+    return index.mapInArrow(tidy(run), HITS)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int | None = None,

@@ -7,8 +7,8 @@ there, each distinct piece is encoded once by the library, and the ids of a
 text are the ids of its pieces in order: the same ids as encoding the whole
 text (tested). A piece of letters alone is one pre-token, so it goes to the
 library's model without the pre-tokenizer. Tokenizers with another
-pre-tokenizer, with a normalizer or with ordinary added tokens encode whole
-texts.
+pre-tokenizer or with a normalizer encode whole texts, and so do texts that hold the
+string of an added token.
 """
 
 from __future__ import annotations
@@ -41,12 +41,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_str(spec)
-        self.tok.encode_special_tokens = True  # such strings in a text are ordinary text
         conf = json.loads(spec)
+        # a text that holds the string of an added token is encoded whole, as the library does by default
+        self.added = [t["content"] for t in conf.get("added_tokens") or [] if t["content"]]
         pre = conf.get("pre_tokenizer") or {}
         self.by_piece = (conf.get("normalizer") is None and pre.get("type") == "ByteLevel"
-                         and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-                         and all(t.get("special") for t in conf.get("added_tokens") or []))
+                         and pre.get("use_regex", True) and not pre.get("add_prefix_space"))
         self.by_word = self.by_piece and conf["model"].get("type") == "BPE"
         self.letters = byte_letters()
         self.blank = self.letters[ord(" ")]
@@ -79,8 +79,12 @@ class Encoder:
         for i in range(0, len(texts), 256):  # a long text is one entry, so a chunk stays near its texts' size
             flat: list = []
             ends = []
-            for t in texts[i:i + 256]:
-                flat += pieces(t or "")
+            whole = {}
+            for k, t in enumerate(texts[i:i + 256]):
+                if t and any(x in t for x in self.added):
+                    whole[k] = self.ids([t])[0]
+                else:
+                    flat += pieces(t or "")
                 ends.append(len(flat))
             if len(self.new) > CACHE_PIECES:
                 self.new, self.old = {}, self.new
@@ -90,9 +94,12 @@ class Encoder:
                 self._fill({flat[k] for k in miss})
                 for k in miss:
                     found[k] = self.new[flat[k]]
-            out += [b"".join(found[a:b]) for a, b in zip([0, *ends], ends)]
+            out += [whole[k] if k in whole else b"".join(found[a:b]) for k, (a, b) in enumerate(zip([0, *ends], ends))]
         return out
 
+    def forget(self) -> None:
+        self.new, self.old = {}, {}
+
     def _fill(self, miss: set) -> None:
         new, old = self.new, self.old
         parts = [(p, old.get(p)) for p in miss]

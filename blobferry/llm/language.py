@@ -18,11 +18,12 @@ one grouped sum, bounded by ``GRAMS`` times the number of languages.
 from __future__ import annotations
 
 import math
+from typing import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from blobferry.llm.common import broadcast_if_small, fresh_name, materialize
+from blobferry.llm.common import broadcast_if_small, fresh_name, materialize, tidy
 
 GRAMS = 1 << 16
 MIN_ROWS = 5         # labelled rows a language needs to get a model
@@ -149,7 +150,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col
              host_col: str | None = None, suffix_col: str | None = None, min_posterior: float = 0.5,
              languages: list | None = None) -> DataFrame:
     """All columns of ``docs`` plus ``language``, ``posterior`` and ``accepted``
-    (underscores in front where such a column exists).
+    (the last three columns, with underscores in front where such a name exists).
 
     ``language`` is null where "no language" wins or nothing speaks for any:
     empty and null texts get the evidence of their address and declaration
@@ -166,9 +167,13 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col
     bc = docs.sparkSession.sparkContext.broadcast(model)  # bounded: GRAMS x languages
 
     @F.pandas_udf("struct<ll: array<double>, own: array<double>>")
-    def score(texts: pd.Series) -> pd.DataFrame:
-        rows = [bc.value.score(t) for t in texts]
-        return pd.DataFrame({"ll": rows, "own": [_softmax(r[:-1]) if r.any() else r[:-1] for r in rows]})
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        def scored_batches(batches):
+            for part in batches:
+                rows = [bc.value.score(t) for t in part]
+                yield pd.DataFrame({"ll": rows, "own": [_softmax(r[:-1]) if r.any() else r[:-1] for r in rows]})
+
+        yield from tidy(scored_batches)(texts)
 
     ll = fresh_name(docs.columns, "scores")
     pr = fresh_name(docs.columns, "host_sums")

@@ -24,7 +24,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from blobferry.llm.common import broadcast_if_small, by_group, fresh_name, materialize
+from blobferry.llm.common import broadcast_if_small, by_group, fresh_name, materialize, tidy
 from blobferry.llm.components import components
 
 SHINGLE, SIMILARITY = 7, 0.8
@@ -235,15 +235,15 @@ def _compare(batches):
 
 def _with_texts(docs: DataFrame, text_col: str, lids: DataFrame) -> DataFrame:
     """Written ``(lid, line)`` of the wanted lines, one row each."""
-    lines = docs.select(text_col).mapInArrow(_texts, "lid long, line string")
+    lines = docs.select(text_col).mapInArrow(tidy(_texts), "lid long, line string")
     return materialize(lines.join(broadcast_if_small(lids, MAX_BROADCAST), "lid", "left_semi")
                        .groupBy("lid").agg(F.first("line").alias("line")), "lines")
 
 
 def line_components(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(node, root)`` over line ids: lines similar to another distinct line, and their component."""
-    signed = materialize(docs.select(text_col).mapInArrow(_sign, SIGNED), "signatures")
-    chained = materialize(signed.mapInArrow(_chains, "band long, a long, b long"), "chains")
+    signed = materialize(docs.select(text_col).mapInArrow(tidy(_sign), SIGNED), "signatures")
+    chained = materialize(signed.mapInArrow(tidy(_chains), "band long, a long, b long"), "chains")
     across = chained.where("b is null").select("band", F.col("a").alias("b")) \
         .withColumn("a", F.lag("b").over(Window.partitionBy("band").orderBy("b"))).where("a != b").select("a", "b")
     cand = materialize(chained.where("b is not null").select("a", "b").unionAll(across).distinct(), "candidates")
@@ -251,7 +251,7 @@ def line_components(docs: DataFrame, text_col: str = "text") -> DataFrame:
     texts = _with_texts(docs, text_col, lids)
     x, y = texts.toDF("a", "x"), texts.toDF("b", "y")
     tested = materialize(cand.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-                         .mapInArrow(_verify, "a long, b long, same boolean"), "tested")
+                         .mapInArrow(tidy(_verify), "a long, b long, same boolean"), "tested")
     links = tested.where("same").select("a", "b")
     comp = materialize(components(links), "line-components")
 
@@ -280,7 +280,7 @@ def line_components(docs: DataFrame, text_col: str = "text") -> DataFrame:
     wanted = materialize(grid.select("lid").distinct(), "grid-lines")
     group = ["band", "p", "q"]
     more = grid.join(_with_texts(docs, text_col, wanted), "lid").repartition(*group) \
-        .sortWithinPartitions(*group, "lid").mapInArrow(_compare, "a long, b long")
+        .sortWithinPartitions(*group, "lid").mapInArrow(tidy(_compare), "a long, b long")
     more = materialize(more, "more-links")
     return comp if more.isEmpty() else components(links.unionAll(more))
 
@@ -299,7 +299,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rid = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
     occurs = materialize(
         docs.select(rid.alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col))
-        .mapInArrow(_occurrences, OCCURS), "occurrences")
+        .mapInArrow(tidy(_occurrences), OCCURS), "occurrences")
     named = occurs.join(comp.select(F.col("node").alias("lid"), "root"), "lid", "left") \
         .select("rid", "pos", F.coalesce("root", "lid").alias("line"), F.col("doc_id").isNull().alias("no_id"), "doc_id")
     place = F.struct("no_id", "doc_id", "rid", "pos")

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from blobferry.llm.common import binary_array, broadcast_if_small, materialize
+from blobferry.llm.common import binary_array, broadcast_if_small, materialize, tidy
 from blobferry.llm.encoder import encoder, read_spec
 
 KEY_ROWS = 4096
@@ -55,8 +55,8 @@ def encode_table(docs: DataFrame, tokenizer_path: str, end_id: int, id_col="doc_
     def run(batches):
         import pyarrow as pa
 
+        enc = encoder(spec.value)
         for batch in batches:
-            enc = encoder(spec.value)
             for i in range(0, batch.num_rows, 512):
                 rows = enc.encode(batch.column(1).slice(i, 512).to_pylist())
                 if enc.dtype != dtype:
@@ -65,9 +65,10 @@ def encode_table(docs: DataFrame, tokenizer_path: str, end_id: int, id_col="doc_
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, 512), binary_array(end.join(rows) + end, n),
                      pa.array(n // len(end))], names=IDS.names)
+        enc.forget()  # its pieces would stay in the reused worker through all later stages
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return materialize(rows.mapInArrow(run, IDS), "ids")
+    return materialize(rows.mapInArrow(tidy(run), IDS), "ids")
 
 
 def id_dtype(spec: str, end_id: int) -> str:
@@ -91,7 +92,7 @@ def term_counts(table: DataFrame, dtype: str):
         t = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(t.astype(np.int32)), pa.array(df[t])], names=["term", "df"])
 
-    rows = table.select("ids").mapInArrow(run, "term int, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    rows = table.select("ids").mapInArrow(tidy(run), "term int, df long").groupBy("term").agg(F.sum("df").alias("df"))
     df = {r["term"]: r["df"] for r in rows.collect()}  # one row per vocabulary entry
     n, mean = table.agg(F.count(F.lit(1)), F.avg("n")).first()
     return n, mean or 1.0, df
@@ -312,7 +313,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int =
                     w[i] = -1
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, top)], names=KEYED.names)
 
-    keyed = materialize(table.mapInArrow(heaviest, KEYED).withColumn("sig", F.xxhash64("ids"))
+    keyed = materialize(table.mapInArrow(tidy(heaviest), KEYED).withColumn("sig", F.xxhash64("ids"))
                         .withColumn("row", F.monotonically_increasing_id()), "keyed")
     shards = with_salts(keyed).repartition("term", "salt").sortWithinPartitions("term", "salt", "second", "third", "doc_id",
                                                                                "ids")

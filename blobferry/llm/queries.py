@@ -73,7 +73,9 @@ def op10_language(spark, sf_dir):
     """Trained on the labels of the documents; the label is also what each document declares."""
     docs = table(spark, sf_dir, "documents")
     rows = language.identify(docs, language.train(docs), declared_col="lang", host_col="source")
-    return rows.select("doc_id", "lang", "language", "posterior", F.col("accepted").alias("kept"))
+    won, posterior, accepted = rows.columns[-3:]  # other names where the table has these
+    return rows.select("doc_id", "lang", F.col(won).alias("language"), F.col(posterior).alias("posterior"),
+                       F.col(accepted).alias("kept"))
 
 
 def op10_language_pages(spark, sf_dir):

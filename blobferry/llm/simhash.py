@@ -14,7 +14,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from blobferry.llm.common import materialize
+from blobferry.llm.common import materialize, tidy
 from blobferry.llm.components import components
 
 CHUNK = 1 << 15  # shingle hashes counted at once
@@ -57,7 +57,7 @@ def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, shingle: int)
 
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType())])
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def _masks(radius: int) -> list[int]:

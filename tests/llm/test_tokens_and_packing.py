@@ -11,9 +11,7 @@ from blobferry.llm.encoder import encoder, read_spec
 def tok():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(queries.tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(queries.tokenizer_path())  # the library's defaults
 
 
 def whole(tok, text, end):
@@ -22,7 +20,7 @@ def whole(tok, text, end):
 
 def test_piecewise_ids_equal_whole_text_ids(tok):
     texts = ["", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "\n a", "x  y", "tab\t z", "é ü  ", "don't  stop\n\n now",
-             "<|endoftext|> in <|endoftext|>", "　 wide", "a  b", "end \n", " \n lead", "1 22  333", "a\r\n b"]
+             "<|endoftext|> in <|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>", "<|endoftext|>b c", "<|endoftext|", "x <|endoftext|><|endoftext|>\n", "　 wide", "a  b", "end \n", " \n lead", "1 22  333", "a\r\n b"]
     enc = encoder(read_spec(queries.tokenizer_path()))
     for t, raw in zip(texts, enc.encode(texts)):
         assert np.frombuffer(raw, enc.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
