@@ -26,13 +26,15 @@ def _without(keyed: DataFrame, key: str, gone: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised."""
+    """Documents whose language is recognised. A null or empty text goes by its source and declared language;
+    repeated rows share one decision; columns named as the operator's results are kept and not looked at."""
     rows = language.identify(docs, language.train(docs), declared_col="lang", host_col="source")
-    return rows.where("accepted").select(docs.columns)
+    return rows.where(F.col(rows.columns[-1])).select(docs.columns)
 
 
 def line_dedup_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines an earlier one has; ``n_chars`` follows the text."""
+    """All documents, without the lines an earlier one has; ``n_chars`` follows the text (null where it is null).
+    Null ids, repeated rows and extra columns stay as they are; of equal lines one stays in the whole corpus."""
     rows = line_dedup.dedup_lines(docs)
     return rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
@@ -51,14 +53,16 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage. A null or empty text has none; ids are not looked at, so null
+    and repeated ones are judged row by row; extra columns stay."""
     keyed, key = _with_key(docs)
     rows = decontaminate.contamination(keyed, queries.table(spark, sf_dir, "benchmark"), window=10, id_col=key)
     return _without(keyed, key, rows.where("n_hit > 0"))
 
 
 def packing_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of full windows, ids included."""
+    """Pieces of full windows, ids included. A null or empty text is its end id alone; equal ids and repeated
+    rows are packed each by itself; a text longer than a window has several pieces; extra columns are dropped."""
     return packing.pack(docs, queries.tokenizer_path(), window=1024, end_id=0)
 
 
