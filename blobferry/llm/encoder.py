@@ -53,6 +53,7 @@ class Encoder:
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
         self.dtype = "<u2" if self.width == 2 else "<u4"
         self.code = "H" if self.width == 2 else "I"
+        self.keep = CACHE_PIECES
         self.new, self.old = {}, {}  # two generations of pieces; the older goes when the newer is full
 
     def pack(self, ids: list) -> bytes:
@@ -86,7 +87,7 @@ class Encoder:
                 else:
                     flat += pieces(t or "")
                 ends.append(len(flat))
-            if len(self.new) > CACHE_PIECES:
+            if len(self.new) > self.keep:
                 self.new, self.old = {}, self.new
             found = list(map(self.new.get, flat))  # one look at most pieces
             miss = [k for k, raw in enumerate(found) if raw is None]

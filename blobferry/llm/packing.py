@@ -30,6 +30,7 @@ from blobferry.llm.encoder import encoder, read_spec
 
 KEY_ROWS = 4096
 BLOCK_TOKENS = 2_000_000
+CACHED_PIECES = 150_000  # of the encoder in a task, twice: this operator runs beside what earlier stages left in memory
 BLOCK_DOCS = 1024
 MAX_BROADCAST = 500_000  # large keys joined by broadcast up to this count, else shuffled
 K1, B = 1.2, 0.75
@@ -56,6 +57,7 @@ def encode_table(docs: DataFrame, tokenizer_path: str, end_id: int, id_col="doc_
         import pyarrow as pa
 
         enc = encoder(spec.value)
+        enc.keep = CACHED_PIECES
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 rows = enc.encode(batch.column(1).slice(i, 512).to_pylist())
