@@ -174,7 +174,7 @@ def main(argv: list[str] | None = None) -> int:
                             ledgers=_ledgers(spark, a, "load"), tombstones=_tombstones(spark, a))
     elif a.cmd == "export-pending":
         led = _ledgers(spark, a, "export-pending")
-        out = jobs.export_pending(spark, spark.read.parquet(a.registry), a.target, led,
+        out = jobs.export_pending(spark, a.registry, a.target, led,
                                   target_prefix=a.target_prefix, strip=a.strip,
                                   ok_ledger=L.ok_guids(spark, led.status),
                                   tombstones=_tombstones(spark, a))
@@ -240,7 +240,7 @@ def main(argv: list[str] | None = None) -> int:
             view = R.current_view(spark.read.parquet(a.registry), ok_ledger=oks, tombstones=tomb)
             out = {"registry": R.compact(view, a.new_registry)}
     elif a.cmd == "save":
-        out = jobs.save_documents(spark, spark.read.parquet(a.registry),
+        out = jobs.save_documents(spark, a.registry,
                                   spark.read.parquet(a.ids_table).select("id"), a.out,
                                   _ledgers(spark, a, "save"))
     else:

@@ -25,6 +25,7 @@ from blobferry.sinks.export import export_bodies
 from blobferry.sinks.json_sink import read_json, write_json
 from blobferry.sources import registry as R
 from blobferry.sources.blobs import lookup
+from blobferry.sources.file_index import rows_by_id
 from blobferry.sources.listing import list_all_objects, list_objects, read_objects
 from blobferry.streaming.ingest import ingest_new_objects, read_ingested, stream_into_registry
 
@@ -114,6 +115,15 @@ def blobs_by_id(spark, sf):
     return lookup(reg, ids).select("id", "guid", "filename", "size", "sha1")
 
 
+def pruned_lookup(spark, sf):
+    # The same lookup from a registry of many files, by their id ranges.
+    path = scratch_path(spark, "ranged-registry")
+    roles.registry(spark, sf).repartitionByRange(24, "id").write.parquet(path)
+    ids = roles.table(spark, sf, "documents").where(F.col("doc_id") % 20 == 3).select(F.col("doc_id").alias("id"))
+    rows = rows_by_id(spark, path, ids.unionAll(spark.range(10 ** 12, 10 ** 12 + 3)))
+    return rows.select("id", "guid", "filename", K.byte_length("document").alias("size"), K.body_sha1("document").alias("sha1"))
+
+
 def save_by_id(spark, sf):
     # Every labelled toxic document saved to a folder under its nested name.
     reg = roles.registry(spark, sf).withColumn("filename", F.concat_ws("/", F.lit("by_id"), "filename"))
@@ -462,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "file_listing": file_listing,
     "pending_blobs": pending_blobs,
     "blobs_by_id": blobs_by_id,
+    "pruned_lookup": pruned_lookup,
     "save_by_id": save_by_id,
     "new_objects": new_objects,
     "orphan_keys": orphan_keys,

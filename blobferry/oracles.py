@@ -71,6 +71,9 @@ ORACLES: dict[str, str] = {
     "blobs_by_id": f"""
         SELECT d.doc_id AS id, {_guid(DOC_KEY)} AS guid, {DOC_KEY} AS filename, {BODY_FACTS}
         FROM documents d WHERE d.doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
+    "pruned_lookup": f"""
+        SELECT d.doc_id AS id, {_guid(DOC_KEY)} AS guid, {DOC_KEY} AS filename, {BODY_FACTS}
+        FROM documents d WHERE d.doc_id % 20 = 3""",
     "save_by_id": f"""
         SELECT 'by_id/' || {DOC_KEY} AS key, {BODY_FACTS} FROM documents d
         WHERE d.doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AND strlen(d.text) > 0""",

@@ -29,6 +29,7 @@ from blobferry.sinks.export import export_bodies
 from blobferry.sinks.json_sink import write_json
 from blobferry.sources import registry as R
 from blobferry.sources.blobs import read_bodies
+from blobferry.sources.file_index import rows_by_id
 from blobferry.sources.listing import list_all_objects
 
 
@@ -113,7 +114,8 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     # OBJECTS_PER_TASK objects, whichever needs more tasks (keys-only shuffle).
     n_keys, total = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     n_tasks = spread_tasks(spark, int(n_keys), int(total)) or spark.sparkContext.defaultParallelism
-    bodies = read_bodies(keyed.drop("size").repartition(n_tasks), root)
+    # By id ranges, so that a registry file holds a range of ids (see sources.file_index).
+    bodies = read_bodies(keyed.drop("size").repartitionByRange(n_tasks, "id"), root)
     # A key that comes back gets a guid of its own, from its name and row id.
     name = F.col("key")
     if tombstones is not None:
@@ -155,7 +157,7 @@ def export_keys(filename: Column, target_prefix: str = "", strip: str | None = N
     return K.join_key(target_prefix, name) if target_prefix else name
 
 
-def export_pending(spark: SparkSession, registry: DataFrame, target_root: str,
+def export_pending(spark: SparkSession, registry: DataFrame | str, target_root: str,
                    ledgers: L.Ledgers, target_prefix: str = "", strip: str | None = None,
                    fail: Column | None = None, run_no: int | None = None,
                    ok_ledger: DataFrame | None = None,
@@ -165,20 +167,28 @@ def export_pending(spark: SparkSession, registry: DataFrame, target_root: str,
     Which rows are pending is decided on keys only (the flag, earlier
     successes in ``ok_ledger``, tombstoned names); that set is written once
     and the bodies are attached by a counted broadcast semi-join, so a
-    large registry's bodies are not shuffled for a small pending set. The
-    registry is not rewritten: :func:`registry.current_view` reads the
+    large registry's bodies are not shuffled for a small pending set. For a
+    registry given by its path the tasks open just the row groups that hold
+    pending rows (:mod:`blobferry.sources.file_index`), and no body is shuffled for any
+    set. The registry is not rewritten: :func:`registry.current_view` reads the
     ledger to mark rows uploaded.
     """
     rep = RunReport(run_id=uuid.uuid4().hex, run_no=run_no or L.next_run_no(spark, ledgers.status))
+    path = registry if isinstance(registry, str) else None
+    if path:
+        registry = spark.read.parquet(path)
     keys = registry.select("id", "guid", "filename", K.FLAG_COLUMN)
     view = R.current_view(keys, ok_ledger=ok_ledger, tombstones=tombstones)
-    pending = materialize(view.where(K.is_pending(K.FLAG_COLUMN)).select("guid").distinct(),
+    pending = materialize(view.where(K.is_pending(K.FLAG_COLUMN)).select("id" if path else "guid").distinct(),
                           "pending")
-    right, n_pending = sync.checked_broadcast(pending)
-    pend = registry.join(right, "guid", "left_semi")
-    spread = spread_tasks(spark, n_pending)
-    if spread:
-        pend = pend.repartition(spread)  # round-robin: even objects per task
+    if path:
+        pend = rows_by_id(spark, path, pending, per_task=OBJECTS_PER_TASK)
+    else:
+        right, n_pending = sync.checked_broadcast(pending)
+        pend = registry.join(right, "guid", "left_semi")
+        spread = spread_tasks(spark, n_pending)
+        if spread:
+            pend = pend.repartition(spread)  # round-robin: even objects per task
     status = export_bodies(pend, target_root,
                            key=export_keys(F.col("filename"), target_prefix, strip),
                            body="document", src_id="id", guid="guid", fail=fail)
@@ -188,17 +198,21 @@ def export_pending(spark: SparkSession, registry: DataFrame, target_root: str,
     return rep
 
 
-def save_documents(spark: SparkSession, registry: DataFrame, ids: DataFrame, out_dir: str,
+def save_documents(spark: SparkSession, registry: DataFrame | str, ids: DataFrame, out_dir: str,
                    ledgers: L.Ledgers, run_no: int | None = None) -> RunReport:
     """Write the documents of many ids into ``out_dir`` under their filename
-    (nested names make folders; absolute or ``..`` names are refused per row)."""
+    (nested names make folders; absolute or ``..`` names are refused per row).
+    A registry given by its path is read by row groups that hold the ids."""
     rep = RunReport(run_id=uuid.uuid4().hex, run_no=run_no or L.next_run_no(spark, ledgers.status))
-    wanted, n_ids = sync.checked_broadcast(
-        materialize(ids.select("id").where(F.col("id").isNotNull()).distinct(), "save-ids"))
-    rows = registry.join(wanted, "id", "left_semi")
-    spread = spread_tasks(spark, n_ids)
-    if spread:
-        rows = rows.repartition(spread)  # round-robin: even objects per task
+    if isinstance(registry, str):
+        rows = rows_by_id(spark, registry, ids, per_task=OBJECTS_PER_TASK)
+    else:
+        wanted, n_ids = sync.checked_broadcast(
+            materialize(ids.select("id").where(F.col("id").isNotNull()).distinct(), "save-ids"))
+        rows = registry.join(wanted, "id", "left_semi")
+        spread = spread_tasks(spark, n_ids)
+        if spread:
+            rows = rows.repartition(spread)  # round-robin: even objects per task
     status = export_bodies(rows, out_dir, key="filename", body="document", src_id="id", guid="guid")
     written = L.append_status(status, ledgers.status, rep.run_id, rep.run_no)
     rep.counts = status_totals(written).first().asDict()
