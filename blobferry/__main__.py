@@ -146,6 +146,8 @@ def main(argv: list[str] | None = None) -> int:
     ig.add_argument("--checkpoint", required=True)
     ig.add_argument("--suffix", default=K.OBJECT_SUFFIX)
     ig.add_argument("--max-files-per-trigger", type=int)
+    ig.add_argument("--state", help="job state: objects that could not be read are tried again (with --registry)")
+    ig.add_argument("--sync-state", help="state of the sync job whose tombstones apply (with --registry)")
 
     stt = sub.add_parser("status", help="per-run totals of a job's ledgers")
     stt.add_argument("--state", required=True)
@@ -248,7 +250,8 @@ def main(argv: list[str] | None = None) -> int:
 
         if a.registry:
             out = stream_into_registry(spark, a.root, a.registry, a.checkpoint, a.suffix,
-                                       a.max_files_per_trigger)
+                                       a.max_files_per_trigger, ledgers=_ledgers(spark, a, "load"),
+                                       sync_ledgers=L.Ledgers(a.sync_state) if a.sync_state else None)
         else:
             out = ingest_new_objects(spark, a.root, a.sink, a.checkpoint, a.suffix,
                                      a.max_files_per_trigger)

@@ -369,6 +369,29 @@ def stream_registry(spark, sf):
                       K.body_sha1("document").alias("sha1"))
 
 
+def stream_retry(spark, sf):
+    # Long documents cannot be read in the first pass; the second takes them with its own new
+    # objects. Then the labelled rows are deleted, and a pass without new files finds their objects again.
+    root = scratch_path(spark, "retry-src")
+    reg_path, ckpt = scratch_path(spark, "retry-registry"), scratch_path(spark, "retry-ckpt")
+    led, gone = L.Ledgers(scratch_path(spark, "retry-state")), L.Ledgers(scratch_path(spark, "retry-sync"))
+    docs = roles.table(spark, sf, "documents")
+    key = F.concat_ws("/", "source", roles.doc_key("doc_id"))
+    for wave, most in ((F.col("lang") == "en", 2000), (~(F.col("lang") == "en") | F.col("lang").isNull(), None)):
+        L.append_status(export_bodies(docs.where(wave), root, key=key, body="text", src_id="doc_id"),
+                        f"{root}-ledger/status", "stream", 1)
+        stream_into_registry(spark, root, reg_path, ckpt, suffix=".txt", ledgers=led, sync_ledgers=gone, max_bytes=most)
+    labelled = docs.join(roles.table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi").select(key.alias("key"))
+    kept = sync.drop_keys(list_all_objects(spark, root), labelled, "key")
+    jobs.sync_registry(spark, spark.read.parquet(reg_path), kept, gone, allow_mass_delete=True)
+    stream_into_registry(spark, root, reg_path, ckpt, suffix=".txt", ledgers=led, sync_ledgers=gone)
+    reg = spark.read.parquet(reg_path)
+    view = R.current_view(reg, tombstones=L.read_tombstones(spark, gone.tombstones))
+    rows = reg.groupBy("filename").agg(F.count(F.lit(1)).alias("n_rows"))
+    return view.join(rows, "filename").select(F.col("filename").alias("key"), K.byte_length("document").alias("size"),
+                                              K.body_sha1("document").alias("sha1"), "n_rows")
+
+
 def load_new_objects(spark, sf):
     root = _export_documents(spark, sf, "load-src")
     reg_path = scratch_path(spark, "load-registry")
@@ -501,6 +524,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "load_new_objects": load_new_objects,
     "stream_registry": stream_registry,
+    "stream_retry": stream_retry,
 }
 
 

@@ -179,6 +179,10 @@ ORACLES: dict[str, str] = {
         SELECT {NESTED_KEY} AS key, {BODY_FACTS} FROM documents d WHERE strlen(d.text) > 0""",
     "stream_registry": f"""
         SELECT {NESTED_KEY} AS key, {BODY_FACTS} FROM documents d WHERE strlen(d.text) > 0""",
+    "stream_retry": f"""
+        SELECT {NESTED_KEY} AS key, {BODY_FACTS},
+               CASE WHEN EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) THEN 2 ELSE 1 END::BIGINT AS n_rows
+        FROM documents d WHERE strlen(d.text) > 0""",
     "load_new_objects": f"""
         SELECT {NESTED_KEY} AS key, {BODY_FACTS} FROM documents d
         WHERE NOT {LABELLED} AND strlen(d.text) > 0""",

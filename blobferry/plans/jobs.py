@@ -28,7 +28,7 @@ from blobferry.sinks import ledgers as L
 from blobferry.sinks.export import export_bodies
 from blobferry.sinks.json_sink import write_json
 from blobferry.sources import registry as R
-from blobferry.sources.blobs import read_bodies
+from blobferry.sources.blobs import MAX_BODY_BYTES, read_bodies
 from blobferry.sources.file_index import rows_by_id
 from blobferry.sources.listing import list_all_objects
 
@@ -78,7 +78,7 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
              suffix: str | None = K.OBJECT_SUFFIX,
              prefix: str | None = None, listing: DataFrame | None = None,
              ledgers: L.Ledgers | None = None,
-             tombstones: DataFrame | None = None) -> RunReport:
+             tombstones: DataFrame | None = None, max_bytes: int | None = MAX_BODY_BYTES) -> RunReport:
     """Load objects under ``root`` whose key is not in the registry yet.
 
     A key whose rows are all tombstoned (``tombstones``) counts as absent: an
@@ -115,7 +115,7 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     n_keys, total = keyed.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     n_tasks = spread_tasks(spark, int(n_keys), int(total)) or spark.sparkContext.defaultParallelism
     # By id ranges, so that a registry file holds a range of ids (see sources.file_index).
-    bodies = read_bodies(keyed.drop("size").repartitionByRange(n_tasks, "id"), root)
+    bodies = read_bodies(keyed.drop("size").repartitionByRange(n_tasks, "id"), root, max_bytes=max_bytes)
     # A key that comes back gets a guid of its own, from its name and row id.
     name = F.col("key")
     if tombstones is not None:
@@ -136,14 +136,14 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     if ledgers is not None and n_new > inserted:
         loaded = spark.read.parquet(registry_path).where(F.col("id") > int(start)).select("id")
         missing = sync.drop_keys(keyed.select("key", "id"), loaded, "id")
-        errors = read_bodies(missing, root).select(
+        errors = read_bodies(missing, root, max_bytes=max_bytes).select(
             "key", F.col("id").alias("src_id"), F.lit(None).cast("string").alias("guid"),
             F.lit(None).cast("string").alias("policy_id"), "size",
             F.lit(None).cast("string").alias("sha1"), F.lit(False).alias("ok"),
             F.lit(False).alias("skipped"),
             F.coalesce(F.col("error"), F.lit("empty body")).alias("error"),
             F.lit(0.0).alias("elapsed_s"))
-        L.append_status(errors, ledgers.status, rep.run_id, 1)
+        L.append_status(errors, ledgers.status, rep.run_id, L.next_run_no(spark, ledgers.status), L.LOAD_CTX)
     rep.committed = True
     return rep
 

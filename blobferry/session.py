@@ -140,8 +140,9 @@ _SHIPPED: set = set()
 
 
 def ship_once(spark: SparkSession) -> None:
-    """Ship the package once per Spark application; local masters share the driver's path."""
+    """Ship the package once per Spark application: also to the Python workers of a local
+    master, which do not share the driver's ``sys.path``."""
     app = spark.sparkContext.applicationId
-    if app not in _SHIPPED and not is_local(spark):
+    if app not in _SHIPPED:
         ship_to_executors(spark)
     _SHIPPED.add(app)

@@ -97,6 +97,23 @@ def failed_keys(spark: SparkSession, path: str, ctx: str | None = None) -> DataF
     return last.where(~F.col("ok")).select("key", "src_id", "policy_id")
 
 
+LOAD_CTX = "load"  # context of the status rows that loads write: one for each object that could not be read
+
+
+def owed_keys(spark: SparkSession, ledgers: Ledgers | None, sync_ledgers: Ledgers | None = None) -> DataFrame | None:
+    """Keys that a load may have to look at again although no listing offers them as new: the latest
+    load failed, or their rows were deleted. Loaded keys among them are for the load's anti-join to drop."""
+    found = []
+    led = read_status(spark, ledgers.status) if ledgers is not None else None
+    if led is not None:
+        last = sync.latest_per_key(led.where(F.col("ctx") == LOAD_CTX), "key", ["run_no"], payload=["ok"])
+        found.append(last.where(~F.col("ok")).select("key"))
+    dead = read_tombstones(spark, sync_ledgers.tombstones) if sync_ledgers is not None else None
+    if dead is not None:
+        found.append(dead.select("key"))
+    return sync.accumulate(found, as_set=True).where("key is not null") if found else None
+
+
 def compact_status(spark: SparkSession, path: str, new_path: str) -> str:
     """Write the latest status row per context and key to a new path. Later runs
     point at it, so the retry scan stays proportional to the live keys, not

@@ -89,6 +89,22 @@ def read_bodies(keys: DataFrame, root: str, key: str = "key",
     return keys.mapInPandas(_read, out_schema)
 
 
+def sizes_of(keys: DataFrame, root: str) -> DataFrame:
+    """``key, size`` of those ``keys`` (column ``key``) that are objects below ``root`` now."""
+    def _stat(batches):
+        import pyarrow as pa
+        from pyarrow import fs as pafs
+
+        fs, base = open_fs(root)
+        for b in batches:
+            safe = [k for k in b.column(0).to_pylist() if check_name(k) is None]
+            found = [(k, i.size) for k, i in zip(safe, fs.get_file_info([f"{base}/{k}" for k in safe])) if i.type == pafs.FileType.File]
+            cols = list(zip(*found)) or [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64())], ["key", "size"])
+
+    return keys.select("key").mapInArrow(_stat, "key string, size long")
+
+
 def lookup(registry: DataFrame, ids: DataFrame, on: str = "id") -> DataFrame:
     """Registry rows for many ids at once (a semi-join, not a loop of lookups)."""
     return registry.join(ids.select(on).where(F.col(on).isNotNull()).distinct(), on, "left_semi")

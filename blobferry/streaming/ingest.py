@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blobferry.functions import keys as K
+from blobferry.session import materialize
+from blobferry.sources.blobs import MAX_BODY_BYTES, sizes_of
 from blobferry.sources.listing import key_from_path
 
 BINARY_FILE_SCHEMA = T.StructType([
@@ -88,13 +90,22 @@ def ingest_new_objects(spark: SparkSession, root: str, sink_path: str, checkpoin
 
 def stream_into_registry(spark: SparkSession, root: str, registry_path: str, checkpoint: str,
                          suffix: str | None = None, max_files_per_trigger: int | None = None,
-                         ledgers=None, timeout_s: float | None = None) -> dict:
+                         ledgers=None, timeout_s: float | None = None, sync_ledgers=None,
+                         max_bytes: int | None = MAX_BODY_BYTES) -> dict:
     """Run one availableNow pass that loads new objects straight into the
     registry: each micro-batch is a listing (key, size; no body is read by
     the stream) handed to :func:`blobferry.plans.jobs.load_new`, which reads
     bodies only for keys the registry does not hold. That anti-join makes a
-    re-run of a micro-batch after a failure harmless."""
+    re-run of a micro-batch after a failure harmless.
+
+    The file source offers an object once. What must be looked at again comes from
+    the ledgers: objects whose read failed (``ledgers``) and names whose rows were
+    deleted (``sync_ledgers``). Each micro-batch takes those that are in the store
+    now along with its own; a pass without new files takes them alone. An
+    object that comes back after its delete is loaded as a new row.
+    """
     from blobferry.plans import jobs
+    from blobferry.sinks import ledgers as L
 
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("recursiveFileLookup", "true").option("maxFileAge", ANY_AGE))
@@ -106,8 +117,23 @@ def stream_into_registry(spark: SparkSession, root: str, registry_path: str, che
                                        F.col("length").alias("size"))
     reports = []
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        rep = jobs.load_new(batch.sparkSession, root, registry_path, listing=batch, ledgers=ledgers)
+    def owed(session: SparkSession) -> DataFrame | None:
+        """Listing rows of keys to look at again, staged: few, and asked for by the load more than once."""
+        keys = L.owed_keys(session, ledgers, sync_ledgers)
+        if keys is None:
+            return None
+        if suffix:
+            keys = keys.where(K.has_suffix("key", suffix))
+        again = materialize(sizes_of(keys, root), "owed")
+        return None if again.isEmpty() else again
+
+    def load(batch: DataFrame, batch_id: int | None) -> None:
+        session = batch.sparkSession
+        again = owed(session) if batch_id is not None else None
+        offered = batch if again is None else batch.unionByName(again)
+        dead = L.read_tombstones(session, sync_ledgers.tombstones) if sync_ledgers is not None else None
+        rep = jobs.load_new(session, root, registry_path, listing=offered, ledgers=ledgers, tombstones=dead,
+                            max_bytes=max_bytes)
         reports.append(rep.counts)
 
     conf_key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
@@ -126,6 +152,10 @@ def stream_into_registry(spark: SparkSession, root: str, registry_path: str, che
             spark.conf.unset(conf_key)
         else:
             spark.conf.set(conf_key, before)
+    if not reports:
+        again = owed(spark)
+        if again is not None:
+            load(again, None)
     return {"batches": len(reports), "inserted": sum(r["inserted"] for r in reports),
             "failed": sum(r["failed"] for r in reports)}
 

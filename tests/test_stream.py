@@ -70,3 +70,45 @@ def test_old_files_are_taken(spark, tmp_root):
         os.utime(f"{root}/{name}", (time.time() - age,) * 2)
         rep = ingest_new_objects(spark, root, f"{tmp_root}/sink", f"{tmp_root}/ckpt")
         assert rep["rows"] == 1
+
+
+def test_failed_reads_and_deleted_names_are_offered_again(spark, tmp_root):
+    """A read that fails in one pass is loaded once in the next; a pass without new files takes what is owed."""
+    from blobferry.plans import jobs
+    from blobferry.sinks import ledgers as L
+    from blobferry.sources import registry as R
+    from blobferry.streaming.ingest import stream_into_registry
+
+    root, reg, ckpt = (f"{tmp_root}/{x}" for x in ("in", "reg", "ckpt"))
+    led, gone = L.Ledgers(f"{tmp_root}/state"), L.Ledgers(f"{tmp_root}/sync")
+    os.makedirs(root)
+
+    def put(name, data):
+        open(f"{root}/{name}", "wb").write(data)
+
+    def go(**kw):
+        return stream_into_registry(spark, root, reg, ckpt, suffix=".pdf", ledgers=led, sync_ledgers=gone, **kw)
+
+    def live():
+        view = R.current_view(spark.read.parquet(reg), tombstones=L.read_tombstones(spark, gone.tombstones))
+        return sorted((r["filename"], bytes(r["document"])) for r in view.collect())
+
+    put("a.pdf", b"small")
+    put("b.pdf", b"x" * 50)
+    out = go(max_bytes=10)
+    assert (out["inserted"], out["failed"]) == (1, 1)
+    assert go(max_bytes=10)["inserted"] == 0  # still failing, still owed
+    put("c.pdf", b"new")
+    out = go()
+    assert (out["inserted"], out["failed"]) == (2, 0)
+    assert [k for k, _ in live()] == ["a.pdf", "b.pdf", "c.pdf"]
+    assert go()["inserted"] == 0
+    # c goes away, its row is deleted, and it comes back under its old name
+    os.remove(f"{root}/c.pdf")
+    jobs.sync_registry(spark, R.current_view(spark.read.parquet(reg)), jobs.list_all_objects(spark, root), gone)
+    assert [k for k, _ in live()] == ["a.pdf", "b.pdf"]
+    assert go()["inserted"] == 0  # not there: nothing to load
+    put("c.pdf", b"again")
+    assert go()["inserted"] == 1
+    assert live() == [("a.pdf", b"small"), ("b.pdf", b"x" * 50), ("c.pdf", b"again")]
+    assert go()["inserted"] == 0
