@@ -29,8 +29,9 @@ def test_no_local_checkpoint_rdd_or_row_udfs():
 
 def test_collects_are_the_bounded_ones():
     # One count per partition, for the row numbering offsets; the command
-    # line's status report of the latest N runs (limit, then collect).
-    assert [h.split(":")[0] for h in _hits(r"\.collect\(\)")] == ["__main__.py", "operators/batching.py"]
+    # line's status report of the latest N runs (limit, then collect); the
+    # ends of each block of 100,000 wanted ids of a lookup.
+    assert [h.split(":")[0] for h in _hits(r"\.collect\(\)")] == ["__main__.py", "operators/batching.py", "sources/file_index.py"]
     assert ".limit(a.last).collect()" in open(os.path.join(PKG, "__main__.py")).read()
 
 
