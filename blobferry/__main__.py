@@ -9,7 +9,7 @@
     python -m blobferry save --registry REG --ids-table IDS --out O
     python -m blobferry ingest --root R (--sink S | --registry REG) --checkpoint C
     python -m blobferry status --state STATE [--ctx C]
-    python -m blobferry compact (--state S --new-state S2 | --registry REG --new-registry P [--sync-state S])
+    python -m blobferry compact (--state S --new-state S2 | --registry REG [--new-registry P] [--sync-state S])
 
 A source is a Parquet path, or ``jdbc`` with ``--jdbc-url``, ``--jdbc-table``
 and ``--jdbc-option key=value`` (user, password, driver, ...). Ledgers live in
@@ -33,6 +33,7 @@ from blobferry.plans import jobs
 from blobferry.session import get_session, ship_to_executors, state_root
 from blobferry.sinks import ledgers as L
 from blobferry.sources import registry as R
+from blobferry.sources.compaction import compact_files
 from blobferry.sources.listing import list_all_objects
 
 
@@ -159,7 +160,7 @@ def main(argv: list[str] | None = None) -> int:
     what.add_argument("--state", help="job state to compact (status to latest per key)")
     what.add_argument("--registry", help="registry whose current view is written out")
     cp.add_argument("--new-state", help="new state folder for the next runs (with --state)")
-    cp.add_argument("--new-registry", help="new registry path (with --registry)")
+    cp.add_argument("--new-registry", help="write the whole view there; else only files that hold deleted or newly marked rows are rewritten, in place")
     cp.add_argument("--sync-state", help="state of the sync job whose tombstones apply")
     cp.add_argument("--export-state", help="state of the export job whose successes mark rows")
 
@@ -202,7 +203,7 @@ def main(argv: list[str] | None = None) -> int:
                                    jobs.json_sink(a.out), transform=hook)
     elif a.cmd == "sync":
         led = _ledgers(spark, a, "sync")
-        view = R.current_view(spark.read.parquet(a.registry),
+        view = R.current_view(R.read_registry(spark, a.registry),
                               tombstones=L.read_tombstones(spark, led.tombstones))
         listing = list_all_objects(spark, a.root, a.suffix, a.prefix)
         out = jobs.sync_registry(spark, view, listing, led, a.allow_mass_delete, a.max_share,
@@ -235,12 +236,13 @@ def main(argv: list[str] | None = None) -> int:
                     kept.write.mode("errorifexists").parquet(path_new)
             out = {"state": a.new_state}
         else:
-            if not a.new_registry:
-                p.error("--registry needs --new-registry")
             tomb = L.read_tombstones(spark, L.Ledgers(a.sync_state).tombstones) if a.sync_state else None
             oks = L.ok_guids(spark, L.Ledgers(a.export_state).status) if a.export_state else None
-            view = R.current_view(spark.read.parquet(a.registry), ok_ledger=oks, tombstones=tomb)
-            out = {"registry": R.compact(view, a.new_registry)}
+            if a.new_registry:
+                view = R.current_view(R.read_registry(spark, a.registry), ok_ledger=oks, tombstones=tomb)
+                out = {"registry": R.compact(view, a.new_registry)}
+            else:
+                out = {"registry": a.registry, **compact_files(spark, a.registry, tomb, oks)}
     elif a.cmd == "save":
         out = jobs.save_documents(spark, a.registry,
                                   spark.read.parquet(a.ids_table).select("id"), a.out,

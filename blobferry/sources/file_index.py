@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from blobferry.operators.batching import global_index
 from blobferry.session import materialize
 from blobferry.sources.objectstore import open_fs
-from blobferry.sources.registry import REGISTRY_SCHEMA, read_table
+from blobferry.sources.registry import REGISTRY_SCHEMA, live_files, read_table
 
 INDEX_SCHEMA = "file string, row_group int, lo long, hi long, n_rows long"
 BLOCK_IDS = 100_000  # wanted ids compared with a row group at a time; the driver sees two numbers of each block
@@ -55,7 +55,7 @@ def _footers(batches):
 
 def refresh(spark: SparkSession, path: str) -> DataFrame:
     """The index of the registry's present files; footers are read of files that it does not hold yet."""
-    files = spark.read.schema(REGISTRY_SCHEMA).parquet(path).inputFiles()  # as a scan lists them; no footer is read for it
+    files = live_files(spark, path)  # as a scan lists them; no footer is read for it
     here = spark.createDataFrame([(f,) for f in files], "file string")
     known = read_table(spark, index_path(path), INDEX_SCHEMA)
     new = here if known is None else here.join(known.select("file").distinct(), "file", "left_anti")

@@ -2,8 +2,9 @@
 
 Files take no UPDATE or DELETE, so the registry's current state is a view:
 ``registry`` minus tombstoned keys, with ``uploaded_to_s3`` set where the
-status ledger holds a successful export. Compaction writes that view to a
-new path.
+status ledger holds a successful export. :func:`compact` writes that view to a
+new path; :mod:`blobferry.sources.compaction` rewrites only the files that hold deleted rows, and
+:func:`read_registry` reads a registry with such rewrites applied.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ REGISTRY_SCHEMA = T.StructType([
 ])
 
 
+# One row per file that a compaction took out: the file it put in instead (null: no row was left).
+VERSION_SCHEMA = "run_id string, old_file string, new_file string, n_kept long, n_dead long, n_marked long, top_id long"
+
+
 def path_exists(path: str) -> bool | None:
     """Whether a table folder exists (checked through the object-store
     client); None when that client does not know the path's scheme."""
@@ -54,15 +59,47 @@ def read_table(spark: SparkSession, path: str,
         raise
 
 
+def versions_path(path: str) -> str:
+    return f"{path.rstrip('/')}/_versions"
+
+
+def live_files(spark: SparkSession, path: str) -> list[str]:
+    """The registry's files as of its last compaction: those in the folder, less those taken
+    out, and those put in. Names only, which Spark's own listing of a scan holds as well."""
+    listed = spark.read.schema(REGISTRY_SCHEMA).parquet(path).inputFiles()
+    seen = read_table(spark, versions_path(path), VERSION_SCHEMA)
+    if seen is None:
+        return listed
+    runs = seen.select("old_file", "new_file").collect()  # one row per rewritten file
+    # By base name, which holds a job's or a task's own random part: a path is spelled in several ways.
+    out = {r["old_file"].rpartition("/")[2] for r in runs}
+    return [f for f in [*listed, *(r["new_file"] for r in runs if r["new_file"])] if f.rpartition("/")[2] not in out]
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The registry at ``path``, compactions applied."""
+    if read_table(spark, versions_path(path), VERSION_SCHEMA) is None:
+        return spark.read.parquet(path)
+    files = live_files(spark, path)
+    return spark.read.schema(REGISTRY_SCHEMA).parquet(*files) if files else spark.createDataFrame([], REGISTRY_SCHEMA)
+
+
+def last_id(spark: SparkSession, path: str, rows: DataFrame) -> tuple[int, int]:
+    """Rows of the registry, and the greatest id it ever held (0: none): an id
+    of a row that was compacted away is not given again, or its tombstone would delete the new row."""
+    n, top = rows.agg(F.count(F.lit(1)), F.coalesce(F.max("id"), F.lit(0))).first()
+    seen = read_table(spark, versions_path(path), VERSION_SCHEMA)
+    gone = None if seen is None else seen.agg(F.max("top_id")).first()[0]
+    return n, max(top, gone or 0)
+
+
 def create_if_absent(spark: SparkSession, path: str) -> DataFrame:
     """The registry at ``path``; an empty one with the fixed schema if absent."""
-    df = read_table(spark, path)
-    if df is None:
+    if read_table(spark, path) is None:
         empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name)
                                         for f in REGISTRY_SCHEMA.fields])
         empty.write.mode("append").parquet(path)
-        df = spark.read.parquet(path)
-    return df
+    return read_registry(spark, path)
 
 
 def check_rows(new: DataFrame, existing: DataFrame | None) -> None:
@@ -94,7 +131,7 @@ def append(spark: SparkSession, path: str, rows: DataFrame, check: bool = True)
 
         # Number the keys only, then attach the ids by guid: the bodies are
         # not range-shuffled, and the id table is broadcast when small.
-        start = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
+        start = last_id(spark, path, existing)[1]
         ids = global_index(rows.select("guid", "filename"), ["filename", "guid"], name="_idx")
         ids = ids.select("guid", (F.col("_idx") + F.lit(start + 1)).cast("bigint").alias("id"))
         right, _ = sync.checked_broadcast(ids)
@@ -105,8 +142,7 @@ def append(spark: SparkSession, path: str, rows: DataFrame, check: bool = True)
     if check:
         check_rows(rows, existing)
     rows.write.mode("append").parquet(path)
-    return spark.read.parquet(path).count() - existing.count()
-
+    return read_registry(spark, path).count() - existing.count()
 
 
 def pending(registry: DataFrame) -> DataFrame:
