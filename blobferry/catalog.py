@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,8 @@ from blobferry.sinks import ledgers as L
 from blobferry.sinks.export import export_bodies
 from blobferry.sinks.json_sink import read_json, write_json
 from blobferry.sources import registry as R
-from blobferry.sources.blobs import lookup
+from blobferry.sources.blobs import join_chunks, lookup, read_chunks
+from blobferry.sources.compaction import compact_files
 from blobferry.sources.file_index import rows_by_id
 from blobferry.sources.listing import list_all_objects, list_objects, read_objects
 from blobferry.streaming.ingest import ingest_new_objects, read_ingested, stream_into_registry
@@ -37,6 +39,7 @@ ID_MARK = 7500
 ORDERS_MARK = (dt.datetime(1998, 1, 1), 7000)
 RUN_CUTS = (dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20), None)
 BATCH_SIZE = 100
+CHUNK = 1024
 FIRST_N = 100
 
 
@@ -86,6 +89,13 @@ def blob_roundtrip(spark, sf):
     return objs.select("key", "size", K.body_sha1("content").alias("sha1"))
 
 
+def chunked_bodies(spark, sf):
+    # Every object in ranges of at most CHUNK bytes; the joined ranges hash as the object does.
+    root = _export_documents(spark, sf, "chunked")
+    chunks = read_chunks(list_all_objects(spark, root, suffix=".txt").select("key", "size"), root, chunk_bytes=CHUNK)
+    return join_chunks(chunks).select("key", "size", "sha1", "n_chunks")
+
+
 def complete_listing(spark, sf):
     root = _export_documents(spark, sf, "listing")
     return list_all_objects(spark, root, suffix=".txt").select("key", "size")
@@ -333,6 +343,33 @@ def transform_hook(spark, sf):
     return read_json(spark, out, schema).select("ID", "CALCULATED_HASH")
 
 
+def _counting_hook(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("bigint")
+    def counted(ids: pd.Series) -> pd.Series:
+        seen.add(len(ids))
+        return ids
+
+    return seen, lambda df: df.withColumn("ID", counted(F.col("ID").cast("bigint")))
+
+
+def hook_once(spark, sf):
+    # The hook counts the rows it sees: once each, whether the sink is JSON with the id,
+    # JSON of one column without it, or objects.
+    rows = []
+    cases = (("json", "id", lambda out: jobs.json_sink(out), False),
+             ("json_projected", "id", lambda out: jobs.json_sink(out, columns=["MODIFIED"]), False),
+             ("objects", "modified_id", lambda out: jobs.blob_sink(out), True))
+    for name, strategy, sink_of, with_body in cases:
+        seen, hook = _counting_hook(spark)
+        src = roles.source_from_events(spark, sf, with_body=with_body)
+        led = L.Ledgers(scratch_path(spark, "once"))
+        rep = jobs.run_incremental(spark, src, name, strategy, led, sink_of(scratch_path(spark, "once-out")), transform=hook)
+        rows.append((name, rep.counts["n_rows"], seen.value))
+    return spark.createDataFrame(rows, "sink string, n_rows long, n_evaluated long")
+
+
 def stream_ingest(spark, sf):
     root = scratch_path(spark, "stream-src")
     sink = scratch_path(spark, "stream-sink")
@@ -411,6 +448,23 @@ def load_new_objects(spark, sf):
                         K.body_sha1("document").alias("sha1"))
 
 
+def compact_registry(spark, sf):
+    # Load all, delete the poor ones and compact, then the other labelled ones and compact again.
+    root = _export_documents(spark, sf, "compact-src")
+    reg_path = scratch_path(spark, "compact-registry")
+    jobs.load_new(spark, root, reg_path, suffix=".txt")
+    labelled = roles.table(spark, sf, "documents").join(roles.table(spark, sf, "labels"), "doc_id") \
+        .select(F.concat_ws("/", "source", roles.doc_key("doc_id")).alias("filename"), "quality").groupBy("filename").agg(F.max("quality").alias("quality"))
+    removed = []
+    for poor in (True, False):
+        gone = labelled.where((F.coalesce(F.col("quality"), F.lit(0)) == 0) == F.lit(poor))
+        rows = R.read_registry(spark, reg_path).select("id", "filename").join(gone, "filename", "left_semi")
+        removed.append(compact_files(spark, reg_path, rows.select(F.col("filename").alias("key"), "id"))["rows_removed"])
+    return R.read_registry(spark, reg_path).select(
+        F.col("filename").alias("key"), K.byte_length("document").alias("size"), K.body_sha1("document").alias("sha1"),
+        F.lit(removed[0]).cast("long").alias("n_first"), F.lit(removed[1]).cast("long").alias("n_second"))
+
+
 def incr_composite_nulls(spark, sf):
     # Rows with a null key: two runs of the composite bookmark, read back.
     src = roles.source_from_events(spark, sf, with_body=False)
@@ -481,6 +535,7 @@ def readd_after_delete(spark, sf):
 
 
 QUERIES: dict[str, Query] = {
+    "compact_registry": compact_registry,
     "incr_late_nulls": incr_late_nulls,
     "incr_composite_nulls": incr_composite_nulls,
     "export_repeated_ids": export_repeated_ids,
@@ -490,6 +545,7 @@ QUERIES: dict[str, Query] = {
     "listing_count": listing_count,
     "distinct_keys": distinct_keys,
     "blob_roundtrip": blob_roundtrip,
+    "chunked_bodies": chunked_bodies,
     "complete_listing": complete_listing,
     "prefix_listing": prefix_listing,
     "file_listing": file_listing,
@@ -521,6 +577,7 @@ QUERIES: dict[str, Query] = {
     "latest_per_key": latest_per_key,
     "run_report": run_report,
     "transform_hook": transform_hook,
+    "hook_once": hook_once,
     "stream_ingest": stream_ingest,
     "load_new_objects": load_new_objects,
     "stream_registry": stream_registry,

@@ -175,6 +175,22 @@ ORACLES: dict[str, str] = {
     "transform_hook": """
         SELECT event_id AS ID, concat_ws('|', CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR),
             event_type, props, CAST(ts AS VARCHAR)) AS CALCULATED_HASH FROM events""",
+    "compact_registry": f"""
+        WITH q AS (SELECT doc_id, max(coalesce(quality, 0)) AS quality FROM labels GROUP BY doc_id),
+        r AS (SELECT d.*, q.quality FROM documents d LEFT JOIN q ON q.doc_id = d.doc_id WHERE strlen(d.text) > 0)
+        SELECT {NESTED_KEY} AS key, {BODY_FACTS},
+               (SELECT count(*) FROM r WHERE quality = 0)::BIGINT AS n_first,
+               (SELECT count(*) FROM r WHERE quality <> 0)::BIGINT AS n_second
+        FROM r d WHERE quality IS NULL""",
+    "hook_once": """
+        WITH latest AS (SELECT user_id FROM events GROUP BY user_id)
+        SELECT sink, n_rows, n_evaluated FROM (
+            SELECT 'json' AS sink, count(*) AS n_rows, count(*) AS n_evaluated FROM events
+            UNION ALL SELECT 'json_projected', count(*), count(*) FROM events
+            UNION ALL SELECT 'objects', (SELECT count(*) FROM latest), count(*) FROM events)""",
+    "chunked_bodies": f"""
+        SELECT {NESTED_KEY} AS key, {BODY_FACTS},
+               greatest((strlen(d.text) + 1023) // 1024, 1)::BIGINT AS n_chunks FROM documents d""",
     "stream_ingest": f"""
         SELECT {NESTED_KEY} AS key, {BODY_FACTS} FROM documents d WHERE strlen(d.text) > 0""",
     "stream_registry": f"""

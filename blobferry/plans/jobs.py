@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blobferry.functions import keys as K
 from blobferry.operators import incremental as inc
@@ -26,7 +27,7 @@ from blobferry.operators.batching import global_index
 from blobferry.session import materialize
 from blobferry.sinks import ledgers as L
 from blobferry.sinks.export import export_bodies
-from blobferry.sinks.json_sink import write_json
+from blobferry.sinks.json_sink import read_json, write_json
 from blobferry.sources import registry as R
 from blobferry.sources.blobs import MAX_BODY_BYTES, read_bodies
 from blobferry.sources.file_index import rows_by_id
@@ -89,7 +90,7 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
     """
     rep = RunReport(run_id=uuid.uuid4().hex)
     reg = R.create_if_absent(spark, registry_path)
-    n_before, start = reg.agg(F.count(F.lit(1)), F.coalesce(F.max("id"), F.lit(0))).first()
+    n_before, start = R.last_id(spark, registry_path, reg)
     live = R.current_view(reg.select("id", "filename"), tombstones=tombstones)
     # The distributed listing: object names never pass through the driver
     # (Spark's file index would keep every file status there). It is staged
@@ -130,7 +131,7 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
                     F.col("content").alias("document"), F.lit(False).alias(K.FLAG_COLUMN)))
     rows.write.mode("append").parquet(registry_path)
     n_new = int(n_keys)
-    inserted = spark.read.parquet(registry_path).count() - n_before
+    inserted = R.read_registry(spark, registry_path).count() - n_before
     rep.counts = {"listed": n_listed, "existing_rows": n_before, "new": n_new,
                   "inserted": inserted, "failed": n_new - inserted}
     if ledgers is not None and n_new > inserted:
@@ -176,7 +177,7 @@ def export_pending(spark: SparkSession, registry: DataFrame | str, target_root:
     rep = RunReport(run_id=uuid.uuid4().hex, run_no=run_no or L.next_run_no(spark, ledgers.status))
     path = registry if isinstance(registry, str) else None
     if path:
-        registry = spark.read.parquet(path)
+        registry = R.read_registry(spark, path)
     keys = registry.select("id", "guid", "filename", K.FLAG_COLUMN)
     view = R.current_view(keys, ok_ledger=ok_ledger, tombstones=tombstones)
     pending = materialize(view.where(K.is_pending(K.FLAG_COLUMN)).select("id" if path else "guid").distinct(),
@@ -328,7 +329,8 @@ def run_incremental(spark: SparkSession, source: DataFrame, ctx: str, strategy:
     exactly them, and adds them to the record before the bookmark: each is
     exported once, whichever run it arrives in, and ``n_late`` counts them.
     ``transform`` is the caller's processing hook (DataFrame in, DataFrame
-    out, keeping the id).
+    out, keeping the id). It is evaluated once per row: a sink that reads its
+    input once says so (``one_pass``); for any other the hook's output is staged.
     """
     keys = inc.strategy_keys(strategy)
     last_no, mark = L.last_bookmark(spark, ledgers.bookmarks, ctx)
@@ -348,7 +350,11 @@ def run_incremental(spark: SparkSession, source: DataFrame, ctx: str, strategy:
     if fresh_hw is None and not rep.n_late and ((mark is None and late is None) or batch.isEmpty()):
         rep.counts = {"n_rows": 0, "n_ok": 0, "n_skipped": 0, "n_failed": 0, "bytes_written": 0}
         return rep
-    status = sink(transform(batch) if transform else batch, rep.run_id)
+    if transform:
+        batch = transform(batch)
+        if not getattr(sink, "one_pass", False):
+            batch = materialize(batch, "hook-output")
+    status = sink(batch, rep.run_id)
     written = L.append_status(status, ledgers.status, rep.run_id, rep.run_no, ctx)
     totals = status_totals(written).first().asDict()
     if rep.n_late:
@@ -363,19 +369,33 @@ def run_incremental(spark: SparkSession, source: DataFrame, ctx: str, strategy:
 
 def json_sink(path: str, columns: list[str] | None = None, id_col: str = "ID",
               policy_col: str | None = "POLICY_ID") -> Sink:
-    """Sink writing the rows as JSON; every row is ok once the write commits."""
+    """Sink writing the rows as JSON; every row is ok once the write commits.
+
+    The rows are evaluated once: the status rows are read back from what the write
+    committed. Where the written ``columns`` lack the id or policy, the rows are
+    staged first, with these, and both the JSON and the status come from there.
+    """
 
     def _sink(batch: DataFrame, run_id: str) -> DataFrame:
-        write_json(batch, f"{path}/run_id={run_id}", columns=columns)
-        done = batch.select(
+        facts = [c for c in (id_col, policy_col) if c]
+        target = f"{path}/run_id={run_id}"
+        shown = {c.lower() for c in (columns or batch.columns)}
+        if shown >= {c.lower() for c in facts}:
+            write_json(batch, target, columns=columns)
+            have = {f.name.lower(): f for f in batch.schema.fields}
+            rows = read_json(batch.sparkSession, target, T.StructType([have[c.lower()] for c in facts]))
+        else:
+            rows = materialize(batch.select(*{c.lower(): c for c in (*columns, *facts)}.values()), "json-rows")
+            write_json(rows, target, columns=columns)
+        return rows.select(
             F.col(id_col).cast("string").alias("key"), F.col(id_col).cast("bigint").alias("src_id"),
             F.lit(None).cast("string").alias("guid"),
             (F.col(policy_col).cast("string") if policy_col else F.lit(None).cast("string")).alias("policy_id"),
             F.lit(None).cast("bigint").alias("size"), F.lit(None).cast("string").alias("sha1"),
             F.lit(True).alias("ok"), F.lit(False).alias("skipped"),
             F.lit(None).cast("string").alias("error"), F.lit(0.0).alias("elapsed_s"))
-        return done
 
+    _sink.one_pass = True
     return _sink
 
 

@@ -200,7 +200,8 @@ def commit_bookmark(spark: SparkSession, path: str, ctx: str, run_no: int, strat
     (``high_water_field``), built from typed literals on the JVM side."""
     from blobferry.operators.incremental import typed_lit
 
-    st = high_water_field.dataType
+    # Nullable whatever the source says: a typed literal's cast is.
+    st = T.StructType([T.StructField(f.name, f.dataType, True) for f in high_water_field.dataType.fields])
     if high_water is None:
         hw = F.lit(None).cast(st)
     else:
