@@ -140,15 +140,28 @@ def train(docs: DataFrame, labels: DataFrame, targets=("quality", "toxic"), id_c
     return Classifier(out)
 
 
-def _strength(groups: DataFrame, rate: float, s: str) -> float:
-    """Rows the parent counts for: from the variance of group means beyond sampling noise."""
-    r = groups.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("g"),
-                   F.sum(F.col("n") * F.pow(F.col(s) / F.col("n") - rate, 2)).alias("ss"),
-                   F.sum(F.col("n") * F.col("n")).alias("nn")).first()
-    n, g = r["n"] or 0, r["g"] or 0
-    noise = max(rate * (1 - rate), 1e-6)
-    spread = (n - (r["nn"] or 0) / n) if n else 0
-    between = ((r["ss"] or 0.0) - (g - 1) * noise) / spread if spread > 0 else 0.0
+def _strength(groups: DataFrame, rate: float, s: str, parent: tuple[str, str] | None = None) -> float:
+    """Rows the parent counts for: from the variance of group means around their parent's rate beyond sampling noise.
+
+    ``parent`` names the columns of the parent's rows and sum (paths: their host's), and groups are
+    compared within their parent; None: the parent is all rows, of ``rate``.
+
+    With m the parent's mean and n rows in the group, the sum of n (mean - m)^2 is, by the method of
+    moments, (groups - parents) noise + (n - sum n^2 / n of the parent) between, summed over parents.
+    """
+    if parent:
+        of_parent, m = F.col(parent[0]), F.col(parent[1]) / F.col(parent[0])
+    else:
+        of_parent, m = F.lit(float(groups.agg(F.sum("n")).first()[0] or 0)), F.lit(rate)
+    share = F.col("n") / F.when(of_parent > 0, of_parent)
+    noise_of = F.greatest(m * (1 - m), F.lit(1e-6))
+    r = groups.agg(F.sum(F.col("n") * F.pow(F.col(s) / F.col("n") - m, 2)).alias("ss"),
+                 F.sum((1 - share) * noise_of).alias("sampling"), F.sum(F.col("n") * (1 - share)).alias("spread"),
+                 F.sum(F.col("n") * noise_of).alias("noise"), F.sum("n").alias("n")).first()
+    if not r["n"] or not r["spread"] or r["spread"] <= 0:
+        return 1e4
+    between = (r["ss"] - r["sampling"]) / r["spread"]
+    noise = r["noise"] / r["n"]
     return min(max(noise / between - 1, 1.0), 1e4) if between > 0 else 1e4
 
 
@@ -182,11 +195,14 @@ def posterior(docs: DataFrame, model: Classifier, targets=("quality", "toxic"),
     total = hosts.agg(*again).first()
     n_all = total["n"] or 0
     rates, k_host, k_path = [], [], []
+    # Paths beside their host's sums: the spread of paths is the one around their host.
+    above = hosts.select(F.col("host").alias("h_up"), F.col("n").alias("n_up"), *[F.col(f"s{i}").alias(f"s{i}_up") for i in range(len(targets))])
+    within = materialize(paths.join(above, paths["host"].eqNullSafe(F.col("h_up"))), "paths-in-hosts")
     for i in range(len(targets)):
         rate = min(max(((total[f"s{i}"] or 0.0) + 0.5) / (n_all + 1), 1e-4), 1 - 1e-4)
         rates.append(rate)
         k_host.append(_strength(hosts.where("host is not null"), rate, f"s{i}"))
-        k_path.append(_strength(paths.where("path is not null"), rate, f"s{i}"))
+        k_path.append(_strength(within.where("path is not null"), rate, f"s{i}", ("n_up", f"s{i}_up")))
     key = lambda h, p: F.to_json(F.struct(h.alias("h"), p.alias("p")))
     up = hosts.select(F.col("host").alias("h2"), F.struct("n", *[f"s{i}" for i in range(len(targets))]).alias("hs"))
     joined = paths.join(up, paths["host"].eqNullSafe(F.col("h2"))).select(

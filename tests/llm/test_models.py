@@ -1,4 +1,6 @@
+import math
 import os
+import random
 
 import numpy as np
 import pytest
@@ -131,6 +133,84 @@ def test_quality_shrinks_sparse_groups(spark):
     assert abs(p[203] - p[202]) < 0.1 and p[204] < 0.2
 
 
+def _strength_by_hand(groups, parent_of):
+    """groups: {key: (n, sum)}; parent_of(key): (n, mean) of its parent."""
+    ss = sampling = spread = weighted = n_all = 0.0
+    for key, (n, total) in groups.items():
+        up, m = parent_of(key)
+        noise = max(m * (1 - m), 1e-6)
+        ss += n * (total / n - m) ** 2
+        sampling += (1 - n / up) * noise
+        spread += n * (1 - n / up)
+        weighted += n * noise
+        n_all += n
+    if spread <= 0 or ss <= sampling:
+        return 1e4
+    return min(max(weighted / n_all / ((ss - sampling) / spread) - 1, 1.0), 1e4)
+
+
+def _posterior_by_hand(rows, log_odds):
+    """{id: p} by loops over rows (id, host, path)."""
+    prob = {i: 1 / (1 + math.exp(-z)) for i, z in log_odds.items()}
+    paths, hosts = {}, {}
+    for i, h, p in rows:
+        for of, key in ((paths, (h, p)), (hosts, h)):
+            n, t = of.get(key, (0, 0.0))
+            of[key] = (n + 1, t + prob[i])
+    n_all = len(rows)
+    rate = min(max((sum(prob.values()) + 0.5) / (n_all + 1), 1e-4), 1 - 1e-4)
+    k_host = _strength_by_hand({h: g for h, g in hosts.items() if h is not None},
+                               lambda _: (sum(g[0] for h, g in hosts.items() if h is not None), rate))
+    k_path = _strength_by_hand({k: g for k, g in paths.items() if k[1] is not None},
+                               lambda k: (hosts[k[0]][0], hosts[k[0]][1] / hosts[k[0]][0]))
+    out = {}
+    for i, h, p in rows:
+        level = rate
+        for there, (n, t), k in ((h is not None, hosts[h], k_host), (p is not None, paths[(h, p)], k_path)):
+            if there:
+                level = (max(t - prob[i], 0.0) + level * k) / (n - 1 + k)
+        level = min(max(level, 1e-6), 1 - 1e-6)
+        z = log_odds[i] + math.log(level / (1 - level)) - math.log(rate / (1 - rate))
+        out[i] = 1 / (1 + math.exp(-z))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_quality_posterior_equals_a_plain_computation(spark, seed):
+    rng = random.Random(seed)
+    model = quality.Classifier({t: (np.zeros(quality.BUCKETS), [0.0] * quality.SHAPES, 0.1) for t in ("quality", "toxic")})
+    words = [f"word{k}" for k in range(20)]
+    for w in words:
+        model.weights["quality"][0][quality.features(w)[0]] = rng.uniform(-4, 4)
+        model.weights["toxic"][0][quality.features(w)[0]] = rng.uniform(-2, 2)
+    rows = []
+    for i in range(150):
+        h = rng.choice(["a", "a", "a", "b", "b", "c", f"h{i}", None])
+        p = rng.choice(["/x", "/y", f"/{rng.randrange(12)}", None])
+        text = " ".join(rng.choice(words[:8] if h == "a" else words[8:]) for _ in range(rng.randrange(4))) if i % 20 else None
+        rows.append((i, text, h, p))
+    df = spark.createDataFrame(rows, "doc_id long, text string, host string, path string")
+    got = {r["doc_id"]: r for r in quality.posterior(df, model, host_col="host", path_col="path").collect()}
+    for t in ("quality", "toxic"):
+        z = {i: float(model.log_odds_of(quality.features(x), t)) for i, x, _, _ in rows}
+        want = _posterior_by_hand([(i, h, p) for i, _, h, p in rows], z)
+        assert {i: r[f"p_{t}"] for i, r in got.items()} == pytest.approx(want, abs=1e-6)
+
+
+def test_spread_of_paths_is_measured_around_their_host(spark):
+    """Hosts that differ say nothing about paths; paths that differ do."""
+    schema = "n long, s0 double, n_up long, s0_up double"
+    alike = [(2, 2 * rate, 200, 200 * rate) for rate in (0.1, 0.9) for _ in range(100)]
+    differ = [(50, 50 * (rate + d), 500, 500 * rate) for rate in (0.3, 0.7) for d in (-0.25, 0.25) * 5]
+    up = ("n_up", "s0_up")
+    k_alike, k_differ = (quality._strength(spark.createDataFrame(g, schema), 0.5, "s0", up) for g in (alike, differ))
+    assert k_alike == 1e4 and k_differ < 5
+    # As groups of all rows they do differ: noise 0.25, sum of squares 400 * 0.4^2, 199 degrees, spread 400 - 800 / 400.
+    as_one = quality._strength(spark.createDataFrame(alike, schema), 0.5, "s0")
+    assert as_one == pytest.approx(0.25 / ((400 * 0.16 - 199 * 0.25) / 398) - 1)
+    assert quality._strength(spark.createDataFrame([], schema), 0.5, "s0", up) == 1e4
+
+
 def test_quality_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, None), (None, 1, 1), (8, None, None)], "doc_id long, quality int, toxic int")
     model = quality.train(odd, labels)
