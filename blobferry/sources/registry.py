@@ -16,6 +16,7 @@ from pyspark.sql.utils import AnalysisException
 
 from blobferry.functions import keys as K
 from blobferry.operators import sync
+from blobferry.session import materialize
 
 # The registry's columns, as existing tables hold them.
 REGISTRY_SCHEMA = T.StructType([
@@ -102,47 +103,56 @@ def create_if_absent(spark: SparkSession, path: str) -> DataFrame:
     return read_registry(spark, path)
 
 
-def check_rows(new: DataFrame, existing: DataFrame | None) -> None:
-    """NOT NULL and UNIQUE(guid) checks before an append (keys only, no bodies)."""
-    bad = new.where(F.col("guid").isNull() | F.col("filename").isNull()
-                    | F.col("document").isNull())
-    if not bad.select("guid").isEmpty():
-        raise ValueError("registry append: null guid, filename or document")
-    g = new.select("guid")
-    if not g.groupBy("guid").count().where(F.col("count") > 1).isEmpty():
-        raise ValueError("registry append: duplicate guid in the new rows")
-    if existing is not None:
-        # The new guids are usually few: counted and broadcast, the registry's
-        # guid column is then scanned in place instead of shuffled.
-        right, _ = sync.checked_broadcast(g)
-        if not existing.select("guid").join(right, "guid", "left_semi").isEmpty():
-            raise ValueError("registry append: guid already in the registry")
+def check_rows(keys: DataFrame, existing: DataFrame) -> int:
+    """Number of new rows, once they hold what the registry demands: no null guid, filename or body, guids
+    and given ids that are unique among them and in the registry. ``keys``: the staged rows without bodies."""
+    has_id = "id" in keys.columns
+    lacks = F.col("guid").isNull() | F.col("filename").isNull() | F.col("_no_body")
+    n, n_bad, n_no_id = keys.agg(F.count(F.lit(1)), F.count_if(lacks),
+                                 F.count_if(F.col("id").isNull()) if has_id else F.lit(0)).first()
+    if n_bad or n_no_id:
+        raise ValueError("registry append: null guid, filename or document" if n_bad else "registry append: null id")
+    for name in ("guid", "id") if has_id else ("guid",):
+        g = keys.select(name)
+        if not g.groupBy(name).count().where(F.col("count") > 1).isEmpty():
+            raise ValueError(f"registry append: duplicate {name} in the new rows")
+        # The new keys are usually few: counted, they are broadcast, and the
+        # registry's column is scanned in place instead of shuffled.
+        right = F.broadcast(g) if n <= sync.BROADCAST_MAX_ROWS else g
+        if not existing.select(name).join(right, name, "left_semi").isEmpty():
+            raise ValueError(f"registry append: {name} already in the registry")
+    return n
 
 
 def append(spark: SparkSession, path: str, rows: DataFrame, check: bool = True) -> int:
-    """Append registry rows (id, guid, filename, document[, uploaded_to_s3]).
+    """Append registry rows (guid, filename, document[, id][, uploaded_to_s3]); returns how many.
 
-    Rows without ``id`` get ``max(id) + position + 1`` in filename order.
-    Returns the number of rows written.
+    ``rows`` are evaluated once: they are staged in the shared folder, and checks, ids and the write read from
+    there, the checks without the bodies. Rows without ``id`` get ids in the order in which the tasks
+    staged them, without a gap: each task's rows take a block behind the greatest id the registry ever
+    held, so that neither an id nor a body goes through a shuffle.
     """
     existing = create_if_absent(spark, path)
-    if "id" not in rows.columns:
-        from blobferry.operators.batching import global_index
-
-        # Number the keys only, then attach the ids by guid: the bodies are
-        # not range-shuffled, and the id table is broadcast when small.
-        start = last_id(spark, path, existing)[1]
-        ids = global_index(rows.select("guid", "filename"), ["filename", "guid"], name="_idx")
-        ids = ids.select("guid", (F.col("_idx") + F.lit(start + 1)).cast("bigint").alias("id"))
-        right, _ = sync.checked_broadcast(ids)
-        rows = rows.join(right, "guid")
-    if K.FLAG_COLUMN not in rows.columns:
-        rows = rows.withColumn(K.FLAG_COLUMN, F.lit(False))
-    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in REGISTRY_SCHEMA.fields])
-    if check:
-        check_rows(rows, existing)
-    rows.write.mode("append").parquet(path)
-    return read_registry(spark, path).count() - existing.count()
+    names = [f.name for f in REGISTRY_SCHEMA.fields if f.name in rows.columns]
+    types = {f.name: f.dataType for f in REGISTRY_SCHEMA.fields}
+    staged = materialize(rows.select(*[F.col(c).cast(types[c]).alias(c) for c in names]).select(
+        "*", F.col("document").isNull().alias("_no_body"), F.monotonically_increasing_id().alias("_mid")), "append")
+    keys = staged.drop("document")
+    n = check_rows(keys, existing) if check else keys.count()
+    if "id" not in names:
+        # monotonically_increasing_id = (partition number << 33) + row number in it.
+        part, at = F.shiftright("_mid", 33), F.col("_mid").bitwiseAND((1 << 33) - 1)
+        blocks, start = [], last_id(spark, path, existing)[1] + 1
+        # One row per task that staged something: a few bytes each, whatever the rows hold.
+        for p, size in sorted(keys.groupBy(part.alias("_part")).count().collect()):
+            blocks.append((p, start))
+            start += size
+        block = F.broadcast(spark.createDataFrame(blocks, "_part long, _first long"))
+        staged = staged.withColumn("_part", part).join(block, "_part").withColumn("id", F.col("_first") + at)
+    if K.FLAG_COLUMN not in names:
+        staged = staged.withColumn(K.FLAG_COLUMN, F.lit(False))
+    staged.select(*[F.col(f.name) for f in REGISTRY_SCHEMA.fields]).write.mode("append").parquet(path)
+    return n
 
 
 def pending(registry: DataFrame) -> DataFrame:
