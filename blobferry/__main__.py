@@ -117,7 +117,11 @@ def main(argv: list[str] | None = None) -> int:
     ei.add_argument("--name-suffix", default=K.OBJECT_NAME_SUFFIX)
     ei.add_argument("--target-prefix", default="")
     ei.add_argument("--body", default=K.BODY_COLUMN)
-    ei.add_argument("--compare-sha1", action="store_true")
+    ei.add_argument("--compare-sha1", action="store_true",
+                    help="skip by content: what earlier runs wrote, as far as the target still lists it")
+    ei.add_argument("--verify", action="store_true", help="hash the objects that --compare-sha1 would skip")
+    ei.add_argument("--metadata", nargs="*", default=[], metavar="COLUMN",
+                    help="columns kept with each object, under their lower-case names")
 
     ej = sub.add_parser("export-json", help="source rows past the bookmark -> JSON")
     src_args(ej)
@@ -189,12 +193,10 @@ def main(argv: list[str] | None = None) -> int:
             name = K.template_key("POLICY_ID", a.name_prefix, a.name_suffix)
             return K.join_key(prefix, name) if prefix else name
 
-        if a.compare_sha1:
-            listing = L.target_state(spark, led.status)
-        else:
-            listing = list_all_objects(spark, a.target) if R.path_exists(a.target) is not False else None
+        listing = list_all_objects(spark, a.target) if R.path_exists(a.target) is not False else None
         sink = jobs.blob_sink(a.target, target_listing=listing, key_of=key_of, body=a.body,
-                              compare_sha1=a.compare_sha1, written=L.target_state(spark, led.status))
+                              compare_sha1=a.compare_sha1, written=L.target_state(spark, led.status), verify=a.verify,
+                              metadata={c.lower(): c for c in a.metadata})
         out = jobs.run_incremental(spark, _source(spark, a), a.ctx, a.strategy, led, sink)
     elif a.cmd == "export-json":
         led = _ledgers(spark, a, a.ctx)

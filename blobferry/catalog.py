@@ -107,6 +107,38 @@ def prefix_listing(spark, sf):
     return list_all_objects(spark, root, prefix="src1").select("key", "size")
 
 
+def object_metadata(spark, sf):
+    # One object per policy with its policy id and event type, read back from the store.
+    root = scratch_path(spark, "metadata")
+    sink = jobs.blob_sink(root, metadata={"policy_id": "POLICY_ID", "company": "COMPANY"})
+    led = L.Ledgers(scratch_path(spark, "metadata-state"))
+    jobs.run_incremental(spark, roles.source_from_events(spark, sf), "metadata", "modified_id", led, sink)
+    meta = F.col("metadata")
+    return jobs.object_metadata(spark, root, suffix=".pdf").select(
+        "key", "size", meta["policy_id"].alias("policy_id"), meta["company"].alias("company"))
+
+
+def reconcile_targets(spark, sf):
+    # Every document was exported once. By now the target lacks the German ones, holds others of the same size for the
+    # French ones and html pages that nobody exported; the source has new texts for the toxic ones and no Spanish ones.
+    docs = roles.table(spark, sf, "documents")
+    key = roles.doc_key("doc_id")
+    once = L.append_status(export_bodies(docs, scratch_path(spark, "reconcile-once"), key=key, body="text", src_id="doc_id"),
+                           scratch_path(spark, "reconcile-state"), "reconcile", 1)
+    root = scratch_path(spark, "reconcile-now")
+    body = F.when(F.col("lang") == "fr", F.repeat(F.lit("x"), F.octet_length("text"))).otherwise(F.col("text"))
+    now = docs.where("lang <> 'de'").select(key.alias("key"), body.alias("body")).unionByName(
+        roles.table(spark, sf, "pages").select(F.concat(F.lit("page_"), F.col("page_id").cast("string")).alias("key"),
+                                               F.col("html").alias("body")))
+    L.append_status(export_bodies(now, root), f"{root}-ledger/status", "reconcile", 1)
+    toxic = roles.table(spark, sf, "labels").where("toxic = 1").select("doc_id", F.lit("!").alias("_mark"))
+    text = F.concat("text", F.coalesce("_mark", F.lit("")))
+    src = docs.where("lang <> 'es'").join(toxic, "doc_id", "left").select(
+        key.alias("key"), K.byte_length(text).alias("size"), K.body_sha1(text).alias("sha1"))
+    own = once.where("ok").select("key", "size", "sha1")
+    return jobs.reconcile_targets(src, own, list_all_objects(spark, root), verify_root=root).select("key", "state", "action")
+
+
 def file_listing(spark, sf):
     # The key prefix is the operator under test: a text prefix, not a folder,
     # so "src1" takes src1/ and src10/ to src19/. The whole tree is listed.
@@ -535,6 +567,8 @@ def readd_after_delete(spark, sf):
 
 
 QUERIES: dict[str, Query] = {
+    "object_metadata": object_metadata,
+    "reconcile_targets": reconcile_targets,
     "compact_registry": compact_registry,
     "incr_late_nulls": incr_late_nulls,
     "incr_composite_nulls": incr_composite_nulls,

@@ -52,10 +52,10 @@ def is_pending(flag: ColumnOrName = FLAG_COLUMN) -> Column:
 
 
 def is_safe_name(name: ColumnOrName) -> Column:
-    """Relative name without ``..`` segments, usable below a target folder."""
+    """Relative name without ``..`` segments, usable below a target folder (and not its folder of metadata)."""
     n = _c(name)
     return (n.isNotNull() & (F.length(n) > 0) & ~n.startswith("/")
-            & ~n.rlike(r"(^|/)\.\.(/|$)") & ~n.rlike(r"^[A-Za-z]:[\\/]"))
+            & ~n.rlike(r"(^|/)\.\.(/|$)") & ~n.rlike(r"^[A-Za-z]:[\\/]") & ~n.rlike(r"^\.blobferry-meta(/|$)"))
 
 
 # ------------------------------------------------------------ key derivation

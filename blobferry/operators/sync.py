@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blobferry.functions import keys as K
@@ -80,7 +80,7 @@ def drop_keys(df: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFr
     return df.join(keys.select(*on).distinct(), on, "left_anti")
 
 
-SKIP, NEW, CHANGED = "skip", "upload_new", "upload_changed"
+SKIP, NEW, CHANGED, NONE = "skip", "upload_new", "upload_changed", "none"
 
 
 def size_plan(src: DataFrame, target: DataFrame, key: str = "key", size: str = "size",
@@ -109,6 +109,57 @@ def size_plan(src: DataFrame, target: DataFrame, key: str = "key", size: str = "
     return j.withColumn("action", action)
 
 
+def reconcile(src: DataFrame, own: DataFrame | None, live: DataFrame) -> DataFrame:
+    """Three-way comparison of what should be in the target, what we wrote there, and what is there.
+
+    ``src`` (``key, size, sha1``, more columns are kept) holds one row per key, ``own`` our latest
+    successful write of a key (``key, size, sha1``), ``live`` the listing (``key, size``, and ``sha1`` where
+    a body was hashed). One row per key of any side, with ``target_size``, ``state`` and ``action``:
+
+    * ``absent``: not in the target and never written; ``removed``: written, but gone. Both: ``upload_new``.
+    * ``unknown``: there, but not written by us; ``replaced``: not what we wrote (another size or hash);
+      ``changed``: ours, with content the source no longer has. All: ``upload_changed``.
+    * ``same``: ``skip``. So is an ``unknown`` or ``replaced`` object whose own hash is the source's.
+    * ``stray`` (there, not in the source) and ``forgotten`` (only written once): ``none``.
+
+    An object of the size we wrote, without a hash of its own, is taken for what we wrote. The outer
+    join of the three is an aggregate of their union: one shuffle of keys, sizes and hashes, combined map-side,
+    whatever a side repeats.
+    """
+    fact = "struct<size:bigint,sha1:string>"
+
+    def side(df: DataFrame) -> Column:
+        sha1 = F.col("sha1") if "sha1" in df.columns else F.lit(None)
+        return F.struct(F.col("size").cast("bigint").alias("size"), sha1.cast("string").alias("sha1"))
+
+    extra = [c for c in src.columns if c not in ("key", "size", "sha1")]
+    row = F.struct(F.col("size").cast("bigint").alias("size"), F.col("sha1").cast("string").alias("sha1"),
+                   *[F.col(c) for c in extra])
+    wanted = src.select("key", row.alias("_src"))
+    row_type = wanted.schema["_src"].dataType
+    parts = [wanted.select("key", "_src", F.lit(None).cast(fact).alias("_own"), F.lit(None).cast(fact).alias("_live"))]
+    if own is not None:
+        parts.append(own.select("key", F.lit(None).cast(row_type).alias("_src"), side(own).alias("_own"),
+                                F.lit(None).cast(fact).alias("_live")))
+    parts.append(live.select("key", F.lit(None).cast(row_type).alias("_src"), F.lit(None).cast(fact).alias("_own"),
+                             side(live).alias("_live")))
+    j = accumulate(parts).groupBy("key").agg(*[F.max(c).alias(c) for c in ("_src", "_own", "_live")])
+    in_src, in_own, in_live = (F.col(c).isNotNull() for c in ("_src", "_own", "_live"))
+    same_size = F.col("_live.size") == F.col("_own.size")
+    # The hash of what is there: its own, or that of our write of the same size.
+    held = F.coalesce(F.col("_live.sha1"), F.when(same_size, F.col("_own.sha1")))
+    as_written = same_size & F.coalesce(F.col("_live.sha1") == F.col("_own.sha1"), F.lit(True))
+    equal = F.coalesce((F.col("_live.size") == F.col("_src.size")) & (held == F.col("_src.sha1")), F.lit(False))
+    state = (F.when(~in_src, F.when(in_live, "stray").otherwise("forgotten"))
+             .when(~in_live, F.when(in_own, "removed").otherwise("absent"))
+             .when(~in_own, "unknown")
+             .when(~F.coalesce(as_written, F.lit(False)), "replaced")
+             .when(equal, "same").otherwise("changed"))
+    action = F.when(~in_src, NONE).when(~in_live, NEW).when(equal, SKIP).otherwise(CHANGED)
+    return j.select("key", *[F.col(f"_src.{c}").alias(c) for c in ("size", "sha1", *extra)],
+                    F.col("_live.size").alias("target_size"), state.alias("state"), action.alias("action"))
+
+
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[str],
                    payload: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the one with the greatest ``order`` tuple.

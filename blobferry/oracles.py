@@ -27,6 +27,21 @@ SRC = ("event_id AS ID, user_id AS POLICY_ID, event_type AS COMPANY, props AS BR
 BODY_FACTS = "CAST(strlen(d.text) AS BIGINT) AS size, sha1(d.text) AS sha1"
 
 ORACLES: dict[str, str] = {
+    "object_metadata": """
+        SELECT 'binder_' || user_id || '.pdf' AS key, CAST(strlen(props) AS BIGINT) AS size,
+               CAST(user_id AS VARCHAR) AS policy_id, event_type AS company
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+              FROM events) WHERE rn = 1""",
+    "reconcile_targets": f"""
+        SELECT {DOC_KEY} AS key,
+               CASE WHEN d.lang = 'es' THEN 'stray' WHEN d.lang = 'de' THEN 'removed'
+                    WHEN EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = 1)
+                    THEN 'changed' WHEN d.lang = 'fr' THEN 'replaced' ELSE 'same' END AS state,
+               CASE WHEN d.lang = 'es' THEN 'none' WHEN d.lang = 'de' THEN 'upload_new'
+                    WHEN d.lang = 'fr' OR EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.toxic = 1)
+                    THEN 'upload_changed' ELSE 'skip' END AS action
+        FROM documents d
+        UNION ALL SELECT 'page_' || CAST(page_id AS VARCHAR), 'stray', 'none' FROM pages""",
     "incr_composite_nulls": """
         SELECT event_id AS ID, user_id AS POLICY_ID,
                CASE WHEN event_type <> 'error' THEN event_type END AS COMPANY,

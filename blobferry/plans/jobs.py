@@ -29,9 +29,10 @@ from blobferry.sinks import ledgers as L
 from blobferry.sinks.export import export_bodies
 from blobferry.sinks.json_sink import read_json, write_json
 from blobferry.sources import registry as R
-from blobferry.sources.blobs import MAX_BODY_BYTES, read_bodies
+from blobferry.sources.blobs import MAX_BODY_BYTES, hash_objects, read_bodies
 from blobferry.sources.file_index import rows_by_id
 from blobferry.sources.listing import list_all_objects
+from blobferry.sources.metadata import with_metadata
 
 
 @dataclass
@@ -399,14 +400,49 @@ def json_sink(path: str, columns: list[str] | None = None, id_col: str = "ID",
     return _sink
 
 
+def reconcile_targets(src: DataFrame, own: DataFrame | None, live: DataFrame,
+                      verify_root: str | None = None) -> DataFrame:
+    """:func:`sync.reconcile` of source, own writes and live listing, written once.
+
+    With ``verify_root`` the objects that it would skip are hashed there
+    (:func:`blobferry.sources.blobs.hash_objects`) and compared by their own hash: an object replaced by one of
+    equal size is found too, and one that cannot be read counts as replaced. Nothing else is read.
+    """
+    live = live.select("key", "size", *(["sha1"] if "sha1" in live.columns else []))
+    plan = materialize(sync.reconcile(src, own, live), "reconcile")
+    if verify_root is None:
+        return plan
+    skips = plan.where(F.col("action") == sync.SKIP).select("key", F.col("target_size").alias("size"))
+    facts = materialize(hash_objects(skips, verify_root).select(
+        "key", F.coalesce("sha1", F.lit("unreadable")).alias("_sha1")), "verified")
+    sha1 = F.col("sha1") if "sha1" in live.columns else F.lit(None).cast("string")
+    found = live.select("key", "size", sha1.alias("sha1")).join(facts, "key", "left").select(
+        "key", "size", F.coalesce("_sha1", "sha1").alias("sha1"))
+    return materialize(sync.reconcile(src, own, found), "reconcile-verified")
+
+
+def object_metadata(spark: SparkSession, root: str, suffix: str | None = None, prefix: str | None = None) -> DataFrame:
+    """The complete listing of ``root`` with each object's metadata, as the store holds it
+    (:func:`blobferry.sources.metadata.with_metadata`): one small request per object, spread over the tasks."""
+    listing = list_all_objects(spark, root, suffix, prefix)
+    spread = spread_tasks(spark, listing.count())
+    return with_metadata(listing.repartition(spread) if spread else listing, root)
+
+
 def blob_sink(target_root: str, target_listing: DataFrame | None = None,
               key_of: Callable[[DataFrame], Column] | None = None, body: str = K.BODY_COLUMN,
               id_col: str = "ID", policy_col: str = "POLICY_ID",
               order: tuple[str, ...] = ("MODIFIED", "ID"), fail: Column | None = None,
               compare_sha1: bool = False, size_col: str | None = None,
-              written: DataFrame | None = None) -> Sink:
+              written: DataFrame | None = None, verify: bool = False,
+              metadata: dict[str, str | Column] | None = None) -> Sink:
     """Sink writing one object per target key.
 
+    With ``compare_sha1`` and a listing without hashes the plan is a three-way one (:func:`reconcile_targets`):
+    ``written`` is what earlier runs wrote, ``target_listing`` what is there now, so an object that was
+    removed or replaced by another hand is written again; ``verify`` hashes the objects that
+    would be skipped. ``metadata`` (name -> column) is kept with each object.
+
     ``written`` (column ``key``: objects of earlier runs, see
     :func:`ledgers.target_state`) keeps late rows from going back in time: a row
     whose first ``order`` column is null is older than any other of its target
@@ -444,7 +480,10 @@ def blob_sink(target_root: str, target_listing: DataFrame | None = None,
                                              F.count(F.lit(1)).alias("_n"))
         tied = tied.select("key", *own, *[F.col(f"_f.{c}").alias(c) for c in facts], "_n")
         plan = sync.latest_per_key(tied, "key", own, payload=[*facts, "_n"])
-        if target_listing is not None:
+        if target_listing is not None and compare_sha1 and "sha1" not in target_listing.columns:
+            plan = reconcile_targets(plan, written, target_listing, target_root if verify else None)
+            plan = plan.where(F.col("action") != sync.NONE)
+        elif target_listing is not None:
             plan = sync.size_plan(plan, target_listing, key="key", size="size",
                                   compare_sha1="sha1" if compare_sha1 else None)
         else:
@@ -493,7 +532,7 @@ def blob_sink(target_root: str, target_listing: DataFrame | None = None,
         if spread:
             rows = rows.repartition(spread)  # round-robin: even objects per task
         put = export_bodies(rows, target_root, key="_key", body=body, src_id=id_col,
-                                policy_id=policy_col, fail=fail)
+                                policy_id=policy_col, fail=fail, metadata=metadata)
         if n_tied:
             # Repeated rows put the same bytes under one key: one status row.
             put = sync.latest_per_key(put, "key", ["ok"]).select(*put.columns)

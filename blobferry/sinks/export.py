@@ -9,6 +9,7 @@ deterministic and writes replace the object, so a retried task is harmless.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blobferry.functions import keys as K
+from blobferry.sources.metadata import open_meta
 from blobferry.sources.objectstore import check_name, open_fs
 
 STATUS_SCHEMA = ("key string, src_id bigint, guid string, policy_id string, size bigint, "
@@ -49,13 +51,15 @@ def export_bodies(df: DataFrame, root: str, key: str | Column = "key",
                   body: str | Column = "body", src_id: str | Column | None = None,
                   guid: str | Column | None = None,
                   policy_id: str | Column | None = None, skip: Column | None = None,
-                  fail: Column | None = None, io_threads: int | None = None) -> DataFrame:
+                  fail: Column | None = None, io_threads: int | None = None,
+                  metadata: dict[str, str | Column] | None = None) -> DataFrame:
     """Status rows after writing bodies to ``root``.
 
     ``skip`` marks rows not to write (target already equal); ``fail`` is a
     fault-injection predicate for tests (those rows report an error and are
     not written). Unsafe names (absolute, ``..``) are refused per row. Each
-    task keeps ``io_threads`` writes in flight.
+    task keeps ``io_threads`` writes in flight. ``metadata`` (name -> column) is
+    kept with each object (:mod:`blobferry.sources.metadata`); a null value is left out.
     """
     c = K._c
     plan = df.select(
@@ -69,12 +73,16 @@ def export_bodies(df: DataFrame, root: str, key: str | Column = "key",
         K.body_sha1(body).alias("sha1"),
         (skip if skip is not None else F.lit(False)).alias("_skip"),
         (fail if fail is not None else F.lit(False)).alias("_fail"),
+        # Null values are left out of the JSON; without the option nothing is kept with an object.
+        (F.to_json(F.struct(*[c(v).cast("string").alias(n) for n, v in metadata.items()])) if metadata
+         else F.lit(None).cast("string")).alias("_meta"),
         c(body).cast("binary").alias("_body"),
     )
+    keeps = bool(metadata)
     local = "://" not in root or root.startswith("file:")
     io_threads = io_threads or (1 if local else IO_THREADS)
 
-    def _one(fs, base, k, b, sk, fl):
+    def _one(fs, base, at, k, b, sk, fl, meta):
         """(ok, skipped, error, seconds) of one row."""
         if bool(sk):
             return True, True, None, 0.0
@@ -86,7 +94,10 @@ def export_bodies(df: DataFrame, root: str, key: str | Column = "key",
             e = "injected failure"
         if e is None:
             try:
-                _write_one(fs, base, k, bytes(b), local)
+                if meta is not None:
+                    at.put(k, bytes(b), json.loads(meta))
+                else:
+                    _write_one(fs, base, k, bytes(b), local)
             except Exception as ex:  # noqa: BLE001 - kept per key
                 e = f"{type(ex).__name__}: {ex}"
         return e is None, False, e, round(time.perf_counter() - t0, 2)
@@ -95,12 +106,13 @@ def export_bodies(df: DataFrame, root: str, key: str | Column = "key",
         from concurrent.futures import ThreadPoolExecutor
 
         fs, base = open_fs(root)
+        at = open_meta(root) if keeps else None
         pool = ThreadPoolExecutor(max_workers=io_threads) if io_threads > 1 else None
         run = pool.map if pool else map  # one thread: a plain loop, no futures
         try:
             for pdf in batches:
-                res = list(run(lambda r: _one(fs, base, *r),
-                               zip(pdf["key"], pdf["_body"], pdf["_skip"], pdf["_fail"])))
+                res = list(run(lambda r: _one(fs, base, at, *r),
+                               zip(pdf["key"], pdf["_body"], pdf["_skip"], pdf["_fail"], pdf["_meta"])))
                 yield pd.DataFrame({
                     "key": pdf["key"], "src_id": pdf["src_id"], "guid": pdf["guid"],
                     "policy_id": pdf["policy_id"], "size": pdf["size"], "sha1": pdf["sha1"],

@@ -3,6 +3,7 @@
     df.write.format("blobferry_objects").mode("append") \\
         .option("path", root).option("keyColumn", "key").option("bodyColumn", "body").save()
 
+The option ``metadataColumns`` (names, comma between) keeps those columns with each object.
 Each task writes its rows' bodies to ``root/key`` (same safe, idempotent write
 as :func:`blobferry.sinks.export.export_bodies`) and reports counts in its
 commit message. Unlike ``export_bodies`` there are no per-row status rows: a
@@ -35,11 +36,14 @@ class _ObjectWriter(DataSourceWriter):  # type: ignore[misc]
         self.root = options["path"]
         self.key = options.get("keyColumn", "key")
         self.body = options.get("bodyColumn", "body")
+        self.meta = [c.strip() for c in options.get("metadataColumns", "").split(",") if c.strip()]
 
     def write(self, iterator):
         from blobferry.sinks.export import _write_one
+        from blobferry.sources.metadata import open_meta
         from blobferry.sources.objectstore import check_name, open_fs
 
+        at = open_meta(self.root) if self.meta else None
         fs, base = open_fs(self.root)
         local = "://" not in self.root or self.root.startswith("file:")
         n = size = 0
@@ -49,7 +53,10 @@ class _ObjectWriter(DataSourceWriter):  # type: ignore[misc]
             if err:
                 raise ValueError(f"object {key!r}: {err}")
             data = bytes(body)
-            _write_one(fs, base, key, data, local)
+            if at:
+                at.put(key, data, {c: str(row[c]) for c in self.meta if row[c] is not None})
+            else:
+                _write_one(fs, base, key, data, local)
             n += 1
             size += len(data)
         return _Written(n, size)

@@ -12,6 +12,8 @@ import os
 
 # Hadoop scheme names and the pyarrow scheme for the same store.
 HADOOP_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+# Below a root: the metadata of its objects, where the store keeps none (blobferry.sources.metadata).
+META_FOLDER = ".blobferry-meta"
 
 
 def open_fs(root: str):
@@ -46,4 +48,6 @@ def check_name(name) -> str | None:
         return "absolute name"  # the rule of functions.keys.is_safe_name; a colon alone is a legal key
     if ".." in name.split("/"):
         return "name climbs out of the root"
+    if name.split("/", 1)[0] == META_FOLDER:
+        return "reserved name"
     return None
