@@ -11,8 +11,8 @@ document id and position.
    band that many lines share sends one row per task on), then across tasks.
    Every link is verified by exact Jaccard, and components are taken.
 3. A chain may break at a pair that is not similar although others of its
-   band are. Bands with such a pair are compared in full, all pairs that are
-   not yet in one component, in blocks, so no link is lost.
+   band are. Bands with such a pair are compared in full, in blocks, by an inverted
+   index of a block's shingles, so no link between components is lost.
 
 Only line hashes move in 1 and 2; texts are fetched for candidate lines alone.
 Lines are known by the 64-bit XXH64 of their bytes: among n distinct lines two
@@ -24,12 +24,13 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from blobferry.llm.common import broadcast_if_small, by_group, fresh_name, materialize, tidy
+from blobferry.llm.common import broadcast_if_small, broadcast_within, by_group, fresh_name, materialize, tidy
 from blobferry.llm.components import components
 
 SHINGLE, SIMILARITY = 7, 0.8
 BANDS, ROWS = 10, 4
 CROWD = 256          # lines of a broken band compared by one task
+COLUMNS = 4096       # shingles of an inverted index counted at a time
 CHUNK_CHARS = 1 << 18
 MAX_BROADCAST = 2_000_000  # ids of 8 bytes; beyond it the join is shuffled
 SEED = 3
@@ -52,6 +53,76 @@ def similar(a: set, b: set) -> bool:
     return both / (len(a) + len(b) - both) >= SIMILARITY
 
 
+NARROW = 512  # code points below it take 9 bits, so that seven of them are one number
+
+
+class Codes:
+    """Shingle sets of many lines as sorted arrays of numbers, one number for each distinct shingle, exactly.
+
+    A shingle of code points below ``NARROW`` is packed into 63 bits. Where a line has others,
+    shingles are numbered as they come, so such a batch of lines is compared among itself only.
+    """
+
+    def __init__(self, lines: list):
+        import numpy as np
+
+        raw = "".join(x.ljust(SHINGLE, "\0") for x in lines).encode("utf-32-le", "surrogatepass")
+        c = np.frombuffer(raw, "<u4")
+        if not len(c) or c.max() < NARROW:
+            n = len(c) - SHINGLE + 1
+            packed = np.zeros(max(n, 0), np.int64)
+            for j in range(SHINGLE):
+                packed = (packed << 9) | c[j:n + j]
+            at, self.sets = 0, []
+            for x in lines:  # windows that reach into the next line are in no slice
+                m = max(len(x), SHINGLE)
+                self.sets.append(np.unique(packed[at:at + m - SHINGLE + 1]))
+                at += m
+        else:
+            number: dict = {}
+            self.sets = [np.sort(np.array([number.setdefault(s, len(number)) for s in shingles(x)], np.int64)) for x in lines]
+
+    def similar(self, i: int, j: int) -> bool:
+        """As :func:`similar`."""
+        import numpy as np
+
+        a, b = self.sets[i], self.sets[j]
+        if min(len(a), len(b)) < SIMILARITY * max(len(a), len(b)):
+            return False
+        c = np.concatenate((a, b))
+        c.sort()
+        both = int(np.count_nonzero(c[1:] == c[:-1]))
+        return both / (len(a) + len(b) - both) >= SIMILARITY
+
+    def similar_pairs(self, left, right):
+        """Index pairs (one of ``left``, one of ``right``) that are similar, by an inverted index: shared shingles
+        are counted from the shingles that both sides hold, ``COLUMNS`` of them at a time."""
+        import numpy as np
+
+        def postings(rows):
+            at = np.repeat(np.arange(len(rows)), [len(self.sets[i]) for i in rows])
+            return np.concatenate([self.sets[i] for i in rows]), at
+
+        a, at_a = postings(left)
+        b, at_b = postings(right)
+        shared = np.intersect1d(a, b)
+        both = np.zeros((len(left), len(right)), np.int64)
+        for lo in range(0, len(shared), COLUMNS):
+            part = shared[lo:lo + COLUMNS]
+            m = []
+            for codes, at, rows in ((a, at_a, left), (b, at_b, right)):
+                col = np.searchsorted(part, codes).clip(max=len(part) - 1)
+                hit = part[col] == codes
+                x = np.zeros((len(rows), len(part)), np.float32)
+                x[at[hit], col[hit]] = 1
+                m.append(x)
+            both += np.rint(m[0] @ m[1].T).astype(np.int64)  # at most COLUMNS ones a sum: exact in single precision
+        na = np.array([len(self.sets[i]) for i in left])[:, None]
+        nb = np.array([len(self.sets[i]) for i in right])[None, :]
+        i, j = np.nonzero(both / (na + nb - both) >= SIMILARITY)
+        return np.asarray(left)[i], np.asarray(right)[j]
+
+
 class Signer:
     def __init__(self, bands=BANDS, rows=ROWS, seed=SEED):
         import numpy as np
@@ -189,25 +260,29 @@ def _verify(batches):
     import pyarrow as pa
 
     for batch in batches:
-        same, last, sets = [], None, set()
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            if y != last:  # the pairs of a line come together
-                last, sets = y, shingles(y)
-            same.append(similar(shingles(x), sets))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())],
-                                         names=["a", "b", "same"])
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
+            x, y = part.column(2).to_pylist(), part.column(3).to_pylist()
+            where = {line: i for i, line in enumerate(dict.fromkeys(x + y))}  # the pairs of a line come together
+            codes = Codes(list(where))
+            same = [codes.similar(where[p], where[q]) for p, q in zip(x, y)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(same, pa.bool_())],
+                                             names=["a", "b", "same"])
 
 
 def _compare(batches):
-    """All pairs of a block pair that are not yet in one component, until they are."""
+    """Links of a block pair that join what is not yet in one component: a spanning forest of its similar pairs."""
+    import numpy as np
     import pyarrow as pa
 
     for t, starts, ends in by_group(batches, ["band", "p", "q"]):
-        lid, root, blk = (t.column(c).to_pylist() for c in ("lid", "root", "blk"))
-        p, q, line = t.column("p").to_pylist(), t.column("q").to_pylist(), t.column("line")
+        lid, root, blk = (t.column(c).to_numpy() for c in ("lid", "root", "blk"))
+        p, q, line = t.column("p").to_numpy(), t.column("q").to_numpy(), t.column("line")
         found = []
         for lo, hi in zip(starts, ends):
-            up = {r: r for r in root[lo:hi]}
+            up = {r: r for r in root[lo:hi].tolist()}
+            if len(up) < 2:
+                continue
 
             def top(r):
                 while up[r] != r:
@@ -215,20 +290,18 @@ def _compare(batches):
                     r = up[r]
                 return r
 
-            sets = {}
-            for i in range(lo, hi):
-                for j in range(lo, hi) if p[lo] != q[lo] else range(i + 1, hi):
-                    if p[lo] != q[lo] and not (blk[i] == p[lo] and blk[j] == q[lo]):
-                        continue
-                    x, y = top(root[i]), top(root[j])
-                    if x == y:
-                        continue
-                    for k in (i, j):
-                        if k not in sets:
-                            sets[k] = shingles(line[k].as_py())
-                    if similar(sets[i], sets[j]):
-                        up[x] = y
-                        found.append((lid[i], lid[j]))
+            codes = Codes(line.slice(lo, hi - lo).to_pylist())
+            own = np.arange(hi - lo)
+            left, right = (own, own) if p[lo] == q[lo] else (own[blk[lo:hi] == p[lo]], own[blk[lo:hi] == q[lo]])
+            if not len(left) or not len(right):
+                continue
+            i, j = codes.similar_pairs(left, right)
+            apart = root[lo + i] != root[lo + j]
+            for i, j in zip((lo + i[apart]).tolist(), (lo + j[apart]).tolist()):
+                x, y = top(int(root[i])), top(int(root[j]))
+                if x != y:
+                    up[x] = y
+                    found.append((int(lid[i]), int(lid[j])))
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)],
                                          names=["a", "b"])
 
@@ -312,7 +385,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     drop = materialize(drop, "dropped-lines")
     gone, key, total, lost = (fresh_name(docs.columns, n) for n in ("gone", "rid", "n_lines", "n_dropped"))
     out = docs.withColumn(key, rid).join(
-        broadcast_if_small(drop.select(F.col("rid").alias(key), F.col("gone").alias(gone)), 200_000), key, "left")
+        broadcast_within(drop.select(F.col("rid").alias(key), F.col("gone").alias(gone))), key, "left")
 
     @F.pandas_udf("text string, n_lines long, n_dropped long")
     def rebuild(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:

@@ -127,6 +127,39 @@ def test_line_dedup_broken_band_loses_no_link(spark):
     check_lines(line_dedup.dedup_lines(df).collect(), df.collect())
 
 
+@pytest.mark.parametrize("letters", ["abcdé", "abc漢字🙂\ud800"])
+def test_shingle_codes_equal_sets(letters, monkeypatch):
+    """Packed and numbered shingles, and the index over them, against plain sets."""
+    rng = np.random.default_rng(5)
+    base = ["".join(rng.choice(list("abcdefg hij"), n)) for n in rng.integers(1, 150, 12)]
+    lines = list(base)
+    for _ in range(80):
+        x = list(base[rng.integers(len(base))])
+        for _ in range(rng.integers(0, 4)):
+            x[rng.integers(len(x))] = letters[rng.integers(len(letters))]
+        lines.append("".join(x))
+    sets, codes = [line_dedup.shingles(x) for x in lines], line_dedup.Codes(lines)
+    want = {(i, j) for i in range(len(lines)) for j in range(len(lines)) if line_dedup.similar(sets[i], sets[j])}
+    assert len(want) > 2 * len(lines)
+    assert {(i, j) for i in range(len(lines)) for j in range(len(lines)) if codes.similar(i, j)} == want
+    monkeypatch.setattr(line_dedup, "COLUMNS", 30)
+    left, right = np.arange(0, len(lines), 2), np.arange(len(lines))
+    i, j = codes.similar_pairs(left, right)
+    assert set(zip(i.tolist(), j.tolist())) == {(a, b) for a, b in want if a % 2 == 0}
+    assert line_dedup.Codes([]).sets == []
+
+
+def test_line_dedup_of_a_crowded_template(spark, monkeypatch):
+    """Many lines of one template, similar to some of the others only, in blocks of a few lines."""
+    monkeypatch.setattr(line_dedup, "CROWD", 16)
+    rng = np.random.default_rng(6)
+    word = lambda n: "".join(rng.choice(list("abcdefghijklmnop"), n))
+    ends = [word(40) for _ in range(9)]
+    lines = ["the same long opening of every line in this table, " * 2 + ends[rng.integers(9)] + word(6) for _ in range(120)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    assert check_lines(line_dedup.dedup_lines(df).collect(), df.collect()) > 50
+
+
 def test_line_dedup_odd_rows(odd, empty):
     out = line_dedup.dedup_lines(odd)
     assert out.columns == odd.columns + ["_n_lines", "n_dropped"]
