@@ -148,10 +148,13 @@ def suffix_of(host: Column) -> Column:
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col: str | None = None,
              host_col: str | None = None, suffix_col: str | None = None, min_posterior: float = 0.5,
-             languages: list | None = None) -> DataFrame:
-    """All columns of ``docs`` plus ``language``, ``posterior`` and ``accepted``
+             languages: list | None = None, keep: list | None = None) -> DataFrame:
+    """All columns of ``docs``, or those of ``keep``, plus ``language``, ``posterior`` and ``accepted``
     (the last three columns, with underscores in front where such a name exists).
 
+    Each text is scored once: scores are written beside the columns returned, so a
+    caller that needs no texts back leaves them out of ``keep``.
+
     ``language`` is null where "no language" wins or nothing speaks for any:
     empty and null texts get the evidence of their address and declaration
     only. ``accepted``: a language won with ``min_posterior`` and is in
@@ -162,8 +165,9 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col
     """
     langs, k = model.langs, len(model.langs)
     lang_c, post_c, acc_c = (fresh_name(docs.columns, n) for n in ("language", "posterior", "accepted"))
+    names = docs.columns if keep is None else list(keep)
     if not k:
-        return docs.withColumns({lang_c: F.lit(None).cast("string"), post_c: F.lit(0.0), acc_c: F.lit(False)})
+        return docs.select(*[F.col(f"`{c}`") for c in names]).withColumns({lang_c: F.lit(None).cast("string"), post_c: F.lit(0.0), acc_c: F.lit(False)})
     bc = docs.sparkSession.sparkContext.broadcast(model)  # bounded: GRAMS x languages
 
     @F.pandas_udf("struct<ll: array<double>, own: array<double>>")
@@ -175,14 +179,14 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col
 
         yield from tidy(scored_batches)(texts)
 
-    ll = fresh_name(docs.columns, "scores")
-    pr = fresh_name(docs.columns, "host_sums")
-    host, suffix = (F.col(c).cast("string") if c else F.lit(None).cast("string") for c in (host_col, suffix_col))
-    scored = docs.withColumn(ll, score(F.col(text_col)))
+    ll, pr, at_host, at_suffix, said = (fresh_name(docs.columns, n) for n in ("scores", "host_sums", "at_host", "at_suffix", "said"))
+    host, suffix, declared = ((F.col(c) if c else F.lit(None)).cast("string") for c in (host_col, suffix_col, declared_col))
+    scored = materialize(docs.select(*[F.col(f"`{c}`") for c in names], host.alias(at_host), suffix.alias(at_suffix),
+                                     declared.alias(said), score(F.col(text_col)).alias(ll)), "language-scores")
+    host, suffix = F.col(at_host), F.col(at_suffix)
 
     # text-only posteriors, summed per host: narrow rows, partial sums before the shuffle
-    narrow = scored.select(host.alias("host"), suffix.alias("suffix"),
-                           (F.col(declared_col) if declared_col else F.lit(None)).cast("string").alias("declared"),
+    narrow = scored.select(host.alias("host"), suffix.alias("suffix"), F.col(said).alias("declared"),
                            F.col(ll)["own"].alias("p"))
     sums = [F.sum(F.col("p")[i]).alias(f"s{i}") for i in range(k)]
     arr = F.array(*[F.col(f"s{i}") for i in range(k)])
@@ -216,29 +220,31 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col
     def fuse(scores: pd.DataFrame, sums_: pd.DataFrame, declared: pd.Series) -> pd.DataFrame:
         import numpy as np
 
-        rows = []
-        for lls, own, h, x, d in zip(scores["ll"], scores["own"], sums_["h"], sums_["x"], declared):
-            lls = np.asarray(lls, float)
-            prior = np.asarray(world)
-            for group, weight in ((x, SUFFIX_WEIGHT), (h, HOST_WEIGHT)):
-                if group is not None:  # without the row's own share
-                    rest = np.maximum(np.asarray(group, float) - own, 0)
-                    prior = (rest + prior * weight) / (rest.sum() + weight)
-            logs = lls[:-1] + np.log(prior)
-            if d is not None:
-                logs = logs + odds.get(d, odds[""])
-            noise = lls[-1] + math.log(NONE_PRIOR) if lls.any() else -1e300
-            p = _softmax(np.r_[logs, noise])
-            i = int(p.argmax())
-            rows.append((langs[i] if i < k else None, float(p[i])))
-        return pd.DataFrame(rows, columns=["language", "posterior"])
-
-    said = (F.col(declared_col) if declared_col else F.lit(None)).cast("string")
+        if not len(scores):
+            return pd.DataFrame({"language": pd.Series([], dtype=object), "posterior": pd.Series([], dtype=float)})
+        like, own = np.stack(scores["ll"].to_numpy()), np.stack(scores["own"].to_numpy())
+        prior = np.tile(np.asarray(world), (len(like), 1))
+        for group, weight in (("x", SUFFIX_WEIGHT), ("h", HOST_WEIGHT)):
+            has = sums_[group].notna().to_numpy()
+            if has.any():  # without the row's own share
+                rest = np.maximum(np.stack(sums_[group][has].to_numpy()) - own[has], 0)
+                prior[has] = (rest + prior[has] * weight) / (rest.sum(axis=1, keepdims=True) + weight)
+        logs = like[:, :-1] + np.log(prior)
+        says = declared.notna().to_numpy()
+        if says.any():
+            logs[says] += np.array([odds.get(d, odds[""]) for d in declared[says]])
+        noise = np.where(like.any(axis=1), like[:, -1] + math.log(NONE_PRIOR), -1e300)
+        logs = np.c_[logs, noise]
+        p = np.exp(logs - logs.max(axis=1, keepdims=True))
+        best = p.argmax(axis=1)
+        return pd.DataFrame({"language": [langs[i] if i < k else None for i in best],
+                             "posterior": p[np.arange(len(p)), best] / p.sum(axis=1)})
+
     fused = fresh_name(docs.columns, "fused")
-    out = out.withColumn(fused, fuse(F.col(ll), F.col(pr), said)) \
+    out = out.withColumn(fused, fuse(F.col(ll), F.col(pr), F.col(said))) \
         .withColumn(lang_c, F.col(fused)["language"]).withColumn(post_c, F.col(fused)["posterior"])
     ok = F.col(lang_c).isNotNull() & (F.col(post_c) >= min_posterior)
     if languages is not None:
         ok = ok & F.col(lang_c).isin(languages)
     return out.withColumn(acc_c, F.coalesce(ok, F.lit(False))) \
-        .select(*[F.col(f"`{c}`") for c in docs.columns], lang_c, post_c, acc_c)
+        .select(*[F.col(f"`{c}`") for c in names], lang_c, post_c, acc_c)

@@ -166,10 +166,13 @@ def _strength(groups: DataFrame, rate: float, s: str, parent: tuple[str, str] |
 
 
 def posterior(docs: DataFrame, model: Classifier, targets=("quality", "toxic"), text_col: str = "text",
-              host_col: str | None = None, path_col: str | None = None) -> DataFrame:
-    """All columns of ``docs`` plus ``p_<target>`` for each target (underscores in
+              host_col: str | None = None, path_col: str | None = None, keep: list | None = None) -> DataFrame:
+    """All columns of ``docs``, or those of ``keep``, plus ``p_<target>`` for each target (underscores in
     front where such a column exists).
 
+    Each text is scored once: the log-odds are written beside the columns returned, so a
+    caller that needs no texts back leaves them out of ``keep``.
+
     Null and empty texts have the shape features of an empty text. A null host
     has the global prior; a null path the host's. Groups of one document have
     no evidence but their parent's. Repeated rows count as documents. Empty
@@ -185,7 +188,11 @@ def posterior(docs: DataFrame, model: Classifier, targets=("quality", "toxic"),
     z, hk, gr = (fresh_name(docs.columns, n) for n in ("log_odds", "group_key", "group_sums"))
     host = (F.col(host_col) if host_col else F.lit(None)).cast("string")
     path = (F.col(path_col) if path_col else F.lit(None)).cast("string")
-    scored = docs.withColumn(z, evidence(F.col(text_col)))
+    names = docs.columns if keep is None else list(keep)
+    at_host, at_path = (fresh_name(docs.columns, n) for n in ("at_host", "at_path"))
+    scored = materialize(docs.select(*[F.col(f"`{c}`") for c in names], host.alias(at_host), path.alias(at_path),
+                                     evidence(F.col(text_col)).alias(z)), "quality-scores")
+    host, path = F.col(at_host), F.col(at_path)
     prob = lambda c: 1 / (1 + F.exp(-c))
     sums = [F.sum(prob(F.col(z)[i])).alias(f"s{i}") for i in range(len(targets))]
     paths = materialize(scored.select(host.alias("host"), path.alias("path"), z).groupBy("host", "path")
@@ -221,13 +228,13 @@ def posterior(docs: DataFrame, model: Classifier, targets=("quality", "toxic"),
         level = F.least(F.greatest(level, F.lit(1e-6)), F.lit(1 - 1e-6))
         shift = F.log(level / (1 - level)) - math.log(rates[i] / (1 - rates[i]))
         cols[fresh_name(docs.columns, f"p_{t}")] = prob(F.col(z)[i] + shift)
-    return out.withColumns(cols).select(*[F.col(f"`{c}`") for c in docs.columns], *cols)
+    return out.withColumns(cols).select(*[F.col(f"`{c}`") for c in names], *cols)
 
 
 def judge(docs: DataFrame, model: Classifier, text_col="text", host_col=None, path_col=None,
-          min_quality: float = 0.5, max_toxic: float = 0.5) -> DataFrame:
+          min_quality: float = 0.5, max_toxic: float = 0.5, keep: list | None = None) -> DataFrame:
     """``posterior`` plus ``kept``: good enough and not toxic."""
-    out = posterior(docs, model, ("quality", "toxic"), text_col, host_col, path_col)
+    out = posterior(docs, model, ("quality", "toxic"), text_col, host_col, path_col, keep)
     q, t = out.columns[-2:]
     keep: Column = (F.col(q) >= min_quality) & (F.col(t) < max_toxic)
     return out.withColumn(fresh_name(out.columns, "kept"), keep)

@@ -65,14 +65,14 @@ def op9_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     rows = quality.judge(docs.select("doc_id", "text", "source", F.concat_ws("/", "source", "lang").alias("path")),
-                         model, host_col="source", path_col="path")
+                         model, host_col="source", path_col="path", keep=["doc_id"])
     return rows.select("doc_id", "p_quality", "p_toxic", "kept")
 
 
 def op10_language(spark, sf_dir):
     """Trained on the labels of the documents; the label is also what each document declares."""
     docs = table(spark, sf_dir, "documents")
-    rows = language.identify(docs, language.train(docs), declared_col="lang", host_col="source")
+    rows = language.identify(docs, language.train(docs), declared_col="lang", host_col="source", keep=["doc_id", "lang"])
     won, posterior, accepted = rows.columns[-3:]  # other names where the table has these
     return rows.select("doc_id", "lang", F.col(won).alias("language"), F.col(posterior).alias("posterior"),
                        F.col(accepted).alias("kept"))
@@ -86,7 +86,8 @@ def op10_language_pages(spark, sf_dir):
                         language.declared_in_markup(html).alias("declared"), language.host_of(url).alias("host"),
                         language.suffix_of(language.host_of(url)).alias("suffix"))
     model = language.train(table(spark, sf_dir, "documents"))
-    out = language.identify(rows, model, declared_col="declared", host_col="host", suffix_col="suffix")
+    out = language.identify(rows, model, declared_col="declared", host_col="host", suffix_col="suffix",
+                            keep=["page_id", "declared", "host", "suffix"])
     return out.select("page_id", "declared", "host", "suffix", "language", "posterior", F.col("accepted").alias("kept"))
 
 

@@ -48,6 +48,51 @@ def test_language_evidence_is_fused(spark, lang_model):
     assert out[104]["language"] is None and not out[104]["accepted"]  # noise
 
 
+def test_language_equals_a_plain_computation(spark, lang_model):
+    """Posteriors against the formula written out row by row."""
+    rng = random.Random(3)
+    texts = {"de": "der und die nicht", "fr": "le la les est une", "en": "the of and is not", "es": "el los que una", None: ""}
+    rows = []
+    for i in range(150):
+        lang = rng.choice(list(texts))
+        host = rng.choice(["a.de", "b.de", "c.fr", None, "noname"])
+        said = rng.choice([lang, None, "xx", "de"])
+        text = rng.choice([texts[lang] + " " * (i % 3), None, "", "\x01\x02" * 30, texts[lang] * 3])
+        rows.append((i, text, said, host, host.rpartition(".")[2] if host and "." in host else None))
+    df = spark.createDataFrame(rows, "doc_id long, text string, declared string, host string, suffix string").repartition(3)
+    langs, k = lang_model.langs, len(lang_model.langs)
+    like = [lang_model.score(r[1]) for r in rows]
+    own = [np.exp(x[:-1] - x[:-1].max()) / np.exp(x[:-1] - x[:-1].max()).sum() if x.any() else np.zeros(k) for x in like]
+    total = sum(own)
+    world = (total + 1) / (total.sum() + k)
+    said = {}
+    for r, p in zip(rows, own):
+        if r[2] is not None:
+            d = r[2] if r[2] in langs else ""
+            said[d] = said.get(d, np.zeros(k)) + p
+    per = sum(said.values())
+    for r in language.identify(df, lang_model, declared_col="declared", host_col="host", suffix_col="suffix", keep=["doc_id"]).collect():
+        i, text, d, host, suffix = rows[r["doc_id"]]
+        prior = world
+        if suffix is not None:
+            rest = sum(p for p, q in zip(own, rows) if q[4] == suffix) - own[i]
+            prior = (rest + prior * language.SUFFIX_WEIGHT) / (rest.sum() + language.SUFFIX_WEIGHT)
+        if host is not None:
+            rest = sum(p for p, q in zip(own, rows) if q[3] == host) - own[i]
+            prior = (rest + prior * language.HOST_WEIGHT) / (rest.sum() + language.HOST_WEIGHT)
+        logs = like[i][:-1] + np.log(prior)
+        if d is not None:
+            seen = said.get(d if d in langs else "", np.zeros(k))
+            logs = logs + np.log((seen + 0.5) / (per + 0.5 * (k + 1)))
+        logs = np.r_[logs, like[i][-1] + math.log(language.NONE_PRIOR) if like[i].any() else -np.inf]
+        p = np.exp(logs - logs.max())
+        p /= p.sum()
+        assert r.asDict().keys() == {"doc_id", "language", "posterior", "accepted"}
+        assert r["posterior"] == pytest.approx(p.max(), rel=1e-6)
+        assert r["language"] == ([*langs, None])[int(p.argmax())]
+        assert r["accepted"] == (r["language"] is not None and p.max() >= 0.5)
+
+
 def test_language_odd_rows(spark, odd, empty, lang_model):
     out = language.identify(odd, lang_model, declared_col="lang", host_col="source")
     assert out.columns == odd.columns + ["_language", "posterior", "accepted"]
