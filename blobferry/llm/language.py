@@ -152,8 +152,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col
     """All columns of ``docs``, or those of ``keep``, plus ``language``, ``posterior`` and ``accepted``
     (the last three columns, with underscores in front where such a name exists).
 
-    Each text is scored once: scores are written beside the columns returned, so a
-    caller that needs no texts back leaves them out of ``keep``.
+    Where the texts are not among the columns returned, each is scored once and the scores are written
+    beside these. Otherwise they are scored for the priors and again with their decision, so that no text is written.
 
     ``language`` is null where "no language" wins or nothing speaks for any:
     empty and null texts get the evidence of their address and declaration
@@ -181,8 +181,12 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col
 
     ll, pr, at_host, at_suffix, said = (fresh_name(docs.columns, n) for n in ("scores", "host_sums", "at_host", "at_suffix", "said"))
     host, suffix, declared = ((F.col(c) if c else F.lit(None)).cast("string") for c in (host_col, suffix_col, declared_col))
-    scored = materialize(docs.select(*[F.col(f"`{c}`") for c in names], host.alias(at_host), suffix.alias(at_suffix),
-                                     declared.alias(said), score(F.col(text_col)).alias(ll)), "language-scores")
+    rows = docs.select(*[F.col(f"`{c}`") for c in names], host.alias(at_host), suffix.alias(at_suffix), declared.alias(said),
+                       F.col(text_col).alias(ll))
+    once = text_col.lower() not in {c.lower() for c in names}
+    scored = rows.withColumn(ll, score(F.col(ll)))
+    if once:
+        scored = rows = materialize(scored, "language-scores")
     host, suffix = F.col(at_host), F.col(at_suffix)
 
     # text-only posteriors, summed per host: narrow rows, partial sums before the shuffle
@@ -207,7 +211,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col
     priors = hosts.select(key(F.col("host"), F.col("suffix")).alias(hk),
                           F.struct(F.when(F.col("host").isNotNull(), F.col("h")).otherwise(none).alias("h"),
                                    F.when(F.col("suffix").isNotNull(), F.col("x")).otherwise(none).alias("x")).alias(pr))
-    out = scored.withColumn(hk, key(host, suffix)).join(broadcast_if_small(priors, MAX_HOSTS), hk, "left")
+    out = rows.withColumn(hk, key(host, suffix)).join(broadcast_if_small(priors, MAX_HOSTS), hk, "left")
     # P(declared | language) from all rows, smoothed; unknown declarations are one value
     d = F.when(F.col("declared").isin(langs), F.col("declared")).otherwise(F.lit(""))
     rows = by.where("declared is not null").groupBy(d.alias("d")).agg(*again).collect()  # languages + 1 rows at most
@@ -216,13 +220,12 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col
     odds = {x: [math.log((seen.get(x, [0.0] * k)[i] + 0.5) / (per_lang[i] + 0.5 * (k + 1))) for i in range(k)]
             for x in [*langs, ""]}
 
-    @F.pandas_udf("struct<language: string, posterior: double>")
-    def fuse(scores: pd.DataFrame, sums_: pd.DataFrame, declared: pd.Series) -> pd.DataFrame:
+    def fuse_rows(like: list, own: list, sums_: pd.DataFrame, declared: pd.Series) -> pd.DataFrame:
         import numpy as np
 
-        if not len(scores):
+        if not len(like):
             return pd.DataFrame({"language": pd.Series([], dtype=object), "posterior": pd.Series([], dtype=float)})
-        like, own = np.stack(scores["ll"].to_numpy()), np.stack(scores["own"].to_numpy())
+        like, own = np.stack(like), np.stack(own)
         prior = np.tile(np.asarray(world), (len(like), 1))
         for group, weight in (("x", SUFFIX_WEIGHT), ("h", HOST_WEIGHT)):
             has = sums_[group].notna().to_numpy()
@@ -240,8 +243,23 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", declared_col
         return pd.DataFrame({"language": [langs[i] if i < k else None for i in best],
                              "posterior": p[np.arange(len(p)), best] / p.sum(axis=1)})
 
+    decision = "struct<language: string, posterior: double>"
+
+    @F.pandas_udf(decision)
+    def fuse(scores: pd.DataFrame, sums_: pd.DataFrame, declared: pd.Series) -> pd.DataFrame:
+        return fuse_rows(list(scores["ll"]), list(scores["own"]), sums_, declared)
+
+    @F.pandas_udf(decision)
+    def score_and_fuse(batches: Iterator[tuple[pd.Series, pd.DataFrame, pd.Series]]) -> Iterator[pd.DataFrame]:
+        def decided(found):
+            for texts, sums_, declared in found:
+                like = [bc.value.score(t) for t in texts]
+                yield fuse_rows(like, [_softmax(r[:-1]) if r.any() else r[:-1] for r in like], sums_, declared)
+
+        yield from tidy(decided)(batches)
+
     fused = fresh_name(docs.columns, "fused")
-    out = out.withColumn(fused, fuse(F.col(ll), F.col(pr), F.col(said))) \
+    out = out.withColumn(fused, (fuse if once else score_and_fuse)(F.col(ll), F.col(pr), F.col(said))) \
         .withColumn(lang_c, F.col(fused)["language"]).withColumn(post_c, F.col(fused)["posterior"])
     ok = F.col(lang_c).isNotNull() & (F.col(post_c) >= min_posterior)
     if languages is not None:

@@ -48,7 +48,8 @@ def test_language_evidence_is_fused(spark, lang_model):
     assert out[104]["language"] is None and not out[104]["accepted"]  # noise
 
 
-def test_language_equals_a_plain_computation(spark, lang_model):
+@pytest.mark.parametrize("keep", [["doc_id"], None])
+def test_language_equals_a_plain_computation(spark, lang_model, keep):
     """Posteriors against the formula written out row by row."""
     rng = random.Random(3)
     texts = {"de": "der und die nicht", "fr": "le la les est une", "en": "the of and is not", "es": "el los que una", None: ""}
@@ -71,7 +72,7 @@ def test_language_equals_a_plain_computation(spark, lang_model):
             d = r[2] if r[2] in langs else ""
             said[d] = said.get(d, np.zeros(k)) + p
     per = sum(said.values())
-    for r in language.identify(df, lang_model, declared_col="declared", host_col="host", suffix_col="suffix", keep=["doc_id"]).collect():
+    for r in language.identify(df, lang_model, declared_col="declared", host_col="host", suffix_col="suffix", keep=keep).collect():
         i, text, d, host, suffix = rows[r["doc_id"]]
         prior = world
         if suffix is not None:
@@ -87,7 +88,7 @@ def test_language_equals_a_plain_computation(spark, lang_model):
         logs = np.r_[logs, like[i][-1] + math.log(language.NONE_PRIOR) if like[i].any() else -np.inf]
         p = np.exp(logs - logs.max())
         p /= p.sum()
-        assert r.asDict().keys() == {"doc_id", "language", "posterior", "accepted"}
+        assert list(r.asDict()) == [*(keep or df.columns), "language", "posterior", "accepted"]
         assert r["posterior"] == pytest.approx(p.max(), rel=1e-6)
         assert r["language"] == ([*langs, None])[int(p.argmax())]
         assert r["accepted"] == (r["language"] is not None and p.max() >= 0.5)
