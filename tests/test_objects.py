@@ -91,6 +91,21 @@ def test_read_objects_drops_empty_and_pushes_length(spark, tmp_root):
     assert [(r.key, bytes(r.content)) for r in df.collect()] == [("a.pdf", b"abc")]
 
 
+def test_read_objects_keeps_no_file_index(spark, tmp_root):
+    """The bodies come from a staged listing: no file status of an object is held by the driver."""
+    import pytest
+
+    for name in ("d/a.pdf", "_under.pdf", ".dot.pdf", "_h/b.pdf", "p=1/_q=2/c.pdf"):
+        _write(tmp_root, name, name.encode())
+    df = read_objects(spark, tmp_root)
+    assert not any(f.startswith(f"file://{tmp_root}") for f in df.inputFiles())
+    assert sorted((r.key, r.size, bytes(r.content)) for r in df.collect()) == [
+        ("d/a.pdf", 7, b"d/a.pdf"), ("p=1/_q=2/c.pdf", 14, b"p=1/_q=2/c.pdf")]
+    os.remove(os.path.join(tmp_root, "d/a.pdf"))
+    with pytest.raises(Exception, match="d/a.pdf"):
+        df.collect()
+
+
 def test_missing_root_raises(spark, tmp_root):
     import pytest
 
