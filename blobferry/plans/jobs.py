@@ -16,7 +16,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,18 +80,20 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
              suffix: str | None = K.OBJECT_SUFFIX,
              prefix: str | None = None, listing: DataFrame | None = None,
              ledgers: L.Ledgers | None = None,
-             tombstones: DataFrame | None = None, max_bytes: int | None = MAX_BODY_BYTES) -> RunReport:
+             tombstones: DataFrame | None = None, max_bytes: int | None = MAX_BODY_BYTES, above: int = 0) -> RunReport:
     """Load objects under ``root`` whose key is not in the registry yet.
 
     A key whose rows are all tombstoned (``tombstones``) counts as absent: an
     object that comes back is loaded again, as a new row with its own guid.
     Keys whose body could not be read are not inserted; with ``ledgers``
     their errors go to the status ledger (only those few keys are read
-    again to get the error text, so no body is read twice on success).
+    again to get the error text, so no body is read twice on success). Ids are given ``above``
+    a number that another writer of the same pass has reserved.
     """
     rep = RunReport(run_id=uuid.uuid4().hex)
     reg = R.create_if_absent(spark, registry_path)
     n_before, start = R.last_id(spark, registry_path, reg)
+    start = max(start, above)
     live = R.current_view(reg.select("id", "filename"), tombstones=tombstones)
     # The distributed listing: object names never pass through the driver
     # (Spark's file index would keep every file status there). It is staged
@@ -125,31 +127,68 @@ def load_new(spark: SparkSession, root: str, registry_path: str,
         again, _ = sync.checked_broadcast(materialize(
             again.join(keyed.select(F.col("key").alias("_again")), "_again", "left_semi"), "re-added"))
         bodies = bodies.join(again, F.col("key") == F.col("_again"), "left")
-        name = F.when(F.col("_again").isNull(), F.col("key")).otherwise(
-            F.concat_ws("#", "key", F.col("id").cast("string")))
-    rows = (bodies.where(F.col("ok") & K.non_empty_body("content"))
-            .select("id", K.derived_guid(name).alias("guid"), F.col("key").alias("filename"),
-                    F.col("content").alias("document"), F.lit(False).alias(K.FLAG_COLUMN)))
-    rows.write.mode("append").parquet(registry_path)
+        name = _own_name(F.col("_again").isNotNull())
+    _registry_rows(bodies, name).write.mode("append").parquet(registry_path)
     n_new = int(n_keys)
     inserted = R.read_registry(spark, registry_path).count() - n_before
     rep.counts = {"listed": n_listed, "existing_rows": n_before, "new": n_new,
                   "inserted": inserted, "failed": n_new - inserted}
     if ledgers is not None and n_new > inserted:
         loaded = spark.read.parquet(registry_path).where(F.col("id") > int(start)).select("id")
-        missing = sync.drop_keys(keyed.select("key", "id"), loaded, "id")
-        errors = read_bodies(missing, root, max_bytes=max_bytes).select(
-            "key", F.col("id").alias("src_id"), F.lit(None).cast("string").alias("guid"),
-            F.lit(None).cast("string").alias("policy_id"), "size",
-            F.lit(None).cast("string").alias("sha1"), F.lit(False).alias("ok"),
-            F.lit(False).alias("skipped"),
-            F.coalesce(F.col("error"), F.lit("empty body")).alias("error"),
-            F.lit(0.0).alias("elapsed_s"))
-        L.append_status(errors, ledgers.status, rep.run_id, L.next_run_no(spark, ledgers.status), L.LOAD_CTX)
+        _note_failures(keyed, loaded, root, max_bytes, ledgers, rep.run_id)
     rep.committed = True
     return rep
 
 
+def _own_name(again: Column) -> Column:
+    """What a row's guid derives from: its key, with the row id where the key was deleted before."""
+    return F.when(~again, F.col("key")).otherwise(F.concat_ws("#", "key", F.col("id").cast("string")))
+
+
+def _registry_rows(bodies: DataFrame, name: Column) -> DataFrame:
+    return (bodies.where(F.col("ok") & K.non_empty_body("content"))
+            .select("id", K.derived_guid(name).alias("guid"), F.col("key").alias("filename"),
+                    F.col("content").alias("document"), F.lit(False).alias(K.FLAG_COLUMN)))
+
+
+def _note_failures(keyed: DataFrame, loaded: DataFrame, root: str, max_bytes: int | None, ledgers: L.Ledgers, run_id: str) -> None:
+    """Status rows of the keys (``key, id``) that are not among the ``loaded`` ids; they are read again for the error."""
+    missing = sync.drop_keys(keyed.select("key", "id"), loaded, "id")
+    errors = read_bodies(missing, root, max_bytes=max_bytes).select(
+        "key", F.col("id").alias("src_id"), F.lit(None).cast("string").alias("guid"),
+        F.lit(None).cast("string").alias("policy_id"), "size",
+        F.lit(None).cast("string").alias("sha1"), F.lit(False).alias("ok"),
+        F.lit(False).alias("skipped"),
+        F.coalesce(F.col("error"), F.lit("empty body")).alias("error"),
+        F.lit(0.0).alias("elapsed_s"))
+    L.append_status(errors, ledgers.status, run_id, L.next_run_no(keyed.sparkSession, ledgers.status), L.LOAD_CTX)
+
+
+def insert_bodies(batch: DataFrame, pass_id: str, root: str, registry_path: str, first: int, per_task: int, n_tasks: int,
+                  ledgers: L.Ledgers | None = None, max_bytes: int | None = MAX_BODY_BYTES) -> tuple[int, int, int]:
+    """Append the bodies of a pass's planned rows (``key, id, again, pass_id``; a null id: nothing to insert).
+
+    Returns (inserted, failed, rows of other passes). One job, whatever the registry holds: the counts
+    are observed as the rows go by, and only failed reads are looked up, by their ids' range. A task takes
+    runs of ``per_task`` ids (counted from the pass's ``first``), so that a file holds a range of ids.
+    """
+    offered, written = Observation(), Observation()
+    mine = (F.col("pass_id") == pass_id) & F.col("id").isNotNull()
+    seen = batch.observe(offered, F.count_if(mine).alias("n"), F.count_if(F.col("pass_id") != pass_id).alias("n_old"),
+                         F.min(F.when(mine, F.col("id"))).alias("lo"), F.max(F.when(mine, F.col("id"))).alias("hi"))
+    run = F.expr(f"cast((id - {first}) div {per_task} % {n_tasks} as int)")
+    keyed = seen.where(mine).select("key", "id", "again").repartitionById(n_tasks, run)
+    rows = _registry_rows(read_bodies(keyed, root, max_bytes=max_bytes), _own_name(F.col("again")))
+    rows.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(registry_path)
+    facts, inserted = offered.get, written.get["n"]
+    failed = facts["n"] - inserted
+    if failed and ledgers is not None:
+        loaded = batch.sparkSession.read.schema(R.REGISTRY_SCHEMA).parquet(registry_path).where(
+            F.col("id").between(facts["lo"], facts["hi"])).select("id")
+        _note_failures(batch.where(mine), loaded, root, max_bytes, ledgers, uuid.uuid4().hex)
+    return inserted, failed, facts["n_old"]
+
+
 # ------------------------------------------------------------ export pending
 
 def export_keys(filename: Column, target_prefix: str = "", strip: str | None = None,

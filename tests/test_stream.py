@@ -112,3 +112,43 @@ def test_failed_reads_and_deleted_names_are_offered_again(spark, tmp_root):
     assert go()["inserted"] == 1
     assert live() == [("a.pdf", b"small"), ("b.pdf", b"x" * 50), ("c.pdf", b"again")]
     assert go()["inserted"] == 0
+
+
+def test_the_checkpoint_holds_steps_not_objects(spark, tmp_root):
+    """Objects are noted once in a table; the stream's own log on the driver has an entry per step."""
+    import glob
+
+    from blobferry.streaming.ingest import arrivals_path, stream_into_registry
+
+    root, reg, ckpt = (f"{tmp_root}/{x}" for x in ("in", "reg", "ckpt"))
+    for i in range(10):
+        _put(root, f"d{i % 3}/{i}.pdf", b"x" * (i + 1))
+    _put(root, "d0/.hidden.pdf", b"no")
+    _put(root, "d0/empty.pdf", b"")
+    out = stream_into_registry(spark, root, reg, ckpt, suffix=".pdf", max_files_per_trigger=4)
+    assert out == {"batches": 3, "inserted": 10, "failed": 0}
+    log = "".join(open(p).read() for p in glob.glob(f"{ckpt}/sources/0/[0-9]*"))
+    assert log.count('"path"') == 3 and "d0/" not in log
+    noted = {(r["key"], r["id"]) for r in spark.read.parquet(arrivals_path(ckpt)).collect()}
+    rows = {(r["filename"], r["id"]) for r in spark.read.parquet(reg).collect()}
+    assert noted == rows | {("d0/empty.pdf", None)} and sorted(i for _, i in rows) == list(range(1, 11))
+    again = stream_into_registry(spark, root, reg, ckpt, suffix=".pdf", max_files_per_trigger=4)
+    assert again["inserted"] == 0 and spark.read.parquet(reg).count() == 10
+
+
+def test_steps_of_a_stopped_pass_are_loaded_once(spark, tmp_root):
+    """A pass that noted its arrivals and inserted some of them before it stopped: the next one takes the rest, with ids of their own."""
+    from blobferry.plans import jobs
+    from blobferry.streaming import ingest
+
+    root, reg, ckpt = (f"{tmp_root}/{x}" for x in ("in", "reg", "ckpt"))
+    for name in ("a.pdf", "b.pdf", "c.pdf"):
+        _put(root, name, name.encode())
+    ingest._plan(spark, root, reg, ckpt, ".pdf", None, None, None, "stopped")
+    jobs.load_new(spark, root, reg, listing=spark.createDataFrame([("b.pdf", 5)], "key string, size long"))
+    _put(root, "d.pdf", b"d.pdf")
+    out = ingest.stream_into_registry(spark, root, reg, ckpt, suffix=".pdf")
+    assert (out["inserted"], out["failed"]) == (3, 0)
+    rows = [(r["id"], r["filename"], bytes(r["document"])) for r in spark.read.parquet(reg).collect()]
+    assert sorted(f for _, f, _ in rows) == ["a.pdf", "b.pdf", "c.pdf", "d.pdf"]
+    assert len({i for i, _, _ in rows}) == 4 and all(d == f.encode() for _, f, d in rows)
