@@ -11,12 +11,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blobferry.functions import keys as K
 from blobferry.session import materialize
 
 
+def rows_per_partition(df: DataFrame, part: str | Column) -> dict[int, int]:
+    """Rows by the partition number in ``part``: one small row per partition that holds any comes to the driver."""
+    return dict(df.groupBy(K._c(part).alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).collect())
+
+
 def global_index(df: DataFrame, order: Sequence[str], name: str = "idx",
                  num_partitions: int | None = None) -> DataFrame:
     """0-based position of each row in ascending ``order`` (which must be a
@@ -38,7 +44,7 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "idx",
     tagged = materialize(tagged, "index")
     # One count per partition: at most spark.sql.shuffle.partitions small rows,
     # so they may come to the driver and go back as a literal array of offsets.
-    counts = dict(tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    counts = rows_per_partition(tagged, "_pid")
     offsets, run = [], 0
     for pid in range(max(counts, default=-1) + 1):
         offsets.append(run)

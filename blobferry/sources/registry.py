@@ -16,6 +16,7 @@ from pyspark.sql.utils import AnalysisException
 
 from blobferry.functions import keys as K
 from blobferry.operators import sync
+from blobferry.operators.batching import rows_per_partition
 from blobferry.session import materialize
 
 # The registry's columns, as existing tables hold them.
@@ -71,7 +72,7 @@ def live_files(spark: SparkSession, path: str) -> list[str]:
     seen = read_table(spark, versions_path(path), VERSION_SCHEMA)
     if seen is None:
         return listed
-    runs = seen.select("old_file", "new_file").collect()  # one row per rewritten file
+    runs = list(seen.select("old_file", "new_file").toLocalIterator())  # one row per rewritten file
     # By base name, which holds a job's or a task's own random part: a path is spelled in several ways.
     out = {r["old_file"].rpartition("/")[2] for r in runs}
     return [f for f in [*listed, *(r["new_file"] for r in runs if r["new_file"])] if f.rpartition("/")[2] not in out]
@@ -144,7 +145,7 @@ def append(spark: SparkSession, path: str, rows: DataFrame, check: bool = True)
         part, at = F.shiftright("_mid", 33), F.col("_mid").bitwiseAND((1 << 33) - 1)
         blocks, start = [], last_id(spark, path, existing)[1] + 1
         # One row per task that staged something: a few bytes each, whatever the rows hold.
-        for p, size in sorted(keys.groupBy(part.alias("_part")).count().collect()):
+        for p, size in sorted(rows_per_partition(keys, part).items()):
             blocks.append((p, start))
             start += size
         block = F.broadcast(spark.createDataFrame(blocks, "_part long, _first long"))
