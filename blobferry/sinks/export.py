@@ -9,6 +9,7 @@ deterministic and writes replace the object, so a retried task is harmless.
 
 from __future__ import annotations
 
+import itertools
 import json
 import time
 import uuid
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from blobferry.functions import keys as K
 from blobferry.sources.metadata import open_meta
-from blobferry.sources.objectstore import check_name, open_fs
+from blobferry.sources.objectstore import WRITE_FOLDER, check_name, open_fs
 
 STATUS_SCHEMA = ("key string, src_id bigint, guid string, policy_id string, size bigint, "
                  "sha1 string, ok boolean, skipped boolean, error string, elapsed_s double")
@@ -31,21 +32,45 @@ STATUS_SCHEMA = ("key string, src_id bigint, guid string, policy_id string, size
 IO_THREADS = 8
 
 
-def _write_one(fs, base: str, key: str, body: bytes, local: bool) -> None:
-    target = f"{base}/{key}"
-    parent = target.rsplit("/", 1)[0]
-    if local:
-        fs.create_dir(parent, recursive=True)
-        # A hidden temporary name: if the executor is lost mid-write, the
-        # leftover is skipped by listings and never mistaken for an object.
-        tmp = f"{parent}/.{target.rsplit('/', 1)[1]}.{uuid.uuid4().hex}.part"
-        with fs.open_output_stream(tmp) as out:
-            out.write(body)
-        fs.move(tmp, target)  # rename: readers never see half a body
-    else:
-        with fs.open_output_stream(target) as out:  # one PUT: atomic on object stores
+class ObjectWriter:
+    """Puts bodies below a root, each whole or not at all; one writer for a task.
+
+    On a local disk a body is written in a folder that only this writer uses and
+    renamed to its key: tasks that put objects into one folder wait for each other
+    at the rename only. Listings leave such folders out, so what a lost executor leaves
+    is never mistaken for an object.
+    """
+
+    def __init__(self, root: str):
+        self.fs, self.base = open_fs(root)
+        self.local = "://" not in root or root.startswith("file:")
+        self.own = f"{self.base}/{WRITE_FOLDER}{uuid.uuid4().hex}"
+        self.number = itertools.count()
+        self.made = False
+
+    def _write(self, path: str, body: bytes) -> None:
+        with self.fs.open_output_stream(path) as out:
             out.write(body)
 
+    def put(self, key: str, body: bytes) -> None:
+        target = f"{self.base}/{key}"
+        if not self.local:
+            return self._write(target, body)  # one PUT: atomic on object stores
+        if not self.made:
+            self.fs.create_dir(self.own, recursive=True)
+            self.made = True
+        tmp = f"{self.own}/{next(self.number)}"
+        self._write(tmp, body)
+        try:
+            self.fs.move(tmp, target)  # rename: readers never see half a body
+        except FileNotFoundError:  # the first object of its folder
+            self.fs.create_dir(target.rpartition("/")[0], recursive=True)
+            self.fs.move(tmp, target)
+
+    def close(self) -> None:
+        if self.made:
+            self.fs.delete_dir(self.own)
+
 
 def export_bodies(df: DataFrame, root: str, key: str | Column = "key",
                   body: str | Column = "body", src_id: str | Column | None = None,
@@ -82,7 +107,7 @@ def export_bodies(df: DataFrame, root: str, key: str | Column = "key",
     local = "://" not in root or root.startswith("file:")
     io_threads = io_threads or (1 if local else IO_THREADS)
 
-    def _one(fs, base, at, k, b, sk, fl, meta):
+    def _one(writer, at, k, b, sk, fl, meta):
         """(ok, skipped, error, seconds) of one row."""
         if bool(sk):
             return True, True, None, 0.0
@@ -97,7 +122,7 @@ def export_bodies(df: DataFrame, root: str, key: str | Column = "key",
                 if meta is not None:
                     at.put(k, bytes(b), json.loads(meta))
                 else:
-                    _write_one(fs, base, k, bytes(b), local)
+                    writer.put(k, bytes(b))
             except Exception as ex:  # noqa: BLE001 - kept per key
                 e = f"{type(ex).__name__}: {ex}"
         return e is None, False, e, round(time.perf_counter() - t0, 2)
@@ -105,13 +130,13 @@ def export_bodies(df: DataFrame, root: str, key: str | Column = "key",
     def _export(batches):
         from concurrent.futures import ThreadPoolExecutor
 
-        fs, base = open_fs(root)
+        writer = ObjectWriter(root)
         at = open_meta(root) if keeps else None
         pool = ThreadPoolExecutor(max_workers=io_threads) if io_threads > 1 else None
         run = pool.map if pool else map  # one thread: a plain loop, no futures
         try:
             for pdf in batches:
-                res = list(run(lambda r: _one(fs, base, at, *r),
+                res = list(run(lambda r: _one(writer, at, *r),
                                zip(pdf["key"], pdf["_body"], pdf["_skip"], pdf["_fail"], pdf["_meta"])))
                 yield pd.DataFrame({
                     "key": pdf["key"], "src_id": pdf["src_id"], "guid": pdf["guid"],
@@ -121,6 +146,7 @@ def export_bodies(df: DataFrame, root: str, key: str | Column = "key",
         finally:
             if pool:
                 pool.shutdown()
+            writer.close()
 
     return plan.mapInPandas(_export, STATUS_SCHEMA.replace("src_id bigint", "src_id string")) \
         .withColumn("src_id", F.col("src_id").cast("bigint"))

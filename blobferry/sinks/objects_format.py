@@ -39,26 +39,28 @@ class _ObjectWriter(DataSourceWriter):  # type: ignore[misc]
         self.meta = [c.strip() for c in options.get("metadataColumns", "").split(",") if c.strip()]
 
     def write(self, iterator):
-        from blobferry.sinks.export import _write_one
+        from blobferry.sinks.export import ObjectWriter
         from blobferry.sources.metadata import open_meta
-        from blobferry.sources.objectstore import check_name, open_fs
+        from blobferry.sources.objectstore import check_name
 
         at = open_meta(self.root) if self.meta else None
-        fs, base = open_fs(self.root)
-        local = "://" not in self.root or self.root.startswith("file:")
+        writer = ObjectWriter(self.root)
         n = size = 0
-        for row in iterator:
-            key, body = row[self.key], row[self.body]
-            err = check_name(key) or (None if body is not None else "no body")
-            if err:
-                raise ValueError(f"object {key!r}: {err}")
-            data = bytes(body)
-            if at:
-                at.put(key, data, {c: str(row[c]) for c in self.meta if row[c] is not None})
-            else:
-                _write_one(fs, base, key, data, local)
-            n += 1
-            size += len(data)
+        try:
+            for row in iterator:
+                key, body = row[self.key], row[self.body]
+                err = check_name(key) or (None if body is not None else "no body")
+                if err:
+                    raise ValueError(f"object {key!r}: {err}")
+                data = bytes(body)
+                if at:
+                    at.put(key, data, {c: str(row[c]) for c in self.meta if row[c] is not None})
+                else:
+                    writer.put(key, data)
+                n += 1
+                size += len(data)
+        finally:
+            writer.close()
         return _Written(n, size)
 
     def commit(self, messages):

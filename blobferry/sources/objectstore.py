@@ -14,6 +14,13 @@ import os
 HADOOP_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 # Below a root: the metadata of its objects, where the store keeps none (blobferry.sources.metadata).
 META_FOLDER = ".blobferry-meta"
+# Below a root, each followed by an id: what a task is writing, until it is renamed to its key (blobferry.sinks.export).
+WRITE_FOLDER = ".blobferry-writing-"
+
+
+def is_reserved(name: str) -> bool:
+    """An entry of a root that is none of its objects."""
+    return name == META_FOLDER or name.startswith(WRITE_FOLDER)
 
 
 def open_fs(root: str):
@@ -48,6 +55,6 @@ def check_name(name) -> str | None:
         return "absolute name"  # the rule of functions.keys.is_safe_name; a colon alone is a legal key
     if ".." in name.split("/"):
         return "name climbs out of the root"
-    if name.split("/", 1)[0] == META_FOLDER:
+    if is_reserved(name.split("/", 1)[0]):
         return "reserved name"
     return None

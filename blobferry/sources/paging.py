@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blobferry.session import scratch_path
-from blobferry.sources.objectstore import HADOOP_SCHEMES, META_FOLDER, open_fs
+from blobferry.sources.objectstore import HADOOP_SCHEMES, is_reserved, open_fs
 
 PAGE = 1000  # keys of a page
 PAGES_PER_TASK = 16  # pages a task lists before it hands the rest on
@@ -56,14 +56,14 @@ class FolderStore:
 
     def entries(self, folder: str):
         """(key, size, microseconds of the last change, is a folder) of each entry. A folder that does not exist (any more) is empty.
-        The folder of metadata sidecars is none of the objects'."""
+        The folders of metadata sidecars and of writes under way are none of the objects'."""
         path = f"{self.base}/{folder}" if folder else self.base
         cut = len(self.base) + 1
         if self.local:  # entry by entry, whatever the folder's size
             try:
                 with os.scandir(path) as found:
                     for e in found:
-                        if not folder and e.name == META_FOLDER:
+                        if not folder and is_reserved(e.name):
                             continue
                         if e.is_dir():
                             yield f"{folder}/{e.name}" if folder else e.name, 0, 0, True
@@ -77,7 +77,7 @@ class FolderStore:
         from pyarrow import fs as pafs
 
         for e in self.fs.get_file_info(pafs.FileSelector(path, recursive=False, allow_not_found=bool(folder))):
-            if e.path[cut:] != META_FOLDER:
+            if folder or not is_reserved(e.path[cut:]):
                 yield e.path[cut:], e.size or 0, (e.mtime_ns or 0) // 1000, e.type == pafs.FileType.Directory
 
 
