@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from blobferry.session import materialize, scratch_path  # noqa: F401  (re-exported)
+from blobferry.session import discard, materialize, scratch_path  # noqa: F401  (re-exported)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:

@@ -105,7 +105,7 @@ class Encoder:
         new, old = self.new, self.old
         parts = [(p, old.get(p)) for p in miss]
         new.update((p, raw) for p, raw in parts if raw is not None)
-        parts = [(p, _MARKS.fullmatch(p)) for p, raw in parts if raw is None]
+        parts = [(p, None if p[-1:].isalnum() else _MARKS.fullmatch(p)) for p, raw in parts if raw is None]  # most end without marks
         marked = [(p, *m.groups()) for p, m in parts if m]
         whole = [p for p, m in parts if not m]
         words = {w for _, w, _ in marked}.difference(new, whole)

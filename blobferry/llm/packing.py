@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from blobferry.llm.common import binary_array, broadcast_if_small, materialize, tidy
+from blobferry.llm.common import binary_array, broadcast_if_small, discard, materialize, tidy
 from blobferry.llm.encoder import encoder, read_spec
 
 KEY_ROWS = 4096
@@ -44,7 +44,8 @@ PIECES = T.StructType([T.StructField(n, t) for n, t in (
     ("sequence_id", T.LongType()), ("offset", T.LongType()), ("ids", T.BinaryType()))])
 
 
-def encode_table(docs: DataFrame, tokenizer_path: str, end_id: int, id_col="doc_id", text_col="text") -> DataFrame:
+def encode_table(docs: DataFrame, tokenizer_path: str, end_id: int, id_col="doc_id", text_col="text",
+                 cached_pieces: int = CACHED_PIECES) -> DataFrame:
     """Written table ``(doc_id, ids, n)``: little-endian ids with ``end_id`` after each document."""
     import numpy as np
 
@@ -57,7 +58,7 @@ def encode_table(docs: DataFrame, tokenizer_path: str, end_id: int, id_col="doc_
         import pyarrow as pa
 
         enc = encoder(spec.value)
-        enc.keep = CACHED_PIECES
+        enc.keep = cached_pieces
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 rows = enc.encode(batch.column(1).slice(i, 512).to_pylist())
@@ -87,7 +88,7 @@ def term_counts(table: DataFrame, dtype: str):
         df = np.zeros(0, np.int64)
         for batch in batches:
             for raw in batch.column(0):
-                t = np.unique(np.frombuffer(raw.as_buffer(), dtype))
+                t, _ = distinct(np.frombuffer(raw.as_buffer(), dtype))
                 if t[-1] >= len(df):
                     df = np.r_[df, np.zeros(int(t[-1]) + 1 - len(df), np.int64)]
                 df[t] += 1
@@ -112,14 +113,23 @@ def idf_table(n: int, df: dict):
     return out
 
 
-def weights(ids, idf, mean: float):
-    """Distinct ids of a document that count in a query, and their BM25 weights."""
+def distinct(ids):
+    """Sorted distinct ids of a document and how often each occurs."""
     import numpy as np
 
-    t, tf = np.unique(ids, return_counts=True)
-    keep = idf[t] > 0
-    t, tf = t[keep], tf[keep]
-    return t, idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))
+    ids = np.sort(ids, kind="stable")  # a radix sort for ids of 16 bits
+    at = np.flatnonzero(ids[1:] != ids[:-1])
+    at = np.concatenate(([0], at + 1)) if len(ids) else at
+    return ids[at], np.diff(at, append=len(ids))
+
+
+def weights(ids, idf, mean: float):
+    """Distinct ids of a document that count in a query, and their BM25 weights."""
+    t, tf = distinct(ids)
+    by = idf[t]
+    keep = by > 0
+    t, tf, by = t[keep], tf[keep], by[keep]
+    return t, by * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))
 
 
 class Block:
@@ -139,7 +149,8 @@ class Block:
         t = np.concatenate(self.terms) if docs else np.zeros(0, np.int64)
         order = np.argsort(t, kind="stable")
         t = t[order].astype(np.int64)
-        self.doc, self.weight = np.concatenate(doc)[order], np.concatenate(w)[order]
+        # posting lists: weight and document as one number each, so that lists are put together once
+        self.postings = np.concatenate(w)[order] + 1j * np.concatenate(doc)[order]
         self.start = np.searchsorted(t, np.arange(len(idf) + 1))
 
     def scores(self, i: int):
@@ -149,9 +160,8 @@ class Block:
         t = self.terms[i].astype(np.int64)
         if not len(t):
             return np.zeros(self.n)
-        runs = list(zip(self.start[t].tolist(), self.start[t + 1].tolist()))
-        score = np.bincount(np.concatenate([self.doc[a:b] for a, b in runs]),
-                            np.concatenate([self.weight[a:b] for a, b in runs]), self.n)
+        found = np.concatenate([self.postings[a:b] for a, b in zip(self.start[t].tolist(), self.start[t + 1].tolist())])
+        score = np.bincount(found.imag.astype(np.intp), found.real, self.n)
         score[i] = 0
         return score
 
@@ -287,15 +297,15 @@ def _powers_of_two(pieces: list, seq: int) -> list:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int = 0, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+         text_col: str = "text", cached_pieces: int = CACHED_PIECES) -> DataFrame:
     """Pieces ``(doc_id, start, length, doc_tokens, sequence_id, offset, ids)``:
     ``ids`` are little-endian unsigned 32-bit integers, each id of each document
     in exactly one piece, offsets gapless within a sequence of at most ``window``
     ids. Null text is empty (one piece with the end id). Null and repeated ids
     and repeated rows are packed as rows of their own. An empty table gives no
-    piece. Other columns are not read.
+    piece. Other columns are not read. ``cached_pieces`` is memory of a task against time.
     """
-    table = encode_table(docs, tokenizer_path, end_id, id_col, text_col)
+    table = encode_table(docs, tokenizer_path, end_id, id_col, text_col, cached_pieces)
     dtype = id_dtype(read_spec(tokenizer_path), end_id)
     n, mean, df = term_counts(table, dtype)
     stats = docs.sparkSession.sparkContext.broadcast((idf_table(n, df), mean))  # bounded by the vocabulary
@@ -317,6 +327,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int =
 
     keyed = materialize(table.mapInArrow(tidy(heaviest), KEYED).withColumn("sig", F.xxhash64("ids"))
                         .withColumn("row", F.monotonically_increasing_id()), "keyed")
+    discard(table)  # ids are held once on disk
     shards = with_salts(keyed).repartition("term", "salt").sortWithinPartitions("term", "salt", "second", "third", "doc_id",
                                                                                "ids")
     return shards.select("doc_id", "ids").mapInArrow(

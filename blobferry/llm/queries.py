@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blobferry.llm import (decontaminate, fill_middle, language, lattice, line_dedup, merkle, packing, quality,
                            secrets, simhash, token_counts, token_files, warc)
+from blobferry.llm.encoder import CACHE_PIECES
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -39,7 +40,8 @@ def op4_token_files(spark, sf_dir):
 
 
 def op5_packing(spark, sf_dir):
-    rows = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), window=1024, end_id=0)
+    rows = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), window=1024, end_id=0,
+                        cached_pieces=CACHE_PIECES)
     return rows.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                        "offset")
 

@@ -107,7 +107,19 @@ def materialize(df, purpose: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables) -> None:
+    """Delete tables as :func:`materialize` returned them, which no frame still to be run reads:
+    what was made from them is written itself."""
+    from blobferry.sources.objectstore import open_fs
+
+    for table in tables:
+        fs, path = open_fs(table.written_to)
+        fs.delete_dir(path)
 
 
 def ship_to_executors(spark: SparkSession) -> str:

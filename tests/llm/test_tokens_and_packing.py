@@ -187,3 +187,24 @@ def test_bm25_ranking_equals_brute_force():
         got = index.ranked(i)
         assert len(got) == sum(x > 0 for x in s)
         assert np.allclose([s[j] for j in got], sorted((x for x in s if x > 0), reverse=True))
+
+
+def test_ids_lie_on_disk_once(spark, docs, tmp_path, monkeypatch):
+    """The encoded table goes once its rows are written with their terms; what the result reads stays."""
+    from blobferry import session
+
+    monkeypatch.setattr(session, "state_root", lambda spark: str(tmp_path))
+    out = packing.pack(docs, queries.tokenizer_path())
+    left = sorted(p.name.rpartition("-")[0] for p in (tmp_path / "scratch").iterdir())
+    assert "keyed" in left and "ids" not in left
+    assert out.count() > 0
+
+
+@pytest.mark.parametrize("dtype", ["<u2", "<u4"])
+def test_distinct_ids_and_their_counts(dtype):
+    rng = np.random.default_rng(7)
+    for ids in ([], [5], [5, 5], rng.integers(0, 50, 400), rng.integers(0, 60_000, 3000)):
+        ids = np.array(ids, dtype)
+        t, tf = packing.distinct(ids)
+        want = np.unique(ids, return_counts=True)
+        assert t.dtype == ids.dtype and t.tolist() == want[0].tolist() and tf.tolist() == want[1].tolist()
