@@ -24,7 +24,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from blobferry.llm.common import broadcast_if_small, broadcast_within, by_group, fresh_name, materialize, tidy
+from blobferry.llm.common import broadcast_if_small, broadcast_within, by_group, discard, fresh_name, materialize, tidy
 from blobferry.llm.components import components
 
 SHINGLE, SIMILARITY = 7, 0.8
@@ -96,27 +96,31 @@ class Codes:
 
     def similar_pairs(self, left, right):
         """Index pairs (one of ``left``, one of ``right``) that are similar, by an inverted index: shared shingles
-        are counted from the shingles that both sides hold, ``COLUMNS`` of them at a time."""
+        are counted from the shingles that both sides hold, ``COLUMNS`` of them at a time. With one object
+        for both sides, a line may miss from the pairs with itself."""
         import numpy as np
 
         def postings(rows):
             at = np.repeat(np.arange(len(rows)), [len(self.sets[i]) for i in rows])
             return np.concatenate([self.sets[i] for i in rows]), at
 
-        a, at_a = postings(left)
-        b, at_b = postings(right)
-        shared = np.intersect1d(a, b)
+        sides = [(*postings(rows), rows) for rows in ((left,) if right is left else (left, right))]
+        if right is left:  # a shingle of one line alone is shared with no other
+            codes, times = np.unique(sides[0][0], return_counts=True)
+            shared = codes[times > 1]
+        else:
+            shared = np.intersect1d(sides[0][0], sides[1][0])
         both = np.zeros((len(left), len(right)), np.int64)
         for lo in range(0, len(shared), COLUMNS):
             part = shared[lo:lo + COLUMNS]
             m = []
-            for codes, at, rows in ((a, at_a, left), (b, at_b, right)):
+            for codes, at, rows in sides:
                 col = np.searchsorted(part, codes).clip(max=len(part) - 1)
                 hit = part[col] == codes
                 x = np.zeros((len(rows), len(part)), np.float32)
                 x[at[hit], col[hit]] = 1
                 m.append(x)
-            both += np.rint(m[0] @ m[1].T).astype(np.int64)  # at most COLUMNS ones a sum: exact in single precision
+            both += np.rint(m[0] @ m[-1].T).astype(np.int64)  # at most COLUMNS ones a sum: exact in single precision
         na = np.array([len(self.sets[i]) for i in left])[:, None]
         nb = np.array([len(self.sets[i]) for i in right])[None, :]
         i, j = np.nonzero(both / (na + nb - both) >= SIMILARITY)
@@ -320,11 +324,13 @@ def line_components(docs: DataFrame, text_col: str = "text") -> DataFrame:
     across = chained.where("b is null").select("band", F.col("a").alias("b")) \
         .withColumn("a", F.lag("b").over(Window.partitionBy("band").orderBy("b"))).where("a != b").select("a", "b")
     cand = materialize(chained.where("b is not null").select("a", "b").unionAll(across).distinct(), "candidates")
+    discard(chained)
     lids = materialize(cand.select(F.col("a").alias("lid")).unionAll(cand.select("b")).distinct(), "candidate-lines")
     texts = _with_texts(docs, text_col, lids)
     x, y = texts.toDF("a", "x"), texts.toDF("b", "y")
     tested = materialize(cand.join(x, "a").join(y, "b").select("a", "b", "x", "y")
                          .mapInArrow(tidy(_verify), "a long, b long, same boolean"), "tested")
+    discard(cand, lids, texts)
     links = tested.where("same").select("a", "b")
     comp = materialize(components(links), "line-components")
 
@@ -342,6 +348,7 @@ def line_components(docs: DataFrame, text_col: str = "text") -> DataFrame:
         .join(broadcast_if_small(broken, MAX_BROADCAST), "band", "left_semi").distinct()
     members = materialize(members.join(comp.toDF("lid", "root"), "lid", "left")
                           .select("band", "lid", F.coalesce("root", "lid").alias("root")), "members")
+    discard(signed)
     crowd = materialize(members.groupBy("band").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("r0"),
                                                     F.max("root").alias("r1"))
                         .where("m > 2 and r0 != r1").select("band", "m"), "crowds")  # of two, the pair was tested
@@ -352,9 +359,11 @@ def line_components(docs: DataFrame, text_col: str = "text") -> DataFrame:
     grid = materialize(grid, "grid")
     wanted = materialize(grid.select("lid").distinct(), "grid-lines")
     group = ["band", "p", "q"]
-    more = grid.join(_with_texts(docs, text_col, wanted), "lid").repartition(*group) \
+    texts = _with_texts(docs, text_col, wanted)
+    more = grid.join(texts, "lid").repartition(*group) \
         .sortWithinPartitions(*group, "lid").mapInArrow(tidy(_compare), "a long, b long")
     more = materialize(more, "more-links")
+    discard(members, grid, wanted, texts)
     return comp if more.isEmpty() else components(links.unionAll(more))
 
 
@@ -377,12 +386,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .select("rid", "pos", F.coalesce("root", "lid").alias("line"), F.col("doc_id").isNull().alias("no_id"), "doc_id")
     place = F.struct("no_id", "doc_id", "rid", "pos")
     named = materialize(named, "named-lines")
-    first = materialize(named.groupBy("line").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                        .where("first != last").select("line", "first.rid", "first.pos"), "first-lines")
-    first = first.select("line", F.col("rid").alias("rid0"), F.col("pos").alias("pos0"))
+    discard(occurs)
+    written = materialize(named.groupBy("line").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                          .where("first != last").select("line", "first.rid", "first.pos"), "first-lines")
+    first = written.select("line", F.col("rid").alias("rid0"), F.col("pos").alias("pos0"))
     drop = named.join(first, "line").where("rid != rid0 or pos != pos0").groupBy("rid") \
         .agg(F.collect_set("pos").alias("gone"))
     drop = materialize(drop, "dropped-lines")
+    discard(named, written)
     gone, key, total, lost = (fresh_name(docs.columns, n) for n in ("gone", "rid", "n_lines", "n_dropped"))
     out = docs.withColumn(key, rid).join(
         broadcast_within(drop.select(F.col("rid").alias(key), F.col("gone").alias(gone))), key, "left")

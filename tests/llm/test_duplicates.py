@@ -258,3 +258,26 @@ def test_no_query_limits_its_tables():
 
     assert ".limit(" not in inspect.getsource(queries) and "sample(" not in inspect.getsource(queries)
     assert F is not None
+
+
+def test_line_dedup_drops_the_tables_it_has_read(spark, tmp_path, monkeypatch):
+    from blobferry import session
+
+    monkeypatch.setattr(session, "state_root", lambda spark: str(tmp_path))
+    lines = [f"the {k}th line of a text, long enough to have many shingles" for k in range(40)]
+    docs = spark.createDataFrame([(i, "\n".join(lines[i:i + 5])) for i in range(30)], "doc_id long, text string")
+    out = line_dedup.dedup_lines(docs)
+    left = {p.name.rpartition("-")[0] for p in (tmp_path / "scratch").iterdir()}
+    assert "dropped-lines" in left and not left & {"signatures", "chains", "occurrences", "named-lines", "lines"}
+    assert out.count() == 30
+
+
+def test_pairs_of_one_block_are_those_of_plain_python():
+    rng = np.random.default_rng(11)
+    base = ["".join(rng.choice(list("abcdef "), 60)) for _ in range(12)]
+    lines = [b[:k] + "x" + b[k + 1:] for b in base for k in (0, 59)] + ["only here and nowhere else at all"]
+    codes, own = line_dedup.Codes(lines), np.arange(len(lines))
+    i, j = codes.similar_pairs(own, own)
+    sets = [line_dedup.shingles(x) for x in lines]
+    want = {(a, b) for a in own for b in own if a != b and line_dedup.similar(sets[a], sets[b])}
+    assert want and {(a, b) for a, b in zip(i.tolist(), j.tolist()) if a != b} == want
