@@ -26,12 +26,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from blobferry.llm.common import binary_array, broadcast_if_small, discard, materialize, tidy
-from blobferry.llm.encoder import encoder, read_spec
+from blobferry.llm.encoder import encoder, forget, read_spec
 
 KEY_ROWS = 4096
 BLOCK_TOKENS = 2_000_000
 CACHED_PIECES = 150_000  # of the encoder in a task, twice: this operator runs beside what earlier stages left in memory
 BLOCK_DOCS = 1024
+ROWS_AT_ONCE = 512   # documents whose terms are sorted at once
+DENSE_CELLS = 6_000_000  # of a block's table of shared terms and documents (48 MB); above it, posting lists
 MAX_BROADCAST = 500_000  # large keys joined by broadcast up to this count, else shuffled
 K1, B = 1.2, 0.75
 
@@ -60,15 +62,14 @@ def encode_table(docs: DataFrame, tokenizer_path: str, end_id: int, id_col="doc_
         enc = encoder(spec.value)
         enc.keep = cached_pieces
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                rows = enc.encode(batch.column(1).slice(i, 512).to_pylist())
+            for i in range(0, batch.num_rows, 2048):
+                rows = enc.encode(batch.column(1).slice(i, 2048).to_pylist())
                 if enc.dtype != dtype:
                     rows = [np.frombuffer(r, enc.dtype).astype(dtype).tobytes() for r in rows]
                 n = np.array([len(r) for r in rows], np.int64) + len(end)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, 512), binary_array(end.join(rows) + end, n),
+                    [batch.column(0).slice(i, 2048), binary_array(end.join(rows) + end, n),
                      pa.array(n // len(end))], names=IDS.names)
-        enc.forget()  # its pieces would stay in the reused worker through all later stages
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return materialize(rows.mapInArrow(tidy(run), IDS), "ids")
@@ -85,13 +86,15 @@ def term_counts(table: DataFrame, dtype: str):
         import numpy as np
         import pyarrow as pa
 
+        forget()  # the pieces served this worker's encoding tasks and would stay through all later stages
         df = np.zeros(0, np.int64)
         for batch in batches:
-            for raw in batch.column(0):
-                t, _ = distinct(np.frombuffer(raw.as_buffer(), dtype))
-                if t[-1] >= len(df):
-                    df = np.r_[df, np.zeros(int(t[-1]) + 1 - len(df), np.int64)]
-                df[t] += 1
+            for i in range(0, batch.num_rows, ROWS_AT_ONCE):
+                n = np.bincount(distinct_rows([np.frombuffer(raw.as_buffer(), dtype)
+                                               for raw in batch.column(0).slice(i, ROWS_AT_ONCE)])[0])
+                if len(n) > len(df):
+                    df, n = n, df
+                df[:len(n)] += n
         t = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(t.astype(np.int32)), pa.array(df[t])], names=["term", "df"])
 
@@ -113,23 +116,56 @@ def idf_table(n: int, df: dict):
     return out
 
 
+def distinct_rows(rows: list):
+    """Of many documents at once: their sorted distinct ids, how often each occurs, and the row of each."""
+    import numpy as np
+
+    ids = np.concatenate(rows)
+    kind, shift = (np.uint32, 16) if ids.dtype.itemsize == 2 and len(rows) <= 1 << 16 else (np.uint64, 32)
+    key = np.repeat(np.arange(len(rows), dtype=kind) << kind(shift), [len(r) for r in rows]) | ids
+    key.sort()
+    at = np.flatnonzero(key[1:] != key[:-1])
+    at = np.concatenate(([0], at + 1)) if len(key) else at
+    tf = np.diff(at, append=len(key))
+    key = key[at]
+    return (key & kind((1 << shift) - 1)).astype(ids.dtype), tf, (key >> kind(shift)).astype(np.intp)
+
+
 def distinct(ids):
     """Sorted distinct ids of a document and how often each occurs."""
-    import numpy as np
+    return distinct_rows([ids])[:2]
 
-    ids = np.sort(ids, kind="stable")  # a radix sort for ids of 16 bits
-    at = np.flatnonzero(ids[1:] != ids[:-1])
-    at = np.concatenate(([0], at + 1)) if len(ids) else at
-    return ids[at], np.diff(at, append=len(ids))
 
+def weights(rows: list, idf, mean: float):
+    """Distinct ids of each document that count in a query, their BM25 weights, and the row of each."""
+    import numpy as np
 
-def weights(ids, idf, mean: float):
-    """Distinct ids of a document that count in a query, and their BM25 weights."""
-    t, tf = distinct(ids)
+    t, tf, row = distinct_rows(rows)
     by = idf[t]
     keep = by > 0
-    t, tf, by = t[keep], tf[keep], by[keep]
-    return t, by * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))
+    t, tf, row, by = t[keep], tf[keep], row[keep], by[keep]
+    n = np.array([len(r) for r in rows], np.int64)[row]
+    return t, by * tf * (K1 + 1) / (tf + K1 * (1 - B + B * n / mean)), row
+
+
+def top_terms(rows: list, idf, mean: float):
+    """The heaviest terms of each document, one column each document and -1 where it has no more; of ties the smallest id."""
+    import numpy as np
+
+    top = np.full((len(TOP), len(rows)), -1, np.int32)
+    t, w, row = weights(rows, idf, mean)
+    for k in range(len(TOP)):
+        if not len(t):
+            break
+        start = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        most = np.maximum.reduceat(w, start)
+        at = np.flatnonzero(w == np.repeat(most, np.diff(start, append=len(w))))
+        at = at[np.r_[True, row[at][1:] != row[at][:-1]]]
+        top[k, row[at]] = t[at]
+        left = np.ones(len(t), bool)
+        left[at] = False
+        t, w, row = t[left], w[left], row[left]
+    return top
 
 
 class Block:
@@ -139,29 +175,36 @@ class Block:
         import numpy as np
 
         self.n, self.idf = len(docs), idf
-        self.terms = []
-        w, doc = [], []
-        for i, ids in enumerate(docs):
-            t, x = weights(ids, idf, mean)
-            self.terms.append(t)
-            w.append(x)
-            doc.append(np.full(len(t), i, np.intp))
-        t = np.concatenate(self.terms) if docs else np.zeros(0, np.int64)
+        t, w, doc = weights(docs, idf, mean) if docs else (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.intp))
+        self.terms = np.split(t, np.searchsorted(doc, np.arange(1, self.n))) if docs else []
         order = np.argsort(t, kind="stable")
-        t = t[order].astype(np.int64)
-        # posting lists: weight and document as one number each, so that lists are put together once
-        self.postings = np.concatenate(w)[order] + 1j * np.concatenate(doc)[order]
+        t, w, doc = t[order].astype(np.int64), w[order], doc[order]
         self.start = np.searchsorted(t, np.arange(len(idf) + 1))
+        shared = np.flatnonzero(np.diff(self.start) > 1)  # a term of one document links it with no other
+        self.row = None
+        if len(shared) * self.n <= DENSE_CELLS:
+            self.row = np.full(len(idf), -1, np.intp)
+            self.row[shared] = np.arange(len(shared))
+            own = self.row[t] >= 0
+            self.dense = np.zeros((len(shared), self.n))
+            self.dense[self.row[t[own]], doc[own]] = w[own]
+        else:  # posting lists: weight and document as one number each, so that lists are put together once
+            self.postings = w + 1j * doc
 
     def scores(self, i: int):
-        """Score of each document of the block as a neighbour of ``i``; 0 without a shared term, and for ``i``."""
+        """Score of each document of the block as a neighbour of ``i``; 0 without a shared term, and for ``i``.
+        Terms are added in ascending order either way, so both ways give the same sums."""
         import numpy as np
 
         t = self.terms[i].astype(np.int64)
         if not len(t):
             return np.zeros(self.n)
-        found = np.concatenate([self.postings[a:b] for a, b in zip(self.start[t].tolist(), self.start[t + 1].tolist())])
-        score = np.bincount(found.imag.astype(np.intp), found.real, self.n)
+        if self.row is not None:
+            r = self.row[t]
+            score = np.add.reduce(self.dense[r[r >= 0]], axis=0)
+        else:
+            found = np.concatenate([self.postings[a:b] for a, b in zip(self.start[t].tolist(), self.start[t + 1].tolist())])
+            score = np.bincount(found.imag.astype(np.intp), found.real, self.n)
         score[i] = 0
         return score
 
@@ -316,13 +359,9 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int =
 
         idf, mean = stats.value
         for batch in batches:
-            top = np.full((len(TOP), batch.num_rows), -1, np.int32)
-            for r, raw in enumerate(batch.column(1)):
-                t, w = weights(np.frombuffer(raw.as_buffer(), dtype), idf, mean)
-                for k in range(min(len(TOP), len(t))):
-                    i = int(w.argmax())  # of ties the smallest token id
-                    top[k, r] = t[i]
-                    w[i] = -1
+            top = np.concatenate([np.zeros((len(TOP), 0), np.int32)] + [
+                top_terms([np.frombuffer(raw.as_buffer(), dtype) for raw in batch.column(1).slice(i, ROWS_AT_ONCE)], idf, mean)
+                for i in range(0, batch.num_rows, ROWS_AT_ONCE)], axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, top)], names=KEYED.names)
 
     keyed = materialize(table.mapInArrow(tidy(heaviest), KEYED).withColumn("sig", F.xxhash64("ids"))

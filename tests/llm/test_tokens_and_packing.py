@@ -208,3 +208,76 @@ def test_distinct_ids_and_their_counts(dtype):
         t, tf = packing.distinct(ids)
         want = np.unique(ids, return_counts=True)
         assert t.dtype == ids.dtype and t.tolist() == want[0].tolist() and tf.tolist() == want[1].tolist()
+
+@pytest.fixture()
+def own_encoder():
+    from blobferry.llm import encoder
+
+    return encoder.Encoder(encoder.read_spec(queries.tokenizer_path()))
+
+
+def test_a_chunk_looks_each_distinct_piece_up_once(own_encoder, tok):
+    """Texts are cut and their pieces numbered by Arrow, not looked up one by one."""
+    class Counted(dict):
+        looks = 0
+
+        def get(self, *a):
+            Counted.looks += 1
+            return dict.get(self, *a)
+
+    own_encoder.new = Counted()
+    texts = ["the cat and the hat\nand the cat, " * 400 + "x"] * 8
+    assert own_encoder.encode(texts) == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert 0 < Counted.looks < 40
+
+
+@pytest.mark.parametrize("chunk", [1, 90, 4 << 20])
+def test_pieces_of_odd_texts_in_chunks(own_encoder, tok, chunk, monkeypatch):
+    from blobferry.llm import encoder
+
+    monkeypatch.setattr(encoder, "CHUNK_CHARS", chunk)
+    own_encoder.keep = 200  # pieces move from one generation to the other
+    rng = np.random.default_rng(5)
+    letters = [*"ab  \n\t\0.,'!é_ü—’ñ中\r\v19Z\x1c\x85", "　", " ", " ", "<|endoftext|>", " the", "\n| ", "..."]
+    texts = ["".join(rng.choice(letters, int(n))) for n in rng.integers(0, 40, 3000)] + ["", "\0", " ", "\n", "<|endoftext|>"]
+    want = [np.array(tok.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    for _ in range(2):
+        assert own_encoder.encode([None, *texts, None]) == [b"", *want, b""]
+
+
+def test_pieces_serve_all_tasks_of_a_stage_and_then_go():
+    """A worker's later encoding tasks find the pieces of its earlier ones; the stage after drops them."""
+    import inspect
+
+    from blobferry.llm import encoder
+
+    enc = encoder.encoder(encoder.read_spec(queries.tokenizer_path()))
+    enc.encode(["the cat"])
+    assert enc.new
+    encoder.forget()
+    assert not enc.new and not enc.old and not encoder._ENCODERS
+    assert "forget()" not in inspect.getsource(packing.encode_table) and "forget()" in inspect.getsource(packing.term_counts)
+
+
+def test_terms_of_many_documents_equal_those_of_one(monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = [rng.zipf(1.3, int(n)).clip(0, 300).astype("<u2") for n in rng.integers(1, 90, 120)]
+    rows += [rows[3], rows[3], np.array([0], "<u2"), rows[4].astype("<u2")]
+    df = {}
+    for r in rows:
+        for x in set(r.tolist()):
+            df[x] = df.get(x, 0) + 1
+    idf, mean = packing.idf_table(len(rows), df), np.mean([len(r) for r in rows])
+    top = packing.top_terms(rows, idf, mean)
+    t, w, at = packing.weights(rows, idf, mean)
+    for i, r in enumerate(rows):
+        one, x, _ = packing.weights([r], idf, mean)
+        assert one.tolist() == t[at == i].tolist() and x.tolist() == w[at == i].tolist()
+        best = [int(one[k]) for k in np.argsort(-x, kind="stable")[:3]]
+        assert top[:, i].tolist() == best + [-1] * (3 - len(best))
+    table = packing.Block(rows, idf, mean)
+    monkeypatch.setattr(packing, "DENSE_CELLS", -1)
+    lists = packing.Block(rows, idf, mean)
+    assert table.row is not None and lists.row is None
+    for i in range(len(rows)):
+        assert table.scores(i).tolist() == lists.scores(i).tolist()
