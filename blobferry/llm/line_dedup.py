@@ -22,7 +22,7 @@ share it with probability n^2 / 2^65, about one pair in 10^9.7 lines.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from blobferry.llm.common import broadcast_if_small, broadcast_within, by_group, discard, fresh_name, materialize, tidy
 from blobferry.llm.components import components
@@ -30,6 +30,7 @@ from blobferry.llm.components import components
 SHINGLE, SIMILARITY = 7, 0.8
 BANDS, ROWS = 10, 4
 CROWD = 256          # lines of a broken band compared by one task
+CHAIN_LINES = 100_000  # lines of a task whose bands are chained at once
 COLUMNS = 4096       # shingles of an inverted index counted at a time
 CHUNK_CHARS = 1 << 18
 MAX_BROADCAST = 2_000_000  # ids of 8 bytes; beyond it the join is shuffled
@@ -211,54 +212,73 @@ def _occurrences(batches):
     import pyarrow as pa
 
     for batch in batches:
-        rid, doc, pos, lid = [], [], [], []
-        for r, d, t in zip(*(c.to_pylist() for c in batch.columns)):
-            for i, x in split_lines(t):
-                rid.append(r)
-                doc.append(d)
-                pos.append(i)
-                lid.append(line_id(x))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rid, pa.int64()), pa.array(doc, pa.int64()), pa.array(pos, pa.int32()),
-             pa.array(lid, pa.int64())], names=["rid", "doc_id", "pos", "lid"])
+        for k in range(0, batch.num_rows, 512):
+            rid, doc, pos, lid = [], [], [], []
+            for r, d, t in zip(*(c.to_pylist() for c in batch.slice(k, 512).columns)):
+                for i, x in split_lines(t):
+                    rid.append(r)
+                    doc.append(d)
+                    pos.append(i)
+                    lid.append(line_id(x))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rid, pa.int64()), pa.array(doc, pa.int64()), pa.array(pos, pa.int32()),
+                 pa.array(lid, pa.int64())], names=["rid", "doc_id", "pos", "lid"])
 
 
 def _texts(batches):
     import pyarrow as pa
 
     for batch in batches:
-        seen: dict = {}
-        for t in batch.column(0).to_pylist():
-            for _, x in split_lines(t):
-                seen[x] = None
-        lines = list(seen)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([line_id(x) for x in lines], pa.int64()), pa.array(lines, pa.string())], names=["lid", "line"])
+        for i in range(0, batch.num_rows, 512):
+            lines = list({x: None for t in batch.column(0).slice(i, 512).to_pylist() for _, x in split_lines(t)})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([line_id(x) for x in lines], pa.int64()), pa.array(lines, pa.string())], names=["lid", "line"])
 
 
 def _chains(batches):
-    """Within a task's batch, link the lines of a band in a chain; the least goes on to the shuffle (b null)."""
+    """Within ``CHAIN_LINES`` lines of a task, link the lines of a band in a chain; the least goes on to the shuffle (b null)."""
     import numpy as np
     import pyarrow as pa
 
-    for batch in batches:
-        bands = batch.column(1)
-        n = len(bands)
-        if not n:
-            continue
-        key = bands.flatten().to_numpy()
-        lid = np.repeat(batch.column(0).to_numpy(), BANDS)
+    def chain(lids, keys):
+        key, lid = np.concatenate(keys), np.repeat(np.concatenate(lids), BANDS)
         order = np.lexsort((lid, key))
         key, lid = key[order], lid[order]
         first = np.r_[True, key[1:] != key[:-1]]
         link = ~first & np.r_[False, lid[1:] != lid[:-1]]
         pairs = np.unique(np.stack([lid[np.flatnonzero(link) - 1], lid[link]], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(np.r_[key[first], np.zeros(len(pairs), np.int64)]), pa.array(np.r_[lid[first], pairs[:, 0]]),
              pa.array(np.r_[np.zeros(first.sum(), np.int64), pairs[:, 1]],
                       mask=np.r_[np.ones(first.sum(), bool), np.zeros(len(pairs), bool)])],
             names=["band", "a", "b"])
 
+    lids, keys, n = [], [], 0
+    for batch in batches:
+        lids.append(batch.column(0).to_numpy())
+        keys.append(batch.column(1).flatten().to_numpy())
+        n += batch.num_rows
+        if n >= CHAIN_LINES:
+            yield chain(lids, keys)
+            lids, keys, n = [], [], 0
+    if n:
+        yield chain(lids, keys)
+
+
+def _across(batches):
+    """From ``(band, b)`` sorted by band, link lines of a band that follow each other: its chain, tasks' least lines in any order."""
+    import numpy as np
+    import pyarrow as pa
+
+    last = np.zeros((2, 0), np.int64)
+    for batch in batches:
+        both = np.concatenate([last, np.stack([c.to_numpy() for c in batch.columns])], axis=1)
+        last = both[:, -1:]
+        link = (both[0, 1:] == both[0, :-1]) & (both[1, 1:] != both[1, :-1])
+        x, y = both[1, :-1][link], both[1, 1:][link]
+        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
 
 def _verify(batches):
     import pyarrow as pa
@@ -321,8 +341,8 @@ def line_components(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(node, root)`` over line ids: lines similar to another distinct line, and their component."""
     signed = materialize(docs.select(text_col).mapInArrow(tidy(_sign), SIGNED), "signatures")
     chained = materialize(signed.mapInArrow(tidy(_chains), "band long, a long, b long"), "chains")
-    across = chained.where("b is null").select("band", F.col("a").alias("b")) \
-        .withColumn("a", F.lag("b").over(Window.partitionBy("band").orderBy("b"))).where("a != b").select("a", "b")
+    across = chained.where("b is null").select("band", F.col("a").alias("b")).repartition("band") \
+        .sortWithinPartitions("band").mapInArrow(tidy(_across), "a long, b long")
     cand = materialize(chained.where("b is not null").select("a", "b").unionAll(across).distinct(), "candidates")
     discard(chained)
     lids = materialize(cand.select(F.col("a").alias("lid")).unionAll(cand.select("b")).distinct(), "candidate-lines")
@@ -330,7 +350,7 @@ def line_components(docs: DataFrame, text_col: str = "text") -> DataFrame:
     x, y = texts.toDF("a", "x"), texts.toDF("b", "y")
     tested = materialize(cand.join(x, "a").join(y, "b").select("a", "b", "x", "y")
                          .mapInArrow(tidy(_verify), "a long, b long, same boolean"), "tested")
-    discard(cand, lids, texts)
+    discard(cand, lids)
     links = tested.where("same").select("a", "b")
     comp = materialize(components(links), "line-components")
 
@@ -357,13 +377,11 @@ def line_components(docs: DataFrame, text_col: str = "text") -> DataFrame:
         .withColumn("o", F.explode(F.sequence(F.lit(0), n_blk - 1))) \
         .select("band", "lid", "root", "blk", F.least("blk", "o").alias("p"), F.greatest("blk", "o").alias("q"))
     grid = materialize(grid, "grid")
-    wanted = materialize(grid.select("lid").distinct(), "grid-lines")
-    group = ["band", "p", "q"]
-    texts = _with_texts(docs, text_col, wanted)
+    group = ["band", "p", "q"]  # a line that shares a band was a candidate, so its text is at hand
     more = grid.join(texts, "lid").repartition(*group) \
         .sortWithinPartitions(*group, "lid").mapInArrow(tidy(_compare), "a long, b long")
     more = materialize(more, "more-links")
-    discard(members, grid, wanted, texts)
+    discard(members, grid, texts)
     return comp if more.isEmpty() else components(links.unionAll(more))
 
 

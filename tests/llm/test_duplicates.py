@@ -281,3 +281,53 @@ def test_pairs_of_one_block_are_those_of_plain_python():
     sets = [line_dedup.shingles(x) for x in lines]
     want = {(a, b) for a in own for b in own if a != b and line_dedup.similar(sets[a], sets[b])}
     assert want and {(a, b) for a, b in zip(i.tolist(), j.tolist()) if a != b} == want
+
+
+def test_chains_of_a_task_and_across_tasks_link_every_line_of_a_band(monkeypatch):
+    """Lines that share a band are linked whatever the batches; the least of a band goes on once for all batches of a chain."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    lid = rng.integers(0, 60, 300)
+    keys = rng.integers(1, 25, (60, line_dedup.BANDS))[lid]
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(lid[rows]), pa.array(keys[rows].tolist(), pa.list_(pa.int64()))],
+                                          names=["lid", "bands"])
+
+    def groups(n_lines):
+        monkeypatch.setattr(line_dedup, "CHAIN_LINES", n_lines)
+        tasks = [pa.Table.from_batches(line_dedup._chains(iter([batch(slice(k, k + 10)) for k in range(lo, lo + 100, 10)])))
+                 for lo in (0, 100, 200)]
+        t = pa.concat_tables(tasks)
+        link = [(a, b) for a, b in zip(t["a"].to_pylist(), t["b"].to_pylist()) if b is not None]
+        firsts = sorted((k, a) for k, a, b in zip(*(t[c].to_pylist() for c in ("band", "a", "b"))) if b is None)
+        cut = [pa.RecordBatch.from_arrays([pa.array([x[0] for x in firsts[k:k + 7]]), pa.array([x[1] for x in firsts[k:k + 7]])],
+                                          names=["band", "b"]) for k in range(0, len(firsts), 7)]
+        for p in line_dedup._across(iter(cut)):
+            link += zip(p["a"].to_pylist(), p["b"].to_pylist())
+        return len(firsts), link
+
+    few, whole = groups(1000)
+    many, split = groups(10)
+    assert few < many
+    for link in (whole, split):
+        up = list(range(60))
+        for a, b in link:
+            assert a != b and set(keys[lid.tolist().index(a)]) & set(keys[lid.tolist().index(b)])
+            up = [up[b] if x == up[a] else x for x in up]
+        linked = {x for pair in link for x in pair}
+        for k in range(1, 25):  # every line of a band is a candidate, and the band is in one piece
+            rows = {int(x) for x, y in zip(lid, keys) if k in y}
+            assert len(rows) < 2 or (rows <= linked and len({up[x] for x in rows}) == 1)
+
+
+def test_line_texts_are_read_once(spark, monkeypatch):
+    """Lines compared in broken bands are candidates already: no second pass over the documents."""
+    calls = []
+    whole = line_dedup._with_texts
+    monkeypatch.setattr(line_dedup, "_with_texts", lambda *a: calls.append(1) or whole(*a))
+    base = "abcdefghijklmnopqrstuvwxyz0123456789" * 3
+    docs = spark.createDataFrame([(i, base[:100 - 5 * i] + str(i) * 5 * i) for i in range(20)], "doc_id long, text string")
+    line_dedup.dedup_lines(docs).count()
+    assert len(calls) == 1
