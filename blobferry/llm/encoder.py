@@ -84,10 +84,11 @@ class Encoder:
         if not self.by_piece:
             return self.ids([t or "" for t in texts])
         out: list[bytes] = []
+        most = min(CHUNK_CHARS, 6 * self.keep)  # a small cache is asked for to save memory
         i = 0
         while i < len(texts):
             part, size = [], 0
-            while i < len(texts) and (not part or size < CHUNK_CHARS):  # a long text is one entry: a chunk stays near its texts' size
+            while i < len(texts) and (not part or size < most):  # a long text is one entry: a chunk stays near its texts' size
                 part.append(texts[i] or "")
                 size += len(part[-1])
                 i += 1

@@ -121,3 +121,18 @@ def test_run_chains_all_stages(spark, stages):
     key = lambda df: collections.Counter((r["doc_id"], r["start"], r["length"]) for r in df.collect())
     total = lambda df: sum(r["length"] for r in df.collect())
     assert total(got) == total(stages["packing"]) and key(got)
+
+
+def test_stages_bound_their_batches_in_any_session(spark):
+    """A session that keeps Spark's 10,000 rows a batch gets the bound; a smaller one stays."""
+    import corpus_pipeline
+
+    key, old = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for had, want in (("10000", "1024"), ("0", "1024"), ("100", "100")):
+            spark.conf.set(key, had)
+            seen = []
+            corpus_pipeline._in_small_batches(lambda s, d, p: seen.append(s.conf.get(key)))(spark, None, "")
+            assert seen == [want]
+    finally:
+        spark.conf.set(key, old)
