@@ -45,6 +45,18 @@ HITS = T.StructType([
     T.StructField("near_items", T.ArrayType(T.LongType()))])
 
 
+def _ids(docs: DataFrame, id_col: str):
+    """Ids are whole numbers, or binary values, which stay as they are."""
+    binary = isinstance(docs.select(id_col).schema[0].dataType, T.BinaryType)
+    return (F.col(id_col) if binary else F.col(id_col).cast("long")).alias("doc_id")
+
+
+def _with_ids(schema: T.StructType, ids: T.DataType) -> T.StructType:
+    """``schema`` with ``doc_id``, or its items, of the type ``ids``."""
+    return T.StructType([T.StructField(f.name, f.dataType if f.name != "doc_id" else
+                                       T.ArrayType(ids) if isinstance(f.dataType, T.ArrayType) else ids) for f in schema.fields])
+
+
 def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_FOLD).split()
 
@@ -93,12 +105,14 @@ def blocks(benchmark: DataFrame, n: int, id_col="item_id", text_col="text"):
 def build_index(docs: DataFrame, vocab: dict, id_col="doc_id", text_col="text") -> DataFrame:
     """Written table of segments: postings of the words in ``vocab`` (word -> number)."""
     bc = docs.sparkSession.sparkContext.broadcast(vocab)
+    rows = docs.select(_ids(docs, id_col), F.col(text_col).alias("text"))
+    schema = _with_ids(SEGMENT, rows.schema["doc_id"].dataType)
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        get = bc.value.get
+        get, kind = bc.value.get, pa.int64()
         ids, sizes, found, total = [], [], [], 0
 
         def segment():
@@ -111,10 +125,11 @@ def build_index(docs: DataFrame, vocab: dict, id_col="doc_id", text_col="text")
             row = [[word.astype("<i4").tobytes()], [np.r_[first, len(w)].astype("<i8").tobytes()],
                    [d[order].astype("<i4").tobytes()], [p[order].astype("<i4").tobytes()], [ids], [sizes]]
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(row, [pa.binary()] * 4 + [pa.list_(pa.int64())] * 2)],
+                [pa.array(c, t) for c, t in zip(row, [pa.binary()] * 4 + [pa.list_(kind), pa.list_(pa.int64())])],
                 names=SEGMENT.names)
 
         for batch in batches:
+            kind = batch.column(0).type
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ws = words(text.as_py())
                 n = np.fromiter((get(w, -1) for w in ws), np.int32, len(ws))
@@ -129,8 +144,7 @@ def build_index(docs: DataFrame, vocab: dict, id_col="doc_id", text_col="text")
         if ids:
             yield segment()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return materialize(rows.mapInArrow(tidy(run), SEGMENT), "postings")
+    return materialize(rows.mapInArrow(tidy(run), schema), "postings")
 
 
 def word_counts(index: DataFrame, n_vocab: int):
@@ -229,6 +243,7 @@ def find(index: DataFrame, q: Queries, slop: int | None = None) -> DataFrame:
         r = np.arange(len(windows))
         rare = [windows[r, order[:, j]] if len(r) else r for j in (0, min(1, windows.shape[1] - 1))]
         for batch in batches:
+            kind = batch.column(4).type.value_type
             for word, first, doc, pos, ids, n_words in zip(*batch.columns):
                 lists = Lists(word.as_buffer(), first.as_buffer(), doc.as_buffer(), pos.as_buffer(), n_vocab)
                 ids, n_words = ids.as_py(), np.array(n_words.as_py(), np.int64)
@@ -259,10 +274,10 @@ def find(index: DataFrame, q: Queries, slop: int | None = None) -> DataFrame:
                                  sorted(close.get(k, ()))))
                 ll = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), ll,
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (kind, pa.int64(), pa.int64(), ll,
                                                                 pa.list_(ll), ll))], names=HITS.names)
 
-    return index.mapInArrow(tidy(run), HITS)
+    return index.mapInArrow(tidy(run), _with_ids(HITS, index.schema["doc_id"].dataType.elementType))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int | None = None,
@@ -272,14 +287,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     A null or empty text has no words and no hit; null and repeated ids keep a
     row each. An item of fewer than ``window`` words, but not none, is one
     window. Items that repeat count once. An empty benchmark leaves every
-    document without hits; an empty corpus gives no row. Other columns are not read.
+    document without hits; an empty corpus gives no row. Ids are whole numbers or
+    binary values. Other columns are not read.
     """
     count, several = blocks(benchmark, window)
     if count == 1:
         q = next(several)
         return find(build_index(docs, q.vocab, id_col, text_col), q, slop)
-    rows = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-                       .withColumn("row", F.monotonically_increasing_id()), "numbered")
+    rows = materialize(docs.select(_ids(docs, id_col), F.col(text_col).alias("text")).withColumn("row", F.monotonically_increasing_id()), "numbered")
     base, parts = None, None
     for q in several:
         found = materialize(find(build_index(rows, q.vocab, "row", "text"), q, slop).withColumnRenamed("doc_id", "row"), "hits")

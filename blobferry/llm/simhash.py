@@ -46,17 +46,18 @@ def _hash(shingle: bytes) -> int:
     return xxhash.xxh64_intdigest(shingle, SEED)
 
 
-def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``(doc_id, fp)`` for every row."""
+def with_fingerprint(docs: DataFrame, id_col: str, text_col: str, shingle: int, keep=()) -> DataFrame:
+    """``(doc_id, fp)`` and the columns ``keep`` for every row."""
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
             fp = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64()), *batch.columns[2:]], names=schema.names)
 
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType())])
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType()),
+                           *docs.select(*keep).schema.fields])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *keep)
     return rows.mapInArrow(tidy(run), schema)
 
 
@@ -91,8 +92,8 @@ def links(fps: DataFrame, max_bits: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """``(doc_id, fingerprint, component_id)`` per row. ``fingerprint``: 16 hex
+                    text_col: str = "text", keep=()) -> DataFrame:
+    """``(doc_id, fingerprint, component_id)`` and the columns ``keep`` per row. ``fingerprint``: 16 hex
     digits; ``component_id``: the smallest id reachable over links of at most
     ``max_bits`` bits, equal fingerprints included.
 
@@ -101,7 +102,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col
     unless all of its component are null. Repeated rows stay. Empty table: no
     row. Other columns are not read.
     """
-    fp = materialize(with_fingerprint(docs, id_col, text_col, shingle), "fingerprints")
+    fp = materialize(with_fingerprint(docs, id_col, text_col, shingle, keep), "fingerprints")
     classes = materialize(fp.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     comp = components(links(classes, max_bits))
     rooted = materialize(classes.join(comp, classes["fp"] == comp["node"], "left")
@@ -110,4 +111,4 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col
     named = materialize(rooted.select("fp", "root").join(materialize(least, "least"), "root")
                         .select("fp", "component_id"), "named")
     return fp.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *keep)
