@@ -32,12 +32,15 @@ BANDS, ROWS = 10, 4
 CROWD = 256          # lines of a broken band compared by one task
 CHAIN_LINES = 100_000  # lines of a task whose bands are chained at once
 COLUMNS = 4096       # shingles of an inverted index counted at a time
-CHUNK_CHARS = 1 << 18
+CHUNK_CHARS = 1 << 17  # signed at once
+BUCKET_BANDS = 1 << 19  # bands, about, that a task links across tasks at once
 MAX_BROADCAST = 2_000_000  # ids of 8 bytes; beyond it the join is shuffled
 SEED = 3
 
 SIGNED = T.StructType([
     T.StructField("lid", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+DEALT = T.StructType([T.StructField("bucket", T.IntegerType())] + [
+    T.StructField(c, T.BinaryType()) for c in ("bands", "lids", "a", "b")])
 OCCURS = "rid long, doc_id long, pos int, lid long"
 
 
@@ -57,6 +60,20 @@ def similar(a: set, b: set) -> bool:
 NARROW = 512  # code points below it take 9 bits, so that seven of them are one number
 
 
+def windows(c, base: int):
+    """Sum of ``c[i + j] * base ** (SHINGLE - 1 - j)`` of each window of ``SHINGLE`` (seven) values, modulo 2^64."""
+    base, square = c.dtype.type(base), c.dtype.type(base * base % (1 << 64))
+    two = c[:-1] * base
+    two += c[1:]
+    four = two[:-2] * square
+    four += two[2:]
+    seven = four[:-3] * square  # six values, then the last; in place, as fresh pages cost more than the sums
+    seven += two[4:-1]
+    seven *= base
+    seven += c[SHINGLE - 1:]
+    return seven
+
+
 class Codes:
     """Shingle sets of many lines as sorted arrays of numbers, one number for each distinct shingle, exactly.
 
@@ -69,16 +86,22 @@ class Codes:
 
         raw = "".join(x.ljust(SHINGLE, "\0") for x in lines).encode("utf-32-le", "surrogatepass")
         c = np.frombuffer(raw, "<u4")
-        if not len(c) or c.max() < NARROW:
-            n = len(c) - SHINGLE + 1
-            packed = np.zeros(max(n, 0), np.int64)
-            for j in range(SHINGLE):
-                packed = (packed << 9) | c[j:n + j]
-            at, self.sets = 0, []
-            for x in lines:  # windows that reach into the next line are in no slice
-                m = max(len(x), SHINGLE)
-                self.sets.append(np.unique(packed[at:at + m - SHINGLE + 1]))
-                at += m
+        if not len(c):
+            self.sets = []
+        elif c.max() < NARROW:
+            size = np.array([max(len(x), SHINGLE) for x in lines], np.int64)
+            end = np.cumsum(size)
+            packed = windows(c.astype(np.int64), 1 << 9)
+            new = np.ones(len(packed), bool)
+            for at, to in zip((end - size).tolist(), (end - SHINGLE + 1).tolist()):
+                packed[at:to].sort()
+            new[1:] = packed[1:] != packed[:-1]
+            new[(end - size)] = True
+            for d in range(1, SHINGLE):  # windows that reach into the next line are in no set
+                new[end[:-1] - d] = False
+            total = np.concatenate(([0], np.cumsum(new)))
+            packed = packed[new]
+            self.sets = [packed[i:j] for i, j in zip(total[end - size].tolist(), total[end - SHINGLE + 1].tolist())]
         else:
             number: dict = {}
             self.sets = [np.sort(np.array([number.setdefault(s, len(number)) for s in shingles(x)], np.int64)) for x in lines]
@@ -101,25 +124,25 @@ class Codes:
         for both sides, a line may miss from the pairs with itself."""
         import numpy as np
 
-        def postings(rows):
-            at = np.repeat(np.arange(len(rows)), [len(self.sets[i]) for i in rows])
-            return np.concatenate([self.sets[i] for i in rows]), at
-
-        sides = [(*postings(rows), rows) for rows in ((left,) if right is left else (left, right))]
+        rows = (left,) if right is left else (left, right)
+        n = [sum(len(self.sets[i]) for i in r) for r in rows]
+        col = np.unique(np.concatenate([self.sets[i] for r in rows for i in r]), return_inverse=True)[1].astype(np.int32)
+        at = [np.repeat(np.arange(len(r), dtype=np.int32), [len(self.sets[i]) for i in r]) for r in rows]
+        col = np.split(col, n[:-1])
         if right is left:  # a shingle of one line alone is shared with no other
-            codes, times = np.unique(sides[0][0], return_counts=True)
-            shared = codes[times > 1]
+            shared = np.bincount(col[0]) > 1
         else:
-            shared = np.intersect1d(sides[0][0], sides[1][0])
+            most = max(int(c.max()) for c in col) + 1
+            shared = (np.bincount(col[0], minlength=most) > 0) & (np.bincount(col[1], minlength=most) > 0)
+        number = np.cumsum(shared, dtype=np.int32) - 1
+        col, at = zip(*((number[c[shared[c]]], r[shared[c]]) for c, r in zip(col, at)))
         both = np.zeros((len(left), len(right)), np.int64)
-        for lo in range(0, len(shared), COLUMNS):
-            part = shared[lo:lo + COLUMNS]
+        for lo in range(0, int(number[-1]) + 1, COLUMNS):
             m = []
-            for codes, at, rows in sides:
-                col = np.searchsorted(part, codes).clip(max=len(part) - 1)
-                hit = part[col] == codes
-                x = np.zeros((len(rows), len(part)), np.float32)
-                x[at[hit], col[hit]] = 1
+            for c, r, own in zip(col, at, rows):
+                hit = (c >= lo) & (c < lo + COLUMNS)
+                x = np.zeros((len(own), min(COLUMNS, int(number[-1]) + 1 - lo)), np.float32)
+                x[r[hit], c[hit] - lo] = 1
                 m.append(x)
             both += np.rint(m[0] @ m[-1].T).astype(np.int64)  # at most COLUMNS ones a sum: exact in single precision
         na = np.array([len(self.sets[i]) for i in left])[:, None]
@@ -157,24 +180,22 @@ class Signer:
 
         raw = ("\n".join(x.ljust(SHINGLE, "\0") for x in lines) + "\n").encode("utf-32-le", "surrogatepass")
         c = np.frombuffer(raw, "<u4").astype(np.uint64)
-        n = len(c) - SHINGLE + 1
-        h = np.zeros(n, np.uint64)
-        for j in range(SHINGLE):
-            h *= np.uint64(0x9E3779B97F4A7C15)
-            h += c[j:n + j]
+        h = windows(c, 0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
-        g = (h >> np.uint64(32)).astype(np.uint32)
+        h >>= np.uint64(32)
+        g = h.astype(np.uint32)
         nl = np.flatnonzero(c == 10)
         whole = np.ones(len(c), bool)
         for d in range(SHINGLE):  # windows that reach a newline are no shingles
             whole[nl - d] = False
-        g = g[whole[:n]]
+        g = g[whole[:len(g)]]
         first = np.r_[0, nl[:-1] + 1]
         at = np.r_[0, np.cumsum(nl - first - SHINGLE + 1)[:-1]]
         keys = np.zeros((len(lines), self.bands), np.uint64)
+        buf = np.empty_like(g)
         for k in range(self.bands * self.rows):
-            least = np.minimum.reduceat(g * self.mult[k], at).astype(np.uint64)
+            least = np.minimum.reduceat(np.multiply(g, self.mult[k], out=buf), at).astype(np.uint64)
             b, r = divmod(k, self.rows)
             keys[:, b] += (least + np.uint64(1)) * self.mix[b, r]
         keys ^= keys >> np.uint64(31)
@@ -235,6 +256,14 @@ def _texts(batches):
                 [pa.array([line_id(x) for x in lines], pa.int64()), pa.array(lines, pa.string())], names=["lid", "line"])
 
 
+def _distinct_pairs(x, y):
+    import numpy as np
+
+    order = np.lexsort((y, x))
+    pairs = np.stack([x[order], y[order]], axis=1)
+    return pairs[np.r_[True, (pairs[1:] != pairs[:-1]).any(axis=1)]] if len(pairs) else pairs
+
+
 def _chains(batches):
     """Within ``CHAIN_LINES`` lines of a task, link the lines of a band in a chain; the least goes on to the shuffle (b null)."""
     import numpy as np
@@ -242,11 +271,14 @@ def _chains(batches):
 
     def chain(lids, keys):
         key, lid = np.concatenate(keys), np.repeat(np.concatenate(lids), BANDS)
-        order = np.lexsort((lid, key))
+        order = np.argsort(key)
         key, lid = key[order], lid[order]
+        same = key[1:] == key[:-1]
+        many = np.flatnonzero(np.r_[same, False] | np.r_[False, same])  # only bands of several rows need their lines in order
+        lid[many] = lid[many][np.lexsort((lid[many], key[many]))]
         first = np.r_[True, key[1:] != key[:-1]]
         link = ~first & np.r_[False, lid[1:] != lid[:-1]]
-        pairs = np.unique(np.stack([lid[np.flatnonzero(link) - 1], lid[link]], axis=1), axis=0)
+        pairs = _distinct_pairs(lid[np.flatnonzero(link) - 1], lid[link])
         return pa.RecordBatch.from_arrays(
             [pa.array(np.r_[key[first], np.zeros(len(pairs), np.int64)]), pa.array(np.r_[lid[first], pairs[:, 0]]),
              pa.array(np.r_[np.zeros(first.sum(), np.int64), pairs[:, 1]],
@@ -276,10 +308,50 @@ def _across(batches):
         last = both[:, -1:]
         link = (both[0, 1:] == both[0, :-1]) & (both[1, 1:] != both[1, :-1])
         x, y = both[1, :-1][link], both[1, 1:][link]
-        pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+        pairs = _distinct_pairs(np.minimum(x, y), np.maximum(x, y))
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
+def _dealt(n_buckets: int):
+    """:func:`_chains` with its rows packed: for each of ``n_buckets`` ranges of bands one row of the bands, their least
+    lines, and an even share of the pairs, as little-endian arrays, so that Spark shuffles a few large values."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        edge = np.array([(k << 64) // n_buckets - (1 << 63) for k in range(1, n_buckets)], np.int64)
+        for t in _chains(batches):
+            first = t.column(2).is_null().to_numpy(zero_copy_only=False)
+            band, a = t.column(0).to_numpy()[first], t.column(1).to_numpy()
+            pairs = np.stack([a[~first], t.column(2).filter(pa.array(~first)).to_numpy()])
+            cut = np.r_[0, np.searchsorted(band, edge), len(band)]  # a chain's bands come in order
+            part = np.linspace(0, pairs.shape[1], n_buckets + 1).astype(np.int64)
+            a = a[first]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(n_buckets, dtype=np.int32)),
+                 *(pa.array([x[i:j].astype("<i8").tobytes() for i, j in zip(at[:-1], at[1:])], pa.binary())
+                   for x, at in ((band, cut), (a, cut), (pairs[0], part), (pairs[1], part)))], names=DEALT.names)
+
+    return run
+
+
+def _across_dealt(batches):
+    """From rows of :func:`_dealt` sorted by bucket, the links of all chains: those inside a task and :func:`_across` tasks."""
+    import numpy as np
+    import pyarrow as pa
+
+    def linked(table):
+        band, lid, a, b = (np.frombuffer(b"".join(table.column(c).to_pylist()), "<i8") for c in DEALT.names[1:])
+        order = np.argsort(band)
+        batch = pa.RecordBatch.from_arrays([pa.array(band[order]), pa.array(lid[order])], names=["band", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _distinct_pairs(a, b).T], names=["a", "b"])
+        yield from _across(iter([batch]))
+
+    for t, starts, ends in by_group(batches, ["bucket"]):
+        for lo, hi in zip(starts, ends):
+            yield from linked(t.slice(lo, hi - lo))
+
+
 def _verify(batches):
     import pyarrow as pa
 
@@ -340,11 +412,9 @@ def _with_texts(docs: DataFrame, text_col: str, lids: DataFrame) -> DataFrame:
 def line_components(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(node, root)`` over line ids: lines similar to another distinct line, and their component."""
     signed = materialize(docs.select(text_col).mapInArrow(tidy(_sign), SIGNED), "signatures")
-    chained = materialize(signed.mapInArrow(tidy(_chains), "band long, a long, b long"), "chains")
-    across = chained.where("b is null").select("band", F.col("a").alias("b")).repartition("band") \
-        .sortWithinPartitions("band").mapInArrow(tidy(_across), "a long, b long")
-    cand = materialize(chained.where("b is not null").select("a", "b").unionAll(across).distinct(), "candidates")
-    discard(chained)
+    buckets = max(1, -(-signed.count() * BANDS // BUCKET_BANDS))
+    cand = materialize(signed.mapInArrow(tidy(_dealt(buckets)), DEALT).repartition("bucket").sortWithinPartitions("bucket")
+                       .mapInArrow(tidy(_across_dealt), "a long, b long").distinct(), "candidates")
     lids = materialize(cand.select(F.col("a").alias("lid")).unionAll(cand.select("b")).distinct(), "candidate-lines")
     texts = _with_texts(docs, text_col, lids)
     x, y = texts.toDF("a", "x"), texts.toDF("b", "y")
