@@ -6,10 +6,9 @@
   source ``blobferry_listing`` walks folders lazily, as part of a plan.
 * :func:`read_objects` reads the bodies of a complete listing in its tasks, less the
   names that Spark's file index hides (starting with ``_`` or ``.``).
-* :func:`list_objects` uses Spark's ``binaryFile`` source with ``content``
-  pruned, so no body is opened. Spark's file index keeps every file status
-  on the driver and hides names starting with ``_`` or ``.``: convenient for
-  small roots, not for a store of millions of objects.
+* :func:`list_objects` gives the objects of a complete listing that Spark's file sources would list: neither
+  names starting with ``_`` or ``.`` nor empty objects. Only a root of a scheme that nothing but Hadoop knows
+  is listed by Spark's file index, which keeps every file status on the driver.
 """
 
 from __future__ import annotations
@@ -35,12 +34,27 @@ def key_from_path(path_col: str, root: str) -> F.Column:
 
 def list_objects(spark: SparkSession, root: str, suffix: str | None = None,
                  prefix: str | None = None, case_sensitive: bool = True) -> DataFrame:
-    """All objects below ``root`` (recursively) as key, size, mtime.
+    """The objects below ``root`` (recursively) that Spark's file sources would list, as key, size, mtime.
 
-    ``suffix`` (case-sensitive by default) and a string ``prefix`` of the key
-    filter the listing. The suffix is also given to the file index as a glob
-    so non-matching files are dropped while listing.
+    ``suffix`` (case-sensitive by default) and a string ``prefix`` of the key filter the listing of the whole
+    tree, which the tasks write to the shared folder (:func:`list_all_objects`): the driver holds no file status.
     """
+    try:
+        open_fs(root)
+    except Exception:  # noqa: BLE001 - a scheme only Hadoop knows
+        df = _indexed_by_spark(spark, root, suffix, case_sensitive)
+    else:
+        df = visible(list_all_objects(spark, root, suffix, case_sensitive=case_sensitive))
+        df = df.where(~F.col("key").rlike(_HIDDEN_FILE) & (F.col("size") > 0)).select(
+            "key", "size", F.date_trunc("millisecond", "mtime").alias("mtime"))
+    if prefix:
+        df = df.where(K.has_prefix("key", prefix))
+    return df
+
+
+def _indexed_by_spark(spark: SparkSession, root: str, suffix: str | None, case_sensitive: bool) -> DataFrame:
+    """:func:`list_objects` by ``binaryFile`` with ``content`` pruned, so no body is opened. The suffix is also
+    given to the file index as a glob so non-matching files are dropped while listing."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if suffix and case_sensitive and not any(ch in suffix for ch in "*?[]{}\\"):
         reader = reader.option("pathGlobFilter", f"*{suffix}")
@@ -49,13 +63,13 @@ def list_objects(spark: SparkSession, root: str, suffix: str | None = None,
         F.col("modificationTime").alias("mtime"))
     if suffix:
         df = df.where(K.has_suffix("key", suffix, case_sensitive))
-    if prefix:
-        df = df.where(K.has_prefix("key", prefix))
     return df
 
 
 # Names that Spark's file sources pass over, at any depth of a key.
 _HIDDEN = r"(^|/)(?!_metadata|_common_metadata)(\.[^/]*|_[^/=]*|[^/]*\._COPYING_)(/|$)"
+# Of those, the names that they open as folders only.
+_HIDDEN_FILE = r"(^|/)_(metadata|common_metadata)[^/=]*$"
 OBJECTS_PER_READ = 10_000  # objects one task reads, one after the other
 
 

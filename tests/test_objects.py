@@ -106,6 +106,34 @@ def test_read_objects_keeps_no_file_index(spark, tmp_root):
         df.collect()
 
 
+def test_list_objects_keeps_no_file_index(spark, tmp_root):
+    """The rows come from a staged listing: no file status of an object is held by the driver."""
+    import time
+
+    before = time.time()
+    for name in ("d1/a.pdf", "d1/b.PDF", "d1x/c.pdf", "d2/n.txt", "_under.pdf", ".dot.pdf", "_h/b.pdf", "p=1/_q=2/c.pdf",
+                 "_metadata/m.pdf", "_metadata.pdf", "e._COPYING_"):
+        _write(tmp_root, name, name.encode())
+    _write(tmp_root, "d1/empty.pdf", b"")
+    df = list_objects(spark, tmp_root)
+    assert not any(f.startswith(f"file://{tmp_root}") for f in df.inputFiles())
+    names = ["_metadata/m.pdf", "d1/a.pdf", "d1/b.PDF", "d1x/c.pdf", "d2/n.txt", "p=1/_q=2/c.pdf"]
+    assert sorted((r.key, r.size) for r in df.collect()) == [(n, len(n)) for n in names]
+    assert all(before - 5 < r.mtime.timestamp() < time.time() + 5 and r.mtime.microsecond % 1000 == 0 for r in df.collect())
+
+    def found(**how):
+        return sorted(r.key for r in list_objects(spark, tmp_root, **how).collect())
+
+    assert found(suffix=".pdf", prefix="d1") == ["d1/a.pdf", "d1x/c.pdf"]  # a text, not a folder
+    assert found(suffix=".pdf", prefix="d1", case_sensitive=False) == ["d1/a.pdf", "d1/b.PDF", "d1x/c.pdf"]
+    # A scheme that only Hadoop knows: Spark's file index gives the same rows.
+    from blobferry.sources.listing import _indexed_by_spark
+
+    for how in ((None, True), (".pdf", True), (".pdf", False)):
+        assert sorted(map(tuple, _indexed_by_spark(spark, tmp_root, *how).collect())) == sorted(
+            map(tuple, list_objects(spark, tmp_root, suffix=how[0], case_sensitive=how[1]).collect()))
+
+
 def test_missing_root_raises(spark, tmp_root):
     import pytest
 
