@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from blobferry.functions import keys as K
 from blobferry.plans import jobs
+from blobferry.session import scratch_path
 from blobferry.sinks import ledgers as L
 from blobferry.sources import registry as R
 
@@ -284,6 +285,63 @@ def test_repeated_ids_keep_their_own_bodies(spark, tmp_root):
         "binder_1.pdf", "binder_2.pdf", "binder_3.pdf", "binder_4.pdf"}
 
 
+def test_blob_sink_leaves_no_shuffle_files(spark, tmp_root):
+    """What the plan and the write shuffled is gone when the run ends; the staged plan holds hashes of tied rows only."""
+    import time
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f"{at}/{f}" for top in disk.localDirsString() for at, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+    def kept():
+        try:
+            return sum(os.path.getsize(f) for f in shuffled() - before)
+        except FileNotFoundError:  # just deleted
+            return kept()
+
+    t = [dt.datetime(2024, 1, d) for d in (1, 2)]
+    rows = [(i, i % 50, "c", "b", t[i % 2], b"%d" % i) for i in range(20_000)] + [(99_999, 7, "c", "b", dt.datetime(2024, 2, 1), b"twice")] * 2
+    src = spark.createDataFrame(rows, SOURCE_SCHEMA).repartition(4)
+    before, was = shuffled(), spark.conf.get(setting)
+    staged = {d for d in os.listdir(scratch_path(spark, "x").rpartition("/")[0]) if d.startswith("export-plan-")}
+    rep = jobs.run_incremental(spark, src, "c", "modified_id", L.Ledgers(f"{tmp_root}/state"), jobs.blob_sink(f"{tmp_root}/out"))
+    assert (rep.counts["n_rows"], rep.counts["n_ok"]) == (50, 50) and spark.conf.get(setting) == was
+    assert _objects(f"{tmp_root}/out") == {f"binder_{p}.pdf": b"twice" if p == 7 else b"%d" % (19_950 + p) for p in range(50)}
+    folder = scratch_path(spark, "x").rpartition("/")[0]
+    plan = [d for d in os.listdir(folder) if d.startswith("export-plan-") and d not in staged]
+    held = {r["key"] for r in spark.read.parquet(f"{folder}/{plan[0]}").where("sha1 is not null").collect()}
+    assert len(plan) == 1 and held == {"binder_7.pdf"}
+    until = time.time() + 20
+    while kept() > 100_000 and time.time() < until:  # deleted in the background
+        time.sleep(0.2)
+    assert kept() <= 100_000  # single counts
+
+
+def test_blob_sink_tells_ties_in_any_order(spark, tmp_root):
+    t = [dt.datetime(2024, 1, d) for d in (1, 2)]
+    rows = [(1, 1, "c", "b", t[0], b"aa"), (1, 1, "c", "b", t[0], b"z"), (1, 1, "c", "b", t[0], b"y"),  # tied: the longest first
+            (2, 2, "c", "b", t[0], b"z"), (2, 2, "c", "b", t[0], b"bb"),  # tied: the longest last
+            (3, 3, "c", "b", t[0], b"old"), (3, 3, "c", "b", t[0], b"older"), (3, 3, "c", "b", t[1], b"n"),  # a tie that is not the latest
+            (4, 4, "c", "b", t[0], b"x"), (None, 4, "c", "b", t[0], b"long"),  # a null id sorts lowest: no tie
+            (None, 5, "c", "b", None, b"p"), (None, 5, "c", "b", None, b"pq"),  # tied without order and id
+            (6, 6, "c", "b", t[0], None), (6, 6, "c", "b", t[0], b"s"),  # a null body is the least
+            (7, 7, "c", "b", t[0], b"only")]
+    want = {"binder_1.pdf": b"aa", "binder_2.pdf": b"bb", "binder_3.pdf": b"n", "binder_4.pdf": b"x", "binder_5.pdf": b"pq",
+            "binder_6.pdf": b"s", "binder_7.pdf": b"only"}
+    for n, order in enumerate((rows, rows[::-1])):
+        for parts in (1, 5):
+            src = spark.createDataFrame(order, SOURCE_SCHEMA).coalesce(1) if parts == 1 else spark.createDataFrame(order, SOURCE_SCHEMA).repartition(5)
+            out = f"{tmp_root}/out{n}-{parts}"
+            got = jobs.blob_sink(out)(src, "r").collect()
+            assert sorted((r.key, r.ok) for r in got) == [(k, True) for k in sorted(want)] and _objects(out) == want
+    sized = spark.createDataFrame(rows, SOURCE_SCHEMA).withColumn("n", F.length("BINDER_DOC").cast("bigint"))
+    status = jobs.blob_sink(f"{tmp_root}/sized", size_col="n")(sized, "r").collect()
+    assert {r.key for r in status if not r.ok} == {f"binder_{p}.pdf" for p in (1, 2, 5, 6)}
+    assert {r.error for r in status if not r.ok} == {"several rows share key, order and id"}
+
+
 def test_retry_of_a_shared_id_leaves_newer_objects(spark, tmp_root):
     t = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
     src = spark.createDataFrame([(5, 1, "bad", "b", t[0], b"P1"), (5, 2, "c", "b", t[0], b"old"),
