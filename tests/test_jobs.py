@@ -303,7 +303,8 @@ def test_blob_sink_leaves_no_shuffle_files(spark, tmp_root):
 
     t = [dt.datetime(2024, 1, d) for d in (1, 2)]
     rows = [(i, i % 50, "c", "b", t[i % 2], b"%d" % i) for i in range(20_000)] + [(99_999, 7, "c", "b", dt.datetime(2024, 2, 1), b"twice")] * 2
-    src = spark.createDataFrame(rows, SOURCE_SCHEMA).repartition(4)
+    spark.createDataFrame(rows, SOURCE_SCHEMA).repartition(4).write.parquet(f"{tmp_root}/src")
+    src = spark.read.parquet(f"{tmp_root}/src")  # shuffles nothing of its own
     before, was = shuffled(), spark.conf.get(setting)
     staged = {d for d in os.listdir(scratch_path(spark, "x").rpartition("/")[0]) if d.startswith("export-plan-")}
     rep = jobs.run_incremental(spark, src, "c", "modified_id", L.Ledgers(f"{tmp_root}/state"), jobs.blob_sink(f"{tmp_root}/out"))
